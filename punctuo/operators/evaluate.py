@@ -1,8 +1,9 @@
 """Splits and evaluation on a scored table.
 
-Scalars that the reference computes on the driver (train share, train median,
-quantile edges) are scalar subqueries here: Spark evaluates them once and
-inlines the value — no join, nothing collected by the caller.
+Scalars that the reference computes on the driver (train share, train median)
+are scalar subqueries here: Spark evaluates them once and inlines the value —
+no join. Quantile edges (a parameter-bounded handful of numbers) are fetched
+once and used as a literal array, as Spark ML's QuantileDiscretizer does.
 """
 
 from __future__ import annotations
@@ -20,6 +21,16 @@ def _y(label: str) -> Column:
     return F.col(label).cast("double")
 
 
+def _bounded_array(one_row: DataFrame) -> Column:
+    """Fetch a one-row array whose length is fixed by a parameter (quantile
+    edges: ``groups + 1`` or ``buckets − 1`` values) and return it as a literal.
+
+    Spark ML's QuantileDiscretizer does the same; a scalar subquery cannot be
+    used here because Spark rejects subqueries inside higher-order functions."""
+    values = one_row.first()[0] or []
+    return F.array(*[F.lit(float(v)) for v in values]).cast("array<double>")
+
+
 # --------------------------------------------------------------------------
 # M3, M4: splits
 # --------------------------------------------------------------------------
@@ -117,7 +128,7 @@ def auc(df: DataFrame, score: str = "p_late", label: str = "is_late", buckets: i
     d = df.filter(F.col(score).isNotNull() & y.isNotNull()).groupBy(score).agg(
         F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
     qs = [i / buckets for i in range(1, buckets)]
-    edges = d.select(F.percentile_approx(score, qs, 10_000)).scalar()
+    edges = _bounded_array(d.select(F.percentile_approx(score, qs, 10_000)))
     s = F.col(score)
     d = d.withColumn("_b", F.size(F.filter(edges, lambda e: e < s)))
     per_b = d.groupBy("_b").agg(F.sum("neg").alias("_bneg"))
@@ -148,7 +159,7 @@ def calibration(test: DataFrame, groups: int = 10, score: str = "p_late", label:
     """M11 + C24: equal-frequency groups of the score (exact quantile edges,
     duplicates dropped, right-closed, lowest included); mean score, late rate, n."""
     qs = F.array(*[F.lit(i / groups) for i in range(groups + 1)])
-    edges = test.select(F.array_distinct(F.percentile(score, qs))).scalar()
+    edges = _bounded_array(test.select(F.array_distinct(F.percentile(score, qs))))
     binned = test.withColumn("bin", X.quantile_bin(score, edges)).filter(F.col("bin").isNotNull())
     return binned.groupBy("bin").agg(F.avg(score).alias("p_mean"), F.avg(_y(label)).alias("late_rate"),
                                      F.count(F.lit(1)).alias("n"))

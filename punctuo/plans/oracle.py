@@ -585,7 +585,7 @@ FROM c""")
 _Q10 = "[" + ", ".join(f"{i / 10}::DOUBLE" for i in range(11)) + "]"
 ORACLE["calibration"] = sql([FEV, SEV], f"""e AS (SELECT list_sort(list_distinct(quantile_cont(p_late, {_Q10}))) AS edges FROM test_scored),
 b AS (SELECT t.*, CASE WHEN t.p_late >= e.edges[1] AND t.p_late <= e.edges[-1] AND len(e.edges) >= 2
-                       THEN CAST(greatest(len(list_filter(e.edges, x -> x < t.p_late)), 1) AS INTEGER) END AS bin
+                       THEN CAST(greatest(len(list_filter(e.edges, lambda x: x < t.p_late)), 1) AS INTEGER) END AS bin
       FROM test_scored t, e)
 SELECT bin, {R('avg(p_late)', 'p_mean')}, {R('avg(CAST(is_late AS DOUBLE))', 'late_rate')}, count(*) AS n
 FROM b WHERE bin IS NOT NULL GROUP BY bin""")
