@@ -524,3 +524,96 @@ def format_report(spark, sf_dir):
     return s.select("airline", X.nl_number("n", 0).alias("n_text"), X.nl_number("late_pct", 1).alias("late_pct_text"),
                     X.nl_number("avg_delay", 1).alias("avg_delay_text"),
                     X.label_concat("airline", X.nl_number("n", 0)).alias("label"))
+
+
+# ------------------------------------------------------------------ models (rows-only checks)
+# The operator default is 120 boosting rounds; the registered queries use 10 so
+# that the whole registry runs in minutes on one machine.
+MODEL_PARAMS = DEFAULTS.with_(max_iter=10)
+_FITTED: dict = {}
+
+
+def model_table(spark, sf_dir) -> DataFrame:
+    """M1: flights_ev + load/day/previous-hour features + place + daily weather."""
+    f = FE.add_load_features(B.flights_ev(spark, sf_dir))
+    f = LK.lookup_two_keys(f, places_geo(spark, sf_dir), "place_code", "key_a", "key_b",
+                           ("lat", "lon", "distance_km"), ["place_id"], "lat")
+    f = f.drop("_code_in_a", "_code_in_b", "matched_by")
+    return LK.attach_daily(f, B.weather_ev(spark, sf_dir))
+
+
+def _split_model_table(spark, sf_dir, params=MODEL_PARAMS):
+    from punctuo.operators import predict as PD
+    t = model_table(spark, sf_dir)
+    t = EV.with_split(t, EV.day_split(t, params.test_share, params.seed))
+    top = FE.top_categories(t.filter(~F.col("is_test")), list(params.categorical), params.max_categories)
+    t = PD.cap_categories(t, top, params)
+    return t.filter(~F.col("is_test")), t.filter(F.col("is_test"))
+
+
+def _fitted(spark, sf_dir, params=MODEL_PARAMS):
+    """Fit once per (data, parameters) in this process; later queries reuse it."""
+    from punctuo.operators import predict as PD
+    key = (sf_dir, params.max_iter, params.max_depth, params.seed)
+    if key not in _FITTED:
+        train, test = _split_model_table(spark, sf_dir, params)
+        models, rows = PD.ladder(train, test, params)
+        _, cols, clf = models[-1]
+        reg = PD.fit_regressor(train, cols, params)
+        _FITTED[key] = {"models": models, "cols": cols, "clf": clf, "reg": reg}
+    return _FITTED[key]
+
+
+@query
+def ladder(spark, sf_dir):
+    from punctuo.operators import predict as PD
+    train, test = _split_model_table(spark, sf_dir)
+    fitted = _fitted(spark, sf_dir)
+    rows = None
+    for i, (step, cols, m) in enumerate(fitted["models"]):
+        scored = PD.score(m, test, cols, MODEL_PARAMS)
+        brier = scored.select(F.avg(F.pow(F.col("p_late") - F.col("is_late").cast("double"), 2))).scalar()
+        row = EV.auc(scored).select(F.lit(i + 1).alias("step_no"), F.lit(step).alias("step"), "auc",
+                                    brier.alias("brier"), F.lit(len(cols)).alias("n_features"))
+        rows = row if rows is None else rows.unionByName(row)
+    return rounded(rows)
+
+
+@query
+def minutes_model(spark, sf_dir):
+    from punctuo.operators import predict as PD
+    _, test = _split_model_table(spark, sf_dir)
+    fitted = _fitted(spark, sf_dir)
+    pred = PD.predict_minutes(fitted["reg"], test, fitted["cols"], MODEL_PARAMS)
+    return rounded(EV.score_metrics(pred.withColumn("p_late", F.lit(0.0)))).select("n", "mae", "r2")
+
+
+@query
+def importance(spark, sf_dir):
+    from punctuo.operators import predict as PD
+    _, test = _split_model_table(spark, sf_dir)
+    fitted = _fitted(spark, sf_dir)
+    return rounded(PD.permutation_importance(fitted["clf"], test, fitted["cols"], MODEL_PARAMS))
+
+
+@query
+def scored_test(spark, sf_dir):
+    """M9: the test rows with chance and expected minutes."""
+    from punctuo.operators import predict as PD
+    _, test = _split_model_table(spark, sf_dir)
+    fitted = _fitted(spark, sf_dir)
+    cols = fitted["cols"]
+    s = PD.score(fitted["clf"], test, cols, MODEL_PARAMS).select("flight_id", "p_late")
+    m = PD.predict_minutes(fitted["reg"], test, cols, MODEL_PARAMS).select("flight_id", "pred_min")
+    keep = ["flight_id", "day", "year", "hour", "direction", "hour_load", "runway", "wpgt", "prcp", "tavg",
+            "delay_min", "is_late", "prev_hour_delay"]
+    return rounded(test.select(*keep).join(s, "flight_id").join(m, "flight_id"))
+
+
+@query
+def whatif_hours(spark, sf_dir):
+    """M17 + M18: the test flights re-scored at every hour 6..22."""
+    from punctuo.operators import predict as PD
+    _, test = _split_model_table(spark, sf_dir)
+    fitted = _fitted(spark, sf_dir)
+    return rounded(PD.hour_sweep(fitted["clf"], test, fitted["cols"], params=MODEL_PARAMS))
