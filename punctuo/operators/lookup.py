@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from punctuo.config import DEFAULTS, Params
 from punctuo.functions import columns as X
-from punctuo.operators.util import sized_broadcast
+from punctuo.operators.util import fits_rows, materialize, sized_broadcast
 
 
 def first_per_key(dim: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -37,8 +37,10 @@ def lookup_two_keys(fact: DataFrame, dim: DataFrame, code: str, key_a: str, key_
     cell-wise coalesce (every NULL cell of the first match is filled from the
     second, like ``combine_first``). ``matched_by`` = key_a / key_b / NULL,
     decided by ``found`` (e.g. the name) being present, as the match counters do."""
-    a = sized_broadcast(_side(dim, key_a, attrs, order, "a"), params.broadcast_max_rows)
-    b = sized_broadcast(_side(dim, key_b, attrs, order, "b"), params.broadcast_max_rows)
+    a = _side(dim, key_a, attrs, order, "a")
+    b = _side(dim, key_b, attrs, order, "b")
+    if fits_rows(dim, params.broadcast_max_rows):  # both sides are subsets of dim: one check
+        a, b = F.broadcast(a), F.broadcast(b)
     j = fact.join(a, fact[code] == a["_a_key"], "left").join(b, fact[code] == b["_b_key"], "left")
     matched = (F.when(F.col(f"_a_{found}").isNotNull(), F.lit("key_a"))
                 .when(F.col(f"_b_{found}").isNotNull(), F.lit("key_b")))
@@ -96,9 +98,10 @@ def key_multiplicity(dim: DataFrame, key: str) -> DataFrame:
 
 
 def home_coordinates(dim: DataFrame, is_home, order: str, lat: str = "lat", lon: str = "lon"):
-    """The home place's coordinates as scalar subqueries (no join)."""
-    home = dim.filter(is_home)
-    return (home.select(F.min_by(lat, order)).scalar(), home.select(F.min_by(lon, order)).scalar())
+    """The home place's coordinates (first home row in ``order``) as one
+    scalar subquery (no join)."""
+    home = dim.filter(is_home).select(F.min_by(F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon")), order)).scalar()
+    return home.getField("lat"), home.getField("lon")
 
 
 def with_distance(dim: DataFrame, is_home, order: str, lat: str = "lat", lon: str = "lon",
@@ -115,7 +118,7 @@ def with_distance(dim: DataFrame, is_home, order: str, lat: str = "lat", lon: st
 def attach_daily(fact: DataFrame, daily: DataFrame, day: str = "day", params: Params = DEFAULTS) -> DataFrame:
     """J5 + C20: each row gets its day's conditions (left join, checked broadcast
     of the one-row-per-day table) and the frost flag."""
-    d = sized_broadcast(first_per_key(daily, day, [day]), params.broadcast_max_rows)
+    d = sized_broadcast(materialize(first_per_key(daily, day, [day])), params.broadcast_max_rows)
     cols = [c for c in d.columns if c != day]
     out = fact.join(d, day, "left").select(*fact.columns, *cols)
     return out.withColumn("frost", X.frost_flag("tmin")) if "tmin" in cols else out

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from punctuo.session import ensure_checkpoint_dir
 
 
+def fits_rows(df: DataFrame, max_rows: int) -> bool:
+    """Bounded size proof: at most ``max_rows`` rows (reads ≤ max_rows + 1 rows)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 
@@ -16,8 +21,7 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     returned as is and Spark plans a shuffle join (AQE splits skewed keys).
     Call it on small, materialised sides (a dimension, a checkpointed aggregate).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_rows(df, max_rows) else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
