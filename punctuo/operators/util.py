@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +26,24 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's checkpoint folder.
+    """Keep a SMALL aggregate (a per-(day, hour) or per-day table, a top list)
+    that is size-checked and then broadcast: computed once, reused by the join.
 
-    Used for small aggregates that are reused (and size-checked) before a join;
-    survives executor loss because the files live in ``spark.checkpoint.dir``."""
+    Lost blocks are recomputed from lineage, and once broadcast the table no
+    longer depends on executors, so executor loss is harmless."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def checkpoint_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the session's shared ``spark.checkpoint.dir`` and read it
+    back with a cut lineage (reliable checkpoint, never a local one).
+
+    The input is persisted first so the checkpoint job does not recompute it."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def non_null(df: DataFrame, cols) -> DataFrame:

@@ -108,12 +108,8 @@ def calendar_and_prefix(spark, sf_dir):
 @query
 def fact_table(spark, sf_dir):
     """E1 end to end: raw strings → clean → place lookup → weather → load features."""
-    c = clean_ev(spark, sf_dir)
-    c = LK.lookup_two_keys(c, places_geo(spark, sf_dir), "place_code", "key_a", "key_b",
-                           ("name", "region", "lat", "lon", "distance_km", "area"), ["place_id"], "name")
-    c = c.drop("_code_in_a", "_code_in_b")
-    c = LK.attach_daily(c, B.weather_ev(spark, sf_dir))
-    c = FE.add_load_features(c)
+    from punctuo.plans.build import build_fact
+    c = build_fact(B.raw_ev(spark, sf_dir), places_geo(spark, sf_dir), B.weather_ev(spark, sf_dir))
     return rounded(c.drop("planned_ts", "actual_ts"))
 
 
