@@ -158,8 +158,10 @@ def frost_flag(tmin) -> Column:
 
 
 def clip(c, lo: float, hi: float) -> Column:
-    """Limit to [lo, hi] (NULL stays NULL)."""
-    return F.least(F.greatest(col(c), F.lit(lo)), F.lit(hi))
+    """Limit to [lo, hi]. NULL stays NULL (Spark's greatest/least skip
+    NULL arguments, so the guard is needed)."""
+    c = col(c)
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
 
 
 def pct(share) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from punctuo import config as C
 from punctuo.config import DEFAULTS, Params
+from punctuo.functions import columns as X
 from punctuo.operators import evaluate as EV
 from punctuo.operators import features as FE
 from punctuo.operators.util import materialize
@@ -65,8 +66,7 @@ def prepare(df: DataFrame, cols: Sequence[str], params: Params = DEFAULTS) -> Da
         out = (out.withColumn(f"{c}__num", F.col(c).cast("double"))
                   .withColumn(f"{c}__miss", F.col(c).isNull().cast("double")))
     return (out.withColumn("label", F.col("is_late").cast("double"))
-               .withColumn("label_min", F.least(F.greatest(F.col("delay_min"), F.lit(params.clip_lo)),
-                                                F.lit(params.clip_hi))))
+               .withColumn("label_min", X.clip("delay_min", params.clip_lo, params.clip_hi)))
 
 
 def _max_bins(params: Params) -> int:
