@@ -21,7 +21,7 @@ from punctuo.operators.util import fits_rows, materialize, sized_broadcast
 
 def first_per_key(dim: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """One row per non-NULL key — the first in ``order`` (file order stand-in)."""
-    w = Window.partitionBy(key).orderBy(*[F.asc_nulls_last(o) for o in order])
+    w = Window.partitionBy(key).orderBy(*[X.col(o).asc_nulls_last() for o in order])
     return (dim.filter(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(w))
                .filter(F.col("_rn") == 1).drop("_rn"))
 
@@ -97,14 +97,15 @@ def key_multiplicity(dim: DataFrame, key: str) -> DataFrame:
         F.coalesce(F.max("_c"), F.lit(0)).alias(f"max_rows_per_{key}"))
 
 
-def home_coordinates(dim: DataFrame, is_home, order: str, lat: str = "lat", lon: str = "lon"):
+def home_coordinates(dim: DataFrame, is_home, order, lat: str = "lat", lon: str = "lon"):
     """The home place's coordinates (first home row in ``order``) as one
     scalar subquery (no join)."""
-    home = dim.filter(is_home).select(F.min_by(F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon")), order)).scalar()
+    home = dim.filter(is_home).select(
+        F.min_by(F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon")), X.col(order))).scalar()
     return home.getField("lat"), home.getField("lon")
 
 
-def with_distance(dim: DataFrame, is_home, order: str, lat: str = "lat", lon: str = "lon",
+def with_distance(dim: DataFrame, is_home, order, lat: str = "lat", lon: str = "lon",
                   params: Params = DEFAULTS) -> DataFrame:
     """C18 + C19 on the dimension: distance from home and the area class.
 

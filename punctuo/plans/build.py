@@ -24,14 +24,14 @@ from punctuo.sources.files import write_fact
 
 def build_fact(raw: DataFrame, places: DataFrame, daily: DataFrame | None = None, params: Params = DEFAULTS,
                place_attrs: Sequence[str] = ("name", "region", "lat", "lon", "distance_km", "area"),
-               key_a: str = "key_a", key_b: str = "key_b", place_order: Sequence[str] = ("place_id",),
-               path: str | None = None, partition_by: Sequence[str] = ("year",)) -> DataFrame:
+               key_a: str = "key_a", key_b: str = "key_b", place_order: Sequence = ("place_id",),
+               found: str = "name", path: str | None = None, partition_by: Sequence[str] = ("year",)) -> DataFrame:
     """The clean fact with place, weather and load features.
 
     ``path``: write the pre-feature table there (partitioned by year) and read
     it back; otherwise a reliable checkpoint plays that role."""
     c = CL.clean_flights(raw, params)
-    c = LK.lookup_two_keys(c, places, "place_code", key_a, key_b, place_attrs, list(place_order), "name", params)
+    c = LK.lookup_two_keys(c, places, "place_code", key_a, key_b, place_attrs, list(place_order), found, params)
     c = c.drop("_code_in_a", "_code_in_b")
     if daily is not None:
         c = LK.attach_daily(c, daily, params=params)
@@ -41,3 +41,26 @@ def build_fact(raw: DataFrame, places: DataFrame, daily: DataFrame | None = None
     else:
         c = checkpoint_table(c)
     return FE.add_load_features(c, params)
+
+
+def airport_dimension(airports: DataFrame, home_code: str, params: Params = DEFAULTS) -> DataFrame:
+    """Airports with distance from the home airport (ICAO ``home_code``) and area.
+
+    File order is represented by the numeric ``Airport_ID`` (first row wins)."""
+    from pyspark.sql import functions as F
+    dim = airports.withColumn("_order", F.col("Airport_ID").try_cast("int"))
+    return LK.with_distance(dim, F.col("ICAO") == home_code, "_order", "Latitude", "Longitude", params)
+
+
+def build_from_files(spark, flights_path: str, airports_path: str, weather_path: str, params: Params = DEFAULTS,
+                     home_code: str | None = None, bad_rain_from: str | None = None,
+                     path: str | None = None) -> DataFrame:
+    """S1–S6 + E1: the three source files to the enriched fact (optionally written)."""
+    from punctuo import config as C
+    from punctuo.sources import files as S
+    raw = S.read_flights(spark, flights_path)
+    dim = airport_dimension(S.read_airports(spark, airports_path), home_code or C.HOME_CODE, params)
+    daily = S.clean_weather(S.read_weather(spark, weather_path), bad_rain_from or C.BAD_RAIN_FROM)
+    attrs = ("Name", "City", "Country", "IATA", "ICAO", "Latitude", "Longitude", "distance_km", "area")
+    return build_fact(raw, dim, daily, params, place_attrs=attrs, key_a="ICAO", key_b="IATA",
+                      place_order=("_order",), found="Name", path=path)

@@ -105,11 +105,22 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
             .option("mode", "FAILFAST").csv(path))
 
 
-def write_fact(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",), mode: str = "overwrite") -> None:
+def clean_weather(weather: DataFrame, bad_from: str = C.BAD_RAIN_FROM) -> DataFrame:
+    """S4 follow-up: ``date`` → ``day``, drop the always-empty columns (snow,
+    tsun), NULL the precipitation of the suspect period (C15)."""
+    w = weather.withColumnRenamed("date", "day").drop("snow", "tsun")
+    return w.withColumn("prcp", X.null_from("prcp", "day", bad_from))
+
+
+def write_fact(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",), mode: str = "overwrite",
+               max_records_per_file: int = 5_000_000) -> None:
     """The clean fact table as Parquet, partitioned so year filters prune files.
 
-    Rows are clustered by the partition column first so each task writes few files."""
-    (df.repartition(*partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path))
+    No ``repartition(year)`` before the write: with a handful of years that
+    would funnel a whole year through one task. Every task writes its own
+    files per year instead (bounded by ``maxRecordsPerFile``)."""
+    (df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+       .partitionBy(*partition_by).parquet(path))
 
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
