@@ -41,24 +41,24 @@ def derive_times(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """C5–C9 + C10 + C11 + C14 on a prepared table (keeps every input column)."""
     planned = X.day_time(RAW_DATE, RAW_PLANNED)
     actual0 = X.day_time(RAW_DATE, RAW_ACTUAL)
-    out = (df.withColumn("_day", X.parse_day(RAW_DATE))
-             .withColumn("planned_ts", planned)
-             .withColumn("_actual0", actual0)
-             .withColumn("_raw_delay", X.minutes_between("planned_ts", "_actual0"))
-             .withColumn("rolled_over", X.rollover_flag("planned_ts", "_actual0", params.rollover_min)))
+    out = df.withColumns({"_day": X.parse_day(RAW_DATE), "planned_ts": planned, "_actual0": actual0})
+    step = {"_raw_delay": X.minutes_between("planned_ts", "_actual0"),
+            "rolled_over": X.rollover_flag("planned_ts", "_actual0", params.rollover_min)}
+    if params.symmetric_rollover:
+        step["rolled_back"] = X.early_rollover_flag("planned_ts", "_actual0", params.rollover_min)
+    out = out.withColumns(step)
     actual = F.when(F.col("rolled_over"), X.add_days("_actual0", 1))
     if params.symmetric_rollover:
-        out = out.withColumn("rolled_back", X.early_rollover_flag("planned_ts", "_actual0", params.rollover_min))
         actual = actual.when(F.col("rolled_back"), X.add_days("_actual0", -1))
     out = out.withColumn("actual_ts", actual.otherwise(F.col("_actual0")))
-    delay = X.minutes_between("planned_ts", "actual_ts")
+    out = out.withColumn("delay_min", X.minutes_between("planned_ts", "actual_ts"))
     cal = X.calendar_columns("planned_ts", day="_day")
-    return (out.withColumn("delay_min", delay)
-               .withColumn("is_late", X.late_flag("delay_min", params.late_min))
-               .withColumn("day", cal["day"]).withColumn("year", cal["year"]).withColumn("month", cal["month"])
-               .withColumn("weekday", cal["weekday"]).withColumn("hour", cal["hour"])
-               .withColumn("direction", X.map_codes(RAW_DIRECTION, C.DIRECTION_CODES))
-               .withColumn("airline", X.airline_prefix(RAW_FLIGHT)))
+    return out.withColumns({
+        "is_late": X.late_flag("delay_min", params.late_min),
+        "day": cal["day"], "year": cal["year"], "month": cal["month"], "weekday": cal["weekday"], "hour": cal["hour"],
+        "direction": X.map_codes(RAW_DIRECTION, C.DIRECTION_CODES),
+        "airline": X.airline_prefix(RAW_FLIGHT),
+    })
 
 
 def clean_flights(raw: DataFrame, params: Params = DEFAULTS, renames: dict | None = None,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from punctuo import config as C
 from punctuo.functions import columns as X
+from punctuo.operators.util import materialize, sized_broadcast
 
 
 def _y(label: str) -> Column:
@@ -45,9 +46,10 @@ def day_split(df: DataFrame, test_share: float = C.TEST_SHARE, seed: int = C.SEE
                 .select(day, (F.col("_rank") <= F.ceil(n_days * F.lit(test_share))).alias("is_test")))
 
 
-def with_split(df: DataFrame, split: DataFrame, day: str = "day") -> DataFrame:
-    """Attach ``is_test`` by day (the split table is one row per day: broadcast)."""
-    return df.join(F.broadcast(split), day, "inner")
+def with_split(df: DataFrame, split: DataFrame, day: str = "day", max_rows: int = 2_000_000) -> DataFrame:
+    """Attach ``is_test`` by day: the split table (one row per day) is persisted,
+    size-checked and broadcast, so the fact side is not shuffled."""
+    return df.join(sized_broadcast(materialize(split), max_rows), day, "inner")
 
 
 def year_split(df: DataFrame, train_year: int, test_year: int) -> DataFrame:
@@ -152,14 +154,55 @@ def auc_by_group(df: DataFrame, groups: Sequence[str], score: str = "p_late", la
     return d.groupBy(*groups).agg((F.sum(wins) / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"))
 
 
+# --------------------------------------------------------------------------
+# exact quantiles without one task holding every distinct value
+# --------------------------------------------------------------------------
+def _ranked_values(df: DataFrame, c: str, buckets: int) -> DataFrame:
+    """Distinct values with ``cum`` = number of rows with a value ≤ this one.
+
+    Distinct values are cut into ``buckets`` ranges by approximate quantiles
+    (a bounded list), per-range row counts (a bounded table) give each range's
+    offset, and a running sum inside each range (window partitioned by range)
+    gives the rest — no single-partition window over the data."""
+    d = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    edges = _bounded_array(d.select(F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10_000)))
+    v = F.col("_v")
+    d = d.withColumn("_b", F.size(F.filter(edges, lambda e: e < v)))
+    per_b = d.groupBy("_b").agg(F.sum("_c").alias("_bc"))
+    per_b = per_b.withColumn("_before", F.coalesce(
+        F.sum("_bc").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inner = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_in", F.sum("_c").over(inner))
+    return d.join(F.broadcast(per_b.select("_b", "_before")), "_b").select(
+        "_v", "_c", (F.col("_before") + F.col("_in")).alias("cum"))
+
+
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int = 64) -> DataFrame:
+    """Exact, linearly interpolated quantiles (same definition as ``percentile``)
+    as one row with an array column ``q``; distributed for any number of
+    distinct values. The value at 0-based rank r is min(value with cum > r)."""
+    ranked = _ranked_values(df, c, buckets)
+    n = df.filter(F.col(c).isNotNull()).select(F.count(F.lit(1))).scalar()
+    qs = []
+    for p in probs:
+        pos = (n - 1) * F.lit(float(p))
+        lo_v = F.min(F.when(F.col("cum") > F.floor(pos), F.col("_v")))
+        hi_v = F.min(F.when(F.col("cum") > F.ceil(pos), F.col("_v")))
+        qs.append(lo_v + (hi_v - lo_v) * (pos - F.floor(pos)))
+    return ranked.agg(F.array(*qs).alias("q"))
+
+
 # --------------------------------------------------------------------------
 # Calibration, confusion, error views
 # --------------------------------------------------------------------------
 def calibration(test: DataFrame, groups: int = 10, score: str = "p_late", label: str = "is_late") -> DataFrame:
     """M11 + C24: equal-frequency groups of the score (exact quantile edges,
-    duplicates dropped, right-closed, lowest included); mean score, late rate, n."""
-    qs = F.array(*[F.lit(i / groups) for i in range(groups + 1)])
-    edges = _bounded_array(test.select(F.array_distinct(F.percentile(score, qs))))
+    duplicates dropped, right-closed, lowest included); mean score, late rate, n.
+
+    The edges (``groups + 1`` numbers) come from ``exact_quantiles``, which
+    never gathers all distinct scores in one task."""
+    probs = [i / groups for i in range(groups + 1)]
+    edges = _bounded_array(exact_quantiles(test, score, probs).select(F.array_distinct("q")))
     binned = test.withColumn("bin", X.quantile_bin(score, edges)).filter(F.col("bin").isNotNull())
     return binned.groupBy("bin").agg(F.avg(score).alias("p_mean"), F.avg(_y(label)).alias("late_rate"),
                                      F.count(F.lit(1)).alias("n"))

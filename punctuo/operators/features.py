@@ -66,6 +66,6 @@ def encode_other(df: DataFrame, top: DataFrame, cols=C.CATEGORICAL, other: str =
     out = df
     for c in cols:
         t = top.filter(F.col("column_name") == c).select(F.col("value").alias(f"_top_{c}"))
-        out = (out.join(t, out[c].cast("string") == t[f"_top_{c}"], "left")
-                  .withColumn(c, F.coalesce(F.col(f"_top_{c}"), F.lit(other))).drop(f"_top_{c}"))
-    return out
+        out = out.join(t, out[c].cast("string") == t[f"_top_{c}"], "left")
+    return out.select(*[F.coalesce(F.col(f"_top_{c}"), F.lit(other)).alias(c) if c in cols else F.col(c)
+                        for c in df.columns])

@@ -61,12 +61,13 @@ def _pipeline(cols: Sequence[str], estimator, params: Params) -> Pipeline:
 def prepare(df: DataFrame, cols: Sequence[str], params: Params = DEFAULTS) -> DataFrame:
     """Numeric features as double + missing indicators; label columns."""
     nums = [c for c in cols if c not in params.categorical]
-    out = df
+    extra = {}
     for c in nums:
-        out = (out.withColumn(f"{c}__num", F.col(c).cast("double"))
-                  .withColumn(f"{c}__miss", F.col(c).isNull().cast("double")))
-    return (out.withColumn("label", F.col("is_late").cast("double"))
-               .withColumn("label_min", X.clip("delay_min", params.clip_lo, params.clip_hi)))
+        extra[f"{c}__num"] = F.col(c).cast("double")
+        extra[f"{c}__miss"] = F.col(c).isNull().cast("double")
+    extra["label"] = F.col("is_late").cast("double")
+    extra["label_min"] = X.clip("delay_min", params.clip_lo, params.clip_hi)
+    return df.withColumns(extra)
 
 
 def _max_bins(params: Params) -> int:
@@ -101,7 +102,8 @@ def predict_minutes(model: PipelineModel, df: DataFrame, cols: Sequence[str], pa
     return model.transform(prepare(df, cols, params)).withColumnRenamed("prediction", name)
 
 
-def _drop_work(df: DataFrame) -> DataFrame:
+def drop_work(df: DataFrame) -> DataFrame:
+    """Drop the pipeline's working columns (indices, imputed values, vectors)."""
     return df.drop(*[c for c in df.columns if "__" in c or c in ("features", "label", "label_min", "rawPrediction",
                                                                  "probability", "prediction")])
 
@@ -144,7 +146,17 @@ def permutation_importance(model: PipelineModel, test: DataFrame, cols: Sequence
     per = EV.auc_by_group(scored, ["feature", "repeat"])
     base = EV.auc(score(model, sample, cols, params)).select("auc").scalar()
     drop = per.groupBy("feature").agg(F.avg("auc").alias("_perm"))
-    return drop.select("feature", (base - F.col("_perm")).alias("auc_drop"))
+    return drop.select("feature", (base - F.col("_perm")).alias("auc_drop")).orderBy(F.desc("auc_drop"), "feature")
+
+
+def whatif_defaults(scenarios: DataFrame, pres: float = 1017.0) -> DataFrame:
+    """Conditions a scenario does not give are derived: tmin = tavg − 5,
+    wspd = wpgt / 3.5, pres = 1017 (only where the column is missing or NULL)."""
+    out = scenarios
+    derived = {"tmin": F.col("tavg") - F.lit(5.0), "wspd": F.col("wpgt") / F.lit(3.5), "pres": F.lit(pres)}
+    for c, e in derived.items():
+        out = out.withColumn(c, F.coalesce(F.col(c), e) if c in out.columns else e)
+    return out
 
 
 def hour_sweep(model: PipelineModel, rows: DataFrame, cols: Sequence[str], hours: Sequence[int] = tuple(range(6, 23)),

@@ -173,7 +173,8 @@ def place_change(df: DataFrame, year_a: int, year_b: int, min_base: int, place:
 def timeline(df: DataFrame, unit: str = "day", split: str | None = "direction", rolling: int | None = None,
              min_periods: int = 4, day: str = "day") -> DataFrame:
     """A2 + U2 + W4: per time bucket n, mean delay, % late — for all rows and per
-    ``split`` value in ONE aggregation (grouping sets); empty buckets never appear.
+    ``split`` value in ONE aggregation (grouping sets (bucket, split) and
+    (bucket)); empty buckets never appear.
 
     ``rolling``: centered mean over that many rows of the series (not calendar
     days), NULL below ``min_periods`` values."""
@@ -187,8 +188,9 @@ def timeline(df: DataFrame, unit: str = "day", split: str | None = "direction",
             (F.avg(F.col("is_late").cast("double")) * 100).alias("late_pct")]
     base = base.filter(F.col("bucket").isNotNull())
     if split:
-        g = base.rollup("bucket", "_split").agg(*aggs, F.grouping("_split").alias("_g"), F.grouping("bucket").alias("_gb"))
-        g = g.filter((F.col("_gb") == 0) & ((F.col("_g") == 1) | F.col("_split").isNotNull()))
+        g = base.groupingSets([["bucket", "_split"], ["bucket"]], "bucket", "_split").agg(
+            *aggs, F.grouping("_split").alias("_g"))
+        g = g.filter((F.col("_g") == 1) | F.col("_split").isNotNull())
         out = g.select(F.when(F.col("_g") == 1, F.lit("all")).otherwise(F.col("_split")).alias("series"),
                        "bucket", "n", "avg_delay", "late_pct")
     else:

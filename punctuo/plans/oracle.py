@@ -649,3 +649,34 @@ SELECT airline, translate(format('{:,}', n), ',.', '.,') AS n_text,
        COALESCE(translate(format('{:,.1f}', avg_delay), ',.', '.,'), '–') AS avg_delay_text,
        concat_ws(' · ', airline, translate(format('{:,}', n), ',.', '.,')) AS label
 FROM s""")
+
+
+ORACLE["raw_preview"] = sql([RAW], """
+SELECT * FROM raw_ev ORDER BY CAST("Identifier" AS BIGINT) LIMIT 8""")
+
+ORACLE["build_summary"] = sql([RAW, CLEAN, PLACES], f"""
+look AS (SELECT c.*, {MATCHED} FROM clean_ev c LEFT JOIN pa a ON c.place_code = a.key_a
+         LEFT JOIN pb b ON c.place_code = b.key_b)
+SELECT count(*) AS rows, count_if(rolled_over) AS rollovers, count_if(matched_by = 'key_a') AS via_key_a,
+       count_if(matched_by = 'key_b') AS via_key_b, count_if(place_code IS NOT NULL AND matched_by IS NULL) AS code_unknown,
+       {R('avg(delay_min)', 'avg_delay')}
+FROM look""")
+
+ORACLE["direction_code_freq"] = sql([RAW], """
+l AS (SELECT CASE WHEN trim("LSV") IN ('-', '#N/A', '') THEN NULL ELSE trim("LSV") END AS c FROM raw_ev)
+SELECT CASE c WHEN 'S' THEN 'departure' WHEN 'L' THEN 'arrival' ELSE c END AS value, count(*) AS n
+FROM l WHERE c IS NOT NULL GROUP BY 1""")
+
+ORACLE["unknown_codes_text"] = sql([FOR, PLACES, _CODES], """
+SELECT string_agg(place_code || ' (' || CAST(n AS VARCHAR) || '×)', ', ' ORDER BY place_code || ' (' || CAST(n AS VARCHAR) || '×)')
+       AS unknown_codes
+FROM look WHERE place_code IS NOT NULL AND matched_by IS NULL""")
+
+ORACLE["pred_heavy"] = sql([FEV, SEV], f"""
+SELECT {R('avg(p_late) * 100.0::DOUBLE', 'pred_pct')}, count(*) AS n FROM test_scored WHERE delay_min >= 60.0::DOUBLE""")
+
+ORACLE["pred_worst_hour"] = sql([FEV, SEV], f"""h AS (
+  SELECT hour, avg(CAST(is_late AS DOUBLE)) * 100.0::DOUBLE AS actual_pct, avg(p_late) * 100.0::DOUBLE AS pred_pct,
+         count(*) AS n FROM test_scored GROUP BY hour HAVING count(*) >= 50)
+SELECT hour, {R('actual_pct', 'actual_pct')}, {R('pred_pct', 'pred_pct')}, n, {R('abs(actual_pct - pred_pct)', 'abs_gap')}
+FROM h ORDER BY abs(actual_pct - pred_pct) DESC, hour LIMIT 1""")

@@ -24,6 +24,7 @@ from punctuo.operators import features as FE
 from punctuo.operators import lookup as LK
 from punctuo.operators import profile as PR
 from punctuo.operators import reports as RP
+from punctuo.operators.util import checkpoint_table, materialize, sized_broadcast
 from punctuo.sources import bindings as B
 
 # --- parameters of the test-table bindings (FIXTURES.md §B) -----------------
@@ -113,6 +114,34 @@ def fact_table(spark, sf_dir):
     return rounded(c.drop("planned_ts", "actual_ts"))
 
 
+@query
+def raw_preview(spark, sf_dir):
+    """The first 8 raw rows (explicit order: identifier as a number)."""
+    from punctuo.sources.files import preview
+    r = B.raw_ev(spark, sf_dir)
+    return preview(r.withColumn("_k", F.col("Identifier").cast("long")), ["_k"], 8).drop("_k")
+
+
+@query
+def build_summary(spark, sf_dir):
+    """One-row summary of a build: rows, rollovers, matches, mean delay."""
+    c = LK.lookup_two_keys(clean_ev(spark, sf_dir), places_geo(spark, sf_dir), "place_code", "key_a", "key_b",
+                           ("name",), ["place_id"], "name")
+    m = F.col("matched_by")
+    return rounded(c.agg(F.count(F.lit(1)).alias("rows"), F.count_if("rolled_over").alias("rollovers"),
+                         F.count_if(m == "key_a").alias("via_key_a"), F.count_if(m == "key_b").alias("via_key_b"),
+                         F.count_if(F.col("place_code").isNotNull() & m.isNull()).alias("code_unknown"),
+                         F.avg("delay_min").alias("avg_delay")))
+
+
+@query
+def direction_code_freq(spark, sf_dir):
+    """C12 + A17: direction codes labelled, unknown codes keep their own value."""
+    r = CL.prepare_raw(B.raw_ev(spark, sf_dir))
+    lab = X.map_codes("LSV", C.DIRECTION_CODES, default=F.col("LSV"))
+    return PR.value_freq(r.select(lab.alias("direction_label")), "direction_label")
+
+
 # ------------------------------------------------------------------ weather source checks
 @query
 def bad_period_check(spark, sf_dir):
@@ -296,6 +325,14 @@ def unmatched_codes(spark, sf_dir):
                               "name", ["place_id"])
 
 
+@query
+def unknown_codes_text(spark, sf_dir):
+    """The unresolved codes with their counts as one sorted text."""
+    u = LK.unmatched_codes(B.flights_or(spark, sf_dir), B.places(spark, sf_dir), "place_code", "key_a", "key_b",
+                           "name", ["place_id"])
+    return LK.unmatched_text(u, "place_code")
+
+
 @query
 def join_cardinality(spark, sf_dir):
     """Rows before/after the lookup and the largest key multiplicity per key."""
@@ -362,7 +399,7 @@ def cond_means(spark, sf_dir):
     f = weathered_ev(spark, sf_dir)
     days = FE.day_counts(f)
     med = days.select(F.median("day_load")).scalar()
-    f = f.join(F.broadcast(days), "day", "left")
+    f = f.join(sized_broadcast(materialize(days), DEFAULTS.broadcast_max_rows), "day", "left")
     busy_day = F.col("day_load") > med
     g = F.col("wpgt")
     return rounded(f.agg(
@@ -502,6 +539,20 @@ def pred_by_delay_class(spark, sf_dir):
     return rounded(EV.by_delay_class(test_scored(spark, sf_dir)))
 
 
+@query
+def pred_heavy(spark, sf_dir):
+    """Mean predicted chance (%) for flights that were ≥ 60 minutes late."""
+    t = test_scored(spark, sf_dir).filter(F.col("delay_min") >= 60)
+    return rounded(t.agg((F.avg("p_late") * 100).alias("pred_pct"), F.count(F.lit(1)).alias("n")))
+
+
+@query
+def pred_worst_hour(spark, sf_dir):
+    """M14 + T6: the hour with the largest gap between actual and predicted."""
+    h = EV.by_hour(test_scored(spark, sf_dir), min_n=50)
+    return rounded(RP.ranked(h, [F.desc("abs_gap"), F.asc("hour")], 1))
+
+
 @query
 def pred_overall(spark, sf_dir):
     return rounded(EV.overall(test_scored(spark, sf_dir)))
@@ -543,8 +594,20 @@ def _split_model_table(spark, sf_dir, params=MODEL_PARAMS):
     t = model_table(spark, sf_dir)
     t = EV.with_split(t, EV.day_split(t, params.test_share, params.seed))
     top = FE.top_categories(t.filter(~F.col("is_test")), list(params.categorical), params.max_categories)
-    t = PD.cap_categories(t, top, params)
-    return t.filter(~F.col("is_test")), t.filter(F.col("is_test"))
+    # the iterative fits scan the prepared table many times: write it once
+    # (reliable checkpoint, short lineage) and keep both sides persisted
+    t = checkpoint_table(PD.cap_categories(t, top, params))
+    return materialize(t.filter(~F.col("is_test"))), materialize(t.filter(F.col("is_test")))
+
+
+_SPLITS: dict = {}
+
+
+def _split_cached(spark, sf_dir, params=MODEL_PARAMS):
+    key = (sf_dir, params.seed, params.test_share, params.max_categories)
+    if key not in _SPLITS:
+        _SPLITS[key] = _split_model_table(spark, sf_dir, params)
+    return _SPLITS[key]
 
 
 def _fitted(spark, sf_dir, params=MODEL_PARAMS):
@@ -552,7 +615,7 @@ def _fitted(spark, sf_dir, params=MODEL_PARAMS):
     from punctuo.operators import predict as PD
     key = (sf_dir, params.max_iter, params.max_depth, params.seed)
     if key not in _FITTED:
-        train, test = _split_model_table(spark, sf_dir, params)
+        train, test = _split_cached(spark, sf_dir, params)
         models, rows = PD.ladder(train, test, params)
         _, cols, clf = models[-1]
         reg = PD.fit_regressor(train, cols, params)
@@ -563,7 +626,7 @@ def _fitted(spark, sf_dir, params=MODEL_PARAMS):
 @query
 def ladder(spark, sf_dir):
     from punctuo.operators import predict as PD
-    train, test = _split_model_table(spark, sf_dir)
+    train, test = _split_cached(spark, sf_dir)
     fitted = _fitted(spark, sf_dir)
     rows = None
     for i, (step, cols, m) in enumerate(fitted["models"]):
@@ -578,7 +641,7 @@ def ladder(spark, sf_dir):
 @query
 def minutes_model(spark, sf_dir):
     from punctuo.operators import predict as PD
-    _, test = _split_model_table(spark, sf_dir)
+    _, test = _split_cached(spark, sf_dir)
     fitted = _fitted(spark, sf_dir)
     pred = PD.predict_minutes(fitted["reg"], test, fitted["cols"], MODEL_PARAMS)
     return rounded(EV.score_metrics(pred.withColumn("p_late", F.lit(0.0)))).select("n", "mae", "r2")
@@ -587,7 +650,7 @@ def minutes_model(spark, sf_dir):
 @query
 def importance(spark, sf_dir):
     from punctuo.operators import predict as PD
-    _, test = _split_model_table(spark, sf_dir)
+    _, test = _split_cached(spark, sf_dir)
     fitted = _fitted(spark, sf_dir)
     return rounded(PD.permutation_importance(fitted["clf"], test, fitted["cols"], MODEL_PARAMS))
 
@@ -596,7 +659,7 @@ def importance(spark, sf_dir):
 def scored_test(spark, sf_dir):
     """M9: the test rows with chance and expected minutes."""
     from punctuo.operators import predict as PD
-    _, test = _split_model_table(spark, sf_dir)
+    _, test = _split_cached(spark, sf_dir)
     fitted = _fitted(spark, sf_dir)
     cols = fitted["cols"]
     s = PD.score(fitted["clf"], test, cols, MODEL_PARAMS).select("flight_id", "p_late")
@@ -606,10 +669,33 @@ def scored_test(spark, sf_dir):
     return rounded(test.select(*keep).join(s, "flight_id").join(m, "flight_id"))
 
 
+@query
+def whatif_places(spark, sf_dir):
+    """M17 + C37: batch what-if — one departure scenario per busy place (the 60
+    busiest) with given conditions; the rest derived from them."""
+    from punctuo.operators import predict as PD
+    fitted = _fitted(spark, sf_dir)
+    t = model_table(spark, sf_dir).filter(F.col("lat").isNotNull())
+    places = t.groupBy("place_code").agg(F.count(F.lit(1)).alias("n"), F.first("lat", ignorenulls=True).alias("lat"),
+                                         F.first("lon", ignorenulls=True).alias("lon"),
+                                         F.first("distance_km", ignorenulls=True).alias("distance_km"))
+    places = RP.ranked(places, [F.desc("n"), F.asc("place_code")], 60)
+    s = places.select("place_code", "lat", "lon", "distance_km",
+                      F.lit("departure").alias("direction"), F.lit("A1").alias("airline"), F.lit("view").alias("aircraft"),
+                      F.lit("R1").alias("runway"), F.lit(17).alias("hour"), F.lit(4).alias("weekday"), F.lit(1).alias("month"),
+                      F.lit(20).alias("hour_load"), F.lit(330).alias("day_load"), F.lit(18.0).alias("tavg"),
+                      F.lit(0.0).alias("prcp"), F.lit(35.0).alias("wpgt"), F.lit(10.0).alias("prev_hour_delay"),
+                      F.lit(None).cast("double").alias("delay_min"), F.lit(None).cast("boolean").alias("is_late"))
+    s = PD.whatif_defaults(s)
+    scored = PD.score(fitted["clf"], s, fitted["cols"], MODEL_PARAMS)
+    scored = PD.predict_minutes(fitted["reg"], PD.drop_work(scored), fitted["cols"], MODEL_PARAMS)
+    return rounded(scored.select("place_code", "distance_km", "p_late", "pred_min"))
+
+
 @query
 def whatif_hours(spark, sf_dir):
     """M17 + M18: the test flights re-scored at every hour 6..22."""
     from punctuo.operators import predict as PD
-    _, test = _split_model_table(spark, sf_dir)
+    _, test = _split_cached(spark, sf_dir)
     fitted = _fitted(spark, sf_dir)
     return rounded(PD.hour_sweep(fitted["clf"], test, fitted["cols"], params=MODEL_PARAMS))

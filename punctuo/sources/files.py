@@ -112,13 +112,21 @@ def clean_weather(weather: DataFrame, bad_from: str = C.BAD_RAIN_FROM) -> DataFr
     return w.withColumn("prcp", X.null_from("prcp", "day", bad_from))
 
 
+def narrow_ints(df: DataFrame, cols: Sequence[str] = ("year", "month", "weekday", "hour", "hour_load")) -> DataFrame:
+    """C17: small integer columns as SMALLINT at the sink (text columns need no
+    'category' type: Parquet dictionary-encodes them)."""
+    return df.select(*[F.col(f"`{c}`").cast("short").alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns])
+
+
 def write_fact(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",), mode: str = "overwrite",
-               max_records_per_file: int = 5_000_000) -> None:
+               max_records_per_file: int = 5_000_000, narrow: bool = True) -> None:
     """The clean fact table as Parquet, partitioned so year filters prune files.
 
     No ``repartition(year)`` before the write: with a handful of years that
     would funnel a whole year through one task. Every task writes its own
     files per year instead (bounded by ``maxRecordsPerFile``)."""
+    if narrow:
+        df = narrow_ints(df)
     (df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(*partition_by).parquet(path))
 

@@ -212,3 +212,14 @@ def test_nl_number_format(spark):
     df = spark.createDataFrame([(323461.0,), (8.25,), (None,)], "x double")
     got = [r.t for r in df.select(X.nl_number("x", 1).alias("t")).collect()]
     assert got[0] == "323.461,0" and got[2] == "–"
+
+
+def test_exact_quantiles_match_percentile(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(float(rnd.randint(0, 300)) / 7,) for _ in range(2000)] + [(None,)]
+    df = spark.createDataFrame(rows, "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
+    got = EV.exact_quantiles(df, "x", probs, buckets=16).first().q
+    want = df.select(F.percentile("x", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    assert all(abs(a - b) < 1e-9 for a, b in zip(got, want))
