@@ -37,9 +37,14 @@ def lookup_two_keys(fact: DataFrame, dim: DataFrame, code: str, key_a: str, key_
     cell-wise coalesce (every NULL cell of the first match is filled from the
     second, like ``combine_first``). ``matched_by`` = key_a / key_b / NULL,
     decided by ``found`` (e.g. the name) being present, as the match counters do."""
+    # one bounded count on a pruned projection (no derived columns computed);
+    # both sides are subsets of dim, so one proof covers both broadcasts
+    small = fits_rows(dim.select(F.lit(1).alias("_one")), params.broadcast_max_rows)
+    if small:
+        dim = materialize(dim)  # proven small: compute it once for both sides
     a = _side(dim, key_a, attrs, order, "a")
     b = _side(dim, key_b, attrs, order, "b")
-    if fits_rows(dim, params.broadcast_max_rows):  # both sides are subsets of dim: one check
+    if small:
         a, b = F.broadcast(a), F.broadcast(b)
     j = fact.join(a, fact[code] == a["_a_key"], "left").join(b, fact[code] == b["_b_key"], "left")
     matched = (F.when(F.col(f"_a_{found}").isNotNull(), F.lit("key_a"))
