@@ -42,7 +42,16 @@ def cap_categories(df: DataFrame, top: DataFrame, params: Params = DEFAULTS) ->
     return FE.encode_other(df, top, list(params.categorical), C.OTHER, params)
 
 
-def _pipeline(cols: Sequence[str], estimator, params: Params) -> Pipeline:
+def _features(cols: Sequence[str], params: Params) -> list[str]:
+    cats = [c for c in cols if c in params.categorical]
+    nums = [c for c in cols if c not in params.categorical]
+    return [f"{c}__idx" for c in cats] + [f"{c}__imp" for c in nums] + [f"{c}__miss" for c in nums]
+
+
+def fit_preprocess(train: DataFrame, cols: Sequence[str], params: Params = DEFAULTS) -> PipelineModel:
+    """StringIndexer (all categorical columns in one pass) + median Imputer (all
+    numeric columns in one pass), fitted on train only. Fitted once on the
+    widest feature set and shared by every model of the ladder."""
     cats = [c for c in cols if c in params.categorical]
     nums = [c for c in cols if c not in params.categorical]
     stages = []
@@ -52,15 +61,25 @@ def _pipeline(cols: Sequence[str], estimator, params: Params) -> Pipeline:
     if nums:
         stages.append(Imputer(inputCols=[f"{c}__num" for c in nums], outputCols=[f"{c}__imp" for c in nums],
                               strategy="median"))
-    feats = [f"{c}__idx" for c in cats] + [f"{c}__imp" for c in nums] + [f"{c}__miss" for c in nums]
-    stages.append(VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"))
-    stages.append(estimator)
-    return Pipeline(stages=stages)
+    return Pipeline(stages=stages).fit(prepare(train, cols, params))
+
+
+def _fit(train: DataFrame, cols: Sequence[str], estimator, label: str, params: Params,
+         prep: PipelineModel | None) -> PipelineModel:
+    prep = prep or fit_preprocess(train, cols, params)
+    head = Pipeline(stages=[VectorAssembler(inputCols=_features(cols, params), outputCol="features",
+                                            handleInvalid="keep"), estimator])
+    ready = prep.transform(prepare(train, cols, params)).filter(F.col(label).isNotNull())
+    return PipelineModel(stages=list(prep.stages) + list(head.fit(ready).stages))
 
 
 def prepare(df: DataFrame, cols: Sequence[str], params: Params = DEFAULTS) -> DataFrame:
-    """Numeric features as double + missing indicators; label columns."""
-    nums = [c for c in cols if c not in params.categorical]
+    """Numeric features as double + missing indicators; label columns.
+
+    Inputs are built for every feature of the ladder present in ``df`` (not
+    only ``cols``) so one fitted preprocessing serves every step."""
+    wanted = list(cols) + [c for _, new in params.feature_steps for c in new if c in df.columns]
+    nums = list(dict.fromkeys(c for c in wanted if c not in params.categorical))
     extra = {}
     for c in nums:
         extra[f"{c}__num"] = F.col(c).cast("double")
@@ -74,20 +93,22 @@ def _max_bins(params: Params) -> int:
     return max(32, params.max_categories + 2)
 
 
-def fit_classifier(train: DataFrame, cols: Sequence[str], params: Params = DEFAULTS) -> PipelineModel:
-    """M6: gradient-boosted classifier on one feature set."""
+def fit_classifier(train: DataFrame, cols: Sequence[str], params: Params = DEFAULTS,
+                   prep: PipelineModel | None = None) -> PipelineModel:
+    """M6: gradient-boosted classifier on one feature set (``prep`` shared if given)."""
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=params.max_iter,
                         stepSize=params.learning_rate, maxDepth=params.max_depth, maxBins=_max_bins(params),
                         seed=params.seed)
-    return _pipeline(cols, gbt, params).fit(prepare(train, cols, params).filter(F.col("label").isNotNull()))
+    return _fit(train, cols, gbt, "label", params, prep)
 
 
-def fit_regressor(train: DataFrame, cols: Sequence[str], params: Params = DEFAULTS) -> PipelineModel:
+def fit_regressor(train: DataFrame, cols: Sequence[str], params: Params = DEFAULTS,
+                  prep: PipelineModel | None = None) -> PipelineModel:
     """M7: minutes model on the clipped label."""
     gbt = GBTRegressor(featuresCol="features", labelCol="label_min", maxIter=params.max_iter,
                        stepSize=params.learning_rate, maxDepth=params.max_depth, maxBins=_max_bins(params),
                        seed=params.seed)
-    return _pipeline(cols, gbt, params).fit(prepare(train, cols, params).filter(F.col("label_min").isNotNull()))
+    return _fit(train, cols, gbt, "label_min", params, prep)
 
 
 def score(model: PipelineModel, df: DataFrame, cols: Sequence[str], params: Params = DEFAULTS,
@@ -109,17 +130,21 @@ def drop_work(df: DataFrame) -> DataFrame:
 
 
 def ladder(train: DataFrame, test: DataFrame, params: Params = DEFAULTS):
-    """M6: one classifier per cumulative feature set; (models, metrics rows)."""
+    """M6: one classifier per cumulative feature set; (models, metrics rows).
+
+    The preprocessing is fitted once on the widest set and shared."""
+    steps = ladder_columns(params)
+    prep = fit_preprocess(train, steps[-1][1], params)
     models, rows = [], None
-    for i, (step, cols) in enumerate(ladder_columns(params)):
-        m = fit_classifier(train, cols, params)
+    for i, (step, cols) in enumerate(steps):
+        m = fit_classifier(train, cols, params, prep)
         scored = score(m, test, cols, params)
         brier = scored.select(F.avg(F.pow(F.col("p_late") - F.col("is_late").cast("double"), 2))).scalar()
         row = EV.auc(scored).select(F.lit(i + 1).alias("step_no"), F.lit(step).alias("step"), "auc",
                                     brier.alias("brier"), F.lit(len(cols)).alias("n_features"))
         rows = row if rows is None else rows.unionByName(row)
         models.append((step, cols, m))
-    return models, rows
+    return models, rows, prep
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, cols: Sequence[str], params: Params = DEFAULTS,

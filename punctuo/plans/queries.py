@@ -616,9 +616,9 @@ def _fitted(spark, sf_dir, params=MODEL_PARAMS):
     key = (sf_dir, params.max_iter, params.max_depth, params.seed)
     if key not in _FITTED:
         train, test = _split_cached(spark, sf_dir, params)
-        models, rows = PD.ladder(train, test, params)
+        models, rows, prep = PD.ladder(train, test, params)
         _, cols, clf = models[-1]
-        reg = PD.fit_regressor(train, cols, params)
+        reg = PD.fit_regressor(train, cols, params, prep)
         _FITTED[key] = {"models": models, "cols": cols, "clf": clf, "reg": reg}
     return _FITTED[key]
 
