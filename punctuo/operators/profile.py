@@ -50,14 +50,19 @@ def _slug(token: str) -> str:
     return {"-": "dash", "#N/A": "na", "\\N": "backslash_n"}.get(token, "".join(ch for ch in token if ch.isalnum()).lower())
 
 
-def null_profile(df: DataFrame) -> DataFrame:
-    """NULL count and % per column (one aggregation, then one row per column)."""
+def null_profile(df: DataFrame, reasons: dict[str, str] | None = None, default_reason: str | None = None) -> DataFrame:
+    """NULL count and % per column (one aggregation, then one row per column),
+    with an optional reason label per column (``default_reason`` for the rest)."""
     n = F.count(F.lit(1))
     agg = df.agg(n.alias("_rows"), *[F.count_if(_q(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)])
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_null_{i}").alias("n_null"))
                      for i, c in enumerate(df.columns)])
-    return (agg.select(F.col("_rows"), F.inline(rows))
-               .select("column_name", "n_null", (F.col("n_null") * F.lit(100.0) / F.col("_rows")).alias("null_pct")))
+    out = (agg.select(F.col("_rows"), F.inline(rows))
+              .select("column_name", "n_null", (F.col("n_null") * F.lit(100.0) / F.col("_rows")).alias("null_pct")))
+    if reasons is None and default_reason is None:
+        return out
+    lab = X.map_codes("column_name", reasons or {"": ""}, default=default_reason)
+    return out.withColumn("reason", lab)
 
 
 def value_freq(df: DataFrame, c: str) -> DataFrame:

@@ -518,9 +518,23 @@ ORACLE["column_profile"] = sql([RAW], "\n UNION ALL ".join(_profile_row(c) for c
 
 _ENR_COLS = ("order_key", "line_no", "day", "year", "month", "weekday", "delay_min", "is_late", "direction",
              "airline", "aircraft", "place_code", *Q.PLACE_ATTRS, "matched_by")
+def _reason(c: str) -> str:
+    return Q.NULL_REASONS.get(c, Q.NULL_REASON_OTHER)
+
+
 ORACLE["null_profile"] = sql([FOR, PLACES, ENR], "\n UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS n_null, "
-    f"{R(f'count_if({c} IS NULL) * 100.0::DOUBLE / count(*)', 'null_pct')} FROM enriched_or" for c in _ENR_COLS))
+    f"{R(f'count_if({c} IS NULL) * 100.0::DOUBLE / count(*)', 'null_pct')}, '{_reason(c)}' AS reason "
+    f"FROM enriched_or" for c in _ENR_COLS))
+
+ORACLE["weather_coverage"] = sql([FEV, WEV], f"""
+SELECT {R('avg(CAST(COALESCE(w.tavg IS NOT NULL, false) AS DOUBLE)) * 100', 'pct_with_weather')},
+       {R('avg(CAST(COALESCE(w.wpgt IS NOT NULL, false) AS DOUBLE)) * 100', 'pct_with_gust')}
+FROM flights_ev f LEFT JOIN weather_ev w USING (day)""")
+
+ORACLE["area_share"] = sql([FOR, PLACES, ENR], f"""
+SELECT area, count(*) AS n, {R('count(*) * 100.0::DOUBLE / (SELECT count(*) FROM enriched_or)', 'share_pct')}
+FROM enriched_or GROUP BY area""")
 
 ORACLE["value_freq"] = sql([FOR], "SELECT aircraft AS value, count(*) AS n FROM flights_or WHERE aircraft IS NOT NULL GROUP BY aircraft")
 

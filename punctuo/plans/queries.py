@@ -438,9 +438,32 @@ def column_profile(spark, sf_dir):
     return rounded(PR.column_profile(B.raw_ev(spark, sf_dir)))
 
 
+# fixed texts of the NULL-reason labels
+NULL_REASONS = {"place_code": "no code in the source", "direction": "code other than departure/arrival"}
+NULL_REASON_OTHER = "flight without a matched place"
+
+
 @query
 def null_profile(spark, sf_dir):
-    return rounded(PR.null_profile(enriched_or(spark, sf_dir)))
+    """NULLs per column of the enriched fact, with a reason label."""
+    return rounded(PR.null_profile(enriched_or(spark, sf_dir), NULL_REASONS, NULL_REASON_OTHER))
+
+
+@query
+def weather_coverage(spark, sf_dir):
+    """% of flights with the day's weather attached (and with a gust value)."""
+    f = LK.attach_daily(B.flights_ev(spark, sf_dir), B.weather_ev(spark, sf_dir))
+    return rounded(PR.coverage(f, {"pct_with_weather": F.col("tavg").isNotNull(),
+                                   "pct_with_gust": F.col("wpgt").isNotNull()}))
+
+
+@query
+def area_share(spark, sf_dir):
+    """Share of all flights per area (NULL area = no matched place)."""
+    e = enriched_or(spark, sf_dir)
+    total = e.select(F.count(F.lit(1))).scalar()
+    return rounded(e.groupBy("area").agg(F.count(F.lit(1)).alias("n"))
+                   .withColumn("share_pct", F.col("n") * F.lit(100.0) / total))
 
 
 @query
