@@ -46,6 +46,35 @@ def day_split(df: DataFrame, test_share: float = C.TEST_SHARE, seed: int = C.SEE
                 .select(day, (F.col("_rank") <= F.ceil(n_days * F.lit(test_share))).alias("is_test")))
 
 
+def hash_sample(df: DataFrame, key: str, k: int, seed: int = C.SEED, oversample: float = 3.0) -> DataFrame:
+    """Exactly the ``k`` rows with the smallest ``xxhash64(key, seed)`` (a
+    reproducible sample without replacement).
+
+    A plain ``orderBy(h).limit(k)`` merges k rows from EVERY partition in one
+    task (k × partitions rows at scale). Here rows are first filtered by a hash
+    threshold that keeps ≈ ``oversample`` · k rows; every dropped row hashes
+    above every kept one, so the top-k of the kept rows is the global top-k."""
+    n = df.count()
+    h = F.xxhash64(F.col(key), F.lit(seed))
+    if n > k:
+        p = min(1.0, oversample * k / n)
+        cut = int(-(2 ** 63) + p * (2 ** 64 - 1))
+        cand = df.filter(h < F.lit(cut))
+        if cand.count() >= k:
+            df = cand
+    return df.orderBy(h, F.col(key)).limit(k)
+
+
+def split_for_model(df: DataFrame, method: str = "days", test_share: float = C.TEST_SHARE, seed: int = C.SEED,
+                    years: tuple[int, int] | None = None) -> DataFrame:
+    """M3 / M4: ``is_test`` by whole days (default) or train-one-year / test-the-next."""
+    if method == "year":
+        if years is None:
+            raise ValueError("years=(train_year, test_year) is required for the year split")
+        return year_split(df, *years)
+    return with_split(df, day_split(df, test_share, seed))
+
+
 def with_split(df: DataFrame, split: DataFrame, day: str = "day", max_rows: int = 2_000_000) -> DataFrame:
     """Attach ``is_test`` by day: the split table (one row per day) is persisted,
     size-checked and broadcast, so the fact side is not shuffled."""

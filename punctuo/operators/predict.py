@@ -151,12 +151,13 @@ def permutation_importance(model: PipelineModel, test: DataFrame, cols: Sequence
                            key: str = "flight_id") -> DataFrame:
     """M8: AUC drop when one feature's values are shuffled among ≤ n sampled test rows.
 
-    The sample is a top-n by md5 (bounded, ``TakeOrderedAndProject``); all
-    feature × repeat permutations are built as ONE table (a join on a permuted
-    row number), scored in one ``transform`` and evaluated with a grouped AUC."""
+    The sample is the ≤ n rows with the smallest key hash (``hash_sample``:
+    threshold pre-filter, no k × partitions merge); all feature × repeat
+    permutations are built as ONE table (a join on a permuted row number),
+    scored in one ``transform`` and evaluated with a grouped AUC."""
     seed = str(params.seed)
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
-    sample = test.orderBy(h, key).limit(params.importance_rows)
+    h = F.xxhash64(F.col(key), F.lit(params.seed))
+    sample = EV.hash_sample(test, key, params.importance_rows, params.seed)
     sample = materialize(sample.withColumn("_rid", F.row_number().over(Window.orderBy(h, key))))
     combos = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(r).alias("repeat"))
                        for c in cols for r in range(params.importance_repeats)])

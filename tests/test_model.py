@@ -38,3 +38,13 @@ def test_classifier_beats_constant_on_signal(spark):
     assert imp["hour"] > 0.01 and imp["hour_load"] > 0.01
     sweep = {r.hour: r.pred_pct for r in PD.hour_sweep(model, test, cols, params=params).collect()}
     assert sweep[20] > sweep[8]
+
+
+def test_year_split(spark):
+    rows = [(i, dt.date(2019 + i % 3, 1 + i % 12, 1), 2019 + i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "flight_id long, day date, year int")
+    s = EV.split_for_model(df, "year", years=(2019, 2020))
+    got = {r.year: r.is_test for r in s.select("year", "is_test").distinct().collect()}
+    assert got == {2019: False, 2020: True}
+    d = EV.split_for_model(df, "days")
+    assert d.count() == 300 and d.filter("is_test").count() > 0

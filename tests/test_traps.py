@@ -223,3 +223,12 @@ def test_exact_quantiles_match_percentile(spark):
     got = EV.exact_quantiles(df, "x", probs, buckets=16).first().q
     want = df.select(F.percentile("x", F.array(*[F.lit(p) for p in probs]))).first()[0]
     assert all(abs(a - b) < 1e-9 for a, b in zip(got, want))
+
+
+def test_hash_sample_equals_global_top_k(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    h = F.xxhash64(F.col("k"), F.lit(42))
+    want = sorted(r.k for r in df.orderBy(h, "k").limit(100).collect())
+    got = sorted(r.k for r in EV.hash_sample(df, "k", 100, 42).collect())
+    assert got == want and len(got) == 100
+    assert EV.hash_sample(df, "k", 10_000, 42).count() == 5000
