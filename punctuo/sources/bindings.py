@@ -27,7 +27,7 @@ KEY_COPY_BELOW = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def flights_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
