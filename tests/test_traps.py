@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
 
 from punctuo.functions import columns as X
 from punctuo.operators import clean as CL
