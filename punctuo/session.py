@@ -31,6 +31,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+# Settings worth setting on a large cluster (applied by the platform, not here):
+# AQE with skew-join splitting and partition coalescing; shuffle partitions
+# sized so one partition is ~128–256 MB after the largest shuffle (the
+# de-duplication of the raw table); file splits of 128 MB; a shared,
+# durable checkpoint folder.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.shuffle.partitions": "auto-size: input bytes / 200 MB (e.g. 100 TB -> 500000)",
+    "spark.checkpoint.dir": "a shared folder, e.g. hdfs:///checkpoints or s3a://bucket/checkpoints",
+}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; invent one only locally."""
     sc = spark.sparkContext

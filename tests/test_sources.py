@@ -99,3 +99,15 @@ def test_stream_ingest(spark, files):
     q.awaitTermination(120)
     out = spark.read.parquet(str(base / "fact"))
     assert out.count() == 4 and out.filter(F.col("Name") == "Berlin Brandenburg").count() == 1
+
+
+def test_jobs_build_and_report(spark, files):
+    from punctuo.plans import jobs
+    out = Path(tempfile.mkdtemp(prefix="punctuo-job-"))
+    jobs.build(spark, type("A", (), {"flights": str(files / "flights"), "airports": str(files / "airports.csv"),
+                                    "weather": str(files / "weather.csv"), "out": str(out / "fact"), "home": "LSZH"})())
+    args = type("A", (), {"fact": str(out / "fact"), "out": str(out / "rep"), "year": 2019, "direction": None,
+                          "airline": None, "aircraft": None, "min_n": 1, "approx": False})()
+    jobs.report(spark, args)
+    assert spark.read.parquet(str(out / "rep" / "by_direction_hour")).count() >= 1
+    assert spark.read.parquet(str(out / "fact")).count() == 4
