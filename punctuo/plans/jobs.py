@@ -1,8 +1,8 @@
 """Command-line jobs for ``spark-submit`` (E1 build, E2 reports).
 
-    spark-submit -m punctuo.plans.jobs build --flights s3://in/schedule/ \\
+    spark-submit --py-files punctuo.zip punctuo/plans/jobs.py build --flights s3://in/schedule/ \\
         --airports s3://in/airports.csv --weather s3://in/weather.csv --out s3://lake/fact
-    spark-submit -m punctuo.plans.jobs report --fact s3://lake/fact --out s3://lake/reports \\
+    spark-submit --py-files punctuo.zip punctuo/plans/jobs.py report --fact s3://lake/fact --out s3://lake/reports \\
         --year 2019 --direction departure
 
 The session comes from the cluster (its ``spark.checkpoint.dir``, shuffle
