@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from punctuo import config as C
 from punctuo.functions import columns as X
-from punctuo.operators.util import materialize, sized_broadcast
+from punctuo.operators.util import fits_rows, materialize, sized_broadcast
 
 
 def _y(label: str) -> Column:
@@ -206,10 +206,18 @@ def _ranked_values(df: DataFrame, c: str, buckets: int) -> DataFrame:
         "_v", "_c", (F.col("_before") + F.col("_in")).alias("cum"))
 
 
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int = 64) -> DataFrame:
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int = 64,
+                    direct_max: int = 1_000_000) -> DataFrame:
     """Exact, linearly interpolated quantiles (same definition as ``percentile``)
-    as one row with an array column ``q``; distributed for any number of
-    distinct values. The value at 0-based rank r is min(value with cum > r)."""
+    as one row with an array column ``q``.
+
+    When the distinct values are proven few (bounded count ≤ ``direct_max``),
+    one ``percentile`` aggregation is exact and cheap (its value→count map is
+    bounded). Otherwise values are ranked in a distributed way: the value at
+    0-based rank r is min(value with cum > r)."""
+    vals = df.filter(F.col(c).isNotNull())
+    if fits_rows(vals.select(c).distinct(), direct_max):
+        return vals.agg(F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
     ranked = _ranked_values(df, c, buckets)
     n = df.filter(F.col(c).isNotNull()).select(F.count(F.lit(1))).scalar()
     qs = []

@@ -220,9 +220,10 @@ def test_exact_quantiles_match_percentile(spark):
     rows = [(float(rnd.randint(0, 300)) / 7,) for _ in range(2000)] + [(None,)]
     df = spark.createDataFrame(rows, "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
-    got = EV.exact_quantiles(df, "x", probs, buckets=16).first().q
     want = df.select(F.percentile("x", F.array(*[F.lit(p) for p in probs]))).first()[0]
-    assert all(abs(a - b) < 1e-9 for a, b in zip(got, want))
+    for direct_max in (0, 1_000_000):   # distributed ranking path, direct path
+        got = EV.exact_quantiles(df, "x", probs, buckets=16, direct_max=direct_max).first().q
+        assert len(got) == len(probs) and all(abs(a - b) < 1e-9 for a, b in zip(got, want))
 
 
 def test_hash_sample_equals_global_top_k(spark):
