@@ -1,7 +1,7 @@
 """Splits and evaluation on a scored table.
 
-Scalars that the reference computes on the driver (train share, train median)
-are scalar subqueries here: Spark evaluates them once and inlines the value —
+Scalars that the reference computes on the driver (train share, train median —
+exact, via ``quantiles``) are scalar subqueries here: Spark evaluates them once and inlines the value —
 no join. Quantile edges (a parameter-bounded handful of numbers) are fetched
 once and used as a literal array, as Spark ML's QuantileDiscretizer does.
 """
@@ -15,23 +15,15 @@ from pyspark.sql import functions as F
 
 from punctuo import config as C
 from punctuo.functions import columns as X
-from punctuo.operators.util import fits_rows, materialize, sized_broadcast
+from punctuo.operators.quantiles import bounded_array as _bounded_array
+from punctuo.operators.quantiles import exact_quantiles, median_scalar
+from punctuo.operators.util import materialize, sized_broadcast
 
 
 def _y(label: str) -> Column:
     return F.col(label).cast("double")
 
 
-def _bounded_array(one_row: DataFrame) -> Column:
-    """Fetch a one-row array whose length is fixed by a parameter (quantile
-    edges: ``groups + 1`` or ``buckets − 1`` values) and return it as a literal.
-
-    Spark ML's QuantileDiscretizer does the same; a scalar subquery cannot be
-    used here because Spark rejects subqueries inside higher-order functions."""
-    values = one_row.first()[0] or []
-    return F.array(*[F.lit(float(v)) for v in values]).cast("array<double>")
-
-
 # --------------------------------------------------------------------------
 # M3, M4: splits
 # --------------------------------------------------------------------------
@@ -101,7 +93,7 @@ def baseline(df: DataFrame, label: str = "is_late", delay: str = "delay_min") ->
     MAE of the train median — on a table with ``is_test``."""
     train = df.filter(~F.col("is_test"))
     share = train.select(F.avg(_y(label))).scalar()
-    med = train.select(F.median(delay)).scalar()
+    med = median_scalar(train, delay)
     test = df.filter(F.col("is_test"))
     return test.agg(
         share.alias("train_late_share"),
@@ -133,7 +125,7 @@ def skill(df: DataFrame, score: str = "p_late", label: str = "is_late", delay: s
     """Model vs constant: MAE gain, chance − train share, 'never warn' accuracy."""
     train = df.filter(~F.col("is_test"))
     share = train.select(F.avg(_y(label))).scalar()
-    med = train.select(F.median(delay)).scalar()
+    med = median_scalar(train, delay)
     test = df.filter(F.col("is_test"))
     return test.agg(
         (F.avg(F.abs(F.col(delay) - med)) - F.avg(F.abs(F.col(delay) - F.col(pred)))).alias("mae_gain"),
@@ -183,52 +175,6 @@ def auc_by_group(df: DataFrame, groups: Sequence[str], score: str = "p_late", la
     return d.groupBy(*groups).agg((F.sum(wins) / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"))
 
 
-# --------------------------------------------------------------------------
-# exact quantiles without one task holding every distinct value
-# --------------------------------------------------------------------------
-def _ranked_values(df: DataFrame, c: str, buckets: int) -> DataFrame:
-    """Distinct values with ``cum`` = number of rows with a value ≤ this one.
-
-    Distinct values are cut into ``buckets`` ranges by approximate quantiles
-    (a bounded list), per-range row counts (a bounded table) give each range's
-    offset, and a running sum inside each range (window partitioned by range)
-    gives the rest — no single-partition window over the data."""
-    d = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    edges = _bounded_array(d.select(F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10_000)))
-    v = F.col("_v")
-    d = d.withColumn("_b", F.size(F.filter(edges, lambda e: e < v)))
-    per_b = d.groupBy("_b").agg(F.sum("_c").alias("_bc"))
-    per_b = per_b.withColumn("_before", F.coalesce(
-        F.sum("_bc").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_in", F.sum("_c").over(inner))
-    return d.join(F.broadcast(per_b.select("_b", "_before")), "_b").select(
-        "_v", "_c", (F.col("_before") + F.col("_in")).alias("cum"))
-
-
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int = 64,
-                    direct_max: int = 1_000_000) -> DataFrame:
-    """Exact, linearly interpolated quantiles (same definition as ``percentile``)
-    as one row with an array column ``q``.
-
-    When the distinct values are proven few (bounded count ≤ ``direct_max``),
-    one ``percentile`` aggregation is exact and cheap (its value→count map is
-    bounded). Otherwise values are ranked in a distributed way: the value at
-    0-based rank r is min(value with cum > r)."""
-    vals = df.filter(F.col(c).isNotNull())
-    if fits_rows(vals.select(c).distinct(), direct_max):
-        return vals.agg(F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
-    ranked = _ranked_values(df, c, buckets)
-    n = df.filter(F.col(c).isNotNull()).select(F.count(F.lit(1))).scalar()
-    qs = []
-    for p in probs:
-        pos = (n - 1) * F.lit(float(p))
-        lo_v = F.min(F.when(F.col("cum") > F.floor(pos), F.col("_v")))
-        hi_v = F.min(F.when(F.col("cum") > F.ceil(pos), F.col("_v")))
-        qs.append(lo_v + (hi_v - lo_v) * (pos - F.floor(pos)))
-    return ranked.agg(F.array(*qs).alias("q"))
-
-
 # --------------------------------------------------------------------------
 # Calibration, confusion, error views
 # --------------------------------------------------------------------------

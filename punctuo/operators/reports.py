@@ -2,7 +2,9 @@
 
 Conventions (SURVEY §1.5): NULL group keys are dropped; ``n`` counts rows
 (missing delays included); late_pct = mean of the non-NULL ``is_late`` × 100;
-median is exact and interpolated (``percentile_approx`` via ``exact=False``).
+median is exact and interpolated, computed from (group, value) counts so a
+hot group is not merged in one task (sketches via ``exact=False``:
+``percentile_approx``, ``approx_count_distinct``).
 Comparisons between years or periods are conditional aggregates in one pass
 instead of one filtered job per year.
 """
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from punctuo import config as C
 from punctuo.functions import columns as X
+from punctuo.operators.quantiles import exact_quantiles, median_scalar, median_table
 from punctuo.operators.util import non_null
 
 
@@ -27,6 +30,11 @@ def median_of(c, exact: bool = True) -> Column:
     return F.median(c) if exact else F.percentile_approx(c, 0.5, 10_000)
 
 
+def distinct_of(c, exact: bool = True) -> Column:
+    """Exact distinct count, or an HLL++ sketch (no Expand, mergeable) at scale."""
+    return F.count_distinct(c) if exact else F.approx_count_distinct(c, 0.01)
+
+
 def summary_aggs(delay: str = "delay_min", flag: str = "is_late", exact: bool = True) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n"),
@@ -36,11 +44,24 @@ def summary_aggs(delay: str = "delay_min", flag: str = "is_late", exact: bool =
     ]
 
 
+def with_median(stats: DataFrame, base: DataFrame, keys: Sequence[str], delay: str = "delay_min",
+                name: str = "median_delay") -> DataFrame:
+    """Attach the exact per-group median (``quantiles.median_table``) to a
+    per-group table: a join of two aggregated tables on the group keys."""
+    return stats.join(median_table(base, keys, delay, name), list(keys), "left")
+
+
 def summary(df: DataFrame, keys, min_n: int | None = None, delay: str = "delay_min", flag: str = "is_late",
             exact: bool = True) -> DataFrame:
     """A1: n, mean, median delay and % late per group; P7 minimum support."""
     keys = _keys(keys)
-    out = non_null(df, keys).groupBy(*keys).agg(*summary_aggs(delay, flag, exact))
+    base = non_null(df, keys)
+    if exact:
+        stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(delay).alias("avg_delay"),
+                                        (F.avg(F.col(flag).cast("double")) * F.lit(100.0)).alias("late_pct"))
+        out = with_median(stats, base, keys, delay).select(*keys, "n", "avg_delay", "median_delay", "late_pct")
+    else:
+        out = base.groupBy(*keys).agg(*summary_aggs(delay, flag, exact))
     return out if min_n is None else out.filter(F.col("n") >= F.lit(min_n))
 
 
@@ -58,24 +79,31 @@ def apply_filters(df: DataFrame, direction: str | None = None, airlines: Sequenc
     return df
 
 
+def _median(df: DataFrame, c: str, exact: bool) -> Column:
+    """Whole-selection median: exact scalar subquery, or a sketch in the aggregate."""
+    return median_scalar(df, c) if exact else F.percentile_approx(c, 0.5, 10_000)
+
+
 def headline(df: DataFrame, place: str = "place_code", exact: bool = True) -> DataFrame:
     """A3: totals of a selection (one row)."""
     return df.agg(
         F.count(F.lit(1)).alias("n"),
         (F.avg(F.col("is_late").cast("double")) * 100).alias("late_pct"),
         F.avg("delay_min").alias("avg_delay"),
-        median_of(F.col("delay_min"), exact).alias("median_delay"),
-        F.count_distinct(place).alias("n_places"),
+        _median(df, "delay_min", exact).alias("median_delay"),
+        distinct_of(F.col(place), exact).alias("n_places"),
     )
 
 
-def _year_measures(cond: Column, suffix: str, place: str, exact: bool) -> list[Column]:
+def _year_measures(df: DataFrame, cond: Column, suffix: str, place: str, exact: bool) -> list[Column]:
+    med = (median_scalar(df.filter(cond), "delay_min") if exact
+           else F.percentile_approx(F.when(cond, F.col("delay_min")), 0.5, 10_000))
     return [
         F.count_if(cond).alias(f"n_{suffix}"),
         (F.avg(F.when(cond, F.col("is_late").cast("double"))) * 100).alias(f"late_pct_{suffix}"),
         F.avg(F.when(cond, F.col("delay_min"))).alias(f"avg_delay_{suffix}"),
-        median_of(F.when(cond, F.col("delay_min")), exact).alias(f"median_delay_{suffix}"),
-        F.count_distinct(F.when(cond, F.col(place))).alias(f"n_places_{suffix}"),
+        med.alias(f"median_delay_{suffix}"),
+        distinct_of(F.when(cond, F.col(place)), exact).alias(f"n_places_{suffix}"),
     ]
 
 
@@ -84,8 +112,9 @@ def headline_delta(df: DataFrame, year: int, other: int, place: str = "place_cod
 
     Differences are NULL when the other year has no rows."""
     y = F.col("year")
-    agg = df.filter(y.isin(year, other)).agg(*_year_measures(y == year, "sel", place, exact),
-                                             *_year_measures(y == other, "oth", place, exact))
+    sel = df.filter(y.isin(year, other))
+    agg = sel.agg(*_year_measures(sel, y == year, "sel", place, exact),
+                  *_year_measures(sel, y == other, "oth", place, exact))
     has_other = F.col("n_oth") > 0
     diffs = [F.when(has_other, F.col(f"{m}_sel") - F.col(f"{m}_oth")).alias(f"diff_{m}")
              for m in ("n", "late_pct", "avg_delay", "median_delay", "n_places")]
@@ -94,22 +123,21 @@ def headline_delta(df: DataFrame, year: int, other: int, place: str = "place_cod
 
 def by_year(df: DataFrame, place: str = "place_code", exact: bool = True) -> DataFrame:
     """A5: per year n, % late, mean, median, distinct places."""
-    return non_null(df, ["year"]).groupBy("year").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.avg(F.col("is_late").cast("double")) * 100).alias("late_pct"),
-        F.avg("delay_min").alias("avg_delay"),
-        median_of(F.col("delay_min"), exact).alias("median_delay"),
-        F.count_distinct(place).alias("n_places"),
-    )
+    base = non_null(df, ["year"])
+    aggs = [F.count(F.lit(1)).alias("n"), (F.avg(F.col("is_late").cast("double")) * 100).alias("late_pct"),
+            F.avg("delay_min").alias("avg_delay"), distinct_of(F.col(place), exact).alias("n_places")]
+    if not exact:
+        return base.groupBy("year").agg(*aggs, median_of(F.col("delay_min"), False).alias("median_delay"))
+    return with_median(base.groupBy("year").agg(*aggs), base, ["year"])
 
 
-def by_year_month(df: DataFrame, place: str = "place_code") -> DataFrame:
+def by_year_month(df: DataFrame, place: str = "place_code", exact: bool = True) -> DataFrame:
     """Per (year, month) n, % late, mean delay, distinct places."""
     return non_null(df, ["year", "month"]).groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("n"),
         (F.avg(F.col("is_late").cast("double")) * 100).alias("late_pct"),
         F.avg("delay_min").alias("avg_delay"),
-        F.count_distinct(place).alias("n_places"),
+        distinct_of(F.col(place), exact).alias("n_places"),
     )
 
 
@@ -146,14 +174,14 @@ def period_rule(compare: DataFrame, summer: str, winter: str, low: float = 0.4,
 
 
 def area_year(df: DataFrame, year_a: int, year_b: int, from_month: int = 4, area: str = "area",
-              place: str = "place_code") -> DataFrame:
+              place: str = "place_code", exact: bool = True) -> DataFrame:
     """Per area flights and distinct places in two years and what remained (%)."""
     y = F.col("year")
     a, b = y == year_a, y == year_b
     agg = (non_null(df, [area]).filter((F.col("month") >= from_month) & y.isin(year_a, year_b))
            .groupBy(area).agg(F.count_if(a).alias("n_a"), F.count_if(b).alias("n_b"),
-                              F.count_distinct(F.when(a, F.col(place))).alias("places_a"),
-                              F.count_distinct(F.when(b, F.col(place))).alias("places_b")))
+                              distinct_of(F.when(a, F.col(place)), exact).alias("places_a"),
+                              distinct_of(F.when(b, F.col(place)), exact).alias("places_b")))
     return (agg.filter((F.col("n_a") > 0) & (F.col("n_b") > 0))
                .withColumn("n_kept_pct", X.ratio_pct("n_a", "n_b"))
                .withColumn("places_kept_pct", X.ratio_pct("places_a", "places_b")))
@@ -164,9 +192,15 @@ def place_change(df: DataFrame, year_a: int, year_b: int, min_base: int, place:
     """A10 + A1e + C26: per place the summary, the counts in two years and the % change,
     with minimum support in the base year (counts are conditional, no join)."""
     y = F.col("year")
-    out = non_null(df, [place]).groupBy(place).agg(
-        *summary_aggs(exact=exact),
-        F.count_if(y == year_a).alias("n_a"), F.count_if(y == year_b).alias("n_b"))
+    base = non_null(df, [place])
+    counts = [F.count_if(y == year_a).alias("n_a"), F.count_if(y == year_b).alias("n_b")]
+    if exact:
+        stats = base.groupBy(place).agg(
+            F.count(F.lit(1)).alias("n"), F.avg("delay_min").alias("avg_delay"),
+            (F.avg(F.col("is_late").cast("double")) * F.lit(100.0)).alias("late_pct"), *counts)
+        out = with_median(stats, base, [place])
+    else:
+        out = base.groupBy(place).agg(*summary_aggs(exact=False), *counts)
     return out.filter(F.col("n_a") >= min_base).withColumn("change_pct", X.pct_change("n_a", "n_b"))
 
 
@@ -264,9 +298,12 @@ def histogram(df: DataFrame, c: str = "delay_min", lo: float = C.HIST_LO, hi: fl
 
 def quantiles(df: DataFrame, c: str, qs: Sequence[float], names: Sequence[str], exact: bool = True) -> DataFrame:
     """Exact interpolated quantiles (one aggregation), plus the maximum."""
+    if exact:
+        q = exact_quantiles(df, c, qs)
+        return q.select(*[F.col("q")[i].alias(nm) for i, nm in enumerate(names)],
+                        df.select(F.max(c)).scalar().alias(f"max_{c}"))
     arr = F.array(*[F.lit(float(x)) for x in qs])
-    p = F.percentile(F.col(c), arr) if exact else F.percentile_approx(F.col(c), arr, 10_000)
-    agg = df.agg(p.alias("_q"), F.max(c).alias(f"max_{c}"))
+    agg = df.agg(F.percentile_approx(F.col(c), arr, 10_000).alias("_q"), F.max(c).alias(f"max_{c}"))
     return agg.select(*[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)], f"max_{c}")
 
 

@@ -612,11 +612,14 @@ def model_table(spark, sf_dir) -> DataFrame:
     return LK.attach_daily(f, B.weather_ev(spark, sf_dir))
 
 
-def _split_model_table(spark, sf_dir, params=MODEL_PARAMS):
+def _split_model_table(spark, sf_dir, params=MODEL_PARAMS, categories_from: str = "train"):
+    """M3 split, then the category lists (T5) — fitted on train only by default
+    (no leakage); ``categories_from='all'`` reproduces lists computed on all rows."""
     from punctuo.operators import predict as PD
     t = model_table(spark, sf_dir)
     t = EV.with_split(t, EV.day_split(t, params.test_share, params.seed))
-    top = FE.top_categories(t.filter(~F.col("is_test")), list(params.categorical), params.max_categories)
+    source = t if categories_from == "all" else t.filter(~F.col("is_test"))
+    top = FE.top_categories(source, list(params.categorical), params.max_categories)
     # the iterative fits scan the prepared table many times: write it once
     # (reliable checkpoint, short lineage) and keep both sides persisted
     t = checkpoint_table(PD.cap_categories(t, top, params))

@@ -233,3 +233,27 @@ def test_hash_sample_equals_global_top_k(spark):
     got = sorted(r.k for r in EV.hash_sample(df, "k", 100, 42).collect())
     assert got == want and len(got) == 100
     assert EV.hash_sample(df, "k", 10_000, 42).count() == 5000
+
+
+def test_median_table_matches_percentile(spark):
+    import random
+    from punctuo.operators.quantiles import median_table
+    rnd = random.Random(5)
+    rows = [("hot", float(rnd.randint(-30, 90))) for _ in range(3000)]          # one hot group, many ties
+    rows += [(f"g{i}", float(rnd.randint(0, 9))) for i in range(40) for _ in range(i % 4 + 1)]
+    rows += [("nulls", None), ("one", 7.0), ("two", 1.0), ("two", 4.0)]
+    df = spark.createDataFrame(rows, "k string, delay_min double")
+    got = {r.k: r.median for r in median_table(df, ["k"], "delay_min").collect()}
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.median("delay_min").alias("m")).collect() if r.m is not None}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert got["two"] == 2.5 and "nulls" not in got
+
+
+def test_sketch_options_run(spark):
+    df = fact(spark, [("x", float(i)) for i in range(100)] + [("y", 3.0)]).withColumn("year", F.lit(2019)) \
+        .withColumn("place_code", F.col("k"))
+    s = {r.k: r for r in RP.summary(df, "k", exact=False).collect()}
+    assert s["x"].n == 100 and abs(s["x"].median_delay - 49.5) <= 1.0
+    h = RP.headline(df, exact=False).first()
+    assert h.n == 101 and h.n_places == 2
+    assert RP.by_year(df, exact=False).first().n_places == 2
