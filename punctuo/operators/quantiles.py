@@ -56,13 +56,16 @@ def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int
     """Exact, linearly interpolated quantiles (same definition as ``percentile``)
     as one row with an array column ``q``.
 
-    When the distinct values are proven few (bounded count ≤ ``direct_max``),
-    one ``percentile`` aggregation is exact and cheap (its value→count map is
-    bounded). Otherwise values are ranked in a distributed way: the value at
-    0-based rank r is min(value with cum > r)."""
-    vals = df.filter(F.col(c).isNotNull())
-    if fits_rows(vals.select(c).distinct(), direct_max):
-        return vals.agg(F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+    Values are first counted (value → count, an ordinary distributed
+    aggregation). When the distinct values are proven few (bounded count ≤
+    ``direct_max``), one weighted ``percentile`` over that count table is exact
+    and its final merge handles at most ``direct_max`` entries (a plain
+    ``percentile`` over rows would merge one map per map task). Otherwise the
+    values are ranked in a distributed way: the value at 0-based rank r is
+    min(value with cum > r)."""
+    vc = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_c"))
+    if fits_rows(vc, direct_max):
+        return vc.agg(F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]), F.col("_c")).alias("q"))
     ranked = _ranked_values(df, c, buckets)
     n = df.filter(F.col(c).isNotNull()).select(F.count(F.lit(1))).scalar()
     qs = []

@@ -51,15 +51,43 @@ def with_median(stats: DataFrame, base: DataFrame, keys: Sequence[str], delay: s
     return stats.join(median_table(base, keys, delay, name), list(keys), "left")
 
 
+def value_count_summary(base: DataFrame, keys: Sequence[str], delay: str = "delay_min", flag: str = "is_late",
+                        counts: dict[str, Column] | None = None) -> DataFrame:
+    """n, mean, exact median and % late per group from ONE (group, value) count
+    table: the counting shuffles by (group, value), so a hot group is spread
+    over reducers by value; the running counts then need only each group's
+    distinct values (window partitioned by group, same partitioning as the
+    final aggregation). ``counts``: extra conditional row counts per group."""
+    keys = list(keys)
+    counts = counts or {}
+    vc = base.groupBy(*keys, delay).agg(
+        F.count(F.lit(1)).alias("_c"), F.count_if(F.col(flag)).alias("_late"), F.count(flag).alias("_flag"),
+        *[F.count_if(cond).alias(f"_k_{name}") for name, cond in counts.items()])
+    v = F.col(delay)
+    nn = v.isNotNull()
+    g = Window.partitionBy(*keys)
+    vc = (vc.withColumn("_cum", F.sum(F.when(nn, F.col("_c"))).over(g.orderBy(delay).rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_m", F.sum(F.when(nn, F.col("_c"))).over(g)))
+    pos = (F.col("_m") - 1) * F.lit(0.5)
+    agg = vc.groupBy(*keys).agg(
+        F.sum("_c").alias("n"),
+        (F.sum(F.when(nn, v * F.col("_c"))) / F.sum(F.when(nn, F.col("_c")))).alias("avg_delay"),
+        F.min(F.when(nn & (F.col("_cum") > F.floor(pos)), v)).alias("_lo"),
+        F.min(F.when(nn & (F.col("_cum") > F.ceil(pos)), v)).alias("_hi"),
+        F.max(pos - F.floor(pos)).alias("_frac"),
+        (F.sum("_late") * F.lit(100.0) / F.sum("_flag")).alias("late_pct"),
+        *[F.sum(f"_k_{name}").alias(name) for name in counts])
+    med = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
+    return agg.select(*keys, "n", "avg_delay", med.alias("median_delay"), "late_pct", *counts)
+
+
 def summary(df: DataFrame, keys, min_n: int | None = None, delay: str = "delay_min", flag: str = "is_late",
             exact: bool = True) -> DataFrame:
     """A1: n, mean, median delay and % late per group; P7 minimum support."""
     keys = _keys(keys)
     base = non_null(df, keys)
     if exact:
-        stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(delay).alias("avg_delay"),
-                                        (F.avg(F.col(flag).cast("double")) * F.lit(100.0)).alias("late_pct"))
-        out = with_median(stats, base, keys, delay).select(*keys, "n", "avg_delay", "median_delay", "late_pct")
+        out = value_count_summary(base, keys, delay, flag)
     else:
         out = base.groupBy(*keys).agg(*summary_aggs(delay, flag, exact))
     return out if min_n is None else out.filter(F.col("n") >= F.lit(min_n))
@@ -195,10 +223,7 @@ def place_change(df: DataFrame, year_a: int, year_b: int, min_base: int, place:
     base = non_null(df, [place])
     counts = [F.count_if(y == year_a).alias("n_a"), F.count_if(y == year_b).alias("n_b")]
     if exact:
-        stats = base.groupBy(place).agg(
-            F.count(F.lit(1)).alias("n"), F.avg("delay_min").alias("avg_delay"),
-            (F.avg(F.col("is_late").cast("double")) * F.lit(100.0)).alias("late_pct"), *counts)
-        out = with_median(stats, base, [place])
+        out = value_count_summary(base, [place], counts={"n_a": y == year_a, "n_b": y == year_b})
     else:
         out = base.groupBy(place).agg(*summary_aggs(exact=False), *counts)
     return out.filter(F.col("n_a") >= min_base).withColumn("change_pct", X.pct_change("n_a", "n_b"))
