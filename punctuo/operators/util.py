@@ -25,12 +25,24 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if fits_rows(df, max_rows) else df
 
 
+SMALL_PARTITIONS = 8
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Keep a SMALL aggregate (a per-(day, hour) or per-day table, a top list)
-    that is size-checked and then broadcast: computed once, reused by the join.
+    """Keep a SMALL table (a per-(day, hour) or per-day table, a dimension, a
+    top list, a bounded sample) that is size-checked and then broadcast:
+    computed once, reused by the join.
 
+    It is coalesced to a few partitions first (a cached plan keeps the shuffle
+    partition count of the session, e.g. 200 or 100 000 near-empty tasks).
     Lost blocks are recomputed from lineage, and once broadcast the table no
     longer depends on executors, so executor loss is harmless."""
+    return df.coalesce(SMALL_PARTITIONS).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def persist_table(df: DataFrame) -> DataFrame:
+    """Keep a LARGE table that an iterative algorithm scans repeatedly (the
+    model's train/test sides), partitioning unchanged."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 

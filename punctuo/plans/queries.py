@@ -24,7 +24,7 @@ from punctuo.operators import features as FE
 from punctuo.operators import lookup as LK
 from punctuo.operators import profile as PR
 from punctuo.operators import reports as RP
-from punctuo.operators.util import checkpoint_table, materialize, sized_broadcast
+from punctuo.operators.util import checkpoint_table, materialize, persist_table, sized_broadcast
 from punctuo.sources import bindings as B
 
 # --- parameters of the test-table bindings (FIXTURES.md §B) -----------------
@@ -623,7 +623,7 @@ def _split_model_table(spark, sf_dir, params=MODEL_PARAMS, categories_from: str
     # the iterative fits scan the prepared table many times: write it once
     # (reliable checkpoint, short lineage) and keep both sides persisted
     t = checkpoint_table(PD.cap_categories(t, top, params))
-    return materialize(t.filter(~F.col("is_test"))), materialize(t.filter(F.col("is_test")))
+    return persist_table(t.filter(~F.col("is_test"))), persist_table(t.filter(F.col("is_test")))
 
 
 _SPLITS: dict = {}
