@@ -111,3 +111,20 @@ def test_jobs_build_and_report(spark, files):
     jobs.report(spark, args)
     assert spark.read.parquet(str(out / "rep" / "by_direction_hour")).count() >= 1
     assert spark.read.parquet(str(out / "fact")).count() == 4
+
+
+def test_stream_daily_timeline(spark, files):
+    from punctuo.streaming.timeline import start_daily_timeline
+    base = Path(tempfile.mkdtemp(prefix="punctuo-tl-"))
+    src = base / "in"
+    src.mkdir()
+    late_day = FLIGHTS + "09/01/2019 09:00 LX5,09/01/2019,09:00:00,09:30:00,LX5,S,A1,-,-,-,-,-,A320,28,-,LFPG\n"
+    (src / "f.csv").write_text(late_day, encoding="utf-8")
+    cols = S.read_flights(spark, str(files / "flights")).columns
+    q = start_daily_timeline(spark, str(src), cols, str(base / "out"), str(base / "ckpt"), lateness="1 day")
+    q.awaitTermination(120)
+    out = {(r.bucket.day, r.series): r for r in spark.read.parquet(str(base / "out")).collect()}
+    # days 1 and 2 are closed by the watermark (day 9 advances it); day 9 stays open
+    assert out[(1, "arrival")].n == 2 and out[(1, "departure")].n == 1
+    assert out[(2, "departure")].n == 2 and out[(2, "departure")].late_pct == 50.0
+    assert not any(day == 9 for day, _ in out)
