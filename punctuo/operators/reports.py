@@ -123,9 +123,8 @@ def headline(df: DataFrame, place: str = "place_code", exact: bool = True) -> Da
     )
 
 
-def _year_measures(df: DataFrame, cond: Column, suffix: str, place: str, exact: bool) -> list[Column]:
-    med = (median_scalar(df.filter(cond), "delay_min") if exact
-           else F.percentile_approx(F.when(cond, F.col("delay_min")), 0.5, 10_000))
+def _year_measures(cond: Column, suffix: str, place: str, exact: bool, med: Column | None = None) -> list[Column]:
+    med = med if exact else F.percentile_approx(F.when(cond, F.col("delay_min")), 0.5, 10_000)
     return [
         F.count_if(cond).alias(f"n_{suffix}"),
         (F.avg(F.when(cond, F.col("is_late").cast("double"))) * 100).alias(f"late_pct_{suffix}"),
@@ -141,8 +140,14 @@ def headline_delta(df: DataFrame, year: int, other: int, place: str = "place_cod
     Differences are NULL when the other year has no rows."""
     y = F.col("year")
     sel = df.filter(y.isin(year, other))
-    agg = sel.agg(*_year_measures(sel, y == year, "sel", place, exact),
-                  *_year_measures(sel, y == other, "oth", place, exact))
+    med_a = med_b = None
+    if exact:  # both years' exact medians from one per-year median table, one struct subquery
+        mt = median_table(sel, ["year"], "delay_min")
+        meds = mt.agg(F.struct(F.max(F.when(y == year, F.col("median"))).alias("a"),
+                               F.max(F.when(y == other, F.col("median"))).alias("b"))).scalar()
+        med_a, med_b = meds.getField("a"), meds.getField("b")
+    agg = sel.agg(*_year_measures(y == year, "sel", place, exact, med_a),
+                  *_year_measures(y == other, "oth", place, exact, med_b))
     has_other = F.col("n_oth") > 0
     diffs = [F.when(has_other, F.col(f"{m}_sel") - F.col(f"{m}_oth")).alias(f"diff_{m}")
              for m in ("n", "late_pct", "avg_delay", "median_delay", "n_places")]
