@@ -3,9 +3,12 @@ to the partitioned Parquet fact.
 
 The surveyed application reads bounded files only; this is the same E1 path
 run per micro-batch so a folder that receives daily schedule files keeps the
-fact table current. Each micro-batch goes through the batch operators in
-``foreachBatch`` (exact de-duplication inside the batch, broadcast place and
-weather lookups) and is appended by year. Progress (which files were read)
+fact table current. With ``lateness`` set, exact duplicates are also removed
+ACROSS micro-batches (``dropDuplicatesWithinWatermark`` on the prepared raw
+columns, state bounded by a watermark on the planned time). Each micro-batch
+then goes through the batch operators in ``foreachBatch`` (exact
+de-duplication inside the batch, broadcast place and weather lookups) and is
+appended by year. Progress (which files were read)
 lives in the checkpoint location, so a restarted or failed query resumes
 without reading a file twice. Hour and day load and the previous-hour delay
 depend on whole days and are derived from the written table, not per batch.
@@ -16,8 +19,10 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from punctuo.config import DEFAULTS, Params
+from punctuo.functions import columns as X
 from punctuo.operators import clean as CL
 from punctuo.operators import lookup as LK
 from punctuo.sources.files import string_schema
@@ -27,13 +32,18 @@ def start_ingest(spark: SparkSession, source_dir: str, columns: Sequence[str], p
                  out_path: str, checkpoint: str, daily: DataFrame | None = None, params: Params = DEFAULTS,
                  place_attrs: Sequence[str] = ("name", "lat", "lon", "distance_km", "area"),
                  key_a: str = "key_a", key_b: str = "key_b", order: Sequence = ("place_id",), found: str = "name",
-                 available_now: bool = True, max_files_per_trigger: int = 100):
+                 available_now: bool = True, max_files_per_trigger: int = 100, lateness: str | None = None):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``checkpoint`` must be a shared, durable folder (e.g. under the cluster's
     ``spark.checkpoint.dir``)."""
     stream = (spark.readStream.schema(string_schema(columns)).option("header", True)
               .option("maxFilesPerTrigger", max_files_per_trigger).csv(source_dir))
+    if lateness:
+        prepared = CL.prepare_raw(stream)
+        event = X.day_time(CL.RAW_DATE, CL.RAW_PLANNED).cast("timestamp")
+        stream = (prepared.withColumn("_event_ts", event).withWatermark("_event_ts", lateness)
+                  .dropDuplicatesWithinWatermark(list(columns)).drop("_event_ts"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         c = CL.clean_flights(batch, params)

@@ -128,3 +128,20 @@ def test_stream_daily_timeline(spark, files):
     assert out[(1, "arrival")].n == 2 and out[(1, "departure")].n == 1
     assert out[(2, "departure")].n == 2 and out[(2, "departure")].late_pct == 50.0
     assert not any(day == 9 for day, _ in out)
+
+
+def test_stream_ingest_dedups_across_batches(spark, files):
+    from punctuo.plans.build import airport_dimension
+    from punctuo.streaming.ingest import start_ingest
+    base = Path(tempfile.mkdtemp(prefix="punctuo-stream2-"))
+    src = base / "in"
+    src.mkdir()
+    (src / "a.csv").write_text(FLIGHTS, encoding="utf-8")
+    (src / "b.csv").write_text(FLIGHTS, encoding="utf-8")        # the same rows again, in a later batch
+    cols = S.read_flights(spark, str(files / "flights")).columns
+    dim = airport_dimension(S.read_airports(spark, str(files / "airports.csv")), "LSZH")
+    q = start_ingest(spark, str(src), cols, dim, str(base / "fact"), str(base / "ckpt"),
+                     place_attrs=("Name",), key_a="ICAO", key_b="IATA", order=("_order",), found="Name",
+                     max_files_per_trigger=1, lateness="30 days")
+    q.awaitTermination(180)
+    assert spark.read.parquet(str(base / "fact")).count() == 4
