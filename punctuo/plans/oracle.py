@@ -694,3 +694,5 @@ ORACLE["pred_worst_hour"] = sql([FEV, SEV], f"""h AS (
          count(*) AS n FROM test_scored GROUP BY hour HAVING count(*) >= 50)
 SELECT hour, {R('actual_pct', 'actual_pct')}, {R('pred_pct', 'pred_pct')}, n, {R('abs(actual_pct - pred_pct)', 'abs_gap')}
 FROM h ORDER BY abs(actual_pct - pred_pct) DESC, hour LIMIT 1""")
+
+ORACLE["raw_rain_series"] = sql([WEV], f"SELECT day, {R('prcp', 'prcp')} FROM weather_ev")

@@ -148,6 +148,12 @@ def bad_period_check(spark, sf_dir):
     return rounded(PR.suspect_period(B.weather_ev(spark, sf_dir), "prcp", BAD_RAIN_FROM_EV))
 
 
+@query
+def raw_rain_series(spark, sf_dir):
+    """The untouched daily precipitation series (before the suspect period is nulled)."""
+    return rounded(B.weather_ev(spark, sf_dir).select("day", "prcp"))
+
+
 @query
 def bad_period_null(spark, sf_dir):
     return rounded(PR.null_suspect(B.weather_ev(spark, sf_dir), "prcp", BAD_RAIN_FROM_EV))
