@@ -4,7 +4,7 @@ Scale design: the per-row window ``count() OVER (PARTITION BY day, hour)``
 would send every row of a day to one task — a hot day would hold a third of
 the data in one task. Instead the fact is pre-aggregated to one row per
 (day, hour) (partial aggregation, map-side combine), the three features are
-computed on that small table (≤ 24 rows per day), the table is checkpointed,
+computed on that small table (≤ 24 rows per day), the table is persisted,
 its row count checked, and it is broadcast back to the fact rows. The fact is
 never shuffled.
 """

@@ -20,7 +20,7 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     The proof is a bounded count (``limit(max_rows + 1)``), so it never scans
     more than ``max_rows + 1`` rows of the side. Beyond the bound the side is
     returned as is and Spark plans a shuffle join (AQE splits skewed keys).
-    Call it on small, materialised sides (a dimension, a checkpointed aggregate).
+    Call it on small, materialised sides (a dimension, a persisted aggregate).
     """
     return F.broadcast(df) if fits_rows(df, max_rows) else df
 
