@@ -15,4 +15,5 @@ streaming  incremental ingest of arriving schedule files
 
 from punctuo.config import Params, DEFAULTS
 
-__all__ = ["Params", "DEFAULTS"]
+__version__ = "0.1.0"
+__all__ = ["Params", "DEFAULTS", "__version__"]
