@@ -40,12 +40,11 @@ def lookup_two_keys(fact: DataFrame, dim: DataFrame, code: str, key_a: str, key_
     # one bounded count on a pruned projection (no derived columns computed);
     # both sides are subsets of dim, so one proof covers both broadcasts
     small = fits_rows(dim.select(F.lit(1).alias("_one")), params.broadcast_max_rows)
-    if small:
-        dim = materialize(dim)  # proven small: compute it once for both sides
-    a = _side(dim, key_a, attrs, order, "a")
-    b = _side(dim, key_b, attrs, order, "b")
-    if small:
-        a, b = F.broadcast(a), F.broadcast(b)
+    if not small:
+        return _lookup_via_codes(fact, dim, code, key_a, key_b, attrs, order, found, params)
+    dim = materialize(dim)  # proven small: compute it once for both sides
+    a = F.broadcast(_side(dim, key_a, attrs, order, "a"))
+    b = F.broadcast(_side(dim, key_b, attrs, order, "b"))
     j = fact.join(a, fact[code] == a["_a_key"], "left").join(b, fact[code] == b["_b_key"], "left")
     matched = (F.when(F.col(f"_a_{found}").isNotNull(), F.lit("key_a"))
                 .when(F.col(f"_b_{found}").isNotNull(), F.lit("key_b")))
@@ -56,6 +55,29 @@ def lookup_two_keys(fact: DataFrame, dim: DataFrame, code: str, key_a: str, key_
                     F.col("_b_key").isNotNull().alias("_code_in_b"))
 
 
+def _lookup_via_codes(fact: DataFrame, dim: DataFrame, code: str, key_a: str, key_b: str, attrs: Sequence[str],
+                      order: Sequence[str], found: str, params: Params) -> DataFrame:
+    """Large-dimension path: resolve the fact's DISTINCT codes against the
+    dimension (shuffle joins of two small-to-medium tables), then join the
+    fact once with that code map — broadcast when its size is proven, else a
+    single shuffle join (instead of two shuffles of the whole fact)."""
+    codes = fact.select(F.col(code).alias("_code")).filter(F.col("_code").isNotNull()).distinct()
+    a = _side(dim, key_a, attrs, order, "a")
+    b = _side(dim, key_b, attrs, order, "b")
+    m = codes.join(a, codes["_code"] == a["_a_key"], "left").join(b, codes["_code"] == b["_b_key"], "left")
+    resolved = materialize(m.select(
+        "_code", *[F.coalesce(F.col(f"_a_{x}"), F.col(f"_b_{x}")).alias(f"_r_{x}") for x in attrs],
+        (F.when(F.col(f"_a_{found}").isNotNull(), F.lit("key_a"))
+          .when(F.col(f"_b_{found}").isNotNull(), F.lit("key_b"))).alias("_r_matched"),
+        F.col("_a_key").isNotNull().alias("_r_in_a"), F.col("_b_key").isNotNull().alias("_r_in_b")))
+    resolved = sized_broadcast(resolved, params.broadcast_max_rows)
+    j = fact.join(resolved, fact[code] == resolved["_code"], "left")
+    return j.select(*[fact[c] for c in fact.columns], *[F.col(f"_r_{x}").alias(x) for x in attrs],
+                    F.col("_r_matched").alias("matched_by"),
+                    F.coalesce(F.col("_r_in_a"), F.lit(False)).alias("_code_in_a"),
+                    F.coalesce(F.col("_r_in_b"), F.lit(False)).alias("_code_in_b"))
+
+
 def code_counts(fact: DataFrame, code: str) -> DataFrame:
     """Distinct codes with their row counts (NULL code kept as one row)."""
     return fact.groupBy(code).agg(F.count(F.lit(1)).alias("n"))

@@ -257,3 +257,15 @@ def test_sketch_options_run(spark):
     h = RP.headline(df, exact=False).first()
     assert h.n == 101 and h.n_places == 2
     assert RP.by_year(df, exact=False).first().n_places == 2
+
+
+def test_two_key_lookup_large_dimension_path_equals_broadcast_path(spark):
+    from punctuo.config import DEFAULTS
+    dim = spark.createDataFrame([
+        (1, "Alpha", None, "AAAA", "AAA"), (2, "Alpha2", "Acity", "ZZZZ", "AAAA"),
+        (3, "Beta", "Bcity", "BBBB", "BBB"), (4, "Beta-dup", "X", "BBBB", "B2")], PLACE)
+    f = spark.createDataFrame([("AAAA",), ("BBB",), ("BBBB",), ("QQQ",), (None,), ("BBB",)], "code string")
+    args = (f, dim, "code", "key_a", "key_b", ["name", "city"], ["place_id"], "name")
+    small = sorted(map(tuple, LK.lookup_two_keys(*args).collect()), key=str)
+    large = sorted(map(tuple, LK.lookup_two_keys(*args, params=DEFAULTS.with_(broadcast_max_rows=2)).collect()), key=str)
+    assert small == large and len(large) == 6
