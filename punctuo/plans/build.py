@@ -2,7 +2,7 @@
 
 raw strings → clean (one de-duplicating aggregation) → place lookup and daily
 conditions (broadcast joins, no fact shuffle) → written once (Parquet sink, or
-a reliable checkpoint in the shared checkpoint folder) → load / previous-hour
+Parquet in the shared checkpoint folder) → load / previous-hour
 features from the written table (pre-aggregated, broadcast back).
 Writing once means the de-duplication shuffle is not recomputed for the
 hourly aggregate, and lineage for later reports starts at the written files.
@@ -29,7 +29,7 @@ def build_fact(raw: DataFrame, places: DataFrame, daily: DataFrame | None = None
     """The clean fact with place, weather and load features.
 
     ``path``: write the pre-feature table there (partitioned by year) and read
-    it back; otherwise a reliable checkpoint plays that role."""
+    it back; otherwise it is written as Parquet in the shared checkpoint folder."""
     c = CL.clean_flights(raw, params)
     c = LK.lookup_two_keys(c, places, "place_code", key_a, key_b, place_attrs, list(place_order), found, params)
     c = c.drop("_code_in_a", "_code_in_b")

@@ -627,7 +627,8 @@ def _split_model_table(spark, sf_dir, params=MODEL_PARAMS, categories_from: str
     source = t if categories_from == "all" else t.filter(~F.col("is_test"))
     top = FE.top_categories(source, list(params.categorical), params.max_categories)
     # the iterative fits scan the prepared table many times: write it once
-    # (reliable checkpoint, short lineage) and keep both sides persisted
+    # (Parquet in the shared checkpoint folder, short lineage, columnar reads)
+    # and cache both sides, as usual before fitting iterative Spark ML models
     t = checkpoint_table(PD.cap_categories(t, top, params))
     return persist_table(t.filter(~F.col("is_test"))), persist_table(t.filter(F.col("is_test")))
 
