@@ -145,3 +145,16 @@ def test_stream_ingest_dedups_across_batches(spark, files):
                      max_files_per_trigger=1, lateness="30 days")
     q.awaitTermination(180)
     assert spark.read.parquet(str(base / "fact")).count() == 4
+
+
+def test_jobs_report_approx(spark, files):
+    from punctuo.plans import jobs
+    out = Path(tempfile.mkdtemp(prefix="punctuo-job2-"))
+    jobs.build(spark, type("A", (), {"flights": str(files / "flights"), "airports": str(files / "airports.csv"),
+                                    "weather": str(files / "weather.csv"), "out": str(out / "fact"), "home": None})())
+    args = type("A", (), {"fact": str(out / "fact"), "out": str(out / "rep"), "year": None, "direction": "departure",
+                          "airline": None, "aircraft": None, "min_n": 1, "approx": True})()
+    jobs.report(spark, args)
+    by_year = spark.read.parquet(str(out / "rep" / "by_year")).collect()
+    assert len(by_year) == 1 and by_year[0].n == 3
+    assert spark.read.parquet(str(out / "rep" / "by_weekday_hour")).count() == 7
