@@ -34,3 +34,72 @@ def op9_order_preserving_packing(spark, sf_dir):
     p = pack(table(spark, sf_dir, "documents"), word_tokenizer_path())
     return p.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
                     F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op10_trigram_secret_scan(spark, sf_dir):
+    """Secrets of all documents: base kinds counted and hashed, all spans listed."""
+    from punctuo.llm import secret_scan as S
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    df = S.scan(docs)
+    base = F.filter(F.col("secret_spans"), lambda s: s["order"] < sum(r.base for r in S.RULES))
+    n = lambda kind: F.size(F.filter(F.col("secret_spans"), lambda s: s["kind"] == kind)).cast("long")
+    return df.select("doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
+                     F.sha2(S.span_text(base), 256).alias("base_sha256"), S.span_text(F.col("secret_spans")).alias("spans"))
+
+
+@query
+def op3_curriculum_mix(spark, sf_dir):
+    """All documents mixed to 150 % of their words, in training order."""
+    from punctuo.llm import mixing as M
+
+    m = M.by_position(M.mix(table(spark, sf_dir, "documents")))
+    return m.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 6).alias("position"))
+
+
+def labelled(spark, sf_dir, remainder: int = 2):
+    """Labels but for the held-out quarter, and the remainder of every id."""
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    return table(spark, sf_dir, "labels").filter(rest != remainder), rest
+
+
+@query
+def op2_quality_gam(spark, sf_dir):
+    """Quality scores of all documents."""
+    from punctuo.llm import quality_gam as G
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels, rest = labelled(spark, sf_dir)
+    df = G.score(docs, G.train(docs, labels))
+    return df.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op1_impact_ordered_topk(spark, sf_dir):
+    """The 10 largest inner products of every hundredth vector with all others."""
+    from punctuo.llm.topk_search import top_k
+
+    v = table(spark, sf_dir, "embeddings")
+    return top_k(v, v.filter(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op6_adaptive_dimension_scan(spark, sf_dir):
+    """The 10 nearest vectors found for every hundredth vector."""
+    from punctuo.llm.ann_scan import search
+
+    v = table(spark, sf_dir, "embeddings")
+    return search(v, v.filter(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op5_context_tree_weighting(spark, sf_dir):
+    """Log10 probabilities of all texts, learnt from nine tenths of them."""
+    from punctuo.llm.context_tree import score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    s = score(docs, rest != 0)
+    return s.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+                    "n_bytes", "bits_per_byte")
