@@ -103,3 +103,12 @@ def op5_context_tree_weighting(spark, sf_dir):
     s = score(docs, rest != 0)
     return s.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
                     "n_bytes", "bits_per_byte")
+
+
+@query
+def op7_chosen_path_join(spark, sf_dir):
+    """Near-duplicate classes of all documents and each one's number of links."""
+    from punctuo.llm import chosen_path as C
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return C.labelled(docs, C.join(docs))
