@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from punctuo.llm.workers import importable
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    REGISTRY[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return fn(spark, sf_dir)
+
+    REGISTRY[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,3 +120,20 @@ def op7_chosen_path_join(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return C.labelled(docs, C.join(docs))
+
+
+@query
+def op4_paragraph_minhash_dedup(spark, sf_dir):
+    """Repeated paragraphs and passages of all documents, but for the first occurrence of each."""
+    from punctuo.llm import paragraph_dedup as D
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    r = D.removals(docs).withColumn("spans", D.merged(F.col("removed")))
+    r = r.select("id", "key", "n_paragraphs", F.size("removed").alias("n_removed"),
+                 F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["begin"]).alias("removed_bytes"),
+                 F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["begin"], s["end"])), ",").alias("removed_spans"),
+                 F.array_sort(F.array_distinct(F.transform("removed", lambda x: x["class_id"]))).alias("class_ids"),
+                 F.array_sort(F.array_distinct(F.transform("removed", lambda x: x["first_id"]))).alias("first_ids"))
+    d = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"))
+    return d.join(r, d["doc_id"].eqNullSafe(r["id"]) & (d["key"] == r["key"])).select(
+        "doc_id", "n_paragraphs", "n_removed", "removed_bytes", "removed_spans", "class_ids", "first_ids")
