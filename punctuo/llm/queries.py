@@ -137,3 +137,17 @@ def op4_paragraph_minhash_dedup(spark, sf_dir):
     d = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"))
     return d.join(r, d["doc_id"].eqNullSafe(r["id"]) & (d["key"] == r["key"])).select(
         "doc_id", "n_paragraphs", "n_removed", "removed_bytes", "removed_spans", "class_ids", "first_ids")
+
+
+@query
+def op8_suffix_array_dedup(spark, sf_dir):
+    """Bytes of all documents in strings of 400 bytes that occur twice."""
+    from punctuo.llm import suffix_dedup as S
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lost = S.kept(docs, S.repeats(docs)).select("key", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"))
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    d = docs.select("doc_id", F.unhex(F.md5(text)).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
+    none = F.lit(0).cast("long")
+    return d.join(lost, "key", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"),
+                                              F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
