@@ -42,7 +42,7 @@ from punctuo.operators.util import checkpoint_table
 
 END = 255  # no byte of UTF-8: stands before the first byte and after the last one
 END_TOKEN = b"\n"  # no word holds white space
-CHUNK = 6 << 20
+CHUNK = 8 << 20
 
 
 def symbols(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +118,7 @@ def _log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 def _bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Zeros and ones at the 255 binary nodes (1..255) of each context's symbol counts."""
     n0, n1 = np.zeros(counts.shape), np.zeros(counts.shape)
-    for j in range(8):
+    for j in range(8) if len(counts) else ():
         s = counts.reshape(len(counts), 2**j, 2, -1).sum(-1)
         n0[:, 2**j:2 ** (j + 1)], n1[:, 2**j:2 ** (j + 1)] = s[..., 0], s[..., 1]
     return n0, n1
@@ -152,30 +152,34 @@ def weigh(keys: list[np.ndarray], counts: list[np.ndarray]) -> ContextTree:
     depth = len(keys) - 1
     half = np.log(0.5)
     parent = [None] + [np.searchsorted(keys[d - 1], keys[d] & ((1 << (8 * (d - 1))) - 1)) for d in range(1, depth + 1)]
-    bits = [_bits(c) for c in counts]
-    stop, rest, below = [None] * (depth + 1), [None] * (depth + 1), None
-    for d in range(depth, -1, -1):
-        n0, n1 = bits[d]
-        own = _log_kt(n0, n1)
-        r0, r1, kids = n0.copy(), n1.copy(), np.zeros(n0.shape)
-        inner = np.zeros(len(n0), dtype=bool)
+
+    def left_over(d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Zeros and ones of a context's children that are not kept, and whether any is kept."""
+        rest, inner = counts[d].copy(), np.zeros(len(keys[d]), dtype=bool)
         if d < depth and len(keys[d + 1]):
-            np.add.at(r0, parent[d + 1], -bits[d + 1][0])
-            np.add.at(r1, parent[d + 1], -bits[d + 1][1])
-            np.add.at(kids, parent[d + 1], below)
+            np.add.at(rest, parent[d + 1], -counts[d + 1])
             inner[parent[d + 1]] = True
-        split = half + kids + _log_kt(r0, r1)
+        return *_bits(rest), inner
+
+    stop, below = [None] * (depth + 1), None
+    for d in range(depth, -1, -1):  # one depth's nodes in memory at a time
+        own = _log_kt(*_bits(counts[d]))
+        r0, r1, inner = left_over(d)
+        split = half + _log_kt(r0, r1)
+        if inner.any():
+            np.add.at(split, parent[d + 1], below)
         both = np.logaddexp(half + own, split)
-        stop[d] = np.where(inner[:, None], np.exp(half + own - both), 1.0)
-        rest[d] = (r0, r1)
+        stop[d] = np.where(inner[:, None], np.exp(half + own - both), 1.0).astype(np.float32)
         below = np.where(inner[:, None], both, own)
-    logs, reach, mixed, up = [], np.ones(bits[0][0].shape), np.zeros(bits[0][0].shape), np.full(bits[0][0].shape, 0.5)
+    del below, own, split, both
+    shape = (len(keys[0]), 256)
+    logs, reach, mixed, up = [], np.ones(shape), np.zeros(shape), np.full(shape, 0.5)
     for d in range(depth + 1):
         if d:
             reach, mixed, up = (reach * (1 - stop[d - 1]))[parent[d]], (mixed + reach * stop[d - 1] * up)[parent[d]], up[parent[d]]
-        n0, n1 = bits[d]
+        n0, n1 = _bits(counts[d])
         up = np.where(n0 + n1 > 0, (n1 + 0.5) / (n0 + n1 + 1), up)  # what was never seen here is taken from the shorter context
-        r0, r1 = rest[d]
+        r0, r1, _ = left_over(d)
         other = np.where(r0 + r1 > 0, (r1 + 0.5) / (r0 + r1 + 1), up)
         one = np.clip(mixed + reach * (stop[d] * up + (1 - stop[d]) * other), 1e-12, 1 - 1e-12)
         log = np.zeros((len(one), 256))
@@ -211,14 +215,14 @@ def fit(counts: DataFrame, depth: int, share: float) -> ContextTree:
         k, at = np.unique(own["context"].to_numpy(dtype=np.int64), return_inverse=True)
         if d == 0 and not len(k):
             k = np.zeros(1, dtype=np.int64)
-        t = np.zeros((len(k), 256))
-        t[at, own["symbol"].to_numpy(dtype=np.int64)] = own["n"].to_numpy(dtype=float)
+        t = np.zeros((len(k), 256), dtype=np.int64)
+        t[at, own["symbol"].to_numpy(dtype=np.int64)] = own["n"].to_numpy(dtype=np.int64)
         keys.append(k)
         tables.append(t)
     return weigh(keys, tables)
 
 
-def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 5, share: float = 2.0**-15,
+def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 6, share: float = 2.0**-16,
           word_share: float = 2.0**-20) -> DataFrame:
     """doc_id, training, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte of each row.
 
