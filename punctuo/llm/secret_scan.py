@@ -178,11 +178,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text
     """``docs`` with one more column ``out``: array of (start, order, end, kind), sorted."""
     queries = [trigram_query(r.regex) for r in rules]
     grams = sorted(set().union(*map(trigrams_of, queries)))
-    text, low, present = fresh(docs, "scan_text"), fresh(docs, "scan_low"), fresh(docs, "scan_grams")
+    text, present = fresh(docs, "scan_text"), fresh(docs, "scan_grams")
     df = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
-    df = df.withColumn(low, F.lower(F.col(text)))
     index = F.array(*[F.lit(g) for g in grams]) if grams else F.array().cast("array<string>")
-    df = df.withColumn(present, F.filter(index, lambda g: F.contains(F.col(low), g)))
+    # the one-element array binds the lower-cased text, which is made once and not once per trigram
+    df = df.withColumn(present, F.transform(F.array(F.lower(F.col(text))), lambda low: F.filter(index, lambda g: F.contains(low, g)))[0])
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
     found = [_spans(r, i, F.col(text)) if q is None else
              F.when(_holds(q, F.col(present)), _spans(r, i, F.col(text))).otherwise(none)
@@ -190,7 +190,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text
     # a rule that scans fully still skips the span arithmetic where nothing matches
     found = [F.when(F.col(text).rlike(r.regex), f).otherwise(none) if q is None else f
              for f, r, q in zip(found, rules, queries, strict=True)]
-    return df.withColumn(out, F.array_sort(F.concat(*found))).drop(text, low, present)
+    return df.withColumn(out, F.array_sort(F.concat(*found))).drop(text, present)
 
 
 def span_text(spans: Column) -> Column:
