@@ -26,8 +26,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import unicodedata
-from collections import deque
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,9 @@ from pyspark.sql import functions as F
 PIECES = ("doc_id {id}, start long, ids binary, doc_tokens long, sequence_id long, offset long")
 #: Texts of these characters are lower-cased and split alike by Python and by the tokenizer's normaliser.
 PLAIN = re.compile(r"[\x00-\x7fÀ-įı-ž]*")
-CHUNKS, WORDS = 300_000, 600_000
+#: A lower-case word and marks behind it: the commonest chunk, split without the tokenizer's own pattern.
+WORD_AND_MARKS = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
+CHUNKS, WORDS = 500_000, 500_000
 
 
 class WordTokenizer:
@@ -47,8 +50,8 @@ class WordTokenizer:
 
     White space always ends a word, so the ids of a text are those of its
     white-space chunks in a row; a chunk's ids are those of its words (letters,
-    digits, others). Both levels are remembered, up to a bounded number of
-    entries. Chunks outside the plain Latin repertoire go through the whole
+    digits, others). Both levels are remembered in two generations of bounded
+    size: a full one becomes the old one, and what is used again moves back. Chunks outside the plain Latin repertoire go through the whole
     tokenizer."""
 
     def __init__(self, path: str):
@@ -67,46 +70,61 @@ class WordTokenizer:
         self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.closes[[i for t, i in vocab.items() if re.fullmatch(r"[.!?]+(</w>)?", t)]] = True
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.old_chunks: dict[bytes, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
 
     @staticmethod
     def _pack(ids) -> bytes:
-        return np.asarray(ids, dtype="<u4").tobytes()
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, dtype="<u4").tobytes()
+
+    def _words(self, chunk: bytes) -> list[bytes] | None:
+        """The words of a chunk, None if only the whole tokenizer can tell."""
+        if m := WORD_AND_MARKS.fullmatch(chunk):
+            return [w for w in m.groups() if w]
+        s = chunk.decode("utf-8", "replace")
+        if PLAIN.fullmatch(s) and "<|" not in s and (s.isascii() or unicodedata.is_normalized("NFC", s)):
+            return [w.encode() for w in self.split.findall(s.lower())]
+        return None
 
     def learn(self, chunks: list[bytes]) -> None:
         """Remembers the ids of new chunks; unknown words are encoded in one call."""
         if len(self.chunks) + len(chunks) > CHUNKS:
-            self.chunks.clear()
+            self.chunks, self.old_chunks = {}, self.chunks
         if len(self.words) > WORDS:
-            self.words.clear()
-        parts: list[tuple[bytes, list[str]]] = []
-        new: dict[str, None] = {}
+            self.words, self.old_words = {}, self.words
+        known, before, old = self.words, self.old_words, self.old_chunks
+        parts: list[tuple[bytes, list[bytes]]] = []
+        new: dict[bytes, None] = {}
         for c in chunks:
-            s = c.decode("utf-8", "replace")
-            if PLAIN.fullmatch(s) and "<|" not in s and (s.isascii() or unicodedata.is_normalized("NFC", s)):
-                words = self.split.findall(s.lower())
+            if c in old:
+                self.chunks[c] = old[c]
+            elif (words := self._words(c)) is None:
+                self.chunks[c] = self._pack(self.full.encode(c.decode("utf-8", "replace"), add_special_tokens=False).ids)
+            else:
                 parts.append((c, words))
                 for w in words:
-                    if w not in self.words:
-                        new[w] = None
-            else:
-                self.chunks[c] = self._pack(self.full.encode(s, add_special_tokens=False).ids)
-        names = list(new)
-        for w, e in zip(names, self.word.encode_batch_fast(names, add_special_tokens=False), strict=True):
-            self.words[w] = self._pack(e.ids)
+                    if w not in known:
+                        if w in before:
+                            known[w] = before[w]
+                        else:
+                            new[w] = None
+        for w, e in zip(new, self.word.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
+            known[w] = self._pack(e.ids)
         for c, words in parts:
-            self.chunks[c] = b"".join([self.words[w] for w in words])
+            self.chunks[c] = b"".join([known[w] for w in words])
 
     def append(self, text: bytes, buf: bytearray) -> None:
         """Appends the ids of ``text`` to ``buf``."""
-        chunks, known = text.split(), self.chunks
+        chunks = (text if b"<|" in text else text.lower()).split()  # the tokenizer lowers all but its special tokens
         for at in range(0, len(chunks), CHUNKS // 2):
             part = chunks[at:at + CHUNKS // 2]
-            while True:  # learning may drop what was known: at most once, a part has fewer chunks than are kept
+            while True:  # learning may begin a generation; a part has fewer chunks than one holds, so the next turn finds all
                 try:
-                    buf += b"".join([known[c] for c in part])
+                    buf += b"".join(map(self.chunks.__getitem__, part))
                     break
                 except KeyError:
+                    known = self.chunks
                     self.learn([c for c in set(part) if c not in known])
 
 
@@ -125,36 +143,36 @@ def choose_cuts(total: int, ends: np.ndarray, sentences: np.ndarray, window: int
                 mid_penalty: float, step: int, last: bool) -> list[int]:
     """Cut positions in a stream of ``total`` tokens, ascending, without 0.
 
-    Candidates are document ends, sentence ends and every ``step``-th position.
-    With ``last`` the stream ends here and the cuts reach ``total``; otherwise
-    they stop at the best candidate of the last window."""
+    Candidates are document ends, sentence ends and, in longer sentences, every
+    ``step``-th position. With ``last`` the stream ends here and the cuts reach
+    ``total``; otherwise they stop at the best candidate of the last window."""
     if not total:
         return []
-    grid = np.arange(step, total, step)
-    pos = np.unique(np.concatenate([[0], grid, sentences, ends, [total]]).astype(np.int64))
+    pos = np.unique(np.concatenate([[0], sentences, ends, [total]]).astype(np.int64))
+    more = (np.diff(pos) - 1) // step
+    inner = np.repeat(pos[:-1], more) + step * (np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1)
+    pos = np.sort(np.concatenate([pos, inner]))
     pen = np.full(len(pos), mid_penalty)
-    pen[np.isin(pos, sentences)] = sentence_penalty
-    pen[np.isin(pos, ends)] = 0.0
-    p, q = pos.tolist(), pen.tolist()
+    pen[np.searchsorted(pos, sentences)] = sentence_penalty
+    pen[np.searchsorted(pos, ends)] = 0.0
+    p, cost = pos.tolist(), (pen + window).tolist()
     n = len(p)
-    f, came = [0.0] * n, [0] * n
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # g rising, positions rising
+    g, came = [0.0] * n, [0] * n  # g(i) = f(i) + p_i, so the transition is g(i) = penalty + window + min g(j)
+    queue, head = [0], 0  # positions rising, g rising
     for i in range(1, n):
-        at = p[i]
-        while p[queue[0][1]] < at - window:
-            queue.popleft()
-        best, j = queue[0]
-        f[i] = q[i] + window - at + best
-        came[i] = j
-        g = f[i] + at
-        while queue and queue[-1][0] >= g:
+        low = p[i] - window
+        while p[queue[head]] < low:
+            head += 1
+        came[i] = j = queue[head]
+        g[i] = v = cost[i] + g[j]
+        while len(queue) > head and g[queue[-1]] >= v:
             queue.pop()
-        queue.append((g, i))
-    near = [i for i in range(n) if p[i] >= total - window]
-    if last:
-        i = min(near[:-1] or near, key=lambda i: (f[i], -p[i])) if n > 1 else 0  # the rest is cut at powers of two
+        queue.append(i)
+    near = range(int(np.searchsorted(pos, total - window)), n)
+    if last:  # the rest is cut at powers of two, without padding
+        i = min(near[:-1] or near, key=lambda i: (g[i] - p[i], -p[i]))
     else:
-        i = min(near, key=lambda i: (f[i] + total - p[i], -p[i]))
+        i = min(near, key=lambda i: (g[i] - 2 * p[i], -p[i]))
     end, cuts = p[i], []
     while i:
         cuts.append(p[i])
@@ -170,7 +188,7 @@ def choose_cuts(total: int, ends: np.ndarray, sentences: np.ndarray, window: int
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 2048,
-         end_id: int = 1, sentence_penalty: float = 12.0, mid_penalty: float = 48.0, step: int = 32,
+         end_id: int = 1, sentence_penalty: float = 12.0, mid_penalty: float = 48.0, step: int = 64,
          block_tokens: int = 1 << 18) -> DataFrame:
     """One row per piece: doc_id, start (the document's ids before it), ids
     (little-endian unsigned 32-bit), doc_tokens (with the end id), sequence_id,
