@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 # --- fixed values: these must equal the surveyed application's -------------
@@ -83,14 +83,15 @@ class Params:
     max_iter: int = MAX_ITER
     learning_rate: float = LEARNING_RATE
     max_depth: int = 5
+    # share of the training days that decides when boosting stops; 0: all rounds
+    validation_share: float = 0.1
+    validation_tol: float = 0.001
     importance_rows: int = IMPORTANCE_ROWS
     importance_repeats: int = IMPORTANCE_REPEATS
-    exact_quantiles: bool = True
     # largest dimension / aggregate (in rows) that may be broadcast
     broadcast_max_rows: int = 2_000_000
     categorical: tuple = CATEGORICAL
     feature_steps: tuple = FEATURE_STEPS
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

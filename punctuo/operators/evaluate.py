@@ -46,15 +46,15 @@ def hash_sample(df: DataFrame, key: str, k: int, seed: int = C.SEED, oversample:
     task (k × partitions rows at scale). Here rows are first filtered by a hash
     threshold that keeps ≈ ``oversample`` · k rows; every dropped row hashes
     above every kept one, so the top-k of the kept rows is the global top-k."""
-    n = df.count()
     h = F.xxhash64(F.col(key), F.lit(seed))
-    if n > k:
-        p = min(1.0, oversample * k / n)
-        cut = int(-(2 ** 63) + p * (2 ** 64 - 1))
-        cand = df.filter(h < F.lit(cut))
-        if cand.count() >= k:
-            df = cand
-    return df.orderBy(h, F.col(key)).limit(k)
+    n = df.count()
+    cut = -(2 ** 63) + int(min(1.0, oversample * k / max(n, 1)) * 2 ** 64) - 1
+    # hashes at or below the cut; the k-th smallest lies beyond it only by the rare chance that the count shows
+    near = df.filter(h <= F.lit(min(cut, 2 ** 63 - 1)))
+    while cut < 2 ** 63 - 1 and near.limit(k).count() < k:
+        cut = min(cut + 2 ** 62, 2 ** 63 - 1)
+        near = df.filter(h <= F.lit(cut))
+    return near.orderBy(h, F.col(key)).limit(k)
 
 
 def split_for_model(df: DataFrame, method: str = "days", test_share: float = C.TEST_SHARE, seed: int = C.SEED,

@@ -26,6 +26,14 @@ def first_per_key(dim: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
                .filter(F.col("_rn") == 1).drop("_rn"))
 
 
+def one_per_key(dim: DataFrame, key: str) -> DataFrame:
+    """The rows with a key, checked at run time: a key with a second row raises."""
+    rows = F.count(F.lit(1)).over(Window.partitionBy(key))
+    problem = F.concat(F.lit(f"more than one row for {key} "), F.col(key).cast("string"))
+    kept = dim.filter(F.col(key).isNotNull()).withColumn("_rows", rows)
+    return kept.filter(F.when(F.col("_rows") == 1, F.lit(True)).otherwise(F.raise_error(problem).cast("boolean"))).drop("_rows")
+
+
 def _side(dim: DataFrame, key: str, attrs: Sequence[str], order: Sequence[str], tag: str) -> DataFrame:
     d = first_per_key(dim, key, order)
     return d.select(F.col(key).alias(f"_{tag}_key"), *[F.col(a).alias(f"_{tag}_{a}") for a in attrs])
@@ -145,8 +153,9 @@ def with_distance(dim: DataFrame, is_home, order, lat: str = "lat", lon: str = "
 
 def attach_daily(fact: DataFrame, daily: DataFrame, day: str = "day", params: Params = DEFAULTS) -> DataFrame:
     """J5 + C20: each row gets its day's conditions (left join, checked broadcast
-    of the one-row-per-day table) and the frost flag."""
-    d = sized_broadcast(materialize(first_per_key(daily, day, [day])), params.broadcast_max_rows)
+    of the one-row-per-day table) and the frost flag. A day with two rows is an
+    error in the daily table: the query fails instead of taking either row."""
+    d = sized_broadcast(materialize(one_per_key(daily, day)), params.broadcast_max_rows)
     cols = [c for c in d.columns if c != day]
     out = fact.join(d, day, "left").select(*fact.columns, *cols)
     return out.withColumn("frost", X.frost_flag("tmin")) if "tmin" in cols else out

@@ -28,6 +28,14 @@ from punctuo.operators import features as FE
 from punctuo.operators.util import materialize
 
 
+VALIDATION = "_validation"
+
+
+def _stopping(params: Params) -> dict:
+    """Early stopping: ``max_iter`` rounds are an upper bound, as in the surveyed learner."""
+    return {"validationIndicatorCol": VALIDATION, "validationTol": params.validation_tol} if params.validation_share > 0 else {}
+
+
 def ladder_columns(params: Params = DEFAULTS) -> list[tuple[str, list[str]]]:
     """M2: cumulative feature sets, one per step."""
     out, cols = [], []
@@ -70,6 +78,8 @@ def _fit(train: DataFrame, cols: Sequence[str], estimator, label: str, params: P
     head = Pipeline(stages=[VectorAssembler(inputCols=_features(cols, params), outputCol="features",
                                             handleInvalid="keep"), estimator])
     ready = prep.transform(prepare(train, cols, params)).filter(F.col(label).isNotNull())
+    if params.validation_share > 0:
+        ready = with_validation(ready, params)
     return PipelineModel(stages=list(prep.stages) + list(head.fit(ready).stages))
 
 
@@ -89,6 +99,12 @@ def prepare(df: DataFrame, cols: Sequence[str], params: Params = DEFAULTS) -> Da
     return df.withColumns(extra)
 
 
+def with_validation(df: DataFrame, params: Params = DEFAULTS, day: str = "day") -> DataFrame:
+    """Marks ``validation_share`` of the training days (by hash): boosting stops once they no longer improve."""
+    part = F.pmod(F.xxhash64(F.col(day).cast("string"), F.lit(params.seed)), F.lit(1000))
+    return df.withColumn(VALIDATION, part < F.lit(int(1000 * params.validation_share)))
+
+
 def _max_bins(params: Params) -> int:
     return max(32, params.max_categories + 2)
 
@@ -96,7 +112,7 @@ def _max_bins(params: Params) -> int:
 def fit_classifier(train: DataFrame, cols: Sequence[str], params: Params = DEFAULTS,
                    prep: PipelineModel | None = None) -> PipelineModel:
     """M6: gradient-boosted classifier on one feature set (``prep`` shared if given)."""
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=params.max_iter,
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=params.max_iter, **_stopping(params),
                         stepSize=params.learning_rate, maxDepth=params.max_depth, maxBins=_max_bins(params),
                         seed=params.seed)
     return _fit(train, cols, gbt, "label", params, prep)
@@ -105,7 +121,7 @@ def fit_classifier(train: DataFrame, cols: Sequence[str], params: Params = DEFAU
 def fit_regressor(train: DataFrame, cols: Sequence[str], params: Params = DEFAULTS,
                   prep: PipelineModel | None = None) -> PipelineModel:
     """M7: minutes model on the clipped label."""
-    gbt = GBTRegressor(featuresCol="features", labelCol="label_min", maxIter=params.max_iter,
+    gbt = GBTRegressor(featuresCol="features", labelCol="label_min", maxIter=params.max_iter, **_stopping(params),
                        stepSize=params.learning_rate, maxDepth=params.max_depth, maxBins=_max_bins(params),
                        seed=params.seed)
     return _fit(train, cols, gbt, "label_min", params, prep)

@@ -281,8 +281,10 @@ def heat_grid(df: DataFrame, min_n: int, hours: Sequence[int] = tuple(range(6, 2
 
 
 def top_groups(df: DataFrame, key: str, min_n: int, top: int, exact: bool = True) -> DataFrame:
-    """A1d + T1: the ``top`` largest groups (ties by key) with their summary."""
-    return summary(df, key, min_n, exact=exact).orderBy(F.desc("n"), F.asc(key)).limit(top)
+    """A1d + T1: the ``top`` largest groups (ties by key) with their summary, and
+    ``late_rank``, their place when sorted by % late (ties by key)."""
+    t = summary(df, key, min_n, exact=exact).orderBy(F.desc("n"), F.asc(key)).limit(top)
+    return t.withColumn("late_rank", F.row_number().over(Window.orderBy(F.desc("late_pct"), F.asc(key)))).orderBy("late_rank")
 
 
 def ranked(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

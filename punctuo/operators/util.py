@@ -7,13 +7,27 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctuo.session import ensure_checkpoint_dir
 
 
+#: No broadcast side may have more bytes than this (texts as stored, 16 for any other value).
+MAX_BROADCAST_BYTES = 512 << 20
+
+
+def _row_bytes(df: DataFrame):
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = F.lit(16 * (len(df.columns) + 1)).cast("long")
+    for t in texts:
+        size = size + t
+    return size
+
+
 def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size proof: at most ``max_rows`` rows (reads ≤ max_rows + 1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Bounded size proof: at most ``max_rows`` rows (reads ≤ max_rows + 1 rows) of at most ``MAX_BROADCAST_BYTES`` bytes."""
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return n <= max_rows and size <= MAX_BROADCAST_BYTES
 
 
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -27,19 +41,15 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if fits_rows(df, max_rows) else df
 
 
-SMALL_PARTITIONS = 8
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Keep a SMALL table (a per-(day, hour) or per-day table, a dimension, a
     top list, a bounded sample) that is size-checked and then broadcast:
     computed once, reused by the join.
 
-    It is coalesced to a few partitions first (a cached plan keeps the shuffle
-    partition count of the session, e.g. 200 or 100 000 near-empty tasks).
-    Lost blocks are recomputed from lineage, and once broadcast the table no
+    Its partitions are left to AQE, which merges small ones in cached plans too,
+    so the stage that reduces the large side keeps all its tasks. Lost blocks are recomputed from lineage, and once broadcast the table no
     longer depends on executors, so executor loss is harmless."""
-    return df.coalesce(SMALL_PARTITIONS).persist(StorageLevel.MEMORY_AND_DISK)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def persist_table(df: DataFrame) -> DataFrame:

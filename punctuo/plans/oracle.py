@@ -257,9 +257,10 @@ SELECT spine.weekday, {_names('spine.weekday', C.WEEKDAY_NAMES, 0)} AS weekday_n
 FROM spine LEFT JOIN g USING (weekday)""")
 
 ORACLE["compare_groups"] = sql([FOR], f"""
-SELECT * FROM (SELECT airline, {summary_cols()} FROM flights_or WHERE airline IS NOT NULL
-               GROUP BY airline HAVING count(*) >= 100)
-ORDER BY n DESC, airline LIMIT 12""")
+SELECT *, CAST(row_number() OVER (ORDER BY late_pct DESC, airline) AS INTEGER) AS late_rank
+FROM (SELECT * FROM (SELECT airline, {summary_cols()} FROM flights_or WHERE airline IS NOT NULL
+                     GROUP BY airline HAVING count(*) >= 100)
+      ORDER BY n DESC, airline LIMIT 12)""")
 
 
 def _timeline(src: str, bucket: str, rolling: bool) -> str:
@@ -481,16 +482,16 @@ ORACLE["cond_means"] = sql([FEV, WEV, _HL], f"""dl AS (SELECT day, count(*) AS d
 f AS (SELECT f.*, hl.hour_load, dl.day_load, w.wpgt, COALESCE(w.tmin < 0.0::DOUBLE, false) AS frost
       FROM flights_ev f LEFT JOIN hl USING (day, hour) LEFT JOIN weather_ev w USING (day) LEFT JOIN dl USING (day)),
 m AS (SELECT median(day_load) AS med FROM dl)
-SELECT {_share(f"direction = 'departure' AND hour_load > {Q.BUSY_HOUR}", 'late_pct_busy_hours')},
-       {_share(f"direction = 'departure' AND hour_load <= {Q.QUIET_HOUR}", 'late_pct_quiet_hours')},
-       {_share(f"day_load > (SELECT med FROM m) AND wpgt >= {Q.STORM_GUST}::DOUBLE", 'late_pct_busy_storm')},
-       {_share(f"NOT (day_load > (SELECT med FROM m)) AND wpgt < {Q.CALM_GUST}::DOUBLE", 'late_pct_quiet_calm')},
+SELECT {_share(f"direction = 'departure' AND hour_load > (SELECT avg(hour_load) FROM f) * 1.1::DOUBLE", 'late_pct_busy_hours')},
+       {_share(f"direction = 'departure' AND hour_load <= (SELECT avg(hour_load) FROM f) * 0.9::DOUBLE", 'late_pct_quiet_hours')},
+       {_share(f"day_load > (SELECT med FROM m) AND wpgt >= (SELECT round(avg(wpgt), 6) FROM weather_ev) * 1.1::DOUBLE", 'late_pct_busy_storm')},
+       {_share(f"NOT (day_load > (SELECT med FROM m)) AND wpgt < (SELECT round(avg(wpgt), 6) FROM weather_ev) * 0.9::DOUBLE", 'late_pct_quiet_calm')},
        {_share('frost', 'late_pct_frost')}, {_share('NOT frost', 'late_pct_no_frost')}
 FROM f""")
 
 ORACLE["mean_of_day_shares"] = sql([FEV, WEV, _DAYS], f"""
-SELECT {R(f"avg(CASE WHEN wpgt >= {Q.STORM_GUST}::DOUBLE THEN CAST(n_late AS DOUBLE) / CAST(n AS DOUBLE) END) * 100.0::DOUBLE", 'storm_day_late_pct')},
-       {R(f"avg(CASE WHEN wpgt < {Q.CALM_GUST}::DOUBLE THEN CAST(n_late AS DOUBLE) / CAST(n AS DOUBLE) END) * 100.0::DOUBLE", 'calm_day_late_pct')}
+SELECT {R(f"avg(CASE WHEN wpgt >= (SELECT round(avg(wpgt), 6) FROM weather_ev) * 1.1::DOUBLE THEN CAST(n_late AS DOUBLE) / CAST(n AS DOUBLE) END) * 100.0::DOUBLE", 'storm_day_late_pct')},
+       {R(f"avg(CASE WHEN wpgt < (SELECT round(avg(wpgt), 6) FROM weather_ev) * 0.9::DOUBLE THEN CAST(n_late AS DOUBLE) / CAST(n AS DOUBLE) END) * 100.0::DOUBLE", 'calm_day_late_pct')}
 FROM dt""")
 
 ORACLE["delay_histogram"] = sql([FEV], """c AS (

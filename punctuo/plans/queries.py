@@ -29,10 +29,11 @@ from punctuo.sources import bindings as B
 
 # --- parameters of the test-table bindings (FIXTURES.md §B) -----------------
 YEAR_A, YEAR_B = 1999, 2000
-LOAD_EDGES_EV = (0, 10, 12, 14, 16, 20, 100)
-GUST_EDGES_EV = (0, 150, 200, 250, 1000)
-BUSY_HOUR, QUIET_HOUR = 20, 12
-STORM_GUST, CALM_GUST = 250.0, 200.0
+LOAD_EDGES_EV = (0, 10, 12, 14, 16, 20, 100, 120, 140, 160, 1_000_000_000)
+GUST_EDGES_EV = (0, 150, 200, 250, 300, 350, 400, 1_000_000_000)
+# busy and quiet hours, stormy and calm days: so much of the mean hour load and of the mean daily gust
+BUSY_SHARE, QUIET_SHARE = 1.1, 0.9
+STORM_SHARE, CALM_SHARE = 1.1, 0.9
 BAD_RAIN_FROM_EV = "2024-01-21"
 PLACE_MONTHS = ("1995-01-01", "2001-08-01")
 PERIODS = {"jul-sep": (7, 8, 9), "dec": (12,), "from-apr": tuple(range(4, 13))}
@@ -399,6 +400,11 @@ def worst_days(spark, sf_dir):
     return RP.ranked(d, [F.desc("late_pct"), F.asc("day")], 10)
 
 
+def _mean_gust(spark, sf_dir):
+    """Mean daily gust, rounded so that no comparison hangs on the last bit of a sum."""
+    return B.weather_ev(spark, sf_dir).select(F.round(F.avg("wpgt"), 6)).scalar()
+
+
 @query
 def cond_means(spark, sf_dir):
     """Conditional % late over rows (hour load, busy ∧ storm, frost) in one pass."""
@@ -408,11 +414,13 @@ def cond_means(spark, sf_dir):
     f = f.join(sized_broadcast(materialize(days), DEFAULTS.broadcast_max_rows), "day", "left")
     busy_day = F.col("day_load") > med
     g = F.col("wpgt")
+    load = f.select(F.avg("hour_load")).scalar()
+    gust = _mean_gust(spark, sf_dir)
     return rounded(f.agg(
-        RP.conditional_share((F.col("direction") == "departure") & (F.col("hour_load") > BUSY_HOUR)).alias("late_pct_busy_hours"),
-        RP.conditional_share((F.col("direction") == "departure") & (F.col("hour_load") <= QUIET_HOUR)).alias("late_pct_quiet_hours"),
-        RP.conditional_share(busy_day & (g >= STORM_GUST)).alias("late_pct_busy_storm"),
-        RP.conditional_share(~busy_day & (g < CALM_GUST)).alias("late_pct_quiet_calm"),
+        RP.conditional_share((F.col("direction") == "departure") & (F.col("hour_load") > load * BUSY_SHARE)).alias("late_pct_busy_hours"),
+        RP.conditional_share((F.col("direction") == "departure") & (F.col("hour_load") <= load * QUIET_SHARE)).alias("late_pct_quiet_hours"),
+        RP.conditional_share(busy_day & (g >= gust * STORM_SHARE)).alias("late_pct_busy_storm"),
+        RP.conditional_share(~busy_day & (g < gust * CALM_SHARE)).alias("late_pct_quiet_calm"),
         RP.conditional_share(F.col("frost")).alias("late_pct_frost"),
         RP.conditional_share(~F.col("frost")).alias("late_pct_no_frost"),
     ))
@@ -423,8 +431,9 @@ def mean_of_day_shares(spark, sf_dir):
     """Unweighted mean of per-day % late for stormy and calm days."""
     f = LK.attach_daily(B.flights_ev(spark, sf_dir), B.weather_ev(spark, sf_dir))
     d = _day_table(f).withColumn("share", F.col("n_late") / F.col("n"))
-    return rounded(d.agg((F.avg(F.when(F.col("wpgt") >= STORM_GUST, F.col("share"))) * 100).alias("storm_day_late_pct"),
-                         (F.avg(F.when(F.col("wpgt") < CALM_GUST, F.col("share"))) * 100).alias("calm_day_late_pct")))
+    gust = _mean_gust(spark, sf_dir)
+    return rounded(d.agg((F.avg(F.when(F.col("wpgt") >= gust * STORM_SHARE, F.col("share"))) * 100).alias("storm_day_late_pct"),
+                         (F.avg(F.when(F.col("wpgt") < gust * CALM_SHARE, F.col("share"))) * 100).alias("calm_day_late_pct")))
 
 
 # ------------------------------------------------------------------ delay distribution
@@ -603,12 +612,16 @@ def format_report(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ models (rows-only checks)
-# The operator default is 120 boosting rounds; the registered queries use 10 so
-# that the whole registry runs in minutes on one machine.
-MODEL_PARAMS = DEFAULTS.with_(max_iter=10)
+# Up to 120 boosting rounds; a tenth of the training days decides when to stop.
+MODEL_PARAMS = DEFAULTS
 _FITTED: dict = {}
 
 
+def _model_key(spark, sf_dir, params) -> tuple:
+    """A fitted model belongs to one session, one folder and all parameters."""
+    return spark.sparkContext.applicationId, sf_dir, params
+
+
 def model_table(spark, sf_dir) -> DataFrame:
     """M1: flights_ev + load/day/previous-hour features + place + daily weather."""
     f = FE.add_load_features(B.flights_ev(spark, sf_dir))
@@ -637,7 +650,7 @@ _SPLITS: dict = {}
 
 
 def _split_cached(spark, sf_dir, params=MODEL_PARAMS):
-    key = (sf_dir, params.seed, params.test_share, params.max_categories)
+    key = _model_key(spark, sf_dir, params)
     if key not in _SPLITS:
         _SPLITS[key] = _split_model_table(spark, sf_dir, params)
     return _SPLITS[key]
@@ -646,7 +659,7 @@ def _split_cached(spark, sf_dir, params=MODEL_PARAMS):
 def _fitted(spark, sf_dir, params=MODEL_PARAMS):
     """Fit once per (data, parameters) in this process; later queries reuse it."""
     from punctuo.operators import predict as PD
-    key = (sf_dir, params.max_iter, params.max_depth, params.seed)
+    key = _model_key(spark, sf_dir, params)
     if key not in _FITTED:
         train, test = _split_cached(spark, sf_dir, params)
         models, rows, prep = PD.ladder(train, test, params)

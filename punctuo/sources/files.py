@@ -39,12 +39,21 @@ def string_schema(names: Sequence[str]) -> T.StructType:
 def read_flights_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Header CSV, UTF-8 (BOM stripped by the reader), every column a string.
 
-    With ``columns`` the schema is explicit; otherwise the header names are used
-    and all columns stay strings (``inferSchema`` is never switched on)."""
-    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST")
-    if columns is not None:
-        reader = reader.schema(string_schema(columns))
-    return reader.csv(path)
+    Columns are bound by their header names (``inferSchema`` is never switched
+    on): those named in ``columns`` come first and must be there, others pass
+    through behind them. An empty cell is '' (the cleaning makes it NULL), as in
+    the archives."""
+    raw = spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST").csv(path)
+    return by_name(raw, columns).na.fill("")
+
+
+def by_name(raw: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    """The wanted columns by name, then the others; a missing one is an error."""
+    if columns is None:
+        return raw
+    if missing := [c for c in columns if c not in raw.columns]:
+        raise ValueError(f"columns missing from the file: {missing}; it has {raw.columns}")
+    return raw.select(*[F.col(f"`{c}`") for c in [*columns, *[c for c in raw.columns if c not in columns]]])
 
 
 def _unzip_batches(batches: Iterator[pd.DataFrame], columns: Sequence[str]) -> Iterator[pd.DataFrame]:
@@ -100,9 +109,20 @@ def read_airports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    """Daily weather CSV with a typed schema (``date`` as DATE)."""
-    return (spark.read.schema(WEATHER_SCHEMA).option("header", True).option("dateFormat", "yyyy-MM-dd")
-            .option("mode", "FAILFAST").csv(path))
+    """Daily weather CSV, columns bound by header name and cast strictly
+    (``date`` as DATE, the others as numbers): a value that is no date or number
+    fails the query. Columns beyond the known ones pass through as strings."""
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    raw = by_name(raw, [f.name for f in WEATHER_SCHEMA.fields])
+
+    def strict(name: str, kind: T.DataType):
+        c = F.col(f"`{name}`")
+        value = F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date") if isinstance(kind, T.DateType) else c.try_cast(kind)
+        wrong = F.raise_error(F.concat(F.lit(f"weather file, column {name}: not a value of its type: "), c)).cast(kind)
+        return F.when(c.isNull() | value.isNotNull(), value).otherwise(wrong).alias(name)
+
+    kinds = {f.name: f.dataType for f in WEATHER_SCHEMA.fields}
+    return raw.select(*[strict(c, kinds[c]) if c in kinds else F.col(f"`{c}`") for c in raw.columns])
 
 
 def clean_weather(weather: DataFrame, bad_from: str = C.BAD_RAIN_FROM) -> DataFrame:

@@ -8,9 +8,9 @@ ACROSS micro-batches (``dropDuplicatesWithinWatermark`` on the prepared raw
 columns, state bounded by a watermark on the planned time). Each micro-batch
 then goes through the batch operators in ``foreachBatch`` (exact
 de-duplication inside the batch, broadcast place and weather lookups) and is
-appended by year. Progress (which files were read)
-lives in the checkpoint location, so a restarted or failed query resumes
-without reading a file twice. Hour and day load and the previous-hour delay
+appended by year. Every batch is written under
+its own ``batch_id`` folder, so a batch that is retried replaces its first try.
+Progress (which files were read) lives in the checkpoint location. Hour and day load and the previous-hour delay
 depend on whole days and are derived from the written table, not per batch.
 """
 
@@ -37,7 +37,7 @@ def start_ingest(spark: SparkSession, source_dir: str, columns: Sequence[str], p
 
     ``checkpoint`` must be a shared, durable folder (e.g. under the cluster's
     ``spark.checkpoint.dir``)."""
-    stream = (spark.readStream.schema(string_schema(columns)).option("header", True)
+    stream = (spark.readStream.schema(string_schema(columns)).option("header", True).option("enforceSchema", False)
               .option("maxFilesPerTrigger", max_files_per_trigger).csv(source_dir))
     if lateness:
         prepared = CL.prepare_raw(stream)
@@ -51,7 +51,8 @@ def start_ingest(spark: SparkSession, source_dir: str, columns: Sequence[str], p
         c = c.drop("_code_in_a", "_code_in_b")
         if daily is not None:
             c = LK.attach_daily(c, daily, params=params)
-        c.write.mode("append").partitionBy("year").parquet(out_path)
+        # a batch that is retried replaces what its first try has written
+        c.write.mode("overwrite").partitionBy("year").parquet(f"{out_path}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

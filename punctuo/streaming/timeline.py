@@ -43,7 +43,7 @@ def start_daily_timeline(spark: SparkSession, source_dir: str, columns: Sequence
                          checkpoint: str, params: Params = DEFAULTS, lateness: str = "2 days",
                          available_now: bool = True):
     """Start the stream (append mode to Parquet); returns the ``StreamingQuery``."""
-    stream = spark.readStream.schema(string_schema(columns)).option("header", True).csv(source_dir)
+    stream = spark.readStream.schema(string_schema(columns)).option("header", True).option("enforceSchema", False).csv(source_dir)
     out = daily_timeline(daily_rows(stream, params, lateness))
     writer = (out.writeStream.outputMode("append").format("parquet").option("path", out_path)
               .option("checkpointLocation", checkpoint))
