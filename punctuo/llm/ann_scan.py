@@ -1,9 +1,9 @@
 """Approximate nearest neighbours by an adaptive dimension scan.
 
-A bounded sample of rows fits the coarse lists (k-means) and nothing else. All
-rows are rotated by a fixed random rotation and filed under their nearest
+A bounded sample of rows fits the coarse lists (k-means) and tells how many of
+them hold the wanted share of a query's neighbours. All rows are rotated by a fixed random rotation and filed under their nearest
 centre; a long list is cut into parts of about ``block`` rows, so a list never
-meets in one task. A query probes its ``probes`` nearest lists. In each part
+meets in one task. A query probes that many nearest lists. In each part
 the rotated vectors are read in column blocks: after d of D dimensions the
 partial distance, scaled by D/d, is tested against the k-th distance known so
 far times ``(1 + slack / sqrt(d))``; a candidate that fails is abandoned. The
@@ -54,6 +54,19 @@ def nearest(x: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def probes_for(recall: float, x: np.ndarray, centres: np.ndarray, k: int, asked: int = 256) -> int:
+    """Lists to probe so that a share ``recall`` of the true neighbours inside the sample ``x`` is in one of them."""
+    q = x[:asked]
+    order = nearest(q, centres, len(centres))
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(len(centres))[None, :], axis=1)
+    d = (x**2).sum(1) - 2 * q @ x.T
+    d[np.arange(len(q)), np.arange(len(q))] = np.inf
+    near = np.argpartition(d, min(k, len(x) - 1) - 1, axis=1)[:, :k] if len(x) > 1 else np.zeros((len(q), 1), dtype=np.int64)
+    own = nearest(x, centres, 1)[:, 0]
+    return int(np.quantile(np.take_along_axis(place, own[near], 1), recall, method="higher")) + 1
+
+
 def rotation(dims: int, seed: int = 7) -> np.ndarray:
     return np.linalg.qr(np.random.default_rng(seed).standard_normal((dims, dims)))[0]
 
@@ -106,7 +119,7 @@ def _group(k: int, columns: int, slack: float):
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", max_fit: int = 20_000,
-           max_lists: int = 1024, probe_share: float = 0.25, columns: int = 16, slack: float = 2.1, block: int = 4096,
+           max_lists: int = 1024, recall: float = 0.96, columns: int = 16, slack: float = 2.1, block: int = 4096,
            query_block: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance) of the nearest rows found for each row of ``queries``."""
     spark = vectors.sparkSession
@@ -116,8 +129,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     dims = int(sample.map(len).mode().iloc[0]) if len(sample) else 0
     x = np.stack([v for v in sample if len(v) == dims]).astype(np.float64) if len(sample) else np.zeros((0, 0))
     n_lists = max(1, min(max_lists, round(n**0.5 / 4), len(x)))
-    probes = max(1, min(n_lists, round(n_lists * probe_share) + 3))
-    centres = spark.sparkContext.broadcast(fit_centres(x, n_lists) if len(x) else x)
+    fitted = fit_centres(x, n_lists) if len(x) else x
+    probes = probes_for(recall, x, fitted, k) if len(x) else 1
+    centres = spark.sparkContext.broadcast(fitted)
 
     def lists(count: int):
         @F.pandas_udf("array<int>")
