@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctuo.llm import vectors as V
+from punctuo.operators.evaluate import hash_sample
 from punctuo.operators.util import checkpoint_table
 
 FOUND = "query_id long, query_key long, vec_id long, copies long, score double"
@@ -125,7 +126,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     spark = vectors.sparkSession
     rows = checkpoint_table(V.valid(vectors, id_col, vec_col, keep_zero=False))
     n = rows.count()
-    sample = rows.select("vec").orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(max_fit).toPandas()["vec"]
+    sample = hash_sample(rows.select("vec_id", "vec"), "vec_id", max_fit).toPandas()["vec"]
     dims = int(sample.map(len).mode().iloc[0]) if len(sample) else 0
     x = np.stack([v for v in sample if len(v) == dims]).astype(np.float64) if len(sample) else np.zeros((0, 0))
     n_lists = max(1, min(max_lists, round(n**0.5 / 4), len(x)))

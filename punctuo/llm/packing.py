@@ -42,7 +42,7 @@ PIECES = ("doc_id {id}, start long, ids binary, doc_tokens long, sequence_id lon
 PLAIN = re.compile(r"[\x00-\x7fÀ-įı-ž]*")
 #: A lower-case word and marks behind it: the commonest chunk, split without the tokenizer's own pattern.
 WORD_AND_MARKS = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
-CHUNKS, WORDS = 500_000, 500_000
+CHUNKS, WORDS = 350_000, 400_000
 
 
 class WordTokenizer:

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctuo.operators.evaluate import hash_sample
+
 FEATURES = ("log_bytes", "words", "word_length", "distinct", "top_word", "same_next", "upper", "upper_words", "digits", "marks",
             "symbols", "pipes", "line_words", "distinct_lines", "stops", "long_words", "marked_words", "non_ascii", "distinct_pairs",
             "ends")
@@ -168,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     ``labels`` are small keys; the rows are picked before any text is joined."""
     y = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("y")).filter("doc_id is not null and y is not null")
-    y = y.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit)
+    y = hash_sample(y.groupBy("doc_id").agg(F.max("y").alias("y")), "doc_id", max_fit)
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = d.join(F.broadcast(y), "doc_id")  # at most max_fit rows of two numbers
     rows = feature_frame(rows, "doc_id", "text", "y").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(max_fit).toPandas()
