@@ -10,11 +10,10 @@ shards of bounded size: a suffix array by prefix doubling that only re-sorts
 unsorted groups (Larsson-Sadakane), common prefixes by Kasai's scan, run in many
 lanes at once, and classes of equal strings read off the common prefixes.
 
-Shards need no merging, except where one anchor has more segments than a shard
-holds. Then every segment is compared with one pivot segment of the anchor: what
-it shares with the pivot is settled there, and a string that reaches beyond can
-only be shared with segments that leave the pivot at the same byte in the same
-way, so these form the next, smaller groups (``split``), until all fit a shard.
+Shards need no merging, except where more than ``most`` documents have one
+anchor. Such a group would be cut into many shards, each to be searched for the
+others' strings; instead of that search the group's strings are merged by two
+64-bit hashes in one distributed count, which stays linear in the group.
 
 Strings are judged on the input; overlapping strings are all removed. Defined
 results: null text is an empty text; texts shorter than ``length`` lose nothing;
@@ -24,7 +23,6 @@ may be null or repeated; empty table: no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctuo.llm import near_sets as N
+from punctuo.llm.prefilter import likely
 from punctuo.operators.util import checkpoint_table
 
 SHARD = 1 << 20
@@ -42,85 +41,115 @@ STRIP = 1 << 22
 
 
 # ---------------------------------------------------------------- anchors
-def anchors_of(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors: of each ``length``-byte string, the first gram with the smallest hash."""
+def _eights(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, zeros behind the end."""
+    wide = np.concatenate([text, np.zeros(8, dtype=np.uint8)]).astype(np.uint64)
+    out = np.zeros(len(text), dtype=np.uint64)
+    for j in range(8):
+        out = (out << np.uint64(8)) | wide[j:j + len(text)]
+    return out
+
+
+class Hashes:
+    """64-bit hashes of any strings of at least eight bytes in a text, from running sums over mixed runs of eight."""
+
+    def __init__(self, eights: np.ndarray, salt: int):
+        up, self.down = N._powers(len(eights) + 1)
+        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(N.mix(eights ^ np.uint64(salt)) * up[:len(eights)], dtype=np.uint64)])
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return N.mix((self.sums[end - 7] - self.sums[begin]) * self.down[begin] + (end - begin).astype(np.uint64))
+
+
+def _winnow(h: np.ndarray, wide: int) -> np.ndarray:
+    """Places of the smallest of every ``wide`` neighbours (the first of equal ones), by minima from both ends of blocks of that size."""
+    m = len(h)
+    v = (h & ~_PLACE) | np.arange(m, dtype=np.uint64)
+    blocks = np.concatenate([v, np.full(-m % wide, np.iinfo(np.uint64).max, dtype=np.uint64)]).reshape(-1, wide)
+    left = np.minimum.accumulate(blocks, axis=1).ravel()
+    right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    low = np.minimum(right[:m - wide + 1], left[wide - 1:m])
+    return (low[np.concatenate([[True], low[1:] != low[:-1]])] & _PLACE).astype(np.int64)
+
+
+def anchors_of(text: bytes, length: int, gram: int) -> list[np.ndarray]:
+    """Columns (anchor, segment (two hashes), left, right, begin, at, end) of the anchors of a text: in each string of
+    ``length`` bytes, the first gram with the smallest hash. 0 in left and right: the text ends before."""
     b = np.frombuffer(text, dtype=np.uint8)
-    if len(b) < length:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    wide, places, hashes = length - gram + 1, [], []
-    for at in range(0, len(b) - length + 1, STRIP):  # strips of a very long text overlap by a string
-        part = b[at:at + STRIP + length - 1]
-        up, down = N._powers(len(part) + 1)
-        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], dtype=np.uint64)])
-        m = len(part) - gram + 1
-        h = N.mix((sums[gram:] - sums[:-gram]) * down[:m])
-        v = (h & ~_PLACE) | np.arange(m, dtype=np.uint64)
-        # smallest of every ``wide`` neighbours: running minima from both ends of blocks of that size
-        pad = np.full(-m % wide, np.iinfo(np.uint64).max, dtype=np.uint64)
-        blocks = np.concatenate([v, pad]).reshape(-1, wide)
-        left = np.minimum.accumulate(blocks, axis=1).ravel()
-        right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-        low = np.minimum(right[:m - wide + 1], left[wide - 1:m])
-        low = low[np.concatenate([[True], low[1:] != low[:-1]])]
-        p = (low & _PLACE).astype(np.int64)
-        places.append(p + at)
-        hashes.append(h[p].view(np.int64))
-    p, first = np.unique(np.concatenate(places), return_index=True)
-    return p, np.concatenate(hashes)[first]
+    half, out = -(-(length - gram) // 2), []
+    for at in range(0, len(b) - length + 1, STRIP):  # strips of a very long text overlap
+        lo = max(0, at - (length - gram))
+        part = b[lo:at + STRIP + 2 * length]
+        eights = _eights(part)
+        one, two = Hashes(eights, 0x5851F42D4C957F2D), Hashes(eights, 0x14057B7EF767814F)
+        starts = np.arange(at - lo, min(at + STRIP - 1 + length, len(b)) - gram + 1 - lo)
+        grams = one(starts, starts + gram)
+        w = _winnow(grams, length - gram + 1)
+        p = w + (at - lo)
+        begin, end = np.maximum(p - (length - gram), 0), np.minimum(p + length, len(part))
+        side = [np.where((x >= begin) & (y <= end), one(np.clip(x, 0, len(part) - 8), np.clip(y, 8, len(part))), np.uint64(0))
+                for x, y in ((p - half, p + gram), (p, p + gram + half))]
+        names = [grams[w], one(begin, end) + (p - begin).astype(np.uint64), two(begin, end), *side]
+        out.append([*[x.view(np.int64) for x in names], begin + lo, p + lo, end + lo])
+    if not out:
+        return [np.empty(0, dtype=np.int64)] * 8
+    cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+    _, first = np.unique(cols[6], return_index=True)
+    return [c[first] for c in cols]
 
 
 def anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(anchor, segment, key, begin, at, end) of every anchor of (key, text); segment is a hash of bytes begin..end and at - begin."""
+    """(anchor, seg_a, seg_b, left, right, begin, at, end, key) of every anchor of (key, text).
+
+    seg_a and seg_b are hashes of the bytes begin..end and of at - begin. A string
+    of ``length`` bytes around the anchor reaches at least half of what it has
+    beyond the anchor to one side: left and right are hashes of that much."""
+    names = ["anchor", "seg_a", "seg_b", "left", "right", "begin", "at", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[], [], [], [], [], []]
+            found, keys = [], []
             for key, t in zip(b.column("key").to_pylist(), b.column("text"), strict=True):
-                raw = t.as_py()
-                p, h = anchors_of(raw, length, gram)
-                begin, end = np.maximum(p - (length - gram), 0), np.minimum(p + length, len(raw))
-                for x, y, z, a in zip(begin.tolist(), p.tolist(), end.tolist(), h.tolist(), strict=True):
-                    digest = hashlib.blake2b(raw[x:z], digest_size=16, salt=(y - x).to_bytes(4, "little")).digest()
-                    for col, value in zip(cols, (a, digest, key, x, y, z), strict=True):
-                        col.append(value)
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["anchor", "segment", "key", "begin", "at", "end"])
+                cols = anchors_of(t.as_py(), length, gram)
+                found.append(cols)
+                keys += [key] * len(cols[0])
+            if keys:
+                yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], pa.array(keys, pa.binary())], names=[*names, "key"])
 
-    return texts.select("key", "text").mapInArrow(run, "anchor long, segment binary, key binary, begin long, at long, end long")
+    return texts.select("key", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", key binary")
 
 
 def cut_out(texts: DataFrame) -> DataFrame:
-    """The bytes of every segment of (key, text, places: array of (anchor, many, begin, at, end))."""
+    """The bytes of the segments of (key, text, places: array of (anchor, many, large, begin, end)).
+
+    Overlapping segments of one anchor in one text (a repetitive text has many) become one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[], [], [], [], [], []]
             for key, t, places in zip(b.column("key").to_pylist(), b.column("text"), b.column("places").to_pylist(), strict=True):
-                raw = t.as_py()
-                for s in places:
-                    for col, value in zip(cols, (s["anchor"], s["many"], key, s["begin"], s["at"], raw[s["begin"]:s["end"]]), strict=True):
+                raw, out = t.as_py(), []
+                for s in sorted(places, key=lambda s: (s["anchor"], s["many"], s["begin"], s["end"])):
+                    name = [s["anchor"], s["many"], s["large"]]
+                    if out and out[-1][:3] == name and s["begin"] <= out[-1][4]:
+                        out[-1][4] = max(out[-1][4], s["end"])
+                    else:
+                        out.append([*name, s["begin"], s["end"]])
+                for anchor, many, large, begin, end in out:
+                    for col, value in zip(cols, (anchor, many, large, key, begin, raw[begin:end]), strict=True):
                         col.append(value)
-            kinds = (pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["anchor", "many", "key", "begin", "at", "bytes"])
+            kinds = (pa.int64(), pa.bool_(), pa.bool_(), pa.binary(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["group", "many", "large", "key", "begin", "bytes"])
 
-    return texts.select("key", "text", "places").mapInArrow(run, "anchor long, many boolean, key binary, begin long, at long, bytes binary")
+    return texts.select("key", "text", "places").mapInArrow(run, "group long, many boolean, large boolean, key binary, begin long, bytes binary")
 
 
 # ---------------------------------------------------------------- suffix arrays
-def _eights(text: np.ndarray) -> np.ndarray:
-    """The eight bytes from each place on as one number, zeros behind the end."""
-    wide = np.concatenate([text, np.zeros(8, dtype=np.uint8)]).astype(np.uint64)
-    out = np.zeros(len(text), dtype=np.uint64)
-    for j in range(8):
-        out = (out << np.uint64(8)) | wide[j:j + len(text)]
-    return out
-
-
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of at least their first ``depth`` bytes; only unsorted groups are sorted again."""
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Suffixes in order; after the first eight bytes only unsorted groups are sorted again, by twice as many bytes each time."""
     n = len(text)
     first = _eights(text)
-    sa = np.argsort(first, kind="stable")
+    sa = np.argsort(first)
     value = first[sa]
     rank = np.empty(n, dtype=np.int64)
     new = np.concatenate([[True], value[1:] != value[:-1]])
@@ -128,11 +157,11 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     rank[sa] = start
     h = 8
     open_ = np.flatnonzero(~(new & np.concatenate([new[1:], [True]])))
-    while h < depth and len(open_):
+    while len(open_):
         s = sa[open_]
         behind = np.where(s + h < n, rank[np.minimum(s + h, n - 1)] + 1, 0)
         both = rank[s] * (n + 1) + behind
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         s, both = s[order], both[order]
         sa[open_] = s
         new = np.concatenate([[True], both[1:] != both[:-1]])
@@ -142,13 +171,11 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return sa
 
 
-def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int, lanes: int = 2048) -> np.ndarray:
+def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int, lanes: int = 8192) -> np.ndarray:
     """Common prefix, up to ``most``, of each suffix in ``sa`` with the one before it.
 
     Kasai's scan in text order: the value falls by at most one from a place to
-    the next. Of a value cut off at ``most`` this is only sure if the suffixes
-    before the two places follow each other, as the order ends at a depth.
-    ``lanes`` stretches of the text are scanned at the same time."""
+    the next. ``lanes`` stretches of the text are scanned at the same time."""
     n = len(text)
     before = np.empty(n, dtype=np.int64)
     before[sa[0]] = -1
@@ -157,13 +184,11 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int, lanes: int = 20
     steps = -(-n // lanes)
     at = np.arange(lanes, dtype=np.int64) * steps
     got, out = np.zeros(lanes, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    last = np.full(lanes, -2, dtype=np.int64)
     for k in range(steps):
         i = at + k
         live = i < np.minimum(at + steps, n)
         j = before[np.minimum(i, n - 1)]
-        got = np.where((got < most) | (j == last + 1), np.maximum(got - 1, 0), 0)
-        last = j
+        got = np.maximum(got - 1, 0)
         got[~live | (j < 0)] = 0
         go = np.flatnonzero(live & (j >= 0) & (got < most))
         while len(go):
@@ -189,7 +214,7 @@ def repeated(segments: list[bytes], own: np.ndarray, many: np.ndarray, length: i
     first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     which = np.repeat(np.arange(len(segments)), sizes + 1)
     offset = np.arange(len(text)) - first[which]
-    sa = suffix_array(text, length)
+    sa = suffix_array(text)
     prefix = common_prefixes(text, sa, length)
     w = which[sa]
     fits = offset[sa] + length <= sizes[w]
@@ -215,7 +240,7 @@ def spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def in_shards(cut: DataFrame, length: int) -> DataFrame:
-    """(key, begin, end) covered by repeated strings; groups of ``cut`` (group, many, key, begin, at, bytes) share shards of bounded size."""
+    """(key, begin, end) covered by repeated strings; groups of ``cut`` (group, many, key, begin, bytes) share shards of bounded size."""
 
     def solve(tables: list[pa.Table]) -> pa.RecordBatch:
         t = pa.concat_tables(tables)
@@ -246,44 +271,31 @@ def in_shards(cut: DataFrame, length: int) -> DataFrame:
     return cut.repartition("group").sortWithinPartitions("group").mapInArrow(run, "key binary, begin long, end long")
 
 
-# ---------------------------------------------------------------- anchors with more segments than a shard holds
-def split(cut: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Compares each segment with its group's pivot: (key, begin, end) that are settled, and the smaller groups."""
-    pivot = cut.groupBy("group").agg(F.min(F.struct("key", "at", "begin", "bytes")).alias("pivot"))
-    rows = cut.join(pivot, "group").select("group", "many", "key", "begin", "at", "bytes", "pivot")
+# ---------------------------------------------------------------- anchors of more documents than a shard holds
+def by_strings(cut: DataFrame, length: int) -> DataFrame:
+    """(key, begin, end) of the strings of ``cut``'s segments that occur twice, merged over all of them by their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[], [], [], []]
-            for row in b.select(["key", "begin", "at", "bytes", "pivot"]).to_pylist():
-                p = row["pivot"]
-                x, y = np.frombuffer(row["bytes"], dtype=np.uint8), np.frombuffer(p["bytes"], dtype=np.uint8)
-                i, j = row["at"] - row["begin"], p["at"] - p["begin"]
-                left, right = _agree(x[:i][::-1], y[:j][::-1]), _agree(x[i:], y[j:])
-                itself = row["key"] == p["key"] and row["at"] == p["at"]
-                for col, value in zip(cols, (left, right, int(x[i - left - 1]) if left < i and not itself else None,
-                                             int(x[i + right]) if i + right < len(x) and not itself else None), strict=True):
-                    col.append(value)
-            new = [pa.array(c, pa.int32()) for c in cols]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([r["key"] == p["key"].as_py() and r["at"] == p["at"].as_py() for r, p in zip(b.select(["key", "at"]).to_pylist(), b.column("pivot"), strict=True)]), *new],
-                                             names=["group", "many", "key", "begin", "at", "bytes", "itself", "left", "right", "before", "behind"])
-
-    made = checkpoint_table(rows.mapInArrow(run, "group long, many boolean, key binary, begin long, at long, bytes binary, itself boolean, left int, right int, before int, behind int"))
-    settled = made.filter(~F.col("itself") & (F.col("left") + F.col("right") >= length)).select(
-        "key", (F.col("at") - F.col("left")).alias("begin"), (F.col("at") + F.col("right")).alias("end"), "group", "left", "right")
-    # the pivot shares what its partners share with it
-    pivots = made.filter("itself").select("group", "key", "at").join(settled.select("group", "left", "right").distinct(), "group")
-    known = settled.select("key", "begin", "end").unionByName(pivots.select("key", (F.col("at") - F.col("left")).alias("begin"), (F.col("at") + F.col("right")).alias("end")).distinct())
-    side = lambda name, n, byte: F.when(F.col(byte).isNotNull(), F.xxhash64("group", F.lit(name), n, byte))
-    groups = F.filter(F.array(side("left", "left", "before"), side("right", "right", "behind")), lambda g: g.isNotNull())
-    smaller = made.select(F.explode(groups).alias("group"), "many", "key", "begin", "at", "bytes")
-    return known, smaller
-
-
-def _agree(x: np.ndarray, y: np.ndarray) -> int:
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    return int(differ[0]) if len(differ) else n
+            keys, many = [], []
+            for key, flag, begin, part in zip(b.column("key").to_pylist(), b.column("many").to_pylist(), b.column("begin").to_pylist(), b.column("bytes"), strict=True):
+                eights = _eights(np.frombuffer(part.as_py(), dtype=np.uint8))
+                at = np.arange(max(0, len(eights) - length + 1))
+                for col, salt in zip(cols, (0x5851F42D4C957F2D, 0x14057B7EF767814F), strict=False):
+                    col.append(Hashes(eights, salt)(at, at + length).view(np.int64))
+                cols[2].append(at + begin)
+                cols[3].append(np.full(len(at), int.from_bytes(key[:8], "little", signed=True)))
+                keys += [key] * len(at)
+                many += [flag] * len(at)
+            if keys:
+                yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in cols], pa.array(keys, pa.binary()), pa.array(many)],
+                                                 names=["a", "b", "begin", "doc", "key", "many"])
+
+    rows = checkpoint_table(cut.select("key", "many", "begin", "bytes").mapInArrow(run, "a long, b long, begin long, doc long, key binary, many boolean"))
+    twice = rows.groupBy("a", "b").agg(*[f(c).alias(f"{n}_{c}") for c in ("doc", "begin") for n, f in (("low", F.min), ("high", F.max))], F.bool_or("many").alias("many"))
+    twice = twice.filter((F.col("low_doc") != F.col("high_doc")) | (F.col("low_begin") != F.col("high_begin")) | F.col("many")).select("a", "b")
+    return rows.join(twice, ["a", "b"]).select("key", "begin", (F.col("begin") + length).alias("end"))
 
 
 def repeats(docs: DataFrame, length: int = 400, text_col: str = "text", gram: int = 128, most: int = 1024) -> DataFrame:
@@ -291,27 +303,27 @@ def repeats(docs: DataFrame, length: int = 400, text_col: str = "text", gram: in
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     keyed = docs.select(F.unhex(F.md5(text)).alias("key"), text.alias("text"))
     made = checkpoint_table(anchors(keyed, length, gram))
-    segments = made.groupBy("anchor", "segment").agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("key", "begin", "at", "end")).alias("place"))
-    segments = checkpoint_table(segments)
+    segment = ["anchor", "seg_a", "seg_b"]
+    segments = made.groupBy(*segment).agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("key", "begin", "at", "end", "left", "right")).alias("place"))
     groups = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    settled = made.join(segments.filter("n > 1").select("anchor", "segment"), ["anchor", "segment"]).filter(F.col("end") - F.col("begin") >= length)
+    settled = made.join(segments.filter("n > 1").select(*segment), segment).filter(F.col("end") - F.col("begin") >= length)
     covers = [settled.select("key", "begin", "end").distinct()]
 
-    several = segments.join(groups.filter("kinds > 1"), "anchor")
-    places = several.select("place.key", F.struct("anchor", (F.col("n") > 1).alias("many"), "place.begin", "place.at", "place.end").alias("place"))
+    several = checkpoint_table(segments.join(groups.filter("kinds > 1"), "anchor"))
+    shared = [several.groupBy(F.col(f"place.{side}").alias("probe")).agg(F.count(F.lit(1)).alias("n")).filter("probe <> 0 and n > 1").select("probe")
+              for side in ("left", "right")]
+    probes = several.select(*segment, F.explode(F.array("place.left", "place.right")).alias("probe"))
+    open_ = probes.join(shared[0].unionByName(shared[1]), "probe").select(*segment).distinct()
+    several = several.join(open_, segment)
+    wide = several.groupBy("anchor", "place.key").agg(F.count(F.lit(1)).alias("n")).groupBy("anchor").agg(F.count(F.lit(1)).alias("documents"))
+    several = several.drop("kinds").join(wide, "anchor")
+    places = several.select("place.key", F.struct("anchor", (F.col("n") > 1).alias("many"), (F.col("documents") > most).alias("large"), "place.begin",
+                                                  "place.end").alias("place"))
     places = places.groupBy("key").agg(F.collect_list("place").alias("places"))  # one document's anchors
-    cut = checkpoint_table(cut_out(keyed.groupBy("key").agg(F.first("text").alias("text")).join(places, "key")))
-    cut = cut.withColumnRenamed("anchor", "group")
-    while True:
-        sizes = cut.groupBy("group").agg(F.count(F.lit(1)).alias("kinds"))
-        fits = sizes.filter((F.col("kinds") > 1) & (F.col("kinds") <= most)).select("group")
-        covers.append(checkpoint_table(in_shards(cut.join(fits, "group"), length)))
-        large = sizes.filter(F.col("kinds") > most).select("group")
-        if large.isEmpty():
-            break
-        known, smaller = split(cut.join(large, "group"), length)
-        covers.append(known)
-        cut = checkpoint_table(smaller)
+    texts = likely(keyed, places, "key").groupBy("key").agg(F.first("text").alias("text"))
+    cut = checkpoint_table(cut_out(texts.join(places, "key")))
+    covers.append(checkpoint_table(in_shards(cut.filter(~F.col("large")), length)))
+    covers.append(checkpoint_table(by_strings(cut.filter("large"), length)))
     out = covers[0]
     for c in covers[1:]:
         out = out.unionByName(c)
@@ -331,7 +343,8 @@ def repeats(docs: DataFrame, length: int = 400, text_col: str = "text", gram: in
 def kept(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
     """(key, n_removed, n_spans, kept (bytes)) of each distinct text that loses bytes."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    texts = docs.select(F.unhex(F.md5(text)).alias("key"), text.alias("text")).groupBy("key").agg(F.first("text").alias("text"))
+    found = checkpoint_table(found)
+    texts = likely(docs.select(F.unhex(F.md5(text)).alias("key"), text.alias("text")), found, "key").groupBy("key").agg(F.first("text").alias("text"))
     part = lambda begin, end: F.substring("text", (begin + 1).cast("int"), (end - begin).cast("int"))
     gaps = F.transform("spans", lambda s, i: part(F.coalesce(F.get("spans", i - 1)["end"], F.lit(0).cast("long")), s["begin"]))
     rest = part(F.element_at("spans", -1)["end"], F.octet_length("text"))
