@@ -147,54 +147,80 @@ class ContextTree:
         return p[begin + spans[:, 1]] - p[begin]
 
 
-def weigh(keys: list[np.ndarray], counts: list[np.ndarray]) -> ContextTree:
-    """``keys[d]``: kept contexts of d bytes (sorted, latest byte lowest), ``counts[d]``: symbol counts, a row of 256 each."""
-    depth = len(keys) - 1
+@dataclass
+class Level:
+    """The kept contexts of one depth: sorted keys (latest byte lowest) and the symbol counts as (context number, symbol, n)."""
+
+    keys: np.ndarray
+    context: np.ndarray
+    symbol: np.ndarray
+    n: np.ndarray
+
+    def dense(self, lo: int, hi: int, owner: np.ndarray | None = None) -> np.ndarray:
+        """Counts of contexts lo..hi, a row of 256 each; with ``owner`` summed by the owner of each context instead."""
+        at = self.context if owner is None else owner[self.context]
+        use = (at >= lo) & (at < hi)
+        flat = (at[use] - lo) * 256 + self.symbol[use]
+        return np.bincount(flat, self.n[use], minlength=(hi - lo) * 256).reshape(hi - lo, 256)
+
+
+def weigh(levels: list[Level], block: int = 4096) -> ContextTree:
+    """Weights the contexts of ``levels[d]`` (d bytes each), a block of contexts in memory at a time."""
+    depth = len(levels) - 1
     half = np.log(0.5)
-    parent = [None] + [np.searchsorted(keys[d - 1], keys[d] & ((1 << (8 * (d - 1))) - 1)) for d in range(1, depth + 1)]
-
-    def left_over(d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Zeros and ones of a context's children that are not kept, and whether any is kept."""
-        rest, inner = counts[d].copy(), np.zeros(len(keys[d]), dtype=bool)
-        if d < depth and len(keys[d + 1]):
-            np.add.at(rest, parent[d + 1], -counts[d + 1])
-            inner[parent[d + 1]] = True
-        return *_bits(rest), inner
-
-    stop, below = [None] * (depth + 1), None
-    for d in range(depth, -1, -1):  # one depth's nodes in memory at a time
-        own = _log_kt(*_bits(counts[d]))
-        r0, r1, inner = left_over(d)
-        split = half + _log_kt(r0, r1)
-        if inner.any():
-            np.add.at(split, parent[d + 1], below)
-        both = np.logaddexp(half + own, split)
-        stop[d] = np.where(inner[:, None], np.exp(half + own - both), 1.0).astype(np.float32)
-        below = np.where(inner[:, None], both, own)
-    del below, own, split, both
-    shape = (len(keys[0]), 256)
-    logs, reach, mixed, up = [], np.ones(shape), np.zeros(shape), np.full(shape, 0.5)
+    size = [len(v.keys) for v in levels]
+    parent = [None] + [np.searchsorted(levels[d - 1].keys, levels[d].keys & ((1 << (8 * (d - 1))) - 1)) for d in range(1, depth + 1)]
+    blocks = lambda d: [(lo, min(lo + block, size[d])) for lo in range(0, size[d], block)]
+
+    def left_over(d: int, lo: int, hi: int, own: np.ndarray) -> np.ndarray:
+        """Counts of the contexts' children that are not kept."""
+        return own - levels[d + 1].dense(lo, hi, parent[d + 1]) if d < depth and size[d + 1] else own
+
+    stop, below = [np.ones((n, 256), dtype=np.float32) for n in size], None
+    for d in range(depth, -1, -1):
+        weighted = np.empty((size[d], 256))
+        order = np.argsort(parent[d + 1], kind="stable") if d < depth else np.empty(0, dtype=np.int64)
+        for lo, hi in blocks(d):
+            counts = levels[d].dense(lo, hi)
+            own = _log_kt(*_bits(counts))
+            weighted[lo:hi] = own
+            kids = order[slice(*np.searchsorted(parent[d + 1][order], [lo, hi]))] if len(order) else order
+            if not len(kids):
+                continue
+            mine, first = np.unique(parent[d + 1][kids], return_index=True)
+            split = half + np.add.reduceat(below[kids], first) + _log_kt(*_bits(left_over(d, lo, hi, counts)[mine - lo]))
+            own = half + own[mine - lo]
+            weighted[mine] = np.logaddexp(own, split)
+            stop[d][mine] = np.exp(own - weighted[mine])
+        below = weighted
+    del below, weighted
+    logs = np.empty((sum(size), 256), dtype=np.float32)
+    first = np.concatenate([[0], np.cumsum(size)]).tolist()
+    s = np.arange(256)
+    reach, mixed, up = (np.full((size[0], 256), x, dtype=np.float32) for x in (1.0, 0.0, 0.5))
     for d in range(depth + 1):
-        if d:
-            reach, mixed, up = (reach * (1 - stop[d - 1]))[parent[d]], (mixed + reach * stop[d - 1] * up)[parent[d]], up[parent[d]]
-        n0, n1 = _bits(counts[d])
-        up = np.where(n0 + n1 > 0, (n1 + 0.5) / (n0 + n1 + 1), up)  # what was never seen here is taken from the shorter context
-        r0, r1, _ = left_over(d)
-        other = np.where(r0 + r1 > 0, (r1 + 0.5) / (r0 + r1 + 1), up)
-        one = np.clip(mixed + reach * (stop[d] * up + (1 - stop[d]) * other), 1e-12, 1 - 1e-12)
-        log = np.zeros((len(one), 256))
-        s = np.arange(256)
-        for j in range(8):
-            p = one[:, (1 << j) + (s >> (8 - j))]
-            log += np.log10(np.where((s >> (7 - j)) & 1, p, 1 - p))
-        logs.append(log.astype(np.float32))
+        if d:  # what reaches a context past the shorter ones, what they have decided, and the nearest estimate
+            mixed = (mixed + reach * stop[d - 1] * up)[parent[d]]
+            reach, up = (reach * (1 - stop[d - 1]))[parent[d]], up[parent[d]]
+        for lo, hi in blocks(d):
+            counts = levels[d].dense(lo, hi)
+            n0, n1 = _bits(counts)
+            kt = np.where(n0 + n1 > 0, (n1 + 0.5) / (n0 + n1 + 1), up[lo:hi])  # what was never seen here is taken from the shorter context
+            up[lo:hi] = kt
+            r0, r1 = _bits(left_over(d, lo, hi, counts))
+            other = np.where(r0 + r1 > 0, (r1 + 0.5) / (r0 + r1 + 1), kt)
+            one = np.clip(mixed[lo:hi] + reach[lo:hi] * (stop[d][lo:hi] * kt + (1 - stop[d][lo:hi]) * other), 1e-12, 1 - 1e-9)
+            log = np.zeros((hi - lo, 256))
+            for j in range(8):
+                p = one[:, (1 << j) + (s >> (8 - j))]
+                log += np.log10(np.where((s >> (7 - j)) & 1, p, 1 - p))
+            logs[first[d] + lo:first[d] + hi] = log
     goes = []
     for d in range(depth):
-        go = np.full((len(keys[d]) + 1, 256), len(keys[d + 1]), dtype=np.int32)
-        go[parent[d + 1], (keys[d + 1] >> (8 * d)) & 255] = np.arange(len(keys[d + 1]))
+        go = np.full((size[d] + 1, 256), size[d + 1], dtype=np.int32)
+        go[parent[d + 1], (levels[d + 1].keys >> (8 * d)) & 255] = np.arange(size[d + 1])
         goes.append(go)
-    first = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).tolist()
-    return ContextTree(goes, first, np.concatenate(logs))
+    return ContextTree(goes, first, logs)
 
 
 def fit(counts: DataFrame, depth: int, share: float) -> ContextTree:
@@ -209,17 +235,14 @@ def fit(counts: DataFrame, depth: int, share: float) -> ContextTree:
     for k in kept[1:]:
         frame = frame.unionAll(k)
     rows = frame.toPandas()
-    keys, tables = [], []
+    levels = []
     for d in range(depth + 1):
         own = rows[rows["depth"] == d]
         k, at = np.unique(own["context"].to_numpy(dtype=np.int64), return_inverse=True)
         if d == 0 and not len(k):
             k = np.zeros(1, dtype=np.int64)
-        t = np.zeros((len(k), 256), dtype=np.int64)
-        t[at, own["symbol"].to_numpy(dtype=np.int64)] = own["n"].to_numpy(dtype=np.int64)
-        keys.append(k)
-        tables.append(t)
-    return weigh(keys, tables)
+        levels.append(Level(k, at, own["symbol"].to_numpy(dtype=np.int64), own["n"].to_numpy(dtype=np.int64)))
+    return weigh(levels)
 
 
 def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 6, share: float = 2.0**-16,
