@@ -245,7 +245,7 @@ def fit(counts: DataFrame, depth: int, share: float) -> ContextTree:
     return weigh(levels)
 
 
-def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 6, share: float = 2.0**-16,
+def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 5, share: float = 2.0**-16,
           word_share: float = 2.0**-20) -> DataFrame:
     """doc_id, training, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte of each row.
 
