@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from punctuo.llm import near_sets as N
 from punctuo.llm.graph import components
+from punctuo.llm.prefilter import likely
 from punctuo.operators.util import checkpoint_table
 
 LINE, PIECE = 0, 1
@@ -48,54 +49,80 @@ def tune_bands(threshold: float, recall: float, most: int = 64) -> tuple[int, in
     raise ValueError("no banding reaches the recall")
 
 
-def pieces(hashes: np.ndarray, firsts: np.ndarray, radius: int) -> np.ndarray:
+def pieces(hashes: np.ndarray, owner: np.ndarray, firsts: np.ndarray, radius: int) -> np.ndarray:
     """First words of the pieces: line starts, and words whose hash with the next one is below the ``radius`` hashes before
-    it and not above those behind (so a run of one word is not cut)."""
-    most = np.iinfo(np.uint64).max
-    v = np.concatenate([N.mix(hashes[:-1] * np.uint64(3) + hashes[1:]), np.full(1, most, dtype=np.uint64)])
-    low = np.lib.stride_tricks.sliding_window_view(np.pad(v, radius, constant_values=most), radius).min(1)  # low[i]: of v[i - radius:i]
-    return np.union1d(firsts, np.flatnonzero((v < low[:len(v)]) & (v <= low[radius + 1:radius + 1 + len(v)])))
-
-
-def units(docs: DataFrame, bands: int, rows: int, least_words: int, radius: int, seed: int = 23) -> DataFrame:
+    it and not above those behind (so a run of one word is not cut). ``owner``: the text of each word; texts don't see each other."""
+    most, n = np.iinfo(np.uint64).max, len(hashes)
+    v = np.full(n, most, dtype=np.uint64)
+    inside = np.flatnonzero(owner[1:] == owner[:-1])
+    v[inside] = N.mix(hashes[inside] * np.uint64(3) + hashes[inside + 1])
+    at = np.arange(n) + radius * (owner - owner[0] + 1)
+    wide = np.full(int(at[-1]) + 2 * radius + 1, most, dtype=np.uint64)
+    wide[at] = v
+    low = np.lib.stride_tricks.sliding_window_view(wide, radius).min(1)  # low[i]: of wide[i:i + radius]
+    return np.union1d(firsts, np.flatnonzero((v < low[at - radius]) & (v <= low[at + 1])))
+
+
+def units(docs: DataFrame, bands: int, rows: int, least_words: int, radius: int, seed: int = 23, chunk: int = 1 << 20) -> DataFrame:
     """Every paragraph and piece: doc, kind, place and words (in words), begin, end (bytes), key, bands (paragraphs only)."""
+    names = ["doc", "kind", "place", "words", "begin", "end", "key", "bands"]
+
+    def of(ids: list[int], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        """Texts of bounded size together, in one pass over their words."""
+        raw = b"\n".join(texts)
+        starts, ends, h = N.words_of(raw.lower())
+        if not len(h):
+            return
+        offset = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])[:-1]])
+        owner = np.searchsorted(offset, starts, side="right") - 1
+        line = np.searchsorted(np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 10), starts)
+        firsts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+        lasts = np.concatenate([firsts[1:], [len(h)]])
+        first_word = np.searchsorted(owner, owner)  # of the word's text
+        full = lasts - firsts >= least_words
+
+        def batch(kind: int, base: np.ndarray, use: np.ndarray, bins: pa.Array) -> pa.RecordBatch:
+            order = np.arange(len(h)) - np.repeat(base, np.diff(np.concatenate([base, [len(h)]])))
+            sums = np.add.reduceat(N.mix(h + (order + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), base)
+            stop = np.concatenate([base[1:], [len(h)]])
+            lo, hi, sums = base[use], stop[use], sums[use]
+            key = N.mix(sums + (hi - lo).astype(np.uint64)).view(np.int64)
+            at = offset[owner[lo]]
+            cols = (np.asarray(ids)[owner[lo]], np.full(len(lo), kind, dtype=np.int32), (lo - first_word[lo]).astype(np.int32), (hi - lo).astype(np.int32),
+                    starts[lo] - at, ends[hi - 1] - at, key)
+            return pa.RecordBatch.from_arrays([*map(pa.array, cols), bins], names=names)
+
+        cuts = pieces(h, owner, firsts, radius)
+        yield batch(PIECE, cuts, np.ones(len(cuts), dtype=bool), pa.nulls(len(cuts), pa.list_(pa.int64())))
+        if full.any():
+            n = N.SHINGLE
+            s = np.zeros(len(h) - n + 1, dtype=np.uint64)
+            for j in range(n):
+                s = N.mix(s * np.uint64(3) + h[j:len(h) - n + 1 + j])
+            number = np.repeat(np.arange(len(firsts)), lasts - firsts)
+            ok = np.flatnonzero(full[number[:len(s)]] & (line[:len(s)] == line[n - 1:]))
+            begin = np.flatnonzero(np.concatenate([[True], np.diff(number[ok]) > 0]))
+            a, b = N.multipliers(bands * rows, seed)
+            v = np.stack([np.minimum.reduceat(s[ok] * x + y, begin) for x, y in zip(a, b, strict=True)], axis=1) >> np.uint64(32)
+            v = v.reshape(-1, bands, rows)
+            key = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(v), 1))
+            for j in range(rows):
+                key = N.mix(key * np.uint64(5) + v[:, :, j])
+            bins = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel()))
+            yield batch(LINE, firsts, full, bins)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = N.multipliers(bands * rows, seed)
-        names = ["doc", "kind", "place", "words", "begin", "end", "key", "bands"]
-        for batch in batches:
-            out: list[tuple] = []
-            bins: list = []
-            for doc, t in zip(batch.column("doc").to_pylist(), batch.column("text"), strict=True):
-                raw = t.as_py()
-                starts, ends, h = N.words_of(raw.lower())
-                if not len(h):
-                    continue
-                line = np.searchsorted(np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 10), starts)
-                firsts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
-                lasts = np.concatenate([firsts[1:], [len(h)]])
-                full = lasts - firsts >= least_words
-                cuts = pieces(h, firsts, radius)
-                for kind, lo, hi in ((LINE, firsts[full], lasts[full]), (PIECE, cuts, np.concatenate([cuts[1:], [len(h)]]))):
-                    if not len(lo):
-                        continue
-                    base = firsts if kind == LINE else cuts
-                    order = np.arange(len(h)) - np.repeat(base, np.diff(np.concatenate([base, [len(h)]])))
-                    sums = np.add.reduceat(N.mix(h + (order + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), base)
-                    key = N.mix((sums[full] if kind == LINE else sums) + (hi - lo).astype(np.uint64)).view(np.int64)
-                    out.append((np.full(len(lo), doc), np.full(len(lo), kind, dtype=np.int32), lo.astype(np.int32), (hi - lo).astype(np.int32),
-                                starts[lo], ends[hi - 1], key))
-                    if kind == PIECE:
-                        bins += [None] * len(lo)
-                        continue
-                    for x, y in zip(lo, hi, strict=True):
-                        v = N.minhash(N.shingles(h[x:y]), a, b).reshape(bands, rows).astype(np.uint64)
-                        band = np.arange(1, bands + 1, dtype=np.uint64)
-                        for j in range(rows):
-                            band = N.mix(band * np.uint64(5) + v[:, j])
-                        bins.append(band.view(np.int64))
-            if out:
-                yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], pa.array(bins, pa.list_(pa.int64()))], names=names)
+        for b in batches:
+            ids, texts, size = [], [], 0
+            for doc, t in zip(b.column("doc").to_pylist(), b.column("text"), strict=True):
+                ids.append(doc)
+                texts.append(t.as_py())
+                size += len(texts[-1])
+                if size >= chunk:
+                    yield from of(ids, texts)
+                    ids, texts, size = [], [], 0
+            if ids:
+                yield from of(ids, texts)
 
     return docs.select("doc", "text").mapInArrow(run, "doc long, kind int, place int, words int, begin long, end long, key long, bands array<long>")
 
@@ -136,7 +163,8 @@ def removals(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, id_
     shared = bins.groupBy("band").agg(F.min("key").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     candidates = components(bins.join(shared, "band").select(F.col("key").alias("a"), "b"))
     spans = candidates.join(lines, candidates["node"] == lines["key"]).groupBy("at.doc").agg(F.collect_list(F.struct("key", "at.begin", "at.end")).alias("spans"))
-    unique = texts.groupBy("doc").agg(F.first("text").alias("text")).join(spans, "doc")
+    spans = checkpoint_table(spans)
+    unique = likely(texts, spans, "doc").groupBy("doc").agg(F.first("text").alias("text")).join(spans, "doc")
     sets = checkpoint_table(line_sets(unique.select("text", "spans")).dropDuplicates(["node"]))
     _, classes = N.verify(candidates, sets, threshold)
 
