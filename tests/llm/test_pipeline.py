@@ -3,7 +3,7 @@
 import corpus_pipeline
 from punctuo.llm import chosen_path
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 def test_stages(spark):
