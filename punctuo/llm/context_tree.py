@@ -10,16 +10,19 @@ estimates P_e of a node's zeros and ones,
 computed from the counts bottom up; top down, the weight that a node stops at
 its own estimate turns the counts into one probability per context and symbol.
 
-Counts are gathered from all training rows by one shuffle of (depth + 1)-grams
-with map-side sums. The tree keeps the contexts that make up at least ``share``
-of all training symbols, so at most 1/share per depth at any size of corpus; the
-counts of a context's other children stay as one more child. That bounded table
-is weighted in numpy and broadcast; scoring is one pass over whole texts.
-
-The baseline, smoothed word frequencies, comes from the same pass: a word that
-makes up at least ``word_share`` of all tokens is looked up in a broadcast table
-of at most 1/word_share words; the others are joined by a shuffle in which no
-word is hotter than that.
+The tree keeps every context of the training texts; it grows with them and is
+nowhere in one place. Texts are dealt into chunks of about ``chunk`` bytes by a
+hash of the row; a chunk asks for its distinct (depth + 1)-grams, with their
+counts in training, at the buckets of their latest ``TOP + 1`` context bytes. A
+bucket holds whole subtrees. It adds up the counts of all chunks, weights its
+contexts and gives what reaches depth ``TOP``; those short contexts (65,536 at
+most) are weighted together and sent back. Then each bucket answers every chunk
+with a log probability per gram, and the chunk's texts are scored with them.
+
+The baseline, smoothed word frequencies: a word that makes up at least
+``word_share`` of all tokens is looked up in a broadcast table of at most
+1/word_share words; the others are joined by a shuffle in which no word is
+hotter than that.
 
 Defined results: null text is an empty text (one end token); an id null or
 repeated: each row is scored on its own, a null id counts as neither training
@@ -34,15 +37,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from punctuo.llm.near_sets import mix
 from punctuo.operators.util import checkpoint_table
 
 END = 255  # no byte of UTF-8: stands before the first byte and after the last one
 END_TOKEN = b"\n"  # no word holds white space
-CHUNK = 8 << 20
+TOP = 2  # bytes of the longest contexts that are weighted together
+SMALL = 4096
 
 
 def symbols(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,40 +70,60 @@ def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(key[real[depth:]], return_counts=True)
 
 
-def count_all(train: DataFrame, depth: int) -> DataFrame:
-    """(gram, null, n) of all (depth + 1)-grams and (null, token, n) of all tokens of the training texts."""
+def asked(texts: list[bytes], training: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (depth + 1)-grams (latest context byte highest, symbol lowest), their counts in training texts,
+    each symbol's gram and the first symbol of each text."""
+    buf, spans = symbols(texts, depth)
+    m = len(buf) - depth
+    key = np.zeros(m, dtype=np.int64)
+    for j in range(1, depth + 1):
+        key = (key << 8) | buf[depth - j:depth - j + m]
+    key = (key << 8) | buf[depth:]
+    real = np.ones(len(buf), dtype=bool)  # not the ends before a text
+    for j in range(1, depth + 1):
+        real[spans[:, 0] - j] = False
+    keys, at = np.unique(key[real[depth:]], return_inverse=True)
+    n = np.bincount(at[np.repeat(training, spans[:, 1])], minlength=len(keys))
+    return keys, n, at, np.concatenate([[0], np.cumsum(spans[:, 1])[:-1]])
+
+
+def bucket_order(keys: np.ndarray, depth: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of sorted grams by bucket, and each one's bucket in that order."""
+    own = (mix((keys >> (8 * (depth - min(TOP, depth - 1)))).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(own, kind="stable")
+    return order, own[order]
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Integers as columns of bytes, compressed."""
+    return pa.compress(np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(x: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(x, 8 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, n).T).view("<i8").ravel()
+
+
+def count_words(train: DataFrame) -> DataFrame:
+    """(token, n) of all tokens of the training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter[bytes] = Counter()
-        held, size = [], 0
-
-        def of_grams():
-            k, n = grams(held, depth)
-            return pa.RecordBatch.from_arrays([pa.array(k), pa.nulls(len(k), pa.binary()), pa.array(n)], names=["gram", "token", "n"])
 
         def of_words():
-            return pa.RecordBatch.from_arrays([pa.nulls(len(words), pa.int64()), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())],
-                                              names=["gram", "token", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], names=["token", "n"])
 
         for b in batches:
             for t in b.column("text"):
-                t = t.as_py().lower()
-                words.update(t.split())
+                words.update(t.as_py().lower().split())
                 words[END_TOKEN] += 1
-                held.append(t)
-                size += len(t) + depth + 1
-                if size >= CHUNK:
-                    yield of_grams()
-                    held, size = [], 0
                 if len(words) > 400_000:
                     yield of_words()
                     words = Counter()
-        if held:
-            yield of_grams()
         if words:
             yield of_words()
 
-    return train.mapInArrow(run, "gram long, token binary, n long").groupBy("gram", "token").agg(F.sum("n").alias("n"))
+    return train.mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -223,89 +247,269 @@ def weigh(levels: list[Level], block: int = 4096) -> ContextTree:
     return ContextTree(goes, first, logs)
 
 
-def fit(counts: DataFrame, depth: int, share: float) -> ContextTree:
-    """The weighted tree of the contexts with at least ``share`` of all symbols in ``counts`` (gram, n)."""
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    kept, level = [], counts.select(F.shiftright("gram", 8).alias("context"), F.col("gram").bitwiseAND(255).alias("symbol"), "n")
-    for d in range(depth, -1, -1):
-        level = level.groupBy(F.col("context").bitwiseAND((1 << (8 * d)) - 1).alias("context"), "symbol").agg(F.sum("n").alias("n"))
-        rows = level.groupBy("context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("next"))  # 256 symbols at most
-        kept.append(rows.filter(F.col("total") >= share * total).select(F.lit(d).alias("depth"), "context", F.inline("next")))
-    frame = kept[0]
-    for k in kept[1:]:
-        frame = frame.unionAll(k)
-    rows = frame.toPandas()
-    levels = []
-    for d in range(depth + 1):
-        own = rows[rows["depth"] == d]
-        k, at = np.unique(own["context"].to_numpy(dtype=np.int64), return_inverse=True)
-        if d == 0 and not len(k):
-            k = np.zeros(1, dtype=np.int64)
-        levels.append(Level(k, at, own["symbol"].to_numpy(dtype=np.int64), own["n"].to_numpy(dtype=np.int64)))
-    return weigh(levels)
+def _small(shift: float) -> np.ndarray:
+    return _log_gamma(np.arange(SMALL) + shift)
+
+
+_HALF, _ONE = _small(0.5), _small(1.0)
 
 
-def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 5, share: float = 2.0**-16,
-          word_share: float = 2.0**-20) -> DataFrame:
+def _log_kt_counts(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """``_log_kt`` of integers; most are small."""
+
+    def of(n, table, shift):
+        out = table[np.minimum(n, SMALL - 1)]
+        big = np.flatnonzero(n >= SMALL)
+        out[big] = _log_gamma(n[big] + shift)
+        return out
+
+    return of(n0, _HALF, 0.5) + of(n1, _HALF, 0.5) - np.log(np.pi) - of(n0 + n1, _ONE, 1.0)
+
+
+@dataclass
+class Nodes:
+    """Binary nodes of one depth that ``j`` bits of the symbol lead to: the first gram of each, the node of each gram, zeros and ones, and
+    (once weighted) the weight to stop here."""
+
+    first: np.ndarray
+    at: np.ndarray
+    n0: np.ndarray
+    n1: np.ndarray
+    stop: np.ndarray | None = None
+
+    @classmethod
+    def of(cls, keys: np.ndarray, n: np.ndarray, j: int) -> Nodes:
+        prefix = keys >> (8 - j)
+        new = np.ones(len(prefix), dtype=bool)
+        new[1:] = prefix[1:] != prefix[:-1]
+        first = np.flatnonzero(new)
+        ones = np.add.reduceat(n * ((keys >> (7 - j)) & 1), first)
+        return cls(first, np.cumsum(new) - 1, np.add.reduceat(n, first) - ones, ones)
+
+    def weigh(self, split: np.ndarray | None) -> np.ndarray:
+        """log P_w; ``split``: sum of the children's, None at full depth."""
+        own = _log_kt_counts(self.n0, self.n1)
+        if split is None:
+            self.stop = np.ones(len(own))
+            return own
+        both = np.log(0.5) + np.logaddexp(own, split)
+        self.stop = np.exp(np.log(0.5) + own - both)
+        return both
+
+    def down(self, mixed: np.ndarray, reach: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """From what the shorter contexts have decided, what passes them and their estimate to the same after these contexts."""
+        kt = (self.n1 + 0.5) / (self.n0 + self.n1 + 1)
+        p = np.where(self.n0 + self.n1 > 0, mixed + reach * kt, p)  # what was never seen here is taken from the shorter context
+        return mixed + reach * self.stop * kt, reach * (1 - self.stop), p
+
+
+@dataclass
+class Subtree:
+    """Distinct (context, symbol) grams of the depths ``low`` to ``depth`` with counts; ``up[d]``: the gram of depth d - 1 of each one of depth d."""
+
+    low: int
+    depth: int
+    keys: dict[int, np.ndarray]
+    n: dict[int, np.ndarray]
+    up: dict[int, np.ndarray]
+
+    @classmethod
+    def of(cls, keys: np.ndarray, n: np.ndarray, low: int, depth: int) -> Subtree:
+        all_keys, all_n, up = {depth: keys}, {depth: n}, {}
+        for d in range(depth, low, -1):
+            all_keys[d - 1], up[d] = np.unique(shorter(all_keys[d]), return_inverse=True)
+            all_n[d - 1] = np.bincount(up[d], all_n[d], len(all_keys[d - 1])).astype(np.int64)
+        return cls(low, depth, all_keys, all_n, up)
+
+    def weigh(self, j: int, split: np.ndarray | None = None) -> tuple[dict[int, Nodes], np.ndarray]:
+        """The nodes of all depths, and log P_w of those of the lowest; ``split``: what is below the full depth here."""
+        nodes, w = {}, None
+        for d in range(self.depth, self.low - 1, -1):
+            nodes[d] = Nodes.of(self.keys[d], self.n[d], j)
+            if d < self.depth:
+                split = np.bincount(self.parents(nodes, d + 1), w, len(nodes[d].first))
+            w = nodes[d].weigh(split)
+        return nodes, w
+
+    def parents(self, nodes: dict[int, Nodes], d: int) -> np.ndarray:
+        return nodes[d - 1].at[self.up[d][nodes[d].first]]
+
+    def down(self, nodes: dict[int, Nodes], state: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        """``state`` of the nodes of the lowest depth, carried to those of the full one."""
+        for d in range(self.low, self.depth + 1):
+            if d > self.low:
+                up = self.parents(nodes, d)
+                state = tuple(x[up] for x in state)
+            state = nodes[d].down(*state)
+        return state
+
+
+def shorter(keys: np.ndarray) -> np.ndarray:
+    """Grams without the earliest byte of their context."""
+    return ((keys >> 16) << 8) | (keys & 255)
+
+
+def node_keys(keys: np.ndarray, j: int) -> np.ndarray:
+    """Context and binary node (1..255; 256 and more: the symbol itself) of grams."""
+    return ((keys >> 8) << 9) | (1 << j) | ((keys & 255) >> (8 - j))
+
+
+def opened(parts: list[dict]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bucket: first gram of each chunk's part, distinct grams, counts, and the place of every part's grams among them."""
+    starts = np.cumsum([0, *[x["n"] for x in parts]]).tolist()
+    keys, at = np.unique(np.concatenate([unpacked(x["keys"], x["n"]) for x in parts]), return_inverse=True)
+    n = np.bincount(at, np.concatenate([unpacked(x["counts"], x["n"]) for x in parts]), len(keys)).astype(np.int64)
+    return starts, keys, n, at
+
+
+def bottom(keys: np.ndarray, n: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, n, w) that a bucket adds to the short contexts: counts of symbols, log P_w below binary nodes."""
+    top = min(TOP, depth - 1)
+    t = Subtree.of(keys, n, top + 1, depth)
+    own = shorter(t.keys[top + 1])
+    node, count, weight = [node_keys(own, 8)], [t.n[top + 1]], [np.zeros(len(own))]
+    for j in range(8):
+        nodes, w = t.weigh(j)
+        node.append(node_keys(own[nodes[top + 1].first], j))
+        count.append(np.zeros(len(w), dtype=np.int64))
+        weight.append(w)
+    node, at = np.unique(np.concatenate(node), return_inverse=True)
+    return node, np.bincount(at, np.concatenate(count)).astype(np.int64), np.bincount(at, np.concatenate(weight))
+
+
+def weigh_top(node: np.ndarray, n: np.ndarray, w: np.ndarray, depth: int) -> list[tuple[np.ndarray, tuple[np.ndarray, ...]]]:
+    """For each bit the nodes of the longest short contexts, and what they hand down, from the sums of all buckets."""
+    order = np.argsort(node)
+    node, n, w = node[order], n[order], w[order]
+    leaf = (node & 256) > 0
+    top = min(TOP, depth - 1)
+    t = Subtree.of(((node[leaf] >> 9) << 8) | (node[leaf] & 255), n[leaf], 0, top)
+    out = []
+    for j in range(8):
+        own = node[(node & 511) >> j == 1]
+        first = Nodes.of(t.keys[top], t.n[top], j).first
+        nodes, _ = t.weigh(j, w[np.searchsorted(node, node_keys(t.keys[top][first], j))])
+        size = len(nodes[0].first)
+        out.append((own, t.down(nodes, (np.zeros(size), np.ones(size), np.full(size, 0.5)))))
+    return out
+
+
+def answer(keys: np.ndarray, n: np.ndarray, depth: int, tops: list[tuple[np.ndarray, tuple[np.ndarray, ...]]]) -> np.ndarray:
+    """log10 probability of each gram's symbol after its context."""
+    low = min(TOP, depth - 1) + 1
+    t = Subtree.of(keys, n, low, depth)
+    logs = np.zeros(len(keys))
+    for j, (own, state) in enumerate(tops):
+        nodes, _ = t.weigh(j)
+        up = np.searchsorted(own, node_keys(shorter(t.keys[low][nodes[low].first]), j))
+        p = np.clip(t.down(nodes, tuple(x[up] for x in state))[2], 1e-12, 1 - 1e-9)[nodes[depth].at]
+        logs += np.log10(np.where((keys >> (7 - j)) & 1, p, 1 - p))
+    return logs
+
+
+def gather(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(bucket, parts): the chunks' distinct grams and training counts, a row for each bucket."""
+
+    def ask(t: pa.Table) -> pa.Table:
+        keys, n, _, _ = asked([x.as_py().lower() for x in t.column("text")], t.column("training").to_numpy(zero_copy_only=False), depth)
+        order, own = bucket_order(keys, depth, buckets)
+        keys, n = keys[order], n[order]
+        cuts = [*np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])).tolist(), len(own)]
+        spans = list(zip(cuts, cuts[1:]))
+        cols = ([int(own[a]) for a, _ in spans], [t.column("chunk")[0].as_py()] * len(spans), [b - a for a, b in spans], [packed(keys[a:b]) for a, b in spans],
+                [packed(n[a:b]) for a, b in spans])
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table({k: pa.array(c, type=x) for k, c, x in zip(("bucket", "chunk", "n", "keys", "counts"), cols, kinds, strict=True)})
+
+    made = rows.select("chunk", "training", "text").groupBy("chunk").applyInArrow(ask, "bucket int, chunk long, n long, keys binary, counts binary")
+    return checkpoint_table(made.groupBy("bucket").agg(F.collect_list(F.struct("chunk", "n", "keys", "counts")).alias("parts")))
+
+
+def answers(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(chunk, bucket, logs): log10 probabilities (float32) of each chunk's grams of a bucket, in the order of ``asked``."""
+    spark = rows.sparkSession
+    table = gather(rows, depth, buckets)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for parts in b.column("parts"):
+                _, keys, n, _ = opened(parts.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in bottom(keys, n, depth)], names=["node", "n", "w"])
+
+    short = table.mapInArrow(sums, "node long, n long, w double").groupBy("node").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).toPandas()
+    tops = spark.sparkContext.broadcast(weigh_top(*[short[c].to_numpy() for c in ("node", "n", "w")], depth))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for bucket, parts in zip(b.column("bucket").to_pylist(), b.column("parts"), strict=True):
+                parts = parts.as_py()
+                starts, keys, n, at = opened(parts)
+                logs = answer(keys, n, depth, tops.value).astype(np.float32)[at]
+                yield pa.RecordBatch.from_arrays([pa.array([x["chunk"] for x in parts], pa.int64()), pa.array([bucket] * len(parts), pa.int32()),
+                                                  pa.array([logs[i:k].tobytes() for i, k in zip(starts, starts[1:])], pa.binary())], names=["chunk", "bucket", "logs"])
+
+    return table.mapInArrow(run, "chunk long, bucket int, logs binary")
+
+
+def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 6, word_share: float = 2.0**-20,
+          chunk: int = 8 << 20) -> DataFrame:
     """doc_id, training, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte of each row.
 
-    ``training`` is a condition on the columns of ``docs``."""
+    ``training`` is a condition on the columns of ``docs``; ``depth``: 1 to 6 bytes."""
+    if not 1 <= depth <= 6:
+        raise ValueError("depth must be 1 to 6 bytes")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(training, F.lit(False)).alias("training"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    counts = checkpoint_table(count_all(rows.filter("training"), depth))
-    words = counts.filter("token is not null").select("token", "n")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
+    chunks = max(1, -(-size // chunk))
+    buckets = max(16, chunks // 4)
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("long"))
+    words = checkpoint_table(count_words(rows.filter("training")))
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     below = n + 0.1 * (v + 1)
     log = lambda c: np.log10((c + 0.1) / below)
     frequent = words.filter(F.col("n") >= word_share * n)
     known = spark.sparkContext.broadcast({bytes(t): float(log(c)) for t, c in frequent.toPandas().itertuples(index=False)})
-    tree = spark.sparkContext.broadcast(fit(counts.filter("gram is not null").select("gram", "n"), depth, share))
     names = ("row", "doc_id", "training", "n_bytes", "n_tokens", "n_known", "base", "score", "token", "n")
     id_kind = rows.schema["doc_id"].dataType.simpleString()
     kinds = ("long", id_kind, "boolean", "long", "long", "long", "double", "double", "binary", "long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, table, model = TaskContext.get().partitionId() << 40, known.value, tree.value
-        for b in batches:
-            id_arrow = b.schema.field("doc_id").type
-            types = (pa.int64(), id_arrow, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64())
-            texts = [t.as_py().lower() for t in b.column("text")]
-            scores, at = [], 0
-            while at < len(texts):  # in pieces of bounded size; a longer text is a piece of its own
-                to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) <= CHUNK):
-                    size += len(texts[to])
-                    to += 1
-                scores.append(model.score(texts[at:to]))
-                at = to
-            head: list[list] = [[], [], [], [], []]
-            rare: list[list] = [[], [], []]
-            for t in texts:
-                c = Counter(t.split())
-                base, n_known, n_tokens = 0.0, 0, 1 + sum(c.values())
-                c[END_TOKEN] = 1
-                for w, k in c.items():
-                    if w in table:
-                        base += k * table[w]
-                        n_known += k
-                    else:
-                        rare[0].append(row)
-                        rare[1].append(w)
-                        rare[2].append(k)
-                for col, x in zip(head, (row, len(t), n_tokens, n_known, base), strict=True):
-                    col.append(x)
-                row += 1
-            k, m = len(head[0]), len(rare[0])
-            if k:
-                cols = (head[0], b.column("doc_id"), b.column("training"), head[1], head[2], head[3], head[4], np.concatenate(scores))
-                yield pa.RecordBatch.from_arrays([*[c if isinstance(c, pa.Array) else pa.array(c, type=t) for c, t in zip(cols, types)],
-                                                  pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64())], names=list(names))
-            if m:
-                yield pa.RecordBatch.from_arrays([pa.array(rare[0], pa.int64()), *[pa.nulls(m, t) for t in types[1:8]], pa.array(rare[1], pa.binary()),
-                                                  pa.array(rare[2], pa.int64())], names=list(names))
-
-    made = checkpoint_table(rows.mapInArrow(run, ", ".join(f"{a} {k}" for a, k in zip(names, kinds, strict=True))))
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        table = known.value
+        types = (pa.int64(), left.schema.field("doc_id").type, pa.bool_(), *[pa.int64()] * 3, pa.float64(), pa.float64(), pa.binary(), pa.int64())
+        texts = [t.as_py().lower() for t in left.column("text")]
+        keys, _, at, first = asked(texts, left.column("training").to_numpy(zero_copy_only=False), depth)
+        order, _ = bucket_order(keys, depth, buckets)
+        logs = np.empty(len(keys))
+        logs[order] = np.frombuffer(b"".join(x.as_py() for x in right.sort_by("bucket").column("logs")), dtype=np.float32)
+        scores = np.add.reduceat(logs[at], first)
+        row = left.column("chunk")[0].as_py() << 32
+        head: list[list] = [[], [], [], [], []]
+        rare: list[list] = [[], [], []]
+        for t in texts:
+            c = Counter(t.split())
+            base, n_known, n_tokens = 0.0, 0, 1 + sum(c.values())
+            c[END_TOKEN] = 1
+            for w, k in c.items():
+                if w in table:
+                    base += k * table[w]
+                    n_known += k
+                else:
+                    rare[0].append(row)
+                    rare[1].append(w)
+                    rare[2].append(k)
+            for col, x in zip(head, (row, len(t), n_tokens, n_known, base), strict=True):
+                col.append(x)
+            row += 1
+        k, m = len(texts), len(rare[0])
+        cols = (head[0], left.column("doc_id"), left.column("training"), *head[1:], scores, pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()))
+        heads = pa.table({a: c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=t) for a, c, t in zip(names, cols, types, strict=True)})
+        cols = (pa.array(rare[0], pa.int64()), *[pa.nulls(m, t) for t in types[1:8]], pa.array(rare[1], pa.binary()), pa.array(rare[2], pa.int64()))
+        return pa.concat_tables([heads, pa.table(dict(zip(names, cols, strict=True)))])
+
+    scored = rows.groupBy("chunk").cogroup(answers(rows, depth, buckets).groupBy("chunk"))
+    made = checkpoint_table(scored.applyInArrow(run, ", ".join(f"{a} {k}" for a, k in zip(names, kinds, strict=True))))
     rare = made.filter("token is not null").select("row", "token", F.col("n").alias("times"))
     rare = rare.join(words.filter(F.col("n") < word_share * n), "token", "left")
     c = F.coalesce(F.col("n"), F.lit(0))

@@ -332,6 +332,27 @@ def test_language_scores(docs, empty):
     assert context_tree.score(empty, F.lit(True)).collect() == []
 
 
+def test_context_tree_keeps_every_context(docs):
+    """Buckets and chunks give what one tree of all contexts in memory gives, six bytes deep."""
+    rows = rows_of(docs)
+    train = lambda d: d is not None and zlib.crc32(str(d).encode()) % 10 != 0
+    text = lambda t: (t or "").encode().lower()
+    k, n = context_tree.grams([text(t) for d, t in rows if train(d)], 6)
+    levels = []
+    for d in range(7):
+        c, at = np.unique((k >> 8) & ((1 << (8 * d)) - 1), return_inverse=True)
+        levels.append(context_tree.Level(c, at, k & 255, n))
+    tree = context_tree.weigh(levels)
+    want = Counter((d, round(float(tree.score([text(t)])[0]), 2)) for d, t in rows)
+    cond = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
+    got = context_tree.score(docs, cond, chunk=20_000).collect()
+    close = lambda a, b: len(a) == len(b) and all(x[0] == y[0] and abs(x[1] - y[1]) <= 0.02 + 1e-5 * abs(y[1]) for x, y in zip(a, b, strict=True))
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert close(sorted(((r.doc_id, r.score) for r in got), key=order), sorted(want.elements(), key=order))
+    none = context_tree.score(docs, F.lit(False)).collect()
+    assert all(abs(r.score - (r.n_bytes + 1) * 8 * np.log10(0.5)) < 1e-3 * (r.n_bytes + 1) for r in none) and len(none) == len(rows)
+
+
 # ---------------------------------------------------------------- quality
 def test_quality_model_learns_and_scores_all(spark, docs, empty):
     rng = np.random.default_rng(2)
