@@ -70,21 +70,50 @@ def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(key[real[depth:]], return_counts=True)
 
 
-def asked(texts: list[bytes], training: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (depth + 1)-grams (latest context byte highest, symbol lowest), their counts in training texts,
-    each symbol's gram and the first symbol of each text."""
+def dealt(rows: DataFrame) -> DataFrame:
+    """(chunk, pack): the rows of a batch that go to one chunk, as a compressed Arrow stream."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            chunk = b.column("chunk").to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            cuts = [*np.flatnonzero(np.diff(chunk[order], prepend=-1)).tolist(), len(order)]
+            packs = []
+            for i, k in zip(cuts, cuts[1:]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(b.take(pa.array(order[i:k])))
+                packs.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(chunk[order][cuts[:-1]]), pa.array(packs, pa.binary())], names=["chunk", "pack"])
+
+    return rows.mapInArrow(run, "chunk long, pack binary")
+
+
+def opened_rows(t: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in t.column("pack")])
+
+
+def asked(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The (depth + 1)-gram of each symbol (latest context byte highest, symbol lowest), and the number of symbols of each text."""
     buf, spans = symbols(texts, depth)
     m = len(buf) - depth
     key = np.zeros(m, dtype=np.int64)
     for j in range(1, depth + 1):
-        key = (key << 8) | buf[depth - j:depth - j + m]
-    key = (key << 8) | buf[depth:]
+        key <<= 8
+        key |= buf[depth - j:depth - j + m]
+    key <<= 8
+    key |= buf[depth:]
     real = np.ones(len(buf), dtype=bool)  # not the ends before a text
     for j in range(1, depth + 1):
         real[spans[:, 0] - j] = False
-    keys, at = np.unique(key[real[depth:]], return_inverse=True)
-    n = np.bincount(at[np.repeat(training, spans[:, 1])], minlength=len(keys))
-    return keys, n, at, np.concatenate([[0], np.cumsum(spans[:, 1])[:-1]])
+    return key[real[depth:]], spans[:, 1]
+
+
+def firsts(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = x[1:] != x[:-1]
+    return np.flatnonzero(new)
 
 
 def bucket_order(keys: np.ndarray, depth: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -411,7 +440,14 @@ def gather(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
     """(bucket, parts): the chunks' distinct grams and training counts, a row for each bucket."""
 
     def ask(t: pa.Table) -> pa.Table:
-        keys, n, _, _ = asked([x.as_py().lower() for x in t.column("text")], t.column("training").to_numpy(zero_copy_only=False), depth)
+        held = opened_rows(t)
+        key, size = asked([x.as_py().lower() for x in held.column("text")], depth)
+        key <<= 1
+        key |= np.repeat(held.column("training").to_numpy(), size)
+        key.sort()
+        first = firsts(key >> 1)
+        keys, n = key[first] >> 1, np.add.reduceat((key & 1), first)
+        del key
         order, own = bucket_order(keys, depth, buckets)
         keys, n = keys[order], n[order]
         cuts = [*np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])).tolist(), len(own)]
@@ -421,7 +457,7 @@ def gather(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         return pa.table({k: pa.array(c, type=x) for k, c, x in zip(("bucket", "chunk", "n", "keys", "counts"), cols, kinds, strict=True)})
 
-    made = rows.select("chunk", "training", "text").groupBy("chunk").applyInArrow(ask, "bucket int, chunk long, n long, keys binary, counts binary")
+    made = dealt(rows.select("chunk", "training", "text")).groupBy("chunk").applyInArrow(ask, "bucket int, chunk long, n long, keys binary, counts binary")
     return checkpoint_table(made.groupBy("bucket").agg(F.collect_list(F.struct("chunk", "n", "keys", "counts")).alias("parts")))
 
 
@@ -476,14 +512,20 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     kinds = ("long", id_kind, "boolean", "long", "long", "long", "double", "double", "binary", "long")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        table = known.value
+        table, left = known.value, opened_rows(left)
         types = (pa.int64(), left.schema.field("doc_id").type, pa.bool_(), *[pa.int64()] * 3, pa.float64(), pa.float64(), pa.binary(), pa.int64())
         texts = [t.as_py().lower() for t in left.column("text")]
-        keys, _, at, first = asked(texts, left.column("training").to_numpy(zero_copy_only=False), depth)
+        key, size = asked(texts, depth)
+        keys = np.sort(key)
+        keys = keys[firsts(keys)]
         order, _ = bucket_order(keys, depth, buckets)
-        logs = np.empty(len(keys))
+        logs = np.empty(len(keys), dtype=np.float32)
         logs[order] = np.frombuffer(b"".join(x.as_py() for x in right.sort_by("bucket").column("logs")), dtype=np.float32)
-        scores = np.add.reduceat(logs[at], first)
+        each = np.empty(len(key), dtype=np.float32)
+        for i in range(0, len(key), 1 << 20):
+            each[i:i + (1 << 20)] = logs[np.searchsorted(keys, key[i:i + (1 << 20)])]
+        scores = np.add.reduceat(each, np.cumsum(size) - size, dtype=np.float64)
+        del key, keys, logs, order, each
         row = left.column("chunk")[0].as_py() << 32
         head: list[list] = [[], [], [], [], []]
         rare: list[list] = [[], [], []]
@@ -508,7 +550,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
         cols = (pa.array(rare[0], pa.int64()), *[pa.nulls(m, t) for t in types[1:8]], pa.array(rare[1], pa.binary()), pa.array(rare[2], pa.int64()))
         return pa.concat_tables([heads, pa.table(dict(zip(names, cols, strict=True)))])
 
-    scored = rows.groupBy("chunk").cogroup(answers(rows, depth, buckets).groupBy("chunk"))
+    scored = dealt(rows).groupBy("chunk").cogroup(answers(rows, depth, buckets).groupBy("chunk"))
     made = checkpoint_table(scored.applyInArrow(run, ", ".join(f"{a} {k}" for a, k in zip(names, kinds, strict=True))))
     rare = made.filter("token is not null").select("row", "token", F.col("n").alias("times"))
     rare = rare.join(words.filter(F.col("n") < word_share * n), "token", "left")
