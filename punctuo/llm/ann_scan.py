@@ -3,7 +3,8 @@
 A bounded sample of rows fits the coarse lists (k-means) and tells how many of
 them hold the wanted share of a query's neighbours. All rows are rotated by a fixed random rotation and filed under their nearest
 centre; a long list is cut into parts of about ``block`` rows, so a list never
-meets in one task. A query probes that many nearest lists. In each part
+meets in one task. A query probes that many nearest lists, and more until they hold
+``k`` rows besides its own. In each part
 the rotated vectors are read in column blocks: after d of D dimensions the
 partial distance, scaled by D/d, is tested against the k-th distance known so
 far times ``(1 + slack / sqrt(d))``; a candidate that fails is abandoned. The
@@ -84,7 +85,7 @@ def scan(rotated: np.ndarray, q: np.ndarray, exact, own: np.ndarray, k: int, col
         keep = part * (dims / d) <= (1 + slack / np.sqrt(d)) ** 2 * limit if d < dims else part <= limit * (1 + 1e-9)
         rows, part = rows[keep], part[keep]
         if d >= dims or not len(rows):
-            return rows
+            return np.union1d(rows, lead)  # the first ones may have been abandoned by the test too
         to = min(dims, d + columns)
         part = part + ((rotated[rows, d:to] - q[d:to]) ** 2).sum(1)
         d = to
@@ -134,21 +135,36 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     probes = probes_for(recall, x, fitted, k) if len(x) else 1
     centres = spark.sparkContext.broadcast(fitted)
 
-    def lists(count: int):
+    def lists(count: int, held: np.ndarray | None = None):
+        """The ``count`` nearest lists; with ``held`` (rows of each list) more until they hold ``least`` rows."""
+
         @F.pandas_udf("array<int>")
-        def run(vec: pd.Series) -> pd.Series:
+        def run(vec: pd.Series, least: pd.Series) -> pd.Series:
             same = vec.map(len).to_numpy() == dims
-            out = pd.Series([np.array([-1], dtype=np.int32)] * len(vec))
+            out = [np.array([-1], dtype=np.int32)] * len(vec)
             if same.any():
-                near = nearest(np.stack(vec[same].to_list()), centres.value, count).astype(np.int32)
-                out[np.flatnonzero(same)] = list(near)
-            return out
-
-        return run("vec")
-
-    filed = checkpoint_table(rows.select("vec_id", "vec", "copies", F.size("vec").alias("dims"), lists(1)[0].alias("list")))
-    ask = V.valid(queries, id_col, vec_col, keep_zero=False).withColumn("query_key", F.xxhash64("vec"))
-    ask = checkpoint_table(ask.select("vec_id", "vec", "query_key", F.size("vec").alias("dims"), F.explode(lists(probes)).alias("list")))
+                x = np.stack(vec[same].to_list())
+                near = list(nearest(x, centres.value, count).astype(np.int32))
+                if held is not None:
+                    need = least[same].to_numpy()
+                    for i in np.flatnonzero([held[lists].sum() < n for lists, n in zip(near, need, strict=True)]):
+                        order = nearest(x[i:i + 1], centres.value, len(centres.value))[0].astype(np.int32)
+                        near[i] = order[:max(count, np.searchsorted(np.cumsum(held[order]), need[i]) + 1)]
+                for i, row in zip(np.flatnonzero(same), near, strict=True):
+                    out[i] = row
+            return pd.Series(out, dtype=object)
+
+        return run("vec", "least")
+
+    filed = checkpoint_table(rows.select("vec_id", "vec", "copies", F.lit(0).cast("long").alias("least")).select(
+        "vec_id", "vec", "copies", F.size("vec").alias("dims"), lists(1)[0].alias("list")))
+    held = np.zeros(n_lists, dtype=np.int64)
+    for r in filed.filter(F.col("dims") == dims).groupBy("list").agg(F.sum("copies").alias("n")).collect():
+        held[r["list"]] = r["n"]
+    own = filed.filter(F.col("dims") == dims).groupBy("vec_id").agg(F.sum("copies").alias("own"))
+    ask = V.valid(queries, id_col, vec_col, keep_zero=False).withColumn("query_key", F.xxhash64("vec")).join(own, "vec_id", "left")
+    ask = ask.withColumn("least", F.coalesce("own", F.lit(0)) + F.lit(k))
+    ask = checkpoint_table(ask.select("vec_id", "vec", "query_key", F.size("vec").alias("dims"), F.explode(lists(probes, held)).alias("list")))
     keys = ["dims", "list", "part", "asked"]
     parts = filed.groupBy("dims", "list").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
     sizes = parts.join(ask.groupBy("dims", "list").agg(F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("asks")), ["dims", "list"])

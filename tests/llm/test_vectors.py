@@ -61,3 +61,17 @@ def test_nearest_recall_and_scores(vectors):
     assert hit / total >= 0.9
     none = vectors.filter("vec_id < 0")
     assert ann_scan.search(none, none).collect() == []
+
+
+def test_every_query_finds_k_rows(spark):
+    """Tight clusters and a few scattered rows, some alone in their list."""
+    importable(spark)
+    rng = np.random.default_rng(6)
+    middles = rng.normal(0, 10, (40, 8))
+    rows = np.concatenate([np.repeat(middles, 500, axis=0) + rng.normal(0, 0.01, (20_000, 8)), rng.normal(0, 60, (200, 8))])
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    got = ann_scan.search(table, table.filter("vec_id % 500 = 0 or vec_id >= 20000")).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == {i: 10 for i in [*range(0, 20_000, 500), *range(20_000, 20_200)]}
+    few = table.filter("vec_id >= 20193")
+    got = ann_scan.search(few, few).groupBy("query_id").count().collect()
+    assert sorted((r.query_id, r["count"]) for r in got) == [(i, 6) for i in range(20_193, 20_200)]
