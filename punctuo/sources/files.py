@@ -66,6 +66,8 @@ def _unzip_batches(batches: Iterator[pd.DataFrame], columns: Sequence[str]) -> I
                     with zf.open(member) as fh:
                         for chunk in pd.read_csv(fh, dtype=str, keep_default_na=False, encoding="utf-8-sig",
                                                  chunksize=200_000):
+                            if unknown := [c for c in chunk.columns if c not in columns]:
+                                raise ValueError(f"{member} has columns that the first archive lacks: {unknown}")
                             yield chunk.reindex(columns=list(columns))
 
 
@@ -84,13 +86,14 @@ def read_flights_zip(spark: SparkSession, path: str, columns: Sequence[str] | No
     """Zipped CSV archives, unpacked in parallel (one task per archive).
 
     Spark's CSV reader cannot open ``.zip``; ``binaryFile`` + ``mapInPandas``
-    streams each archive member in chunks. Without ``columns`` the header of one
-    archive is read by a bounded job (one archive, header line only)."""
+    streams each archive member in chunks. The header of one archive is read by a
+    bounded job (one archive, header line only); a member with other columns besides
+    is an error. Columns are bound as in ``read_flights_csv``."""
     files = spark.read.format("binaryFile").load(path).select("content")
-    if columns is None:
-        hdr = files.limit(1).mapInPandas(_zip_header, "name string, pos int").orderBy("pos").collect()
-        columns = [r["name"] for r in hdr]
-    return files.mapInPandas(lambda it: _unzip_batches(it, columns), string_schema(columns))
+    hdr = files.limit(1).mapInPandas(_zip_header, "name string, pos int").orderBy("pos").collect()
+    known = [r["name"] for r in hdr]
+    raw = files.mapInPandas(lambda it: _unzip_batches(it, known), string_schema(known))
+    return by_name(raw, columns)
 
 
 def read_flights(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -158,3 +158,18 @@ def test_jobs_report_approx(spark, files):
     by_year = spark.read.parquet(str(out / "rep" / "by_year")).collect()
     assert len(by_year) == 1 and by_year[0].n == 3
     assert spark.read.parquet(str(out / "rep" / "by_weekday_hour")).count() == 7
+
+
+def test_zip_members_with_other_columns(spark, tmp_path):
+    """Columns besides the wanted ones pass through; a column that only a later member has is an error, not dropped."""
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as zf:
+        zf.writestr("one.csv", "a,b\n1,2\n")
+    got = S.read_flights_zip(spark, str(tmp_path / "a.zip"), ["b"])
+    assert got.columns == ["b", "a"] and [tuple(r) for r in got.collect()] == [("2", "1")]
+    with pytest.raises(ValueError, match="missing"):
+        S.read_flights_zip(spark, str(tmp_path / "a.zip"), ["z"])
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as zf:
+        zf.writestr("one.csv", "a,b\n1,2\n")
+        zf.writestr("two.csv", "b,a,c\n4,3,5\n")
+    with pytest.raises(Exception, match="columns that the first archive lacks"):
+        S.read_flights_zip(spark, str(tmp_path / "b.zip")).collect()
