@@ -19,7 +19,7 @@ from punctuo.llm.queries import labelled, word_tokenizer_path
 from punctuo.llm.workers import importable
 from punctuo.operators.util import checkpoint_table
 
-#: The stages fit models, verify sets and run a tokenizer: SQL can't express them. tests/llm holds them against brute force.
+#: The stages fit models, verify sets and run a tokenizer: SQL can't express them. What tests/llm holds against brute force: see README.
 ORACLE_SQL: str | None = None
 #: A document with a lower chance of label 1 goes.
 KEEP_FROM = 0.5

@@ -2,6 +2,8 @@
 
 import corpus_pipeline
 from punctuo.llm import chosen_path
+from punctuo.operators.util import checkpoint_table
+from test_documents import shingles
 
 SF = "/root/testdata/sf0.01"
 
@@ -24,6 +26,25 @@ def test_stages(spark):
     assert pieces.groupBy("sequence_id").sum().count() > 0
 
 
+def test_run_keeps_one_of_each_group(spark):
+    """Groups rebuilt in plain Python: one row of each stays, and no other document reaches the sequences."""
+    small = "/root/testdata/sf0.001"
+    good = checkpoint_table(corpus_pipeline.quality(spark, spark.read.parquet(f"{small}/documents.parquet"), small))
+    rows = [(r.doc_id, shingles(r.text)) for r in good.collect()]
+    root = list(range(len(rows)))
+    for i, (_, a) in enumerate(rows):
+        for j, (_, b) in enumerate(rows[:i]):
+            if a == b or a and b and len(a & b) >= 0.8 * len(a | b):
+                old, new = root[i], root[j]
+                root = [new if x == old else x for x in root]
+    group = {d: root[i] for i, (d, _) in enumerate(rows)}
+    kept = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, good, small).select("doc_id").collect()]
+    assert len(group) == len(rows) and sorted(group[d] for d in kept) == sorted(set(root))
+    pieces = corpus_pipeline.run(spark, small).collect()
+    assert pieces and {r.doc_id for r in pieces} <= set(kept)
+    assert all(0 <= r.start and r.start + len(r.ids) // 4 <= r.doc_tokens for r in pieces)
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
