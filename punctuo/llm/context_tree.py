@@ -218,7 +218,8 @@ class Level:
 
 
 def weigh(levels: list[Level], block: int = 4096) -> ContextTree:
-    """Weights the contexts of ``levels[d]`` (d bytes each), a block of contexts in memory at a time."""
+    """Weights the contexts of ``levels[d]`` (d bytes each), a block of contexts in memory at a time; for a corpus of one process, and the
+    tests hold the buckets against it."""
     depth = len(levels) - 1
     half = np.log(0.5)
     size = [len(v.keys) for v in levels]
