@@ -151,3 +151,30 @@ def op8_suffix_array_dedup(spark, sf_dir):
     none = F.lit(0).cast("long")
     return d.join(lost, "key", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"),
                                               F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
+
+
+@query
+def op11_rank_array_bpe(spark, sf_dir):
+    """Ids of all texts and what they decode to, as hashes."""
+    from punctuo.llm import bpe_codec as C
+
+    path = word_tokenizer_path()
+    ids = C.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    ids = ids.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    return C.decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    """All texts' tokens by two tokenizers aligned over their bytes, and how common their links are."""
+    import public_tokenizers
+
+    from punctuo.llm import token_alignment as A
+    from punctuo.operators.util import checkpoint_table
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    al = A.align(table(spark, sf_dir, "documents").select("doc_id", "text"), *paths)
+    al = al.withColumn("groups", F.when(F.col("n_a") == 0, "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))).withColumnRenamed("groups", "groups_sha256")
+    al = checkpoint_table(al)
+    s = A.scored(al, A.best_counts(A.link_counts(al)), *paths)
+    return s.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
