@@ -93,7 +93,7 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (np.asarray([len(t) for t in x], dtype=np.int64) for x in (self.a_bytes, self.b_bytes))
         across = re.compile(f"[^{SPACE}]{SPACE}")
-        self.cut = None if any(across.search(p) for p in pieces) or any(re.search(rb"[^ \t-\r] ", t) for t in self.a_bytes) else CUT
+        self.cut = None if any(across.search(p) for p in pieces) or any(re.search(r"\S ", t.decode("utf-8", "replace")) for t in self.a_bytes) else CUT
         self.kind = kind
         self.known: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
