@@ -58,3 +58,34 @@ SELECT doc_id, CAST(len(list_filter(s, lambda x: x.k = 'assign')) AS BIGINT) AS
        {_JOINED.format('s')} AS spans
 FROM s
 """
+
+ORACLE["op13_quicksort_collocations"] = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+o AS (
+  SELECT lang, 1 AS words, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) >= 2
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w WHERE len(w) >= 3),
+f AS (SELECT lang, words, phrase, count(*) AS a FROM o GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, count(*) AS n FROM o WHERE words = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS p FROM f WHERE words > 1),
+k AS (SELECT *, unnest(range(1, words)) AS k FROM c),
+s AS (
+  SELECT k.lang, k.phrase, k.words, k.a, k.p, k.k, x.a AS l, y.a AS r,
+         CAST((CAST(1000000 AS HUGEINT) * k.a * k.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.p[1:k.k], ' ')
+         JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.p[k.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+h AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, p[1] || ' ' || p[2] AS phrase, a FROM c WHERE words = 3 UNION ALL SELECT lang, p[2] || ' ' || p[3], a FROM c WHERE words = 3)
+  GROUP BY ALL),
+z AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, b.l, b.r, n.n, b.score
+  FROM b JOIN n ON n.lang = b.lang LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase
+  WHERE h.longer IS NULL OR 100 * h.longer < 50 * b.a)
+SELECT * FROM z WHERE rank <= 2000
+"""

@@ -178,3 +178,11 @@ def op12_token_alignment(spark, sf_dir):
     al = checkpoint_table(al)
     s = A.scored(al, A.best_counts(A.link_counts(al)), *paths)
     return s.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op13_quicksort_collocations(spark, sf_dir):
+    """The best 2,000 phrases of two and three words of each language."""
+    from punctuo.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
