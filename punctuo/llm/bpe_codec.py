@@ -40,11 +40,11 @@ from punctuo.llm.slices import slices
 #: Longest word, in bytes, that is merged by scans.
 SHORT = 64
 #: Chunks and words that one generation remembers.
-CHUNKS, WORDS = 250_000, 250_000
+CHUNKS, WORDS = 120_000, 120_000
 #: Only chunks of at most so many bytes are remembered.
 LONGEST = 64
-#: Rows of one output batch.
-ROWS = 2048
+#: Rows and bytes of text or ids of one output batch.
+ROWS, BYTES = 2048, 1 << 20
 #: Characters that Python and the file's normaliser lower-case and split alike.
 PLAIN = re.compile(r"[\x21-\x7eÀ-įı-ž]*")
 #: Letters and marks behind them: two words in every pattern this module takes, the commonest kind of chunk.
@@ -261,7 +261,7 @@ def codec(path: str) -> BytePairs:
     return _CODECS[path]
 
 
-def _replaced(df: DataFrame, old: str, new: str, kind: T.DataType, value: Callable[[list], list], size: int) -> DataFrame:
+def _replaced(df: DataFrame, old: str, new: str, kind: T.DataType, value: Callable[[list], list]) -> DataFrame:
     """``df`` with the column ``new`` of ``value`` (a list for a list) in place of ``old``."""
     rest = [c for c in df.columns if c not in (old, new)]
     source = df.select(*[f"`{c}`" for c in rest], df[f"`{old}`"].cast("binary").alias(new))
@@ -270,7 +270,7 @@ def _replaced(df: DataFrame, old: str, new: str, kind: T.DataType, value: Callab
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in slices(whole, len(rest), ROWS, size):
+            for b in slices(whole, len(rest), ROWS, BYTES):
                 got = value([x or b"" for x in b.column(len(rest)).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], pa.array(got, pa.binary()).cast(arrow)], names=[*rest, new])
 
@@ -279,9 +279,9 @@ def _replaced(df: DataFrame, old: str, new: str, kind: T.DataType, value: Callab
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the texts replaced by their ids: ``out``, little-endian unsigned 32-bit numbers."""
-    return _replaced(docs, text_col, out, T.BinaryType(), lambda texts: codec(path).encode(texts), 4 << 20)
+    return _replaced(docs, text_col, out, T.BinaryType(), lambda texts: codec(path).encode(texts))
 
 
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """``tokens`` with the ids replaced by the text they decode to, special tokens included."""
-    return _replaced(tokens, ids_col, out, T.StringType(), lambda ids: [*map(codec(path).decode, ids)], 4 << 20)
+    return _replaced(tokens, ids_col, out, T.StringType(), lambda ids: [*map(codec(path).decode, ids)])
