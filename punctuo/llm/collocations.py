@@ -42,6 +42,8 @@ WORDS = 1 << 20
 #: Bytes of one text that are cut into words at once.
 STRIP = 1 << 22
 END, EMPTY = 0, 1
+#: Of the hash of a phrase: the product stays below 2^63.
+MULTIPLIER, MODULUS = 1_000_003, 4_294_967_291
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 
 
@@ -126,38 +128,47 @@ class Words:
         return langs, words
 
 
-def frequent_bit(bitmap: np.ndarray, lang: str, phrase: bytes) -> bool:
-    at = crc32(lang.encode() + b"\t" + phrase) & (BITS - 1)
-    return bool(bitmap[at >> 6] >> np.uint64(at & 63) & np.uint64(1))
+def step(hashed, word):
+    """The hash of a phrase with one more word (numbers of Spark or of numpy below 2^32): the same in the driver's plan and in the tasks."""
+    return (hashed * MULTIPLIER + word) % MODULUS
+
+
+def is_frequent(bitmap: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    at = hashed % np.uint64(BITS)
+    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def phrases(held: Words, depth: int, bitmaps: list[np.ndarray]) -> tuple[list[str], list[bytes], np.ndarray]:
     """Language, phrase and count of the phrases of ``depth`` words whose shorter ones are in the bitmaps."""
     seq = np.concatenate([*held.parts, np.zeros(depth, dtype=np.int32)])
     langs, words = held.spelled()
+    counts = np.bincount(seq, minlength=len(words))
+    counts[:EMPTY + 1] = 0
     if depth == 1:
-        counts = np.bincount(seq, minlength=len(words))
-        some = np.flatnonzero(counts[EMPTY + 1:]) + EMPTY + 1
+        some = np.flatnonzero(counts)
         return [langs[i] for i in some.tolist()], [words[i] for i in some.tolist()], counts[some]
-    good = np.zeros(len(words), dtype=bool)
-    used = np.flatnonzero(np.bincount(seq, minlength=len(words))[EMPTY + 1:]) + EMPTY + 1
-    good[used] = [frequent_bit(bitmaps[0], langs[i], words[i]) for i in used.tolist()]
-    alive = good[seq]
+    word_hash = np.fromiter(map(crc32, words), dtype=np.uint64, count=len(words))
+    of_lang = {g: crc32(g.encode()) for g in held.ids}
+    hashed = step(np.fromiter((of_lang.get(g, 0) for g in langs), dtype=np.uint64, count=len(words)), word_hash)  # of phrases of one word, by word
+    alive = (is_frequent(bitmaps[0], hashed) & (counts > 0))[seq]
     order, starts = leading(seq, np.flatnonzero(alive[:-1] & alive[1:]))
+    hashed = hashed[seq[order[starts]]]
     for deep in range(2, depth + 1):
+        heads = starts
         order, starts = split_equal(order, starts, seq[deep - 1:])
         sizes = np.diff(np.append(starts, len(order)))
-        heads = [[words[i] for i in seq[order[starts] + j].tolist()] for j in range(deep)]
-        found, of = [*map(b" ".join, zip(*heads, strict=True))], [langs[i] for i in seq[order[starts]].tolist()]
+        first = order[starts]
         if deep == depth:
-            return of, found, sizes
-        go = np.asarray([frequent_bit(bitmaps[deep - 1], g, f) for g, f in zip(of, found, strict=True)], dtype=bool)
+            spelled = [[words[i] for i in seq[first + j].tolist()] for j in range(deep)]
+            return [langs[i] for i in seq[first].tolist()], [*map(b" ".join, zip(*spelled, strict=True))], sizes
+        hashed = step(hashed[np.searchsorted(heads, starts, side="right") - 1], word_hash[seq[first + deep - 1]])
         alive = np.zeros(len(seq), dtype=bool)
-        alive[order[np.repeat(go, sizes)]] = True
+        alive[order[np.repeat(is_frequent(bitmaps[deep - 1], hashed), sizes)]] = True
         part = np.repeat(np.arange(len(starts)), sizes)
         keep = alive[order] & alive[order + 1]
         order, part = order[keep], part[keep]
         starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(order) else starts[:0]
+        hashed = hashed[part[starts]]
     raise AssertionError
 
 
@@ -187,9 +198,10 @@ def partial_counts(texts: DataFrame, depth: int, bitmaps: list[np.ndarray]) -> D
 
 def bitmap_of(frequent: DataFrame) -> np.ndarray:
     """Bits of the phrases of ``frequent``; made in the cluster, ``BITS`` / 64 numbers at most come to the driver."""
-    bit = F.crc32(F.concat_ws("\t", "lang", "phrase").cast("binary")) % BITS
+    first = F.crc32(F.col("lang").cast("binary"))
+    bit = F.aggregate(F.split("phrase", " "), first, lambda h, w: step(h, F.crc32(w.cast("binary")))) % BITS
     one = F.expr("shiftleft(1L, cast(bit % 64 as int))")
-    rows = frequent.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("slot")).agg(F.bit_or(one).alias("mask")).toArrow()
+    rows = frequent.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("slot")).agg(F.bit_or(one).alias("mask")).toArrow()
     out = np.zeros(BITS // 64, dtype=np.uint64)
     out[rows.column("slot").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
     return out
