@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +58,11 @@ def persist_table(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A new folder name inside the session's shared ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/punctuo-tables/{uuid.uuid4().hex}"
+
+
 def checkpoint_table(df: DataFrame) -> DataFrame:
     """Cut lineage by writing ``df`` as a Parquet table inside the session's
     shared ``spark.checkpoint.dir`` and reading it back.
@@ -66,8 +71,7 @@ def checkpoint_table(df: DataFrame) -> DataFrame:
     table is read with column pruning and predicate pushdown, and nothing is
     parked on executor disks. It survives executor loss (shared storage) and
     is written once."""
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/punctuo-tables/{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession)
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)
 

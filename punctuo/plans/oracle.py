@@ -697,3 +697,22 @@ SELECT hour, {R('actual_pct', 'actual_pct')}, {R('pred_pct', 'pred_pct')}, n, {R
 FROM h ORDER BY abs(actual_pct - pred_pct) DESC, hour LIMIT 1""")
 
 ORACLE["raw_rain_series"] = sql([WEV], f"SELECT day, {R('prcp', 'prcp')} FROM weather_ev")
+
+ORACLE["csv_clean_roundtrip"] = sql([RAW_DUP, CLEAN], f"""
+SELECT "Identifier", flight_no, CASE "LSV" WHEN 'S' THEN 'departure' WHEN 'L' THEN 'arrival' END AS direction,
+       CASE WHEN regexp_matches(flight_no, '^..\\p{{L}}') THEN substr(flight_no, 1, 3) ELSE substr(flight_no, 1, 2) END AS airline,
+       place_code, planned_ts, actual_ts, rolled_over, {R('delay_min', 'delay_min')}, is_late, day, year, month, weekday, hour
+FROM clean_ev""")
+
+ORACLE["airports_read"] = f"""
+SELECT CAST(n_nationkey AS VARCHAR) AS "Airport_ID", 'The "' || n_name || '", Airport' AS "Name", n_name AS "City", r_name AS "Country",
+       'N' || CAST(n_nationkey AS VARCHAR) AS "IATA", CASE WHEN n_nationkey = 24 THEN NULL ELSE n_name END AS "ICAO",
+       {R('CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE -60.0::DOUBLE + 5.0::DOUBLE * n_nationkey END', '"Latitude"')},
+       {R('-170.0::DOUBLE + 14.0::DOUBLE * n_nationkey', '"Longitude"')}, 12.0::DOUBLE AS "Altitude", CAST(NULL AS DOUBLE) AS "Timezone",
+       'E' AS "DST", CAST(NULL AS VARCHAR) AS "Tz", 'airport' AS "Type", 'x' AS "Source"
+FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+ORACLE["weather_read"] = sql([WEV], f"""
+SELECT day, {R('tavg', 'tavg')}, {R('tmin', 'tmin')}, CAST(NULL AS DOUBLE) AS tmax,
+       {R("CASE WHEN day >= DATE '2024-01-21' THEN NULL ELSE prcp END", 'prcp')}, {R('wspd', 'wspd')}, {R('wpgt', 'wpgt')}, {R('pres', 'pres')}, 'EDDF' AS station
+FROM weather_ev""")

@@ -143,6 +143,63 @@ def direction_code_freq(spark, sf_dir):
     return PR.value_freq(r.select(lab.alias("direction_label")), "direction_label")
 
 
+# ------------------------------------------------------------------ files
+def written_csv(df: DataFrame, **options) -> str:
+    """``df`` as CSV files in the shared folder, for the readers."""
+    from punctuo.operators.util import shared_path
+
+    path = shared_path(df.sparkSession)
+    df.write.options(**options).csv(path)
+    return path
+
+
+@query
+def csv_clean_roundtrip(spark, sf_dir):
+    """S1 → C1–C14 → S6: the raw strings as header CSV files of two column orders, read by name, cleaned, written by year and read back."""
+    from punctuo.operators.util import shared_path
+    from punctuo.sources import files as SF
+
+    raw = B.raw_ev(spark, sf_dir, duplicates=True)
+    path, names, even = shared_path(spark), raw.columns, F.pmod(F.xxhash64("Identifier"), F.lit(2)) == 0
+    raw.filter(even).write.option("header", True).csv(path)
+    raw.filter(~even).select(*reversed(names)).write.mode("append").option("header", True).csv(path)
+    clean = CL.clean_flights(SF.read_flights(spark, path, names, headers="each"))
+    out = shared_path(spark)
+    SF.write_fact(clean, out)
+    c = spark.read.parquet(out)
+    return rounded(c.select("Identifier", "flight_no", "direction", "airline", "place_code", "planned_ts", "actual_ts", "rolled_over", "delay_min", "is_late", "day",
+                            *[F.col(x).cast("int").alias(x) for x in ("year", "month", "weekday", "hour")]))
+
+
+@query
+def airports_read(spark, sf_dir):
+    """S3 + C1–C3: a headerless file of 14 columns with quotes, missing marks, blanks and numbers that are none."""
+    from punctuo.sources import files as SF
+
+    p = B.places(spark, sf_dir)
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("\\N"))
+    none = F.lit("\\N")
+    cols = [text(F.col("place_id")), F.concat(F.lit('  The "'), F.col("name"), F.lit('", Airport ')), text(F.col("name")), text(F.col("region")), text(F.col("key_b")), text(F.col("key_a")),
+            F.when(F.col("place_id") % 5 == 0, "north").otherwise(text(F.col("lat"))), text(F.col("lon")), F.lit(" 12 "), F.lit(""), F.lit("E"), none, F.lit("airport"), F.lit("x")]
+    path = written_csv(p.select(*[c.alias(n) for c, n in zip(cols, SF.AIRPORT_COLUMNS, strict=True)]), escape='"', quoteAll=True)
+    return rounded(SF.read_airports(spark, path))
+
+
+@query
+def weather_read(spark, sf_dir):
+    """S4, S5 + C15: daily weather files of two column orders, one with a column more, read by name and cleaned."""
+    from punctuo.operators.util import shared_path
+    from punctuo.sources import files as SF
+
+    names = [f.name for f in SF.WEATHER_SCHEMA.fields]
+    w = B.weather_ev(spark, sf_dir)
+    raw = w.select(*[(F.col("day") if n == "date" else F.col(n) if n in w.columns else F.lit(None)).cast("string").alias(n) for n in names], F.lit("EDDF").alias("station"))
+    path, early = shared_path(spark), F.dayofmonth("date") <= 15
+    raw.filter(early).write.option("header", True).csv(path)
+    raw.filter(~early).select("station", *reversed(names)).write.mode("append").option("header", True).csv(path)
+    return rounded(SF.clean_weather(SF.read_weather(spark, path, headers="each"), BAD_RAIN_FROM_EV))
+
+
 # ------------------------------------------------------------------ weather source checks
 @query
 def bad_period_check(spark, sf_dir):

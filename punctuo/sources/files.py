@@ -36,15 +36,58 @@ def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_flights_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_flights_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, headers: str = "same") -> DataFrame:
     """Header CSV, UTF-8 (BOM stripped by the reader), every column a string.
 
     Columns are bound by their header names (``inferSchema`` is never switched
     on): those named in ``columns`` come first and must be there, others pass
     through behind them. An empty cell is '' (the cleaning makes it NULL), as in
-    the archives."""
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST").csv(path)
-    return by_name(raw, columns).na.fill("")
+    the archives. ``headers``: see ``read_headed``."""
+    return read_headed(spark, path, columns, headers).na.fill("")
+
+
+def read_headed(spark: SparkSession, path: str, columns: Sequence[str] | None, headers: str = "same") -> DataFrame:
+    """A file or a folder of header CSV files as strings, every file bound by its own header.
+
+    ``headers="same"``: all files must have the same header; a file with another one
+    (names, order or number) fails the query and is named in the error. ``"each"``: the
+    header line of every file is read first (one short job a file, some at a time),
+    files of one header share a reader, and the readers' rows are united by name; a
+    file without a wanted column, or without one that another file has, is an error."""
+    if headers not in ("same", "each"):
+        raise ValueError("headers must be 'same' or 'each'")
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST").option("enforceSchema", False)
+    if headers == "same":
+        return by_name(reader.csv(path), columns)
+    found = header_lines(spark, path)
+    parts = [(files, by_name(reader.csv(files), columns)) for files in found.values()]
+    first = parts[0][1]
+    for files, part in parts[1:]:
+        if odd := sorted({*part.columns} ^ {*first.columns}):
+            raise ValueError(f"not in all files: columns {odd}; compare {parts[0][0][0]} and {files[0]}")
+    out = first
+    for _, part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def header_lines(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by header line, in order of names. Lists the folder (without reading it) and reads one line of each file."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    files = sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").toLocalIterator())
+    if not files:
+        raise ValueError(f"no files in {path}")
+
+    def first_line(file: str) -> str:
+        row = spark.read.text(file).head()
+        return (row["value"] if row else "").lstrip("\ufeff")
+
+    out: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, line in zip(files, pool.map(first_line, files)):
+            out.setdefault(line, []).append(file)
+    return out
 
 
 def by_name(raw: DataFrame, columns: Sequence[str] | None) -> DataFrame:
@@ -96,11 +139,11 @@ def read_flights_zip(spark: SparkSession, path: str, columns: Sequence[str] | No
     return by_name(raw, columns)
 
 
-def read_flights(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_flights(spark: SparkSession, path: str, columns: Sequence[str] | None = None, headers: str = "same") -> DataFrame:
     """S2 choice: ``.zip`` archives when the path names them, plain CSV otherwise."""
     if path.lower().endswith(".zip"):
         return read_flights_zip(spark, path, columns)
-    return read_flights_csv(spark, path, columns)
+    return read_flights_csv(spark, path, columns, headers)
 
 
 def read_airports(spark: SparkSession, path: str) -> DataFrame:
@@ -111,12 +154,12 @@ def read_airports(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[X.lenient_double(c).alias(c) if c in AIRPORT_NUMERIC else F.col(c) for c in AIRPORT_COLUMNS])
 
 
-def read_weather(spark: SparkSession, path: str) -> DataFrame:
+def read_weather(spark: SparkSession, path: str, headers: str = "same") -> DataFrame:
     """Daily weather CSV, columns bound by header name and cast strictly
     (``date`` as DATE, the others as numbers): a value that is no date or number
-    fails the query. Columns beyond the known ones pass through as strings."""
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
-    raw = by_name(raw, [f.name for f in WEATHER_SCHEMA.fields])
+    fails the query. Columns beyond the known ones pass through as strings.
+    ``headers``: see ``read_headed``."""
+    raw = read_headed(spark, path, [f.name for f in WEATHER_SCHEMA.fields], headers)
 
     def strict(name: str, kind: T.DataType):
         c = F.col(f"`{name}`")
