@@ -137,27 +137,41 @@ def skill(df: DataFrame, score: str = "p_late", label: str = "is_late", delay: s
 # --------------------------------------------------------------------------
 # AUC (exact, distributed)
 # --------------------------------------------------------------------------
-def auc(df: DataFrame, score: str = "p_late", label: str = "is_late", buckets: int = 64) -> DataFrame:
+#: Most ranges that the distinct scores are cut into, and the scores a range should hold.
+MAX_RANGES, PER_RANGE = 1024, 1 << 16
+
+
+def score_ranges(d: DataFrame, score: str, per_range: int = PER_RANGE) -> Column:
+    """Edges that cut the distinct scores of ``d`` into ranges of about ``per_range``.
+
+    One quantile sketch, merged over the tasks, gives all ``MAX_RANGES`` - 1 edges and
+    the number of scores; of the edges as many are used as the number asks for."""
+    n, edges = d.agg(F.count(score), F.percentile_approx(score, [i / MAX_RANGES for i in range(1, MAX_RANGES)], 10 * MAX_RANGES)).first()
+    ranges = min(MAX_RANGES, max(1, -(-n // per_range)))
+    used = sorted({float(edges[i * MAX_RANGES // ranges - 1]) for i in range(1, ranges)})
+    return F.array(*[F.lit(e) for e in used]).cast("array<double>")
+
+
+def auc(df: DataFrame, score: str = "p_late", label: str = "is_late", per_range: int = PER_RANGE) -> DataFrame:
     """M10 AUC = P(score_pos > score_neg) + ½ P(tie), exact.
 
     1. positives/negatives per distinct score (partial aggregation);
-    2. approximate quantiles of the distinct scores cut them into ``buckets``
-       ranges of similar size (so no range is a hot partition);
-    3. negatives below a score = negatives of earlier buckets (a table of
-       ``buckets`` rows, broadcast) + running sum inside the bucket (window
-       partitioned by bucket).
+    2. a quantile sketch of the distinct scores cuts them into ranges of similar
+       size, as many as the scores need (``score_ranges``), however near to each
+       other they lie;
+    3. negatives below a score = negatives of lower ranges (at most ``MAX_RANGES``
+       rows) + running sum inside the range (window partitioned by range).
     """
     y = F.col(label)
-    d = df.filter(F.col(score).isNotNull() & y.isNotNull()).groupBy(score).agg(
+    d = df.filter(F.col(score).isNotNull() & y.isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    qs = [i / buckets for i in range(1, buckets)]
-    edges = _bounded_array(d.select(F.percentile_approx(score, qs, 10_000)))
-    s = F.col(score)
+    edges = score_ranges(d, "_s", per_range)
+    s = F.col("_s")
     d = d.withColumn("_b", F.size(F.filter(edges, lambda e: e < s)))
     per_b = d.groupBy("_b").agg(F.sum("neg").alias("_bneg"))
     per_b = per_b.withColumn("_neg_before", F.coalesce(
         F.sum("_bneg").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = Window.partitionBy("_b").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_neg_in", F.coalesce(F.sum("neg").over(inner), F.lit(0)))
     j = d.join(F.broadcast(per_b.select("_b", "_neg_before")), "_b")
     wins = F.col("pos").cast("double") * (F.col("_neg_before") + F.col("_neg_in") + F.col("neg") * 0.5)
@@ -183,7 +197,7 @@ def calibration(test: DataFrame, groups: int = 10, score: str = "p_late", label:
     duplicates dropped, right-closed, lowest included); mean score, late rate, n.
 
     The edges (``groups + 1`` numbers) come from ``exact_quantiles``, which
-    never gathers all distinct scores in one task."""
+    selects them by value ranges and never gathers all distinct scores in one task."""
     probs = [i / groups for i in range(groups + 1)]
     edges = _bounded_array(exact_quantiles(test, score, probs).select(F.array_distinct("q")))
     binned = test.withColumn("bin", X.quantile_bin(score, edges)).filter(F.col("bin").isNotNull())
@@ -200,22 +214,24 @@ def confusion_sweep(test: DataFrame, ts: Sequence[float] | None = None, score: s
                     label: str = "is_late") -> DataFrame:
     """Confusion cells, precision, recall, accuracy per threshold.
 
-    Counts per distinct score first, then the (bounded) threshold list fans
-    the small table out — never the rows. Zero denominators give 0."""
-    ts = thresholds() if ts is None else list(ts)
+    One pass: each row falls into one bin, the number of thresholds at or below its
+    score; the bins (one more than thresholds) are summed up from the top. Rows
+    without a score or label are in no cell; zero denominators give 0."""
+    ts = sorted(thresholds() if ts is None else map(float, ts))
     y = F.col(label)
-    d = test.groupBy(score).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    d = d.select(score, "pos", "neg", F.explode(F.array(*[F.lit(float(t)) for t in ts])).alias("threshold"))
-    warn = F.col(score) >= F.col("threshold")
-    s = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    agg = d.groupBy("threshold").agg(
-        s(F.when(warn, F.col("pos"))).alias("tp"), s(F.when(warn, F.col("neg"))).alias("fp"),
-        s(F.when(~warn, F.col("pos"))).alias("fn"), s(F.when(~warn, F.col("neg"))).alias("tn"))
+    below = F.filter(F.array(*[F.lit(t) for t in ts]), lambda t: t <= F.col(score))
+    h = test.groupBy(F.when(F.col(score).isNotNull(), F.size(below)).alias("_k")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(y).alias("_pos"), F.count_if(~y).alias("_neg"))
+    s = lambda cond, c: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0)).cast("long")
+    k = F.col("_k")
+    cells = [F.struct(F.lit(t).alias("threshold"), s(k > i, "_pos").alias("tp"), s(k > i, "_neg").alias("fp"), s(k <= i, "_pos").alias("fn"), s(k <= i, "_neg").alias("tn"))
+             for i, t in enumerate(ts)]
+    agg = h.agg(F.array(*cells).alias("_cells"), F.sum("_n").alias("_n")).filter("_n > 0").select(F.inline("_cells"))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return agg.select("threshold", "tp", "fp", "fn", "tn",
                       (tp / F.greatest(tp + fp, F.lit(1))).alias("precision"),
                       (tp / F.greatest(tp + fn, F.lit(1))).alias("recall"),
-                      ((tp + tn) / (tp + fp + fn + tn)).alias("accuracy"))
+                      ((tp + tn) / F.when(tp + fp + fn + tn > 0, tp + fp + fn + tn)).alias("accuracy"))
 
 
 def by_day(test: DataFrame, min_n: int, score: str = "p_late", label: str = "is_late", day: str = "day",

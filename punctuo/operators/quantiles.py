@@ -3,9 +3,10 @@
 Spark's exact ``percentile`` keeps a value→count map per group and merges
 every map task's map for a group in ONE task: for a hot group (or a global
 median) that is (map tasks × distinct values) work in one place. Here the
-counting is an ordinary aggregation on (group, value) — a hot group is spread
-over many reducers by value — and only the small per-group table of distinct
-values with counts is ranked.
+counting is an ordinary aggregation on (group, value), so a hot group is spread
+over many reducers by value. The rank is then found by selection: a histogram per
+(group, value range), the range that holds the rank, and running counts over the
+distinct values of that range alone. No step brings a group's values to one place.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctuo.operators.util import fits_rows
+#: Value ranges an octave: a range's values differ by less than a thousandth.
+RANGES_PER_OCTAVE = 1024
 
 
 def bounded_array(one_row: DataFrame) -> Column:
@@ -24,58 +26,71 @@ def bounded_array(one_row: DataFrame) -> Column:
 
     Spark ML's QuantileDiscretizer does the same; a scalar subquery cannot be
     used here because Spark rejects subqueries inside higher-order functions."""
-    values = one_row.first()[0] or []
+    values = [v for v in one_row.first()[0] or [] if v is not None]
     return F.array(*[F.lit(float(v)) for v in values]).cast("array<double>")
 
 
 # --------------------------------------------------------------------------
-# exact quantiles without one task holding every distinct value
+# selection by rank
 # --------------------------------------------------------------------------
-def _ranked_values(df: DataFrame, c: str, buckets: int) -> DataFrame:
-    """Distinct values with ``cum`` = number of rows with a value ≤ this one.
-
-    Distinct values are cut into ``buckets`` ranges by approximate quantiles
-    (a bounded list), per-range row counts (a bounded table) give each range's
-    offset, and a running sum inside each range (window partitioned by range)
-    gives the rest — no single-partition window over the data."""
-    d = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    edges = bounded_array(d.select(F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10_000)))
-    v = F.col("_v")
-    d = d.withColumn("_b", F.size(F.filter(edges, lambda e: e < v)))
-    per_b = d.groupBy("_b").agg(F.sum("_c").alias("_bc"))
-    per_b = per_b.withColumn("_before", F.coalesce(
-        F.sum("_bc").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_in", F.sum("_c").over(inner))
-    return d.join(F.broadcast(per_b.select("_b", "_before")), "_b").select(
-        "_v", "_c", (F.col("_before") + F.col("_in")).alias("cum"))
-
-
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int = 64,
-                    direct_max: int = 1_000_000) -> DataFrame:
+def value_range(v: Column) -> Column:
+    """A number that never falls as ``v`` rises: equal for values within 2^(1/1024), whatever their size; 0 for 0.
+
+    The logarithm of the smallest double is above -1100, so the shift keeps both signs apart."""
+    place = F.floor(F.log2(F.abs(v)) * RANGES_PER_OCTAVE) + F.lit(1100 * RANGES_PER_OCTAVE)
+    return F.when(v == 0, F.lit(0).cast("long")).otherwise(F.when(v < 0, -place).otherwise(place))
+
+
+def _holds(ranges: Column, rank: Column) -> Column:
+    """(rank, r, before): the first of ``ranges`` (sorted structs r, h) that holds the 0-based ``rank``, and how many values lie in the ones below."""
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(None).cast("long").alias("r"), F.lit(0).cast("long").alias("before"))
+
+    def step(a, x):
+        hit = a["r"].isNull() & (a["sum"] + x["h"] > rank)
+        return F.struct((a["sum"] + x["h"]).alias("sum"), F.when(hit, x["r"]).otherwise(a["r"]).alias("r"), F.when(hit, a["sum"]).otherwise(a["before"]).alias("before"))
+
+    found = F.aggregate(ranges, start, step)
+    return F.struct(rank.alias("rank"), found["r"].alias("r"), found["before"].alias("before"))
+
+
+def grouped_quantiles(vc: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], sums: dict[str, Column] | None = None) -> DataFrame:
+    """Exact interpolated quantiles per group from value counts, with sums beside them.
+
+    ``vc``: one row per (``keys``, ``value``) with its count ``_c``; NULL values are in
+    the sums only. ``sums``: numbers of a row of ``vc`` to add up per group. Returns the
+    keys, the sums and the array ``q`` (NULL without a value). Keys must not be NULL."""
+    keys, sums = list(keys), sums or {}
+    v = F.col(value).cast("double")
+    ranged = vc.withColumn("_r", value_range(v))
+    hist = ranged.groupBy(*keys, "_r").agg(F.sum(F.when(v.isNotNull(), F.col("_c"))).alias("_h"), *[F.sum(c).alias(n) for n, c in sums.items()])
+    entry = F.when(F.col("_r").isNotNull(), F.struct(F.col("_r").alias("r"), F.col("_h").alias("h")))
+    groups = hist.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_ranges"), F.sum("_h").alias("_m"), *[F.sum(n).alias(n) for n in sums])
+    place = [(F.col("_m") - 1) * F.lit(float(p)) for p in probs]
+    ends = [(F.floor(p).cast("long"), F.ceil(p).cast("long")) for p in place]
+    wanted = F.when(F.col("_m") > 0, F.array_distinct(F.array(*[_holds(F.col("_ranges"), e) for pair in ends for e in pair])))
+    picked = groups.select(*keys, *sums, "_m", F.explode_outer(wanted).alias("_w")).select(*keys, *sums, "_m", F.col("_w.r").alias("_r"), "_w.rank", "_w.before")
+    # both uses of ``vc`` stay one plan, made once: the condition reads all counts, and null-safe keys leave no filter to push below it
+    used = [c for c in vc.columns if c not in (*keys, value)]
+    whole = F.coalesce(*[F.when(F.col(c) < 0, F.lit(False)) for c in used], F.lit(True))
+    inside = ranged.filter(whole).select(*[F.col(f"`{k}`").alias(f"_in{i}") for i, k in enumerate(keys)], F.col("_r").alias("_in"), v.alias("_v"), "_c")
+    same = F.col("_r").eqNullSafe(F.col("_in"))
+    for i, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_in{i}"))
+    near = picked.join(inside, same, "left")
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "_r", "rank").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    near = near.withColumn("_cum", upto + F.col("before"))
+    near = near.filter(F.col("rank").isNull() | ((F.col("_cum") > F.col("rank")) & (F.col("_cum") - F.col("_c") <= F.col("rank"))))
+    at = lambda rank: F.max(F.when(F.col("rank") == rank, F.col("_v")))
+    out = near.groupBy(*keys).agg(*[F.first(n).alias(n) for n in sums], F.first("_m").alias("_m"),
+                                  *[at(e).alias(f"_{side}{i}") for i, pair in enumerate(ends) for side, e in zip("lh", pair)])
+    qs = [F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (p - F.floor(p)) for i, p in enumerate(place)]
+    return out.select(*keys, *sums, F.when(F.col("_m") > 0, F.array(*qs)).alias("q"))
+
+
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float]) -> DataFrame:
     """Exact, linearly interpolated quantiles (same definition as ``percentile``)
-    as one row with an array column ``q``.
-
-    Values are first counted (value → count, an ordinary distributed
-    aggregation). When the distinct values are proven few (bounded count ≤
-    ``direct_max``), one weighted ``percentile`` over that count table is exact
-    and its final merge handles at most ``direct_max`` entries (a plain
-    ``percentile`` over rows would merge one map per map task). Otherwise the
-    values are ranked in a distributed way: the value at 0-based rank r is
-    min(value with cum > r)."""
-    vc = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_c"))
-    if fits_rows(vc, direct_max):
-        return vc.agg(F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]), F.col("_c")).alias("q"))
-    ranked = _ranked_values(df, c, buckets)
-    n = df.filter(F.col(c).isNotNull()).select(F.count(F.lit(1))).scalar()
-    qs = []
-    for p in probs:
-        pos = (n - 1) * F.lit(float(p))
-        lo_v = F.min(F.when(F.col("cum") > F.floor(pos), F.col("_v")))
-        hi_v = F.min(F.when(F.col("cum") > F.ceil(pos), F.col("_v")))
-        qs.append(lo_v + (hi_v - lo_v) * (pos - F.floor(pos)))
-    return ranked.agg(F.array(*qs).alias("q"))
-
+    as one row with an array column ``q``, NULL without a value."""
+    return grouped_quantiles(df.groupBy(c).agg(F.count(F.lit(1)).alias("_c")), [], c, probs)
 
 
 def median_scalar(df: DataFrame, c: str) -> Column:
@@ -84,22 +99,8 @@ def median_scalar(df: DataFrame, c: str) -> Column:
 
 
 def median_table(df: DataFrame, keys: Sequence[str], c: str, name: str = "median") -> DataFrame:
-    """Exact interpolated median of ``c`` per group (``keys``), one row per group
-    that has a non-NULL value.
-
-    1. (keys, value) → count: partial aggregation, shuffled by (keys, value),
-       so a hot group is split over reducers by value;
-    2. per group, running counts over its distinct values (window partitioned
-       by the group: bounded by that group's distinct values, not its rows);
-    3. the values at ranks floor/ceil((n − 1) / 2), interpolated."""
+    """Exact interpolated median of ``c`` per group (``keys``, not NULL), one row
+    per group that has a non-NULL value."""
     keys = list(keys)
     vc = df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("_c"))
-    g = Window.partitionBy(*keys)
-    vc = (vc.withColumn("_cum", F.sum("_c").over(g.orderBy(c).rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("_n", F.sum("_c").over(g)))
-    pos = (F.col("_n") - 1) * F.lit(0.5)
-    agg = vc.groupBy(*keys).agg(
-        F.min(F.when(F.col("_cum") > F.floor(pos), F.col(c))).alias("_lo"),
-        F.min(F.when(F.col("_cum") > F.ceil(pos), F.col(c))).alias("_hi"),
-        F.max(pos - F.floor(pos)).alias("_frac"))
-    return agg.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias(name))
+    return grouped_quantiles(vc, keys, c, [0.5]).select(*keys, F.col("q")[0].alias(name))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from punctuo import config as C
 from punctuo.functions import columns as X
-from punctuo.operators.quantiles import exact_quantiles, median_scalar, median_table
+from punctuo.operators.quantiles import exact_quantiles, grouped_quantiles, median_scalar, median_table
 from punctuo.operators.util import non_null
 
 
@@ -54,31 +54,20 @@ def with_median(stats: DataFrame, base: DataFrame, keys: Sequence[str], delay: s
 def value_count_summary(base: DataFrame, keys: Sequence[str], delay: str = "delay_min", flag: str = "is_late",
                         counts: dict[str, Column] | None = None) -> DataFrame:
     """n, mean, exact median and % late per group from ONE (group, value) count
-    table: the counting shuffles by (group, value), so a hot group is spread
-    over reducers by value; the running counts then need only each group's
-    distinct values (window partitioned by group, same partitioning as the
-    final aggregation). ``counts``: extra conditional row counts per group."""
+    table (``quantiles.grouped_quantiles``): the counting shuffles by (group, value)
+    and the median is selected by value ranges, so a hot group is spread over
+    tasks. ``counts``: extra conditional row counts per group."""
     keys = list(keys)
     counts = counts or {}
     vc = base.groupBy(*keys, delay).agg(
         F.count(F.lit(1)).alias("_c"), F.count_if(F.col(flag)).alias("_late"), F.count(flag).alias("_flag"),
         *[F.count_if(cond).alias(f"_k_{name}") for name, cond in counts.items()])
     v = F.col(delay)
-    nn = v.isNotNull()
-    g = Window.partitionBy(*keys)
-    vc = (vc.withColumn("_cum", F.sum(F.when(nn, F.col("_c"))).over(g.orderBy(delay).rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("_m", F.sum(F.when(nn, F.col("_c"))).over(g)))
-    pos = (F.col("_m") - 1) * F.lit(0.5)
-    agg = vc.groupBy(*keys).agg(
-        F.sum("_c").alias("n"),
-        (F.sum(F.when(nn, v * F.col("_c"))) / F.sum(F.when(nn, F.col("_c")))).alias("avg_delay"),
-        F.min(F.when(nn & (F.col("_cum") > F.floor(pos)), v)).alias("_lo"),
-        F.min(F.when(nn & (F.col("_cum") > F.ceil(pos)), v)).alias("_hi"),
-        F.max(pos - F.floor(pos)).alias("_frac"),
-        (F.sum("_late") * F.lit(100.0) / F.sum("_flag")).alias("late_pct"),
-        *[F.sum(f"_k_{name}").alias(name) for name in counts])
-    med = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
-    return agg.select(*keys, "n", "avg_delay", med.alias("median_delay"), "late_pct", *counts)
+    sums = {"n": F.col("_c"), "_sum": v * F.col("_c"), "_values": F.when(v.isNotNull(), F.col("_c")), "_lates": F.col("_late"), "_flags": F.col("_flag"),
+            **{name: F.col(f"_k_{name}") for name in counts}}
+    agg = grouped_quantiles(vc, keys, delay, [0.5], sums)
+    return agg.select(*keys, "n", (F.col("_sum") / F.col("_values")).alias("avg_delay"), F.col("q")[0].alias("median_delay"),
+                      (F.col("_lates") * F.lit(100.0) / F.when(F.col("_flags") > 0, F.col("_flags"))).alias("late_pct"), *counts)
 
 
 def summary(df: DataFrame, keys, min_n: int | None = None, delay: str = "delay_min", flag: str = "is_late",

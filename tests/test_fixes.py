@@ -1,6 +1,7 @@
 """Readers by name, strict weather values, one row per day, samples of any size, bounded broadcasts."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,3 +61,82 @@ def test_broadcast_proof_counts_bytes(spark, monkeypatch):
     assert util.fits_rows(df, 10) and not util.fits_rows(df, 9)
     monkeypatch.setattr(util, "MAX_BROADCAST_BYTES", 5000)
     assert not util.fits_rows(df, 10)
+
+
+@pytest.mark.parametrize("reader", ["flights", "weather"])
+def test_folder_of_two_header_orders(spark, tmp_path, reader):
+    """Read right by each file's own header, or an error that names the file; never by the first file's order."""
+    if reader == "flights":
+        heads, rows = ["Identifier,FLT", "FLT,Identifier"], ["3,KL3", "KL4,4"]
+        read = lambda how: SF.read_flights(spark, str(tmp_path), ["Identifier", "FLT"], headers=how)
+        want = [("3", "KL3"), ("4", "KL4")]
+    else:
+        names = WEATHER.split(",")
+        heads, rows = [WEATHER, ",".join([*names[:7], "wpgt", "wspd", "pres"])], ["2020-01-01,1,2,3,4,,,11,44,1000", "2020-01-02,1,2,3,4,,,45,12,1000"]
+        read = lambda how: SF.read_weather(spark, str(tmp_path), headers=how).select(F.dayofmonth("date"), "wspd", "wpgt")
+        want = [(1, 11.0, 44.0), (2, 12.0, 45.0)]
+    csv(tmp_path / "a.csv", "\ufeff" + heads[0], rows[0])
+    csv(tmp_path / "b.csv", heads[1], rows[1])
+    assert sorted(map(tuple, read("each").collect())) == want
+    with pytest.raises(Exception, match="(?s)header.*b.csv|CSV header"):
+        read("same").collect()
+
+
+def test_folder_with_a_missing_or_further_column(spark, tmp_path):
+    csv(tmp_path / "a.csv", "Identifier,FLT", "3,KL3")
+    csv(tmp_path / "b.csv", "FLT,Identifier,RWY", "KL4,4,28")
+    with pytest.raises(ValueError, match="RWY"):
+        SF.read_flights(spark, str(tmp_path), ["Identifier", "FLT"], headers="each")
+    with pytest.raises(ValueError, match="missing"):
+        SF.read_flights(spark, str(tmp_path), ["Identifier", "RWY"], headers="each")
+    with pytest.raises(Exception, match="(?i)header|columns"):
+        SF.read_flights(spark, str(tmp_path), ["Identifier", "FLT"]).collect()
+
+
+def test_a_group_with_most_values_is_spread(spark):
+    """No step has a group's values in one place: the largest range of a hot group holds a small share of its values."""
+    from punctuo.operators import quantiles as QT
+
+    n = 200_000
+    df = spark.range(n, numPartitions=8).select(F.when(F.col("id") % 10 == 0, F.concat(F.lit("g"), F.col("id") % 7)).otherwise("hot").alias("k"), (F.rand(3) * 240 - 60).alias("v"))
+    got = {r.k: r["median"] for r in QT.median_table(df, ["k"], "v").collect()}
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.median("v").alias("m")).collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    most = df.filter("k = 'hot'").groupBy(QT.value_range(F.col("v"))).count().agg(F.max("count")).first()[0]
+    assert most < 0.002 * n
+    plan = QT.median_table(df, ["k"], "v")._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"windowspecdefinition\(([^)]*?) ASC", plan)
+    assert windows and all("_r#" in w for w in windows)
+
+
+@pytest.mark.parametrize("values", [[0.3 + i * 1e-9 for i in range(4000)], [0.5] * 50, [i / 7 for i in range(300)], []])
+def test_auc_of_near_and_equal_scores(spark, values):
+    import random
+
+    rng = random.Random(1)
+    rows = [(v, rng.random() < 0.4) for v in values] + [(None, True), (0.4, None)]
+    df = spark.createDataFrame(rows, "p_late double, is_late boolean")
+    pos, neg = ([v for v, y in rows if v is not None and y is want] for want in (True, False))
+    r = EV.auc(df, per_range=16).first().auc if pos and neg else None
+    if r is not None:
+        import numpy as np
+
+        order = np.searchsorted(np.sort(neg), pos, "left") + np.searchsorted(np.sort(neg), pos, "right")
+        assert abs(r - order.sum() / 2 / len(pos) / len(neg)) < 1e-12
+    d = df.filter("p_late is not null").groupBy("p_late").count()
+    edges = EV.score_ranges(d, "p_late", 16)
+    sizes = [x[1] for x in d.groupBy(F.size(F.filter(edges, lambda e: e < F.col("p_late")))).count().collect()]
+    assert max(sizes, default=0) <= 3 * 16
+
+
+def test_confusion_bins(spark):
+    rows = [(0.1, True), (0.1, False), (0.15, True), (0.8, False), (0.95, True), (0.0, False), (None, True), (0.5, None)]
+    df = spark.createDataFrame(rows, "p_late double, is_late boolean")
+    ts = EV.thresholds()
+    got = {round(r.threshold, 2): (r.tp, r.fp, r.fn, r.tn) for r in EV.confusion_sweep(df).collect()}
+    for t in ts:
+        cell = lambda warn, late: sum(1 for s, y in rows if s is not None and y is late and (s >= t) is warn)
+        assert got[t] == (cell(True, True), cell(True, False), cell(False, True), cell(False, False))
+    plan = EV.confusion_sweep(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LocalRelation") + plan.count("LogicalRDD") == 1 and "Join" not in plan
+    assert EV.confusion_sweep(df.filter("false")).collect() == []

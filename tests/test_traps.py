@@ -204,7 +204,7 @@ def test_auc_matches_brute_force(spark):
     neg = [p for p, y in rows if not y]
     brute = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
     df = spark.createDataFrame(rows, "p_late double, is_late boolean")
-    assert abs(EV.auc(df, buckets=8).first().auc - brute) < 1e-12
+    assert abs(EV.auc(df, per_range=8).first().auc - brute) < 1e-12
     assert abs(EV.auc_by_group(df.withColumn("g", F.lit(1)), ["g"]).first().auc - brute) < 1e-12
 
 
@@ -221,9 +221,8 @@ def test_exact_quantiles_match_percentile(spark):
     df = spark.createDataFrame(rows, "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
     want = df.select(F.percentile("x", F.array(*[F.lit(p) for p in probs]))).first()[0]
-    for direct_max in (0, 1_000_000):   # distributed ranking path, direct path
-        got = EV.exact_quantiles(df, "x", probs, buckets=16, direct_max=direct_max).first().q
-        assert len(got) == len(probs) and all(abs(a - b) < 1e-9 for a, b in zip(got, want))
+    got = EV.exact_quantiles(df, "x", probs).first().q
+    assert len(got) == len(probs) and all(abs(a - b) < 1e-9 for a, b in zip(got, want))
 
 
 def test_hash_sample_equals_global_top_k(spark):
