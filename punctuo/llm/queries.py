@@ -176,7 +176,7 @@ def op12_token_alignment(spark, sf_dir):
     al = A.align(table(spark, sf_dir, "documents").select("doc_id", "text"), *paths)
     al = al.withColumn("groups", F.when(F.col("n_a") == 0, "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))).withColumnRenamed("groups", "groups_sha256")
     al = checkpoint_table(al)
-    s = A.scored(al, A.best_counts(A.link_counts(al)), *paths)
+    s = A.scored(al, A.best_counts(A.link_counts(al, *paths)), *paths)
     return s.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 

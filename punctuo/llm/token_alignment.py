@@ -28,6 +28,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +44,11 @@ from punctuo.operators.util import checkpoint_table
 CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE = "▁"
 #: Chunks that one generation remembers, and the longest remembered, in characters.
-CHUNKS, LONGEST = 150_000, 64
+CHUNKS, LONGEST = 80_000, 64
 #: Rows and bytes of one output batch.
-ROWS, BYTES = 2048, 4 << 20
-#: Bytes of text multiplied at once; a longer chunk is a product of its own.
-PRODUCT = 1 << 20
+ROWS, BYTES = 2048, 1 << 20
+#: Chunks, and characters beyond a first one, encoded and multiplied at once.
+BLOCK, PRODUCT = 8192, 1 << 18
 KINDS = ("end", "overlap", "group")
 COLUMNS = {"n_a": T.LongType(), "n_b": T.LongType(), "n_groups": T.LongType(), "groups": T.StringType(), "links": T.BinaryType()}
 
@@ -77,6 +78,11 @@ def product(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
 
 
 # ---------------------------------------------------------------- one pair of vocabularies
+def id_type(a_size: int, b_size: int) -> str:
+    """Links hold ids of two bytes where both vocabularies allow it, else of four."""
+    return "<u2" if max(a_size, b_size) <= 1 << 16 else "<u4"
+
+
 class Aligner:
     def __init__(self, a_path: str, b_path: str, kind: str = "end"):
         import sentencepiece
@@ -94,7 +100,9 @@ class Aligner:
         self.a_sizes, self.b_sizes = (np.asarray([len(t) for t in x], dtype=np.int64) for x in (self.a_bytes, self.b_bytes))
         across = re.compile(f"[^{SPACE}]{SPACE}")
         self.cut = None if any(across.search(p) for p in pieces) or any(re.search(r"\S ", t.decode("utf-8", "replace")) for t in self.a_bytes) else CUT
-        self.kind = kind
+        self.kind, self.number = kind, id_type(len(self.a_bytes), len(self.b_bytes))
+        #: What stands for a token in the text of groups: of A inside a group and at its end, then of B.
+        self.shown = [f"{i}{mark}" for size, marks in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;")) for mark in marks for i in range(size)]
         self.known: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
 
@@ -125,39 +133,62 @@ class Aligner:
             a, b = a[together], b[together]
         return a, b
 
+    def _shown(self, flat_a: np.ndarray, flat_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """Places in ``shown`` of all tokens, A's before B's in each group, and how many tokens stand before each group."""
+        n = int(group_a[-1]) + 1
+        in_a, in_b = (rows_of(np.bincount(g, minlength=n)) for g in (group_a, group_b))
+        out = np.empty(len(flat_a) + len(flat_b), dtype=np.int64)
+        last_a, last_b = (np.isin(np.arange(len(f)), i[1:] - 1) for f, i in ((flat_a, in_a), (flat_b, in_b)))
+        out[np.arange(len(flat_a)) + in_b[group_a]] = flat_a + last_a * len(self.a_bytes)
+        out[np.arange(len(flat_b)) + in_a[group_b + 1]] = flat_b + 2 * len(self.a_bytes) + last_b * len(self.b_bytes)
+        return out.tolist(), in_a + in_b
+
     def _multiply(self, ids_a: list[list[int]], ids_b: list[list[int]]) -> list[tuple]:
-        """(groups, links, n_a, n_b, n_groups) of chunks whose tokens cover the same bytes."""
-        flat_a, flat_b = (np.asarray([i for x in ids for i in x], dtype=np.int64) for ids in (ids_a, ids_b))
+        """(groups, each with its end mark, links, n_a, n_b, n_groups) of chunks whose tokens cover the same bytes."""
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), dtype=np.int64) for ids in (ids_a, ids_b))
         ends_a, ends_b = np.cumsum(self.a_sizes[flat_a]), np.cumsum(self.b_sizes[flat_b])
-        common = np.intersect1d(ends_a, ends_b)
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
         a, b = self._links(ends_a, ends_b, group_a, group_b)
-        pairs = np.stack([flat_a[a], flat_b[b]], axis=1).astype("<u4")
-        first_a, first_b = rows_of(np.asarray([len(x) for x in ids_a])), rows_of(np.asarray([len(x) for x in ids_b]))
-        link_cut = np.searchsorted(a, first_a).tolist()
-        group_cut = np.append(group_a[first_a[:-1]], len(common)).tolist()
-        in_a, in_b = rows_of(np.bincount(group_a, minlength=len(common))).tolist(), rows_of(np.bincount(group_b, minlength=len(common))).tolist()
-        text_a, text_b = [*map(str, flat_a.tolist())], [*map(str, flat_b.tolist())]
-        groups = [",".join(text_a[in_a[g]:in_a[g + 1]]) + "|" + ",".join(text_b[in_b[g]:in_b[g + 1]]) for g in range(len(common))]
-        return [(";".join(groups[group_cut[i]:group_cut[i + 1]]), pairs[link_cut[i]:link_cut[i + 1]].tobytes(), len(ids_a[i]), len(ids_b[i]),
-                 group_cut[i + 1] - group_cut[i]) for i in range(len(ids_a))]
+        pairs = np.stack([flat_a[a], flat_b[b]], axis=1).astype(self.number).tobytes()
+        first_a = rows_of(np.fromiter(map(len, ids_a), dtype=np.int64))
+        link_cut = (2 * int(self.number[-1]) * np.searchsorted(a, first_a)).tolist()
+        group_cut = np.append(group_a[first_a[:-1]], len(common))
+        shown, before = self._shown(flat_a, flat_b, group_a, group_b)
+        token_cut, groups, shows = before[group_cut].tolist(), np.diff(group_cut).tolist(), self.shown.__getitem__
+        return [("".join(map(shows, shown[token_cut[i]:token_cut[i + 1]])), pairs[link_cut[i]:link_cut[i + 1]], len(ids_a[i]), len(ids_b[i]), groups[i])
+                for i in range(len(ids_a))]
+
+    def _same(self, raw: list[bytes], ids: list[list[int]], spell: list[bytes]) -> list[bool]:
+        """Whether each chunk's tokens are its bytes."""
+        return [b"".join(map(spell.__getitem__, i)) == r for r, i in zip(raw, ids, strict=True)]
 
     def learn(self, chunks: list[str]) -> dict[str, tuple | None]:
         """The alignment of each chunk behind a space; None: the bytes differ."""
         spaced = [" " + c for c in chunks]
         ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         ids_b = self.b.encode(chunks, num_threads=1)
+        raw = [s.encode() for s in spaced]
+        good = [x and y for x, y in zip(self._same(raw, ids_a, self.a_bytes), self._same(raw, ids_b, self.b_bytes), strict=True)]
+        if all(good):
+            return dict(zip(chunks, self._multiply(ids_a, ids_b), strict=True))
         out: dict[str, tuple | None] = dict.fromkeys(chunks)
-        held: list[int] = []
-        size = 0
-        for k, raw in enumerate([*[s.encode() for s in spaced], None]):
-            if raw is None or size + len(raw) > PRODUCT:
-                if held:
-                    out.update(zip([chunks[i] for i in held], self._multiply([ids_a[i] for i in held], [ids_b[i] for i in held]), strict=True))
-                held, size = [], 0
-            if raw is not None and b"".join([self.a_bytes[i] for i in ids_a[k]]) == raw and b"".join([self.b_bytes[i] for i in ids_b[k]]) == raw:
-                held.append(k)
-                size += len(raw)
+        some = [i for i, g in enumerate(good) if g]
+        if some:
+            out.update(zip([chunks[i] for i in some], self._multiply([ids_a[i] for i in some], [ids_b[i] for i in some]), strict=True))
+        return out
+
+    def learn_all(self, chunks: list[str]) -> dict[str, tuple | None]:
+        """``learn`` in blocks; a very long chunk is a block of its own."""
+        out: dict[str, tuple | None] = {}
+        at = 0
+        while at < len(chunks):
+            to, size = at + 1, len(chunks[at])
+            while to < min(len(chunks), at + BLOCK) and size + len(chunks[to]) <= PRODUCT:
+                size += len(chunks[to])
+                to += 1
+            out.update(self.learn(chunks[at:to]))
+            at = to
         return out
 
     def align(self, texts: list[str]) -> list[list]:
@@ -174,7 +205,7 @@ class Aligner:
                 here[c] = known[c] = old[c]
             else:
                 new.append(c)
-        found = self.learn(new) if new else {}
+        found = self.learn_all(new)
         known.update((c, x) for c, x in found.items() if len(c) <= LONGEST)
         here.update(found)
         cols: list[list] = [[], [], [], [], []]
@@ -184,7 +215,7 @@ class Aligner:
                 row = (0, 0, 0, "", b"")
             else:
                 groups, links, n_a, n_b, n_groups = zip(*got, strict=True)
-                row = (sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links))
+                row = (sum(n_a), sum(n_b), sum(n_groups), "".join(groups)[:-1], b"".join(links))
             for col, v in zip(cols, row, strict=True):
                 col.append(v)
         return cols
@@ -224,7 +255,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", lin
     """``docs`` with the texts replaced by their alignment.
 
     n_a, n_b, n_groups: tokens and groups; groups: ids of both in order, `a1,a2|b1;a3|b2`;
-    links: pairs of ids (little-endian unsigned 32-bit, A first) of the linked
+    links: pairs of ids (A first, little-endian unsigned, see ``id_type``) of the linked
     occurrences. ``links``: "end": byte ranges that end together, "overlap": that have a
     common byte, "group": of the same group (as many as the product of a group's sizes)."""
     if links not in KINDS:
@@ -232,15 +263,23 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", lin
     return _filled(docs, text_col, COLUMNS, lambda raw: aligner(a_path, b_path, links).align([(x or b"").decode("utf-8", "replace") for x in raw]), ROWS, BYTES)
 
 
-def _codes(links: bytes) -> np.ndarray:
-    pairs = np.frombuffer(links, dtype="<u4").reshape(-1, 2).astype(np.uint64)
+def pair_type(a_path: str, b_path: str) -> tuple[str, int]:
+    """The ids' type in links, and how many id pairs can end together."""
+    a = Aligner(a_path, b_path)
+    return a.number, a.possible_links()
+
+
+def _codes(links: list[bytes | None], number: str) -> np.ndarray:
+    pairs = np.frombuffer(b"".join([x or b"" for x in links]), dtype=number).reshape(-1, 2).astype(np.uint64)
     return (pairs[:, 0] << np.uint64(32)) | pairs[:, 1]
 
 
-def link_counts(aligned: DataFrame) -> DataFrame:
+def link_counts(aligned: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """(a, b, n): how many links of all rows hold the id pair; equal pairs are added up in the tasks first."""
+    number, _ = pair_type(a_path, b_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _ALIGNERS.clear()  # a worker that aligned texts before need not keep them
         codes, counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
 
         def out():
@@ -249,7 +288,7 @@ def link_counts(aligned: DataFrame) -> DataFrame:
 
         for whole in batches:
             for batch in slices(whole, 0, 1 << 20, BYTES):
-                new, n = np.unique(_codes(b"".join([x or b"" for x in batch.column(0).to_pylist()])), return_counts=True)
+                new, n = np.unique(_codes(batch.column(0).to_pylist(), number), return_counts=True)
                 codes, back = np.unique(np.concatenate([codes, new]), return_inverse=True)
                 counts = np.bincount(back, weights=np.concatenate([counts, n]).astype(np.float64), minlength=len(codes)).astype(np.int64)  # of one task: exact in a double
                 if len(codes) > 1 << 20:
@@ -272,7 +311,7 @@ def scored(aligned: DataFrame, counts: DataFrame, a_path: str, b_path: str) -> D
     The pairs of ``counts`` (a, b, n, best) go to every task: of pairs that end together
     there are no more than the two vocabularies allow (``possible_links``, some 10^5),
     whatever the number of texts; more are an error."""
-    most = Aligner(a_path, b_path).possible_links()
+    number, most = pair_type(a_path, b_path)
     table = counts.select("a", "b", "n", "best").limit(most + 1).toArrow()
     if table.num_rows > most:
         raise ValueError("counts hold pairs that cannot end together")
@@ -281,9 +320,10 @@ def scored(aligned: DataFrame, counts: DataFrame, a_path: str, b_path: str) -> D
     sent = aligned.sparkSession.sparkContext.broadcast((codes[order], table.column("n").to_numpy()[order], table.column("best").to_numpy(zero_copy_only=False)[order]))
 
     def score(links: list[bytes | None]) -> list:
+        _ALIGNERS.clear()
         codes, n, best = sent.value
-        sizes = np.asarray([len(x or b"") // 8 for x in links], dtype=np.int64)
-        at = np.searchsorted(codes, _codes(b"".join([x or b"" for x in links])))
+        sizes = np.asarray([len(x or b"") // (2 * int(number[-1])) for x in links], dtype=np.int64)
+        at = np.searchsorted(codes, _codes(links, number))
         ends = rows_of(sizes)
         sums = [np.concatenate([[0], np.cumsum(x[at], dtype=np.int64)]) for x in (best, n)]
         return [sizes, *[s[ends[1:]] - s[ends[:-1]] for s in sums]]

@@ -109,7 +109,7 @@ def groups_by_hand(ids_a, ids_b, ends_a, ends_b, common):
 def test_alignment_equals_brute_force(odd, empty):  # noqa: F811
     rows = odd.select("doc_id", "text").filter("length(coalesce(text, '')) < 2500").collect()
     al = token_alignment.align(odd.filter("length(coalesce(text, '')) < 2500"), BYTE, PIECE)
-    counts = token_alignment.best_counts(token_alignment.link_counts(al))
+    counts = token_alignment.best_counts(token_alignment.link_counts(al, BYTE, PIECE))
     got = token_alignment.scored(al, counts, BYTE, PIECE)
     assert "text" not in got.columns and got.filter("key = 'k'").count() > 50
     made = [(r.doc_id, aligned_by_hand(r.text)) for r in rows]
@@ -132,7 +132,7 @@ def test_alignment_equals_brute_force(odd, empty):  # noqa: F811
     assert sum(x is None for _, x in made) >= 4
     assert Counter(tuple(r) for r in got.select("doc_id", "n_a", "n_b", "n_groups", "groups", "n_links", "n_best", "count_sum").collect()) == want
     al = token_alignment.align(empty, BYTE, PIECE)
-    assert token_alignment.scored(al, token_alignment.best_counts(token_alignment.link_counts(al)), BYTE, PIECE).collect() == []
+    assert token_alignment.scored(al, token_alignment.best_counts(token_alignment.link_counts(al, BYTE, PIECE)), BYTE, PIECE).collect() == []
 
 
 @pytest.mark.parametrize("kind", ["overlap", "group"])
@@ -141,7 +141,7 @@ def test_other_links(spark, kind):
     df = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
     for r in token_alignment.align(df, BYTE, PIECE, links=kind).collect():
         x = aligned_by_hand(some[r.doc_id])
-        got = sorted(map(tuple, np.frombuffer(bytes(r.links), dtype="<u4").reshape(-1, 2).tolist()))
+        got = sorted(map(tuple, np.frombuffer(bytes(r.links), dtype="<u2").reshape(-1, 2).tolist()))
         if x is None:
             assert got == []
         elif kind == "group":
