@@ -38,15 +38,21 @@ SHARD = 1 << 20
 STOP = 255  # no byte of UTF-8: stands between segments
 _PLACE = np.uint64((1 << 24) - 1)
 STRIP = 1 << 22
+#: At most so many segments are settled by a broadcast.
+HOT = 100_000
+#: Bytes of short texts whose anchors are found in one vector pass.
+BLOCK = 1 << 17
 
 
 # ---------------------------------------------------------------- anchors
 def _eights(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as one number, zeros behind the end."""
-    wide = np.concatenate([text, np.zeros(8, dtype=np.uint8)]).astype(np.uint64)
-    out = np.zeros(len(text), dtype=np.uint64)
-    for j in range(8):
-        out = (out << np.uint64(8)) | wide[j:j + len(text)]
+    n = len(text)
+    wide = np.zeros(n + 16, dtype=np.uint8)
+    wide[:n] = text
+    out = np.empty(n, dtype=np.uint64)
+    for j in range(min(8, n)):
+        out[j::8] = wide[j:j + 8 * -(-(n - j) // 8)].view(">u8")
     return out
 
 
@@ -61,14 +67,18 @@ class Hashes:
         return N.mix((self.sums[end - 7] - self.sums[begin]) * self.down[begin] + (end - begin).astype(np.uint64))
 
 
-def _winnow(h: np.ndarray, wide: int) -> np.ndarray:
-    """Places of the smallest of every ``wide`` neighbours (the first of equal ones), by minima from both ends of blocks of that size."""
-    m = len(h)
-    v = (h & ~_PLACE) | np.arange(m, dtype=np.uint64)
+def _window_minima(v: np.ndarray, wide: int) -> np.ndarray:
+    """The smallest of every ``wide`` neighbours, by minima from both ends of blocks of that size."""
+    m = len(v)
     blocks = np.concatenate([v, np.full(-m % wide, np.iinfo(np.uint64).max, dtype=np.uint64)]).reshape(-1, wide)
     left = np.minimum.accumulate(blocks, axis=1).ravel()
     right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    low = np.minimum(right[:m - wide + 1], left[wide - 1:m])
+    return np.minimum(right[:m - wide + 1], left[wide - 1:m])
+
+
+def _winnow(h: np.ndarray, wide: int) -> np.ndarray:
+    """Places of the smallest of every ``wide`` neighbours (the first of equal ones)."""
+    low = _window_minima((h & ~_PLACE) | np.arange(len(h), dtype=np.uint64), wide)
     return (low[np.concatenate([[True], low[1:] != low[:-1]])] & _PLACE).astype(np.int64)
 
 
@@ -98,6 +108,30 @@ def anchors_of(text: bytes, length: int, gram: int) -> list[np.ndarray]:
     return [c[first] for c in cols]
 
 
+def anchors_of_block(texts: list[bytes], length: int, gram: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """``anchors_of`` of many short texts of at least ``length`` bytes in one pass: the columns, and the text of each anchor."""
+    part = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    sizes = np.asarray([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    eights = _eights(part)
+    one, two = Hashes(eights, 0x5851F42D4C957F2D), Hashes(eights, 0x14057B7EF767814F)
+    starts = np.arange(len(part) - gram + 1)
+    grams = one(starts, starts + gram)  # some reach into the next text, but no window that counts holds these
+    wide = length - gram + 1
+    h = (grams & ~_PLACE) | starts.astype(np.uint64)
+    inside = np.repeat(ends, sizes)[:len(part) - length + 1] - np.arange(len(part) - length + 1) >= length
+    low = _window_minima(h, wide)[inside]
+    w = (low[np.concatenate([[True], low[1:] != low[:-1]])] & _PLACE).astype(np.int64)
+    which = np.searchsorted(ends, w, side="right")
+    lo, hi = (ends - sizes)[which], ends[which]
+    half = -(-(length - gram) // 2)
+    begin, end = np.maximum(w - (length - gram), lo), np.minimum(w + length, hi)
+    side = [np.where((x >= begin) & (y <= end), one(np.clip(x, 0, len(part) - 8), np.clip(y, 8, len(part))), np.uint64(0))
+            for x, y in ((w - half, w + gram), (w, w + gram + half))]
+    names = [grams[w], one(begin, end) + (w - begin).astype(np.uint64), two(begin, end), *side]
+    return [*[x.view(np.int64) for x in names], begin - lo, w - lo, end - lo], which
+
+
 def anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """(anchor, seg_a, seg_b, left, right, begin, at, end, key) of every anchor of (key, text).
 
@@ -106,15 +140,29 @@ def anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
     beyond the anchor to one side: left and right are hashes of that much."""
     names = ["anchor", "seg_a", "seg_b", "left", "right", "begin", "at", "end"]
 
+    def found(keys: list[bytes], texts: list[bytes]) -> pa.RecordBatch:
+        if len(texts) == 1:
+            cols = anchors_of(texts[0], length, gram)
+            which = np.zeros(len(cols[0]), dtype=np.int64)
+        else:
+            cols, which = anchors_of_block(texts, length, gram)
+        return pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols], pa.array(keys, pa.binary()).take(pa.array(which))], names=[*names, "key"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, held, size = [], [], 0
         for b in batches:
-            found, keys = [], []
             for key, t in zip(b.column("key").to_pylist(), b.column("text"), strict=True):
-                cols = anchors_of(t.as_py(), length, gram)
-                found.append(cols)
-                keys += [key] * len(cols[0])
-            if keys:
-                yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], pa.array(keys, pa.binary())], names=[*names, "key"])
+                text = t.as_py()
+                if len(text) < length:
+                    continue
+                if held and size + len(text) > BLOCK:
+                    yield found(keys, held)
+                    keys, held, size = [], [], 0
+                keys.append(key)
+                held.append(text)
+                size += len(text)
+        if held:
+            yield found(keys, held)
 
     return texts.select("key", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", key binary")
 
@@ -306,7 +354,12 @@ def repeats(docs: DataFrame, length: int = 400, text_col: str = "text", gram: in
     segment = ["anchor", "seg_a", "seg_b"]
     segments = made.groupBy(*segment).agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("key", "begin", "at", "end", "left", "right")).alias("place"))
     groups = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    settled = made.join(segments.filter("n > 1").select(*segment), segment).filter(F.col("end") - F.col("begin") >= length)
+    # segments with so many rows that there can be no more than HOT of them; a large group of copies has some
+    hot_from = max(4096, made.count() // HOT)
+    hot, many = segments.filter(F.col("n") > hot_from).select(*segment), segments.filter(f"n > 1 and n <= {hot_from}").select(*segment)
+    long_ = made.filter(F.col("end") - F.col("begin") >= length)
+    cold = likely(long_, many, "seg_a").join(F.broadcast(hot), segment, "left_anti").join(many, segment)
+    settled = long_.join(F.broadcast(hot), segment).select("key", "begin", "end").unionByName(cold.select("key", "begin", "end"))
     covers = [settled.select("key", "begin", "end").distinct()]
 
     several = checkpoint_table(segments.join(groups.filter("kinds > 1"), "anchor"))
