@@ -256,11 +256,19 @@ def timeline(df: DataFrame, unit: str = "day", split: str | None = "direction",
     return out
 
 
+def last_per_series(t: DataFrame, series: str = "series", bucket: str = "bucket") -> DataFrame:
+    """The last bucket of every series of a time line, with its values."""
+    rest = [c for c in t.columns if c not in (series, bucket)]
+    last = t.groupBy(series).agg(F.max(bucket).alias(bucket), F.max_by(F.struct(*rest), bucket).alias("_last"))
+    return last.select(series, bucket, *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
 def heat_grid(df: DataFrame, min_n: int, hours: Sequence[int] = tuple(range(6, 23)), value: str = "late_pct",
               exact: bool = True) -> DataFrame:
     """A1c + P4 + A26 + J13: weekday × hour grid of ``value``; all 7 weekdays
-    present, missing cells NULL. The pivot values are given, so no extra job."""
-    s = summary(df, ["weekday", "hour"], min_n, exact=exact).filter(F.col("hour").between(min(hours), max(hours)))
+    present, missing cells NULL. The pivot values are given, so no extra job, and
+    medians are selected only where they are the value shown."""
+    s = summary(df, ["weekday", "hour"], min_n, exact=exact and value == "median_delay").filter(F.col("hour").between(min(hours), max(hours)))
     grid = s.groupBy("weekday").pivot("hour", list(hours)).agg(F.first(value))
     grid = grid.select("weekday", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours])
     spine = df.sparkSession.range(7).select(F.col("id").cast("int").alias("weekday"))
@@ -338,3 +346,29 @@ def color_limits(df: DataFrame, value: str, lo_q: float = 0.05, hi_q: float = 0.
 def conditional_share(cond: Column, flag: str = "is_late") -> Column:
     """A13 building block: % late among rows where ``cond`` holds (one pass)."""
     return F.avg(F.when(cond, F.col(flag).cast("double"))) * F.lit(100.0)
+
+
+def weather_classes(days: DataFrame, bins: dict[str, tuple[Sequence[float], Sequence[str]]], min_days: int = 3, day: str = "day") -> DataFrame:
+    """A12 + C23: every variable of ``bins`` in classes (left-closed), split into busy and quiet days and unsplit.
+
+    ``days``: one row per day with ``n``, ``n_late`` and the variables. The variables
+    are stacked, joined to a table of all edges (as long as ``bins``) by range, and
+    aggregated once for both groupings. A day is busy if its ``n`` is above the median
+    of the days that have the variable; values outside the edges are in no class."""
+    spark = days.sparkSession
+    edges = spark.createDataFrame([(v, i + 1, float(lo), float(hi), label) for v, (e, labels) in bins.items()
+                                   for i, (lo, hi, label) in enumerate(zip(e[:-1], e[1:], labels, strict=True))],
+                                  "variable string, class_no int, _lo double, _hi double, weather_class string")
+    long = days.select(day, "n", "n_late", *[F.col(v).cast("double").alias(v) for v in bins]).unpivot([day, "n", "n_late"], [*bins], "variable", "_value")
+    long = long.filter(F.col("_value").isNotNull())
+    usual = median_table(long, ["variable"], "n", "_median")
+    inside = (F.col("_value") >= F.col("_lo")) & (F.col("_value") < F.col("_hi"))
+    busy = F.when(F.col("n") > F.col("_median"), F.lit("busy day")).otherwise(F.lit("quiet day"))
+    classed = (long.join(F.broadcast(usual), "variable").withColumn("day_type", busy)  # a row per variable
+               .join(F.broadcast(edges), "variable").filter(inside))
+    keys = ["variable", "class_no", "weather_class"]
+    out = classed.groupingSets([[*keys, "day_type"], keys], *keys, "day_type").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_days"), (F.sum("n_late") * F.lit(100.0) / F.sum("n")).alias("late_pct"),
+        F.grouping("day_type").alias("_all"))
+    whole = F.when(F.col("_all") == 1, F.lit("all days")).otherwise(F.col("day_type"))
+    return out.filter(F.col("n_days") >= min_days).select(*keys, whole.alias("day_type"), "n", "n_days", "late_pct")

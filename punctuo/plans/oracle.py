@@ -716,3 +716,32 @@ ORACLE["weather_read"] = sql([WEV], f"""
 SELECT day, {R('tavg', 'tavg')}, {R('tmin', 'tmin')}, CAST(NULL AS DOUBLE) AS tmax,
        {R("CASE WHEN day >= DATE '2024-01-21' THEN NULL ELSE prcp END", 'prcp')}, {R('wspd', 'wspd')}, {R('wpgt', 'wpgt')}, {R('pres', 'pres')}, 'EDDF' AS station
 FROM weather_ev""")
+
+ORACLE["last_per_series"] = f"SELECT * FROM ({ORACLE['timeline_day_rolling']}) AS t QUALIFY row_number() OVER (PARTITION BY series ORDER BY bucket DESC) = 1"
+
+ORACLE["heat_weekday_hour_n"] = sql([FEV], f"""s AS (
+  SELECT weekday, hour, count(*) AS n FROM flights_ev
+  WHERE weekday IS NOT NULL AND hour IS NOT NULL GROUP BY weekday, hour HAVING count(*) >= 30 AND hour BETWEEN 6 AND 22),
+g AS (SELECT weekday, {', '.join(f'max(CASE WHEN hour = {h} THEN n END) AS h{h:02d}' for h in range(6, 23))} FROM s GROUP BY weekday),
+spine AS (SELECT CAST(range AS INTEGER) AS weekday FROM range(7))
+SELECT spine.weekday, ['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'][spine.weekday + 1] AS weekday_name,
+       {', '.join(f'g.h{h:02d}' for h in range(6, 23))}
+FROM spine LEFT JOIN g USING (weekday)""")
+
+ORACLE["weather_classes"] = sql([FEV, WEV], f"""e(variable, class_no, lo, hi, weather_class) AS (VALUES
+  ('wpgt', 1, 0, 30, '< 30'), ('wpgt', 2, 30, 40, '30–40'), ('wpgt', 3, 40, 50, '40–50'), ('wpgt', 4, 50, 60, '50–60'), ('wpgt', 5, 60, 75, '60–75'), ('wpgt', 6, 75, 250, '≥ 75'),
+  ('prcp', 1, 0, 1, 'dry (< 1)'), ('prcp', 2, 1, 5, '1–5'), ('prcp', 3, 5, 15, '5–15'), ('prcp', 4, 15, 250, '≥ 15'),
+  ('tavg', 1, -20, 0, '< 0'), ('tavg', 2, 0, 5, '0–5'), ('tavg', 3, 5, 10, '5–10'), ('tavg', 4, 10, 15, '10–15'), ('tavg', 5, 15, 20, '15–20'), ('tavg', 6, 20, 40, '≥ 20'),
+  ('tmin', 1, -20, -3, '< −3'), ('tmin', 2, -3, 0, '−3–0'), ('tmin', 3, 0, 5, '0–5'), ('tmin', 4, 5, 10, '5–10'), ('tmin', 5, 10, 15, '10–15'), ('tmin', 6, 15, 40, '≥ 15'),
+  ('wspd', 1, 0, 5, '< 5'), ('wspd', 2, 5, 10, '5–10'), ('wspd', 3, 10, 15, '10–15'), ('wspd', 4, 15, 20, '15–20'), ('wspd', 5, 20, 60, '≥ 20'),
+  ('pres', 1, 900, 1005, '< 1005'), ('pres', 2, 1005, 1012, '1005–1012'), ('pres', 3, 1012, 1018, '1012–1018'), ('pres', 4, 1018, 1025, '1018–1025'), ('pres', 5, 1025, 1100, '≥ 1025')),
+f AS (SELECT day, count(*) AS n, count_if(is_late) AS n_late FROM flights_ev GROUP BY day),
+d AS (SELECT f.*, w.* EXCLUDE (day) FROM f JOIN weather_ev w USING (day)),
+l AS (SELECT day, n, n_late, unnest(['wpgt', 'prcp', 'tavg', 'tmin', 'wspd', 'pres']) AS variable, unnest([wpgt, prcp, tavg, tmin, wspd, pres]) AS value FROM d),
+m AS (SELECT variable, median(n) AS med FROM l WHERE value IS NOT NULL GROUP BY variable),
+c AS (SELECT l.*, e.class_no, e.weather_class, CASE WHEN n > med THEN 'busy day' ELSE 'quiet day' END AS day_type
+      FROM l JOIN m USING (variable) JOIN e ON e.variable = l.variable AND value >= lo AND value < hi)
+SELECT variable, class_no, weather_class, day_type, CAST(sum(n) AS BIGINT) AS n, count(*) AS n_days,
+       {R('CAST(sum(n_late) AS DOUBLE) * 100.0::DOUBLE / CAST(sum(n) AS DOUBLE)', 'late_pct')}
+FROM (SELECT * FROM c UNION ALL SELECT * REPLACE ('all days' AS day_type) FROM c) AS both_views
+GROUP BY variable, class_no, weather_class, day_type HAVING count(*) >= 3""")

@@ -441,6 +441,28 @@ def weather_class_busy(spark, sf_dir):
     return rounded(out)
 
 
+@query
+def weather_classes(spark, sf_dir):
+    """All six weather variables in their classes, split by busy and quiet days and unsplit."""
+    f = LK.attach_daily(B.flights_ev(spark, sf_dir), B.weather_ev(spark, sf_dir))
+    days = f.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_late").alias("n_late"),
+                                *[F.first(v, ignorenulls=True).alias(v) for v in C.WEATHER_BINS])
+    return rounded(RP.weather_classes(days, C.WEATHER_BINS))
+
+
+@query
+def last_per_series(spark, sf_dir):
+    """The last day of every time-line series with its values."""
+    t = RP.timeline(B.flights_ev(spark, sf_dir), "day", "direction", rolling=7, min_periods=4)
+    return rounded(RP.last_per_series(t))
+
+
+@query
+def heat_weekday_hour_n(spark, sf_dir):
+    """The second grid, flights per weekday and hour (6 to 22)."""
+    return RP.heat_grid(B.flights_ev(spark, sf_dir), min_n=30, value="n")
+
+
 @query
 def day_weather(spark, sf_dir):
     """Per day n, % late and the day's weather, ≥ 50 flights; wind class."""
