@@ -8,7 +8,7 @@ once and used as a literal array, as Spark ML's QuantileDiscretizer does.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from punctuo import config as C
 from punctuo.functions import columns as X
 from punctuo.operators.quantiles import bounded_array as _bounded_array
 from punctuo.operators.quantiles import exact_quantiles, median_scalar
-from punctuo.operators.util import materialize, sized_broadcast
+from punctuo.operators.util import checkpoint_table, materialize, sized_broadcast
 
 
 def _y(label: str) -> Column:
@@ -189,6 +189,54 @@ def auc_by_group(df: DataFrame, groups: Sequence[str], score: str = "p_late", la
     return d.groupBy(*groups).agg((F.sum(wins) / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"))
 
 
+# --------------------------------------------------------------------------
+# M8: permutation importance over all rows
+# --------------------------------------------------------------------------
+def _seeded(key: str, *parts) -> Column:
+    """A hash order that SQL can repeat: md5 of the key and the parts, joined by bars."""
+    return F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), *[F.lit(str(p)) for p in parts]))
+
+
+def row_numbers(df: DataFrame, order: Column, tie: str, name: str) -> DataFrame:
+    """``df`` with ``name``: 1, 2, ... in the order of an md5 (ties by ``tie``), without bringing all rows to one task.
+
+    The hash is cut into 1,024 ranges; a table of their sizes (as many rows) gives each
+    range's offset, and rows are numbered inside ranges."""
+    marked = df.withColumn("_h", order)
+    marked = marked.withColumn("_b", F.expr("cast(conv(substring(_h, 1, 3), 16, 10) as int) div 4"))
+    sizes = marked.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).agg(F.collect_list(F.struct("_b", "n")).alias("s"))
+    before = F.transform("s", lambda x: F.struct(x["_b"].alias("_b"), F.aggregate(
+        F.filter("s", lambda y: y["_b"] < x["_b"]), F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("_before")))
+    offsets = sizes.select(F.inline(before))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy("_h", tie))
+    return marked.withColumn("_i", inside).join(F.broadcast(offsets), "_b").select(*df.columns, (F.col("_before") + F.col("_i")).alias(name))
+
+
+def permuted_auc_drop(test: DataFrame, cols: Sequence[str], scored: Callable[[DataFrame], DataFrame], key: str, repeats: int = C.IMPORTANCE_REPEATS,
+                      seed: int = C.SEED, score: str = "p_late", label: str = "is_late") -> DataFrame:
+    """M8: how much the AUC over ALL rows of ``test`` falls when one column's values change places at random.
+
+    ``scored`` adds ``score`` to rows. Rows are numbered in one hash order, a column's
+    values in another one per column and repeat, and the two are joined by number: one
+    column at a time, so the work is that of a join and a scoring per column and repeat.
+    Only the numbers of the result come to the driver."""
+    base = checkpoint_table(row_numbers(test, _seeded(key, seed), key, "_n"))
+
+    def auc_of(rows: DataFrame) -> float | None:
+        return auc(checkpoint_table(scored(rows).select(score, label)), score, label).first()["auc"]
+
+    whole, out = auc_of(base.drop("_n")), []
+    for c in cols:
+        parts = []
+        for r in range(repeats):
+            donor = row_numbers(base.select(F.col(key).alias("_key"), F.col(c).alias("_value")), _seeded("_key", c, r, seed), "_key", "_n").select("_n", "_value")
+            rows = base.join(donor, "_n").withColumn(c, F.col("_value")).drop("_n", "_value")
+            parts.append(auc_of(rows))
+        out.append((c, None if whole is None or None in parts else whole - sum(parts) / len(parts)))
+    df = test.sparkSession.createDataFrame(out, "feature string, auc_drop double")
+    return df.orderBy(F.desc("auc_drop"), "feature")
+
+
 # --------------------------------------------------------------------------
 # Calibration, confusion, error views
 # --------------------------------------------------------------------------

@@ -745,3 +745,15 @@ SELECT variable, class_no, weather_class, day_type, CAST(sum(n) AS BIGINT) AS n,
        {R('CAST(sum(n_late) AS DOUBLE) * 100.0::DOUBLE / CAST(sum(n) AS DOUBLE)', 'late_pct')}
 FROM (SELECT * FROM c UNION ALL SELECT * REPLACE ('all days' AS day_type) FROM c) AS both_views
 GROUP BY variable, class_no, weather_class, day_type HAVING count(*) >= 3""")
+
+_PERMUTED = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {r} AS rep, b.flight_id, b.is_late, {', '.join(f'd.{x} AS {x}' if x == c else f'b.{x} AS {x}' for x in ('hour', 'weekday', 'slot'))} FROM b JOIN "
+    f"(SELECT {c}, row_number() OVER (ORDER BY md5(CAST(flight_id AS VARCHAR) || '|{c}|{r}|42'), flight_id) AS rid FROM b) d USING (rid)"
+    for c in ("hour", "weekday", "slot") for r in (0, 1))
+ORACLE["importance_formula"] = sql([FEV, SEV], f"""b AS (
+  SELECT flight_id, is_late, hour, weekday, flight_id % 17 AS slot, row_number() OVER (ORDER BY md5(CAST(flight_id AS VARCHAR) || '|42'), flight_id) AS rid FROM test_scored),
+x AS (SELECT 'none' AS feature, 0 AS rep, flight_id, is_late, hour, weekday, slot FROM b UNION ALL {_PERMUTED}),
+y AS (SELECT feature, rep, round((hour * 4 + weekday * 3 + slot) / 140.0::DOUBLE, 4) AS p, count_if(is_late) AS pos, count_if(NOT is_late) AS neg FROM x GROUP BY ALL),
+z AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature, rep ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM y),
+a AS (SELECT feature, rep, CAST(sum(pos * (below + 0.5::DOUBLE * neg)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc FROM z GROUP BY feature, rep)
+SELECT feature, {R("(SELECT auc FROM a WHERE feature = 'none') - avg(auc)", 'auc_drop')} FROM a WHERE feature <> 'none' GROUP BY feature""")

@@ -780,6 +780,14 @@ def importance(spark, sf_dir):
     return rounded(PD.permutation_importance(fitted["clf"], test, fitted["cols"], MODEL_PARAMS))
 
 
+@query
+def importance_formula(spark, sf_dir):
+    """M8 over all test rows, with a formula in place of the model."""
+    t = test_scored(spark, sf_dir).select("flight_id", "is_late", "hour", "weekday", (F.col("flight_id") % 17).alias("slot"))
+    formula = F.round((F.col("hour") * 4 + F.col("weekday") * 3 + F.col("slot")) / F.lit(140.0), 4)
+    return rounded(EV.permuted_auc_drop(t, ["hour", "weekday", "slot"], lambda d: d.withColumn("p_late", formula), "flight_id"))
+
+
 @query
 def scored_test(spark, sf_dir):
     """M9: the test rows with chance and expected minutes."""

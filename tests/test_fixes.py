@@ -140,3 +140,13 @@ def test_confusion_bins(spark):
     plan = EV.confusion_sweep(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LocalRelation") + plan.count("LogicalRDD") == 1 and "Join" not in plan
     assert EV.confusion_sweep(df.filter("false")).collect() == []
+
+
+def test_row_numbers_and_permuted_columns(spark):
+    df = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("x"), (F.col("id") % 5).alias("y"), (F.col("id") % 7 > 3).alias("is_late"))
+    h = EV._seeded("k", "a")
+    got = {r.k: r.n for r in EV.row_numbers(df, h, "k", "n").collect()}
+    want = [r.k for r in df.orderBy(h, "k").collect()]
+    assert sorted(got, key=got.get) == want and sorted(got.values()) == [*range(1, 3001)]
+    imp = {r.feature: r.auc_drop for r in EV.permuted_auc_drop(df, ["x", "y"], lambda d: d.withColumn("p_late", F.col("x") / 7 + F.col("y") * 0), "k").collect()}
+    assert 0.4 < imp["x"] < 0.6 and imp["y"] == 0
