@@ -86,7 +86,7 @@ class Params:
     # share of the training days that decides when boosting stops; 0: all rounds
     validation_share: float = 0.1
     validation_tol: float = 0.001
-    importance_rows: int = IMPORTANCE_ROWS
+    importance_rows: int | None = None  # all test rows; IMPORTANCE_ROWS samples as many as the application
     importance_repeats: int = IMPORTANCE_REPEATS
     # largest dimension / aggregate (in rows) that may be broadcast
     broadcast_max_rows: int = 2_000_000

@@ -165,12 +165,15 @@ def ladder(train: DataFrame, test: DataFrame, params: Params = DEFAULTS):
 
 def permutation_importance(model: PipelineModel, test: DataFrame, cols: Sequence[str], params: Params = DEFAULTS,
                            key: str = "flight_id") -> DataFrame:
-    """M8: AUC drop when one feature's values are shuffled among ≤ n sampled test rows.
+    """M8: AUC drop when one feature's values are shuffled: among all test rows
+    (``evaluate.permuted_auc_drop``), or among ``importance_rows`` sampled ones if that is set.
 
     The sample is the ≤ n rows with the smallest key hash (``hash_sample``:
     threshold pre-filter, no k × partitions merge); all feature × repeat
     permutations are built as ONE table (a join on a permuted row number),
     scored in one ``transform`` and evaluated with a grouped AUC."""
+    if params.importance_rows is None:
+        return EV.permuted_auc_drop(test, cols, lambda rows: score(model, rows, cols, params), key, params.importance_repeats, params.seed)
     seed = str(params.seed)
     h = F.xxhash64(F.col(key), F.lit(params.seed))
     sample = EV.hash_sample(test, key, params.importance_rows, params.seed)
