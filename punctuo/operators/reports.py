@@ -153,6 +153,20 @@ def by_year(df: DataFrame, place: str = "place_code", exact: bool = True) -> Dat
     return with_median(base.groupBy("year").agg(*aggs), base, ["year"])
 
 
+def year_delta(df: DataFrame, year_a: int, year_b: int, place: str = "place_code", min_rows: int = 50, exact: bool = True) -> DataFrame:
+    """A5 + P8: every measure of ``by_year`` in two years and the difference, one row per measure.
+
+    No rows if the selection has fewer than ``min_rows`` rows or one of the years is
+    missing from it. Only the two years are read; the pivot is over two rows."""
+    measures = ["n", "late_pct", "avg_delay", "median_delay", "n_places"]
+    s = by_year(df.filter(F.col("year").isin(year_a, year_b)), place, exact)
+    at = lambda y, m: F.max(F.when(F.col("year") == y, F.col(m).cast("double")))
+    cells = [F.struct(F.lit(i).alias("measure_no"), F.lit(m).alias("measure"), at(year_a, m).alias("value_a"), at(year_b, m).alias("value_b")) for i, m in enumerate(measures, 1)]
+    one = s.agg(F.array(*cells).alias("_cells"), F.count("year").alias("_years"), F.sum("n").alias("_rows"))
+    rows = one.filter((F.col("_years") == 2) & (F.col("_rows") >= min_rows)).select(F.inline("_cells"))
+    return rows.withColumn("delta", F.col("value_b") - F.col("value_a"))
+
+
 def by_year_month(df: DataFrame, place: str = "place_code", exact: bool = True) -> DataFrame:
     """Per (year, month) n, % late, mean delay, distinct places."""
     return non_null(df, ["year", "month"]).groupBy("year", "month").agg(

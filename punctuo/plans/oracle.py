@@ -757,3 +757,12 @@ y AS (SELECT feature, rep, round((hour * 4 + weekday * 3 + slot) / 140.0::DOUBLE
 z AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature, rep ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM y),
 a AS (SELECT feature, rep, CAST(sum(pos * (below + 0.5::DOUBLE * neg)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc FROM z GROUP BY feature, rep)
 SELECT feature, {R("(SELECT auc FROM a WHERE feature = 'none') - avg(auc)", 'auc_drop')} FROM a WHERE feature <> 'none' GROUP BY feature""")
+
+ORACLE["year_delta"] = sql([FOR], """s AS (
+  SELECT year, CAST(count(*) AS DOUBLE) AS n, avg(CAST(is_late AS DOUBLE)) * 100.0::DOUBLE AS late_pct, avg(delay_min) AS avg_delay, median(delay_min) AS median_delay,
+         CAST(count(DISTINCT place_code) AS DOUBLE) AS n_places
+  FROM flights_or WHERE year IN (1999, 2000) GROUP BY year),
+m AS (SELECT unnest([1, 2, 3, 4, 5]) AS measure_no, unnest(['n', 'late_pct', 'avg_delay', 'median_delay', 'n_places']) AS measure, a.v AS va, b.v AS vb
+      FROM (SELECT [n, late_pct, avg_delay, median_delay, n_places] AS v FROM s WHERE year = 1999) a,
+           (SELECT [n, late_pct, avg_delay, median_delay, n_places] AS v FROM s WHERE year = 2000) b)
+SELECT measure_no, measure, round(va[measure_no], 6) AS value_a, round(vb[measure_no], 6) AS value_b, round(vb[measure_no] - va[measure_no], 6) AS delta FROM m""")

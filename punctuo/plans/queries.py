@@ -300,6 +300,12 @@ def year_compare(spark, sf_dir):
     return rounded(RP.by_year(B.flights_or(spark, sf_dir)))
 
 
+@query
+def year_delta(spark, sf_dir):
+    """A5: the measures of two years side by side with their differences."""
+    return rounded(RP.year_delta(B.flights_or(spark, sf_dir), YEAR_A, YEAR_B))
+
+
 @query
 def year_month(spark, sf_dir):
     return rounded(RP.by_year_month(B.flights_or(spark, sf_dir)))

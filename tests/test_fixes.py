@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from punctuo.operators import evaluate as EV
 from punctuo.operators import lookup as LK
+from punctuo.operators import reports as RP
 from punctuo.operators import util
 from punctuo.sources import files as SF
 
@@ -150,3 +151,13 @@ def test_row_numbers_and_permuted_columns(spark):
     assert sorted(got, key=got.get) == want and sorted(got.values()) == [*range(1, 3001)]
     imp = {r.feature: r.auc_drop for r in EV.permuted_auc_drop(df, ["x", "y"], lambda d: d.withColumn("p_late", F.col("x") / 7 + F.col("y") * 0), "k").collect()}
     assert 0.4 < imp["x"] < 0.6 and imp["y"] == 0
+
+
+def test_year_delta_needs_both_years_and_enough_rows(spark):
+    rows = [(2019, "A", 10.0, False)] * 30 + [(2020, "B", 20.0, True)] * 29 + [(2020, None, None, False)] + [(2018, "C", 0.0, False)] * 100
+    df = spark.createDataFrame(rows, "year int, place_code string, delay_min double, is_late boolean")
+    got = {r.measure: (r.value_a, r.value_b, r.delta) for r in RP.year_delta(df, 2019, 2020).collect()}
+    assert got["n"] == (30, 30, 0) and got["median_delay"] == (10, 20, 10) and got["n_places"] == (1, 1, 0)
+    assert abs(got["late_pct"][2] - 100 * 29 / 30) < 1e-9 and got["avg_delay"] == (10, 20, 10)
+    assert RP.year_delta(df, 2019, 2021).collect() == [] and RP.year_delta(df, 2019, 2020, min_rows=61).collect() == []
+    assert RP.year_delta(df.filter("false"), 2019, 2020).collect() == []
