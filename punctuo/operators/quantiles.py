@@ -15,6 +15,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Value ranges an octave: a range's values differ by less than a thousandth.
 RANGES_PER_OCTAVE = 1024
@@ -53,11 +54,16 @@ def _holds(ranges: Column, rank: Column) -> Column:
     return F.struct(rank.alias("rank"), found["r"].alias("r"), found["before"].alias("before"))
 
 
+def reads_all(counts: Sequence[str]) -> Column:
+    """A condition that always holds and reads every count of a table: none is pruned from one use of the table alone, so all share one exchange."""
+    return F.coalesce(*[F.when(F.col(c) < 0, F.lit(False)) for c in counts], F.lit(True))
+
+
 def grouped_quantiles(vc: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], sums: dict[str, Column] | None = None) -> DataFrame:
     """Exact interpolated quantiles per group from value counts, with sums beside them.
 
-    ``vc``: one row per (``keys``, ``value``) with its count ``_c``; NULL values are in
-    the sums only. ``sums``: numbers of a row of ``vc`` to add up per group. Returns the
+    ``vc``: rows of (``keys``, ``value``) with their count ``_c`` (a value may have several
+    rows, as when another column is counted beside it); NULL values are in the sums only. ``sums``: numbers of a row of ``vc`` to add up per group. Returns the
     keys, the sums and the array ``q`` (NULL without a value). Keys must not be NULL."""
     keys, sums = list(keys), sums or {}
     v = F.col(value).cast("double")
@@ -70,9 +76,8 @@ def grouped_quantiles(vc: DataFrame, keys: Sequence[str], value: str, probs: Seq
     wanted = F.when(F.col("_m") > 0, F.array_distinct(F.array(*[_holds(F.col("_ranges"), e) for pair in ends for e in pair])))
     picked = groups.select(*keys, *sums, "_m", F.explode_outer(wanted).alias("_w")).select(*keys, *sums, "_m", F.col("_w.r").alias("_r"), "_w.rank", "_w.before")
     # both uses of ``vc`` stay one plan, made once: the condition reads all counts, and null-safe keys leave no filter to push below it
-    used = [c for c in vc.columns if c not in (*keys, value)]
-    whole = F.coalesce(*[F.when(F.col(c) < 0, F.lit(False)) for c in used], F.lit(True))
-    inside = ranged.filter(whole).select(*[F.col(f"`{k}`").alias(f"_in{i}") for i, k in enumerate(keys)], F.col("_r").alias("_in"), v.alias("_v"), "_c")
+    counts = [f.name for f in vc.schema.fields if f.name not in (*keys, value) and isinstance(f.dataType, T.LongType)]
+    inside = ranged.filter(reads_all(counts)).select(*[F.col(f"`{k}`").alias(f"_in{i}") for i, k in enumerate(keys)], F.col("_r").alias("_in"), v.alias("_v"), "_c")
     same = F.col("_r").eqNullSafe(F.col("_in"))
     for i, k in enumerate(keys):
         same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_in{i}"))

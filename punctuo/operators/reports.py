@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from punctuo import config as C
 from punctuo.functions import columns as X
-from punctuo.operators.quantiles import exact_quantiles, grouped_quantiles, median_scalar, median_table
+from punctuo.operators.quantiles import exact_quantiles, grouped_quantiles, median_table, reads_all
 from punctuo.operators.util import non_null
 
 
@@ -44,13 +44,6 @@ def summary_aggs(delay: str = "delay_min", flag: str = "is_late", exact: bool =
     ]
 
 
-def with_median(stats: DataFrame, base: DataFrame, keys: Sequence[str], delay: str = "delay_min",
-                name: str = "median_delay") -> DataFrame:
-    """Attach the exact per-group median (``quantiles.median_table``) to a
-    per-group table: a join of two aggregated tables on the group keys."""
-    return stats.join(median_table(base, keys, delay, name), list(keys), "left")
-
-
 def value_count_summary(base: DataFrame, keys: Sequence[str], delay: str = "delay_min", flag: str = "is_late",
                         counts: dict[str, Column] | None = None) -> DataFrame:
     """n, mean, exact median and % late per group from ONE (group, value) count
@@ -70,6 +63,29 @@ def value_count_summary(base: DataFrame, keys: Sequence[str], delay: str = "dela
                       (F.col("_lates") * F.lit(100.0) / F.when(F.col("_flags") > 0, F.col("_flags"))).alias("late_pct"), *counts)
 
 
+def place_summary(base: DataFrame, keys: Sequence[str], place: str = "place_code", delay: str = "delay_min", flag: str = "is_late") -> DataFrame:
+    """n, % late, mean and exact median delay and exact distinct places per group, from ONE
+    count table over (group, place, delay) that is made once and read by both parts.
+
+    The places of a group are counted over its distinct (group, place) pairs, so no row is
+    expanded for them and a busy place is combined before the shuffle. ``keys`` must not be
+    NULL; without keys one row, also of an empty selection."""
+    keys = list(keys)
+    vc = base.groupBy(*keys, place, delay).agg(F.count(F.lit(1)).alias("_c"), F.count_if(F.col(flag)).alias("_late"), F.count(flag).alias("_flag"))
+    v = F.col(delay)
+    sums = {"n": F.col("_c"), "_sum": v * F.col("_c"), "_values": F.when(v.isNotNull(), F.col("_c")), "_lates": F.col("_late"), "_flags": F.col("_flag")}
+    stats = grouped_quantiles(vc, keys, delay, [0.5], sums)
+    pairs = vc.filter(reads_all(["_c", "_late", "_flag"])).groupBy(*keys, place).agg(F.sum("_c").alias("_c"))
+    n_places = F.count(place).alias("n_places")
+    if keys:
+        stats, places = stats.join(pairs.groupBy(*keys).agg(n_places), keys, "left"), F.col("n_places")
+    else:
+        places = pairs.agg(n_places).scalar()
+    return stats.select(*keys, F.coalesce("n", F.lit(0)).alias("n"),
+                        (F.col("_lates") * F.lit(100.0) / F.when(F.col("_flags") > 0, F.col("_flags"))).alias("late_pct"),
+                        (F.col("_sum") / F.col("_values")).alias("avg_delay"), F.col("q")[0].alias("median_delay"), places.alias("n_places"))
+
+
 def summary(df: DataFrame, keys, min_n: int | None = None, delay: str = "delay_min", flag: str = "is_late",
             exact: bool = True) -> DataFrame:
     """A1: n, mean, median delay and % late per group; P7 minimum support."""
@@ -96,61 +112,37 @@ def apply_filters(df: DataFrame, direction: str | None = None, airlines: Sequenc
     return df
 
 
-def _median(df: DataFrame, c: str, exact: bool) -> Column:
-    """Whole-selection median: exact scalar subquery, or a sketch in the aggregate."""
-    return median_scalar(df, c) if exact else F.percentile_approx(c, 0.5, 10_000)
-
-
 def headline(df: DataFrame, place: str = "place_code", exact: bool = True) -> DataFrame:
     """A3: totals of a selection (one row)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.avg(F.col("is_late").cast("double")) * 100).alias("late_pct"),
-        F.avg("delay_min").alias("avg_delay"),
-        _median(df, "delay_min", exact).alias("median_delay"),
-        distinct_of(F.col(place), exact).alias("n_places"),
-    )
+    if exact:
+        return place_summary(df, [], place)
+    return df.agg(*_place_aggs(place))
 
 
-def _year_measures(cond: Column, suffix: str, place: str, exact: bool, med: Column | None = None) -> list[Column]:
-    med = med if exact else F.percentile_approx(F.when(cond, F.col("delay_min")), 0.5, 10_000)
-    return [
-        F.count_if(cond).alias(f"n_{suffix}"),
-        (F.avg(F.when(cond, F.col("is_late").cast("double"))) * 100).alias(f"late_pct_{suffix}"),
-        F.avg(F.when(cond, F.col("delay_min"))).alias(f"avg_delay_{suffix}"),
-        med.alias(f"median_delay_{suffix}"),
-        distinct_of(F.when(cond, F.col(place)), exact).alias(f"n_places_{suffix}"),
-    ]
+def _place_aggs(place: str) -> list[Column]:
+    """The measures of ``place_summary`` with sketches for the median and the places."""
+    return [F.count(F.lit(1)).alias("n"), (F.avg(F.col("is_late").cast("double")) * 100).alias("late_pct"), F.avg("delay_min").alias("avg_delay"),
+            median_of(F.col("delay_min"), False).alias("median_delay"), distinct_of(F.col(place), False).alias("n_places")]
 
 
 def headline_delta(df: DataFrame, year: int, other: int, place: str = "place_code", exact: bool = True) -> DataFrame:
-    """A4: headline of ``year`` and the difference with ``other`` in one pass.
+    """A4: headline of ``year`` and the difference with ``other``, both from the per-year table.
 
     Differences are NULL when the other year has no rows."""
     y = F.col("year")
-    sel = df.filter(y.isin(year, other))
-    med_a = med_b = None
-    if exact:  # both years' exact medians from one per-year median table, one struct subquery
-        mt = median_table(sel, ["year"], "delay_min")
-        meds = mt.agg(F.struct(F.max(F.when(y == year, F.col("median"))).alias("a"),
-                               F.max(F.when(y == other, F.col("median"))).alias("b"))).scalar()
-        med_a, med_b = meds.getField("a"), meds.getField("b")
-    agg = sel.agg(*_year_measures(y == year, "sel", place, exact, med_a),
-                  *_year_measures(y == other, "oth", place, exact, med_b))
-    has_other = F.col("n_oth") > 0
-    diffs = [F.when(has_other, F.col(f"{m}_sel") - F.col(f"{m}_oth")).alias(f"diff_{m}")
-             for m in ("n", "late_pct", "avg_delay", "median_delay", "n_places")]
-    return agg.select("n_sel", "late_pct_sel", "avg_delay_sel", "median_delay_sel", "n_places_sel", *diffs)
+    s = by_year(df.filter(y.isin(year, other)), place, exact)
+    at = lambda of, m: F.max(F.when(y == of, F.col(m)))
+    counts, measures = ("n", "n_places"), ("n", "late_pct", "avg_delay", "median_delay", "n_places")
+    cell = lambda of, m: F.coalesce(at(of, m), F.lit(0)) if m in counts else at(of, m)
+    one = s.agg(*[cell(of, m).alias(f"{m}_{tag}") for of, tag in ((year, "sel"), (other, "oth")) for m in measures])
+    diffs = [F.when(F.col("n_oth") > 0, F.col(f"{m}_sel") - F.col(f"{m}_oth")).alias(f"diff_{m}") for m in measures]
+    return one.select(*[f"{m}_sel" for m in measures], *diffs)
 
 
 def by_year(df: DataFrame, place: str = "place_code", exact: bool = True) -> DataFrame:
     """A5: per year n, % late, mean, median, distinct places."""
     base = non_null(df, ["year"])
-    aggs = [F.count(F.lit(1)).alias("n"), (F.avg(F.col("is_late").cast("double")) * 100).alias("late_pct"),
-            F.avg("delay_min").alias("avg_delay"), distinct_of(F.col(place), exact).alias("n_places")]
-    if not exact:
-        return base.groupBy("year").agg(*aggs, median_of(F.col("delay_min"), False).alias("median_delay"))
-    return with_median(base.groupBy("year").agg(*aggs), base, ["year"])
+    return place_summary(base, ["year"], place) if exact else base.groupBy("year").agg(*_place_aggs(place))
 
 
 def year_delta(df: DataFrame, year_a: int, year_b: int, place: str = "place_code", min_rows: int = 50, exact: bool = True) -> DataFrame:
@@ -214,10 +206,15 @@ def area_year(df: DataFrame, year_a: int, year_b: int, from_month: int = 4, area
     """Per area flights and distinct places in two years and what remained (%)."""
     y = F.col("year")
     a, b = y == year_a, y == year_b
-    agg = (non_null(df, [area]).filter((F.col("month") >= from_month) & y.isin(year_a, year_b))
-           .groupBy(area).agg(F.count_if(a).alias("n_a"), F.count_if(b).alias("n_b"),
-                              distinct_of(F.when(a, F.col(place)), exact).alias("places_a"),
-                              distinct_of(F.when(b, F.col(place)), exact).alias("places_b")))
+    base = non_null(df, [area]).filter((F.col("month") >= from_month) & y.isin(year_a, year_b))
+    if exact:  # through (area, place) counts: no row is expanded for the two distinct counts
+        pairs = base.groupBy(area, place).agg(F.count_if(a).alias("_a"), F.count_if(b).alias("_b"))
+        known = F.col(place).isNotNull()
+        agg = pairs.groupBy(area).agg(F.sum("_a").alias("n_a"), F.sum("_b").alias("n_b"), F.count_if(known & (F.col("_a") > 0)).alias("places_a"),
+                                      F.count_if(known & (F.col("_b") > 0)).alias("places_b"))
+    else:
+        agg = base.groupBy(area).agg(F.count_if(a).alias("n_a"), F.count_if(b).alias("n_b"),
+                                     distinct_of(F.when(a, F.col(place)), False).alias("places_a"), distinct_of(F.when(b, F.col(place)), False).alias("places_b"))
     return (agg.filter((F.col("n_a") > 0) & (F.col("n_b") > 0))
                .withColumn("n_kept_pct", X.ratio_pct("n_a", "n_b"))
                .withColumn("places_kept_pct", X.ratio_pct("places_a", "places_b")))

@@ -50,3 +50,41 @@ def test_year_filter_prunes_partitions(spark, capsys):
     fact = spark.read.parquet(out).filter("year = 1999")
     p = plan(RP.headline(fact, exact=False), capsys)
     assert "PartitionFilters: [isnotnull(year" in p and "= 1999)" in p
+
+
+def final_plan(df) -> str:
+    """The plan as run: the adaptive plans' final parts, subqueries included."""
+    df.collect()
+    keep, skip = [], False
+    for line in df._jdf.queryExecution().executedPlan().treeString().splitlines():
+        if "== Initial Plan ==" in line:
+            skip, depth = True, line.index("+-")
+        elif skip and len(line) - len(line.lstrip(" :")) <= depth:
+            skip = False
+        if not skip:
+            keep.append(line)
+    return "\n".join(keep)
+
+
+@pytest.mark.parametrize("key", ["headline", "headline_delta", "year_compare", "year_delta", "area_year"])
+def test_distinct_places_expand_no_row(spark, capsys, key):
+    assert "Expand" not in plan(E.queries()[key](spark, SF001), capsys)
+
+
+def test_median_and_distinct_places_share_one_scan(spark, tmp_path):
+    B.flights_or(spark, SF001).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    for report in (RP.by_year(fact), RP.headline_delta(fact, 1999, 2000)):
+        p = final_plan(report)
+        assert p.count("Scan parquet") == 1 and "ReusedExchange" in p
+
+
+def test_place_summary_edge_cases(spark):
+    rows = [(1, "A", 10.0, False), (1, "A", None, None), (1, None, 30.0, True), (1, "B", 10.0, False), (2, None, None, None)]
+    df = spark.createDataFrame(rows, "year int, place_code string, delay_min double, is_late boolean")
+    got = {r.year: tuple(r)[1:] for r in RP.by_year(df).collect()}
+    assert got == {1: (4, pytest.approx(100 / 3), pytest.approx(50 / 3), 10.0, 2), 2: (1, None, None, None, 0)}
+    assert tuple(RP.headline(df).first()) == (5, pytest.approx(100 / 3), pytest.approx(50 / 3), 10.0, 2)
+    assert tuple(RP.headline(df.filter("year = 9")).first()) == (0, None, None, None, 0)
+    d = RP.headline_delta(df, 1, 9).first()
+    assert (d.n_sel, d.n_places_sel, d.diff_n, d.diff_n_places) == (4, 2, None, None)
