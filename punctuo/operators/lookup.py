@@ -68,7 +68,7 @@ def _lookup_via_codes(fact: DataFrame, dim: DataFrame, code: str, key_a: str, ke
     """Large-dimension path: resolve the fact's DISTINCT codes against the
     dimension (shuffle joins of two small-to-medium tables), then join the
     fact once with that code map — broadcast when its size is proven, else a
-    single shuffle join (instead of two shuffles of the whole fact)."""
+    single salted shuffle join (instead of two shuffles of the whole fact)."""
     codes = fact.select(F.col(code).alias("_code")).filter(F.col("_code").isNotNull()).distinct()
     a = _side(dim, key_a, attrs, order, "a")
     b = _side(dim, key_b, attrs, order, "b")
@@ -78,14 +78,34 @@ def _lookup_via_codes(fact: DataFrame, dim: DataFrame, code: str, key_a: str, ke
         (F.when(F.col(f"_a_{found}").isNotNull(), F.lit("key_a"))
           .when(F.col(f"_b_{found}").isNotNull(), F.lit("key_b"))).alias("_r_matched"),
         F.col("_a_key").isNotNull().alias("_r_in_a"), F.col("_b_key").isNotNull().alias("_r_in_b")))
-    resolved = sized_broadcast(resolved, params.broadcast_max_rows)
-    j = fact.join(resolved, fact[code] == resolved["_code"], "left")
+    if fits_rows(resolved, params.broadcast_max_rows):
+        j = fact.join(F.broadcast(resolved), fact[code] == resolved["_code"], "left")
+    else:
+        j = salted_left_join(fact, resolved, code, "_code")
     return j.select(*[fact[c] for c in fact.columns], *[F.col(f"_r_{x}").alias(x) for x in attrs],
                     F.col("_r_matched").alias("matched_by"),
                     F.coalesce(F.col("_r_in_a"), F.lit(False)).alias("_code_in_a"),
                     F.coalesce(F.col("_r_in_b"), F.lit(False)).alias("_code_in_b"))
 
 
+def salted_left_join(fact: DataFrame, dim: DataFrame, code: str, key: str, share: int = 1024) -> DataFrame:
+    """``fact`` left join ``dim`` (one row per ``key``) by a shuffle that no code can make uneven.
+
+    A code is hot from a ``share``-th of all rows on, so at most ``share`` codes are: that
+    table is broadcast whatever the data. A hot code's rows are dealt over ``share`` salts by
+    the hash of the row and its dimension row is repeated for each; rows without a code
+    are dealt alike and meet no dimension row. Every other code keeps salt 0. Equal rows
+    share a salt, so ``fact`` should be free of exact duplicates, as the cleaned one is."""
+    total = fact.select(F.count(F.lit(1))).scalar()
+    hot = F.broadcast(code_counts(fact, code).filter(F.col(code).isNotNull() & (F.col("n") * F.lit(share) >= total)).select(F.col(code).alias("_hot")))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(share)).cast("int")
+    marked = fact.join(hot, F.col(f"`{code}`") == F.col("_hot"), "left")
+    dealt = marked.withColumn("_salt", F.when(F.col("_hot").isNotNull() | F.col(f"`{code}`").isNull(), salt).otherwise(F.lit(0)))
+    salts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(share - 1))).otherwise(F.array(F.lit(0)))
+    copies = dim.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_dim_salt", F.explode(salts)).drop("_hot")
+    return dealt.join(copies, (F.col(f"`{code}`") == F.col(key)) & (F.col("_salt") == F.col("_dim_salt")), "left").drop("_hot", "_salt", "_dim_salt")
+
+
 def code_counts(fact: DataFrame, code: str) -> DataFrame:
     """Distinct codes with their row counts (NULL code kept as one row)."""
     return fact.groupBy(code).agg(F.count(F.lit(1)).alias("n"))

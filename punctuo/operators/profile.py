@@ -21,28 +21,30 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def value_counts_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """(column_name, value, n) for every column, one aggregation."""
-    cols = list(cols or df.columns)
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), _q(c).cast("string").alias("value")) for c in cols
-    ])).alias("kv")).select("kv.column_name", "kv.value")
-    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+def value_counts_long(df: DataFrame, cols: Sequence[str] | None = None, order: str | None = None) -> DataFrame:
+    """(column_name, value, n) for every column, one aggregation; with ``order``, a column
+    that orders the rows, also ``first``, its smallest value among the rows counted."""
+    cols = list(cols or [c for c in df.columns if c != order])
+    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), _q(c).cast("string").alias("value")) for c in cols])).alias("kv")
+    extra = [_q(order).alias("_at")] if order else []
+    long = df.select(kv, *extra).select("kv.column_name", "kv.value", *[F.col("_at") for _ in extra])
+    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"), *[F.min("_at").alias("first") for _ in extra])
 
 
-def column_profile(df: DataFrame, tokens: Sequence[str] = C.FLIGHT_NULL_TOKENS) -> DataFrame:
+def column_profile(df: DataFrame, tokens: Sequence[str] = C.FLIGHT_NULL_TOKENS, order: str | None = None) -> DataFrame:
     """Per column distinct values, count per marker, % empty, an example.
 
-    'Empty' is NULL or a marker (Spark reads an empty cell as NULL); the
-    example is the smallest value (a deterministic stand-in for 'first row')."""
-    vc = value_counts_long(df)
+    'Empty' is NULL or a marker (Spark reads an empty cell as NULL). ``order``: a column
+    that orders the rows, as ``sources.files.file_order`` gives it; the example is then
+    the first row's value, NULL if its cell is. Without it, the smallest value."""
+    vc = value_counts_long(df, order=order)
     v = F.col("value")
     markers = [t for t in tokens if t]
     empty = v.isNull() | v.isin(list(tokens))
     aggs = [F.count(v).alias("n_distinct")]
     aggs += [F.coalesce(F.sum(F.when(v == t, F.col("n"))), F.lit(0)).alias(f"n_{_slug(t)}") for t in markers]
     aggs += [(F.coalesce(F.sum(F.when(empty, F.col("n"))), F.lit(0)) * F.lit(100.0) / F.sum("n")).alias("empty_pct"),
-             F.min(v).alias("example")]
+             (F.min_by(v, "first") if order else F.min(v)).alias("example")]
     return vc.groupBy("column_name").agg(*aggs)
 
 

@@ -512,7 +512,7 @@ def _profile_row(c: str) -> str:
     return (f"SELECT '{c}' AS column_name, count(DISTINCT {q}) AS n_distinct, count_if({q} = '-') AS n_dash, "
             f"count_if({q} = '#N/A') AS n_na, "
             f"{R(f'avg(CASE WHEN {q} IS NULL OR {q} IN (' + chr(39) + '-' + chr(39) + ', ' + chr(39) + '#N/A' + chr(39) + ', ' + chr(39) + chr(39) + ') THEN 1 ELSE 0 END) * 100.0::DOUBLE', 'empty_pct')}, "
-            f"min({q}) AS example FROM raw_ev")
+            f'first({q} ORDER BY CAST("Identifier" AS BIGINT)) AS example FROM raw_ev')
 
 
 ORACLE["column_profile"] = sql([RAW], "\n UNION ALL ".join(_profile_row(c) for c in RAW_COLS))

@@ -535,7 +535,7 @@ def delay_quantiles(spark, sf_dir):
 # ------------------------------------------------------------------ profiles
 @query
 def column_profile(spark, sf_dir):
-    return rounded(PR.column_profile(B.raw_ev(spark, sf_dir)))
+    return rounded(PR.column_profile(B.raw_ev_ordered(spark, sf_dir), order="_order"))
 
 
 # fixed texts of the NULL-reason labels

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctuo.functions import columns as X
+from punctuo.sources.files import file_order
 
 # --- fixed values of the bindings (FIXTURES.md §B) ---------------------------
 # delay = value − 20 (events) or quantity − 20 (line items); home nation 21;
@@ -127,6 +128,12 @@ def weather_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_ev_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_ev`` with the column ``_order``, a row's place in the file."""
+    ev = table(spark, sf_dir, "events").withColumn("_order", file_order())
+    return _raw_select(ev, F.lit(0), F.col("_order"))
+
+
 def raw_ev(spark: SparkSession, sf_dir: str, duplicates: bool = False) -> DataFrame:
     """The raw all-string flight file, derived from ``events``.
 
@@ -143,7 +150,7 @@ def raw_ev(spark: SparkSession, sf_dir: str, duplicates: bool = False) -> DataFr
     return raw.unionByName(exact).unionByName(near)
 
 
-def _raw_select(ev: DataFrame, extra_seconds) -> DataFrame:
+def _raw_select(ev: DataFrame, extra_seconds, *also) -> DataFrame:
     eid, uid = F.col("event_id"), F.col("user_id")
     actual = F.timestamp_add("SECOND", (F.floor(F.col("value") * 60) + extra_seconds).cast("long"), F.col("ts"))
     place = F.concat(F.lit("NATION_"), (uid % 25).cast("string"))
@@ -158,6 +165,7 @@ def _raw_select(ev: DataFrame, extra_seconds) -> DataFrame:
         F.when(eid % 7 == 0, F.lit("-")).otherwise(F.concat(F.lit("G"), (eid % 30).cast("string"))).alias("GAT"),
         F.col("event_type").alias("ACT"),
         F.when(eid % 11 == 0, F.lit("#N/A")).otherwise(place).alias("Org/Des"),
+        *also,
     )
 
 

@@ -197,6 +197,15 @@ def write_fact(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",)
        .partitionBy(*partition_by).parquet(path))
 
 
+def file_order():
+    """The place of a row in its files, for a column of a DataFrame just read: file, start of the block that the
+    task reads, row number. Rising within a file, whatever the blocks and tasks; files in order of their names.
+
+    (Row numbers of a task rise, and a block belongs to one task; Parquet and CSV alike.)"""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def preview(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in an explicit order (a top-n, not a full sort)."""
     return df.orderBy(*order_by).limit(n)
