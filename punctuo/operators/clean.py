@@ -8,7 +8,7 @@ the metrics need no second scan of the raw input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from punctuo import config as C
@@ -21,6 +21,8 @@ RAW_FLIGHT, RAW_DIRECTION = "FLT", "LSV"
 # Renames of source columns to the clean contract.
 DEFAULT_RENAMES = {"FLT": "flight_no", "ACT": "aircraft", "RWY": "runway", "Org/Des": "place_code"}
 DROPPED = (RAW_DATE, RAW_PLANNED, RAW_ACTUAL)
+# Working columns of the counters.
+COUNTED = ("_raw_delay", "_copies")
 
 
 def q(name: str):
@@ -62,11 +64,13 @@ def derive_times(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
 
 
 def clean_flights(raw: DataFrame, params: Params = DEFAULTS, renames: dict | None = None,
-                  drop_identifier: bool = False) -> DataFrame:
-    """The clean fact from the raw string table (without place/weather/load columns)."""
+                  drop_identifier: bool = False, counted: bool = False) -> DataFrame:
+    """The clean fact from the raw string table (without place/weather/load columns).
+
+    ``counted``: the columns that ``observed`` reads and drops stay."""
     renames = DEFAULT_RENAMES if renames is None else renames
     d = derive_times(with_copies(prepare_raw(raw)), params)
-    drop = set(DROPPED) | {"_day", "_actual0", "_raw_delay", "_copies"}
+    drop = set(DROPPED) | {"_day", "_actual0"} | (set() if counted else set(COUNTED))
     if drop_identifier:
         drop.add(RAW_ID)
     keep = [c for c in d.columns if c not in drop]
@@ -93,6 +97,22 @@ def clean_metrics(raw: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
+def observed(fact: DataFrame, counters: Observation) -> DataFrame:
+    """A20 + S8: the counters of a build, collected by whatever action runs on the result.
+
+    ``fact``: ``clean_flights(counted=True)``, with ``matched_by`` if places are looked up.
+    Put it last, right before the write: there every row passes in the one final stage, so a
+    lost executor's rows are counted by their second run alone."""
+    aggs = [F.sum("_copies").alias("raw_rows"), F.count(F.lit(1)).alias("rows"), F.count_if("rolled_over").alias("rollovers"),
+            F.min("_raw_delay").alias("min_before"), F.min("delay_min").alias("min_after"), F.max("delay_min").alias("max_after"),
+            F.sum("delay_min").alias("sum_delay"), F.count("delay_min").alias("n_delay")]
+    if "matched_by" in fact.columns:
+        m = F.col("matched_by")
+        aggs += [F.count_if(m == "key_a").alias("via_key_a"), F.count_if(m == "key_b").alias("via_key_b"),
+                 F.count_if(F.col("place_code").isNull()).alias("without_code"), F.count_if(F.col("place_code").isNotNull() & m.isNull()).alias("code_unknown")]
+    return fact.observe(counters, *aggs).drop(*COUNTED)
+
+
 def rolled_rows(clean: DataFrame) -> DataFrame:
     """P10 + C28: corrected rows with the uncorrected delay for comparison."""
     return clean.filter("rolled_over").select(

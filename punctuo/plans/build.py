@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from punctuo.config import DEFAULTS, Params
 from punctuo.operators import clean as CL
@@ -25,16 +25,20 @@ from punctuo.sources.files import write_fact
 def build_fact(raw: DataFrame, places: DataFrame, daily: DataFrame | None = None, params: Params = DEFAULTS,
                place_attrs: Sequence[str] = ("name", "region", "lat", "lon", "distance_km", "area"),
                key_a: str = "key_a", key_b: str = "key_b", place_order: Sequence = ("place_id",),
-               found: str = "name", path: str | None = None, partition_by: Sequence[str] = ("year",)) -> DataFrame:
+               found: str = "name", path: str | None = None, partition_by: Sequence[str] = ("year",),
+               counters: Observation | None = None) -> DataFrame:
     """The clean fact with place, weather and load features.
 
     ``path``: write the pre-feature table there (partitioned by year) and read
-    it back; otherwise it is written as Parquet in the shared checkpoint folder."""
-    c = CL.clean_flights(raw, params)
+    it back; otherwise it is written as Parquet in the shared checkpoint folder.
+    ``counters``: filled while the table is written (see ``build_with_report``)."""
+    c = CL.clean_flights(raw, params, counted=counters is not None)
     c = LK.lookup_two_keys(c, places, "place_code", key_a, key_b, place_attrs, list(place_order), found, params)
     c = c.drop("_code_in_a", "_code_in_b")
     if daily is not None:
         c = LK.attach_daily(c, daily, params=params)
+    if counters is not None:
+        c = CL.observed(c, counters)
     if path:
         write_fact(c, path, partition_by)
         c = raw.sparkSession.read.parquet(path)
@@ -43,6 +47,26 @@ def build_fact(raw: DataFrame, places: DataFrame, daily: DataFrame | None = None
     return FE.add_load_features(c, params)
 
 
+REPORT = ("raw_rows long, rows long, duplicate_rows long, rollovers long, min_before double, min_after double, max_after double, "
+          "avg_delay double, via_key_a long, via_key_b long, without_code long, code_unknown long")
+
+
+def build_with_report(raw: DataFrame, places: DataFrame, daily: DataFrame | None = None, params: Params = DEFAULTS, **kw) -> tuple[DataFrame, DataFrame]:
+    """``build_fact`` and its one-row report (S8, A20, A22's row counts): the counters are
+    collected by the write itself, so building and reporting read the raw rows once.
+
+    The number of repeated identifiers isn't in it: a distinct count needs a shuffle by
+    identifier (``clean.clean_metrics``). An empty table has counts of 0 and NULL delays."""
+    counters = Observation("build")
+    fact = build_fact(raw, places, daily, params, counters=counters, **kw)
+    got = dict(counters.get)
+    got["raw_rows"] = got["raw_rows"] or 0
+    got["duplicate_rows"] = got["raw_rows"] - got["rows"]
+    got["avg_delay"] = got["sum_delay"] / got["n_delay"] if got["n_delay"] else None
+    names = [part.split()[0] for part in REPORT.split(", ")]
+    return fact, raw.sparkSession.createDataFrame([tuple(got[n] for n in names)], REPORT)
+
+
 def airport_dimension(airports: DataFrame, home_code: str, params: Params = DEFAULTS) -> DataFrame:
     """Airports with distance from the home airport (ICAO ``home_code``) and area.
 

@@ -186,6 +186,15 @@ SELECT (SELECT count(*) FROM raw_ev) AS raw_rows, CAST({len(RAW_COLS)} AS INTEGE
        {R('min(delay_min)', 'min_after')}, {R('max(delay_min)', 'max_after')}
 FROM clean_ev""")
 
+ORACLE["build_report"] = sql([RAW_DUP, CLEAN, PLACES], f"""
+looked AS (SELECT c.*, {MATCHED} FROM clean_ev c LEFT JOIN pa a ON c.place_code = a.key_a LEFT JOIN pb b ON c.place_code = b.key_b)
+SELECT (SELECT count(*) FROM raw_ev) AS raw_rows, count(*) AS "rows", (SELECT count(*) FROM raw_ev) - count(*) AS duplicate_rows,
+       count_if(rolled_over) AS rollovers, {R('min(raw_delay)', 'min_before')}, {R('min(delay_min)', 'min_after')},
+       {R('max(delay_min)', 'max_after')}, {R('avg(delay_min)', 'avg_delay')},
+       count_if(matched_by = 'key_a') AS via_key_a, count_if(matched_by = 'key_b') AS via_key_b,
+       count_if(place_code IS NULL) AS without_code, count_if(place_code IS NOT NULL AND matched_by IS NULL) AS code_unknown
+FROM looked""")
+
 ORACLE["duplicate_keys"] = sql([RAW_DUP, CLEAN], """
 SELECT "Identifier", count(*) AS n_rows FROM clean_ev GROUP BY "Identifier" HAVING count(*) > 1""")
 

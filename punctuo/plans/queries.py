@@ -135,6 +135,13 @@ def build_summary(spark, sf_dir):
                          F.avg("delay_min").alias("avg_delay")))
 
 
+@query
+def build_report(spark, sf_dir):
+    """E1 + S8 + A20: the counters that the build collects while it writes the fact."""
+    from punctuo.plans.build import build_with_report
+    return rounded(build_with_report(B.raw_ev(spark, sf_dir, duplicates=True), places_geo(spark, sf_dir), B.weather_ev(spark, sf_dir))[1])
+
+
 @query
 def direction_code_freq(spark, sf_dir):
     """C12 + A17: direction codes labelled, unknown codes keep their own value."""
