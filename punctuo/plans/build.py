@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from punctuo.config import DEFAULTS, Params
 from punctuo.operators import clean as CL
@@ -59,12 +59,17 @@ def build_with_report(raw: DataFrame, places: DataFrame, daily: DataFrame | None
     identifier (``clean.clean_metrics``). An empty table has counts of 0 and NULL delays."""
     counters = Observation("build")
     fact = build_fact(raw, places, daily, params, counters=counters, **kw)
+    return fact, report_of(raw.sparkSession, counters)
+
+
+def report_of(spark: SparkSession, counters: Observation) -> DataFrame:
+    """The report of a build whose write has run (waits for it otherwise)."""
     got = dict(counters.get)
     got["raw_rows"] = got["raw_rows"] or 0
     got["duplicate_rows"] = got["raw_rows"] - got["rows"]
     got["avg_delay"] = got["sum_delay"] / got["n_delay"] if got["n_delay"] else None
     names = [part.split()[0] for part in REPORT.split(", ")]
-    return fact, raw.sparkSession.createDataFrame([tuple(got[n] for n in names)], REPORT)
+    return spark.createDataFrame([tuple(got[n] for n in names)], REPORT)
 
 
 def airport_dimension(airports: DataFrame, home_code: str, params: Params = DEFAULTS) -> DataFrame:
@@ -78,8 +83,8 @@ def airport_dimension(airports: DataFrame, home_code: str, params: Params = DEFA
 
 def build_from_files(spark, flights_path: str, airports_path: str, weather_path: str, params: Params = DEFAULTS,
                      home_code: str | None = None, bad_rain_from: str | None = None,
-                     path: str | None = None) -> DataFrame:
-    """S1–S6 + E1: the three source files to the enriched fact (optionally written)."""
+                     path: str | None = None, counters: Observation | None = None) -> DataFrame:
+    """S1–S6 + E1: the three source files to the enriched fact (optionally written, with ``counters`` filled)."""
     from punctuo import config as C
     from punctuo.sources import files as S
     raw = S.read_flights(spark, flights_path)
@@ -87,4 +92,4 @@ def build_from_files(spark, flights_path: str, airports_path: str, weather_path:
     daily = S.clean_weather(S.read_weather(spark, weather_path), bad_rain_from or C.BAD_RAIN_FROM)
     attrs = ("Name", "City", "Country", "IATA", "ICAO", "Latitude", "Longitude", "distance_km", "area")
     return build_fact(raw, dim, daily, params, place_attrs=attrs, key_a="ICAO", key_b="IATA",
-                      place_order=("_order",), found="Name", path=path)
+                      place_order=("_order",), found="Name", path=path, counters=counters)
