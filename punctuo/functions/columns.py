@@ -236,6 +236,11 @@ def nl_number(c, decimals: int = 0) -> Column:
     return F.coalesce(F.translate(F.format_number(col(c), decimals), ",.", ".,"), F.lit("–"))
 
 
+def round_half_even(c, digits: int) -> Column:
+    """Rounding of report tables, halves to the even digit."""
+    return F.rint(col(c) * F.lit(10.0 ** digits)) / F.lit(10.0 ** digits)
+
+
 def date_label(c, fmt: str = "dd-MM-yyyy") -> Column:
     """Date as text."""
     return F.date_format(col(c), fmt)

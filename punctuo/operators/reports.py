@@ -359,6 +359,55 @@ def conditional_share(cond: Column, flag: str = "is_late") -> Column:
     return F.avg(F.when(cond, F.col(flag).cast("double"))) * F.lit(100.0)
 
 
+def fixed_findings(fact: DataFrame, base_year: int, busy_load: float = 60, quiet_load: float = 40, storm: float = 60, calm_day: float = 30,
+                   calm: float = 40, departure: str = "departure") -> DataFrame:
+    """A13 + A14: the findings of one base year, one row, whatever selection a user made.
+
+    % late of departures in busy (``hour_load`` above ``busy_load``) and quiet hours (up to
+    ``quiet_load``); mean of the per-day shares on stormy (``wpgt`` from ``storm``) and calm
+    days (below ``calm_day``); % late on busy stormy and quiet calm days (busy: more flights
+    than the median day; calm: below ``calm``) and with and without frost.
+
+    Rows are counted once per (day, direction, hour load); all findings are read off these
+    counts, of which a day has a few dozen. A finding without a row is NULL."""
+    base = fact.filter(F.col("year") == base_year)
+    cells = base.groupBy("day", "direction", "hour_load").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("is_late").alias("_flags"), F.count_if("is_late").alias("_late"),
+        F.max("wpgt").alias("_gust"), F.max(F.coalesce("frost", F.lit(False))).alias("_frost"))
+    day = Window.partitionBy("day")
+    cells = cells.withColumns({"_load": F.sum("_n").over(day), "_wpgt": F.max("_gust").over(day), "_first": F.row_number().over(day.orderBy("direction", "hour_load")) == 1,
+                               "_share": F.sum("_late").over(day) / F.sum("_flags").over(day)})
+    usual = F.median(F.when(F.col("_first"), F.col("_load")))  # one value a day of the year
+    cells = cells.withColumn("_busy", F.col("_load") > cells.agg(usual).scalar())
+
+    def late(cond: Column) -> Column:
+        return F.sum(F.when(cond, F.col("_late"))) * F.lit(100.0) / F.nullif(F.sum(F.when(cond, F.col("_flags"))), F.lit(0))
+
+    def share(cond: Column) -> Column:
+        return F.avg(F.when(F.col("_first") & cond, F.col("_share"))) * F.lit(100.0)
+
+    out, load, gust = F.col("direction") == departure, F.col("hour_load"), F.col("_wpgt")
+    return cells.agg(
+        late(out & (load > busy_load)).alias("late_pct_busy_hours"), late(out & (load <= quiet_load)).alias("late_pct_quiet_hours"),
+        share(gust >= storm).alias("storm_day_late_pct"), share(gust < calm_day).alias("calm_day_late_pct"),
+        late(F.col("_busy") & (gust >= storm)).alias("late_pct_busy_storm"), late(~F.col("_busy") & (gust < calm)).alias("late_pct_quiet_calm"),
+        late(F.col("_frost")).alias("late_pct_frost"), late(~F.col("_frost")).alias("late_pct_no_frost"))
+
+
+def report_round(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """The named columns rounded as report tables show them (halves to the even digit)."""
+    return df.withColumns({c: X.round_half_even(c, d) for c, d in digits.items()})
+
+
+def selection_text(df: DataFrame, year: int | None = None, direction: str | None = None, airlines: Sequence[str] = (), aircraft: Sequence[str] = (),
+                   everything: str = "(all)") -> DataFrame:
+    """The chosen filters and the number of rows they leave, as one text (one row)."""
+    chosen = lambda values: ", ".join(values) if values else everything
+    parts = [str(year) if year is not None else "all years", direction or "both directions", f"airline {chosen(airlines)}", f"type {chosen(aircraft)}"]
+    n = apply_filters(df, direction, airlines, aircraft, year).agg(F.count(F.lit(1)).alias("_n"))
+    return n.select(F.concat(F.lit(" · ".join(parts) + " · "), X.nl_number("_n", 0), F.lit(" flights")).alias("selection"))
+
+
 def weather_classes(days: DataFrame, bins: dict[str, tuple[Sequence[float], Sequence[str]]], min_days: int = 3, day: str = "day") -> DataFrame:
     """A12 + C23: every variable of ``bins`` in classes (left-closed), split into busy and quiet days and unsplit.
 

@@ -8,9 +8,25 @@ are cast back to BIGINT and DECIMAL literals are avoided (``::DOUBLE``).
 
 from __future__ import annotations
 
-from punctuo import config as C
-from punctuo.functions.columns import edge_labels
-from punctuo.plans import queries as Q
+# --- fixed values of the test tables and labels, stated here again so that a
+# --- wrong constant in the library shows as a difference ---------------------
+YEAR_A, YEAR_B = 1999, 2000
+LOAD_EDGES = (0, 10, 12, 14, 16, 20, 100, 120, 140, 160, 1_000_000_000)
+LOAD_NAMES = ("(0, 10]", "(10, 12]", "(12, 14]", "(14, 16]", "(16, 20]", "(20, 100]", "(100, 120]", "(120, 140]", "(140, 160]", "(160, 1e+09]")
+GUST_EDGES = (0, 150, 200, 250, 300, 350, 400, 1_000_000_000)
+GUST_NAMES = ("[0, 150)", "[150, 200)", "[200, 250)", "[250, 300)", "[300, 350)", "[350, 400)", "[400, 1e+09)")
+DELAY_EDGES = (-2000, 0, 15, 30, 60, 5000)
+DELAY_NAMES = ("early", "0–15 min", "15–30 min", "30–60 min", "≥ 60 min")
+BAD_RAIN_FROM = "2024-01-21"
+PLACE_MONTHS = ("1995-01-01", "2001-08-01")
+PERIODS = {"jul-sep": (7, 8, 9), "dec": (12,), "from-apr": (4, 5, 6, 7, 8, 9, 10, 11, 12)}
+PLACE_ATTRS = ("place_id", "name", "region", "lat", "lon", "distance_km", "area")
+CATEGORICAL = ("direction", "aircraft", "runway", "airline")
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+NULL_REASONS = {"place_code": "no code in the source", "direction": "code other than departure/arrival"}
+NULL_REASON_OTHER = "flight without a matched place"
+# --- end of fixed values ------------------------------------------------------
 
 R = lambda e, name: f"round({e}, 6) AS {name}"
 
@@ -91,7 +107,7 @@ def _lookup_cols(attrs) -> str:
 MATCHED = "CASE WHEN a.name IS NOT NULL THEN 'key_a' WHEN b.name IS NOT NULL THEN 'key_b' END AS matched_by"
 
 ENR = f"""enriched_or AS (
-  SELECT f.*, {_lookup_cols(Q.PLACE_ATTRS)}, {MATCHED}
+  SELECT f.*, {_lookup_cols(PLACE_ATTRS)}, {MATCHED}
   FROM flights_or f LEFT JOIN pa a ON f.place_code = a.key_a LEFT JOIN pb b ON f.place_code = b.key_b)"""
 
 WEV = """weather_raw AS (
@@ -200,7 +216,7 @@ SELECT "Identifier", count(*) AS n_rows FROM clean_ev GROUP BY "Identifier" HAVI
 
 ORACLE["calendar_and_prefix"] = sql([RAW, CLEAN], f"""
 SELECT "Identifier" AS flight_key, day, year, month, weekday,
-       {_names('weekday', C.WEEKDAY_NAMES, 0)} AS weekday_name, {_names('month', C.MONTH_NAMES, 1)} AS month_name,
+       {_names('weekday', WEEKDAYS, 0)} AS weekday_name, {_names('month', MONTHS, 1)} AS month_name,
        hour, direction, airline, flight_no
 FROM clean_ev""")
 
@@ -224,14 +240,14 @@ SELECT w."Identifier", w.flight_no, w."LSV", w."GAT", w.aircraft, w.place_code,
 FROM w LEFT JOIN h2 USING (day, hour)""")
 
 ORACLE["bad_period_check"] = sql([WEV], f"""
-SELECT count_if(day >= DATE '{Q.BAD_RAIN_FROM_EV}') AS suspect_days,
-       {R(f"avg(CASE WHEN day >= DATE '{Q.BAD_RAIN_FROM_EV}' THEN prcp END)", 'mean_inside')},
-       {R(f"avg(CASE WHEN NOT (day >= DATE '{Q.BAD_RAIN_FROM_EV}') THEN prcp END)", 'mean_outside')}
+SELECT count_if(day >= DATE '{BAD_RAIN_FROM}') AS suspect_days,
+       {R(f"avg(CASE WHEN day >= DATE '{BAD_RAIN_FROM}' THEN prcp END)", 'mean_inside')},
+       {R(f"avg(CASE WHEN NOT (day >= DATE '{BAD_RAIN_FROM}') THEN prcp END)", 'mean_outside')}
 FROM weather_ev""")
 
 ORACLE["bad_period_null"] = sql([WEV], f"""
 SELECT day, {R('tavg', 'tavg')}, {R('tmin', 'tmin')},
-       {R(f"CASE WHEN day >= DATE '{Q.BAD_RAIN_FROM_EV}' THEN NULL ELSE prcp END", 'prcp')},
+       {R(f"CASE WHEN day >= DATE '{BAD_RAIN_FROM}' THEN NULL ELSE prcp END", 'prcp')},
        {R('wspd', 'wspd')}, {R('wpgt', 'wpgt')}, {R('pres', 'pres')}
 FROM weather_ev""")
 
@@ -241,10 +257,10 @@ FROM flights_ev WHERE direction IS NOT NULL AND hour IS NOT NULL
 GROUP BY direction, hour HAVING count(*) >= 100""")
 
 _HL = "hl AS (SELECT day, hour, count(*) AS hour_load FROM flights_ev GROUP BY day, hour)"
-_LOAD_BIN = _case_bin("h.hour_load", Q.LOAD_EDGES_EV, "right")
+_LOAD_BIN = _case_bin("h.hour_load", LOAD_EDGES, "right")
 ORACLE["summary_load_class"] = sql([FEV, _HL], f"""
 f AS (SELECT f.*, {_LOAD_BIN} AS load_bin FROM flights_ev f LEFT JOIN hl h USING (day, hour))
-SELECT direction, load_bin, {summary_cols()}, {_case_label('load_bin', edge_labels(Q.LOAD_EDGES_EV, 'right'))} AS load_class
+SELECT direction, load_bin, {summary_cols()}, {_case_label('load_bin', LOAD_NAMES)} AS load_class
 FROM f WHERE direction IS NOT NULL AND load_bin IS NOT NULL
 GROUP BY direction, load_bin HAVING count(*) >= 200""")
 
@@ -261,7 +277,7 @@ ORACLE["heat_weekday_hour"] = sql([FEV], f"""s AS (
   WHERE weekday IS NOT NULL AND hour IS NOT NULL GROUP BY weekday, hour HAVING count(*) >= 30 AND hour BETWEEN 6 AND 22),
 g AS (SELECT weekday, {', '.join(f'max(CASE WHEN hour = {h} THEN late_pct END) AS h{h:02d}' for h in _HOURS)} FROM s GROUP BY weekday),
 spine AS (SELECT CAST(range AS INTEGER) AS weekday FROM range(7))
-SELECT spine.weekday, {_names('spine.weekday', C.WEEKDAY_NAMES, 0)} AS weekday_name,
+SELECT spine.weekday, {_names('spine.weekday', WEEKDAYS, 0)} AS weekday_name,
        {', '.join(R(f'g.h{h:02d}', f'h{h:02d}') for h in _HOURS)}
 FROM spine LEFT JOIN g USING (weekday)""")
 
@@ -320,8 +336,8 @@ def _ym(cond: str, sfx: str) -> str:
 
 
 ORACLE["headline_delta"] = sql([FOR], f"""a AS (
-  SELECT {_ym(f'year = {Q.YEAR_A}', 'sel')}, {_ym(f'year = {Q.YEAR_B}', 'oth')}
-  FROM flights_or WHERE year IN ({Q.YEAR_A}, {Q.YEAR_B}))
+  SELECT {_ym(f'year = {YEAR_A}', 'sel')}, {_ym(f'year = {YEAR_B}', 'oth')}
+  FROM flights_or WHERE year IN ({YEAR_A}, {YEAR_B}))
 SELECT n_sel, {R('late_pct_sel', 'late_pct_sel')}, {R('avg_delay_sel', 'avg_delay_sel')},
        {R('median_delay_sel', 'median_delay_sel')}, n_places_sel,
        CASE WHEN n_oth > 0 THEN n_sel - n_oth END AS diff_n,
@@ -333,7 +349,7 @@ FROM a""")
 
 ORACLE["filtered_headline"] = sql([FOR], f"""base AS (
   SELECT * FROM flights_or WHERE direction = 'departure' AND airline IN ('Brand#11', 'Brand#22', 'Brand#33')
-  AND year = {Q.YEAR_A})
+  AND year = {YEAR_A})
 SELECT * FROM (SELECT {_HEAD} FROM base) WHERE (SELECT count(*) FROM base) >= 50""")
 
 ORACLE["year_compare"] = sql([FOR], f"""
@@ -347,16 +363,16 @@ FROM flights_or WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY year, mont
 
 def _periods_union() -> str:
     parts = []
-    for name, months in Q.PERIODS.items():
+    for name, months in PERIODS.items():
         parts.append(f"SELECT '{name}' AS period, year, is_late FROM flights_or "
-                     f"WHERE year IN ({Q.YEAR_A}, {Q.YEAR_B}) AND month IN ({', '.join(map(str, months))})")
+                     f"WHERE year IN ({YEAR_A}, {YEAR_B}) AND month IN ({', '.join(map(str, months))})")
     return "\n      UNION ALL ".join(parts)
 
 
 _PERIOD_CTE = f"""p AS ({_periods_union()}),
-a AS (SELECT period, count_if(year = {Q.YEAR_A}) AS na, count_if(year = {Q.YEAR_B}) AS nb,
-             avg(CASE WHEN year = {Q.YEAR_A} THEN CAST(is_late AS DOUBLE) END) AS la,
-             avg(CASE WHEN year = {Q.YEAR_B} THEN CAST(is_late AS DOUBLE) END) AS lb FROM p GROUP BY period),
+a AS (SELECT period, count_if(year = {YEAR_A}) AS na, count_if(year = {YEAR_B}) AS nb,
+             avg(CASE WHEN year = {YEAR_A} THEN CAST(is_late AS DOUBLE) END) AS la,
+             avg(CASE WHEN year = {YEAR_B} THEN CAST(is_late AS DOUBLE) END) AS lb FROM p GROUP BY period),
 pc AS (SELECT period, CASE WHEN na > 0 AND nb > 0 THEN na END AS n_a, CASE WHEN na > 0 AND nb > 0 THEN nb END AS n_b,
               CASE WHEN na > 0 AND nb > 0 THEN la * 100 END AS late_pct_a,
               CASE WHEN na > 0 AND nb > 0 THEN lb * 100 END AS late_pct_b,
@@ -374,17 +390,17 @@ SELECT COALESCE(bool_or(CASE WHEN period = 'jul-sep' THEN late_pct_b < late_pct_
 FROM pc""")
 
 ORACLE["area_year"] = sql([FOR, PLACES, ENR], f"""a AS (
-  SELECT area, count_if(year = {Q.YEAR_A}) AS n_a, count_if(year = {Q.YEAR_B}) AS n_b,
-         count(DISTINCT CASE WHEN year = {Q.YEAR_A} THEN place_code END) AS places_a,
-         count(DISTINCT CASE WHEN year = {Q.YEAR_B} THEN place_code END) AS places_b
-  FROM enriched_or WHERE area IS NOT NULL AND month >= 4 AND year IN ({Q.YEAR_A}, {Q.YEAR_B}) GROUP BY area)
+  SELECT area, count_if(year = {YEAR_A}) AS n_a, count_if(year = {YEAR_B}) AS n_b,
+         count(DISTINCT CASE WHEN year = {YEAR_A} THEN place_code END) AS places_a,
+         count(DISTINCT CASE WHEN year = {YEAR_B} THEN place_code END) AS places_b
+  FROM enriched_or WHERE area IS NOT NULL AND month >= 4 AND year IN ({YEAR_A}, {YEAR_B}) GROUP BY area)
 SELECT area, n_a, n_b, places_a, places_b,
        {R('CAST(n_b AS DOUBLE) / CAST(n_a AS DOUBLE) * 100.0::DOUBLE', 'n_kept_pct')},
        {R('CAST(places_b AS DOUBLE) / CAST(places_a AS DOUBLE) * 100.0::DOUBLE', 'places_kept_pct')}
 FROM a WHERE n_a > 0 AND n_b > 0""")
 
 ORACLE["place_change"] = sql([FOR], f"""a AS (
-  SELECT place_code, {summary_cols()}, count_if(year = {Q.YEAR_A}) AS n_a, count_if(year = {Q.YEAR_B}) AS n_b
+  SELECT place_code, {summary_cols()}, count_if(year = {YEAR_A}) AS n_a, count_if(year = {YEAR_B}) AS n_b
   FROM flights_or WHERE place_code IS NOT NULL GROUP BY place_code)
 SELECT *, {R('(CAST(n_b AS DOUBLE) - CAST(n_a AS DOUBLE)) / NULLIF(CAST(n_a AS DOUBLE), 0) * 100.0::DOUBLE', 'change_pct')}
 FROM a WHERE n_a >= 50""")
@@ -415,7 +431,7 @@ ORACLE["place_month_series"] = sql([FOR], f"""m AS (
          avg(CAST(is_late AS DOUBLE)) * 100.0::DOUBLE AS late_pct
   FROM flights_or WHERE place_code = 'NATION_7' GROUP BY 1),
 spine AS (SELECT CAST(generate_series AS DATE) AS month_start
-          FROM generate_series(DATE '{Q.PLACE_MONTHS[0]}', DATE '{Q.PLACE_MONTHS[1]}', INTERVAL 1 MONTH))
+          FROM generate_series(DATE '{PLACE_MONTHS[0]}', DATE '{PLACE_MONTHS[1]}', INTERVAL 1 MONTH))
 SELECT s.month_start, COALESCE(m.n, 0) AS n, {R('COALESCE(m.late_pct, 0.0::DOUBLE)', 'late_pct')}
 FROM spine s LEFT JOIN m USING (month_start)""")
 
@@ -458,7 +474,7 @@ _DAYS = """fw AS (SELECT f.*, w.wpgt, w.prcp, w.tavg, w.tmin FROM flights_ev f L
 dt AS (SELECT day, count(*) AS n, count_if(is_late) AS n_late, max(wpgt) AS wpgt, max(prcp) AS prcp,
               max(tavg) AS tavg, max(tmin) AS tmin FROM fw GROUP BY day)"""
 
-_GUST_BIN = _case_bin("wpgt", Q.GUST_EDGES_EV, "left")
+_GUST_BIN = _case_bin("wpgt", GUST_EDGES, "left")
 ORACLE["weather_class_busy"] = sql([FEV, WEV], f"""fw AS (
   SELECT f.*, w.wpgt FROM flights_ev f LEFT JOIN weather_ev w USING (day) WHERE w.wpgt IS NOT NULL),
 d AS (SELECT day, count(*) AS n, count_if(is_late) AS n_late, max(wpgt) AS wpgt FROM fw GROUP BY day),
@@ -466,13 +482,13 @@ d2 AS (SELECT *, CASE WHEN n > (SELECT median(n) FROM d) THEN 'busy day' ELSE 'q
               {_GUST_BIN} AS class_no FROM d)
 SELECT day_type, class_no, CAST(sum(n) AS BIGINT) AS n, count(*) AS n_days,
        {R('CAST(sum(n_late) AS DOUBLE) * 100.0::DOUBLE / CAST(sum(n) AS DOUBLE)', 'late_pct')},
-       {_case_label('class_no', edge_labels(Q.GUST_EDGES_EV, 'left'))} AS weather_class
+       {_case_label('class_no', GUST_NAMES)} AS weather_class
 FROM d2 WHERE class_no IS NOT NULL GROUP BY day_type, class_no HAVING count(*) >= 3""")
 
 _DAY_WEATHER = f"""dw AS (
   SELECT day, n, CAST(n_late AS DOUBLE) * 100.0::DOUBLE / CAST(n AS DOUBLE) AS late_pct, wpgt, prcp, tavg,
          strftime(day, '%d-%m-%Y') AS day_label,
-         {_case_label(_GUST_BIN, edge_labels(Q.GUST_EDGES_EV, 'left'))} AS wind_class
+         {_case_label(_GUST_BIN, GUST_NAMES)} AS wind_class
   FROM dt WHERE n >= 50)"""
 ORACLE["day_weather"] = sql([FEV, WEV, _DAYS, _DAY_WEATHER], f"""
 SELECT day, n, {R('late_pct', 'late_pct')}, {R('wpgt', 'wpgt')}, {R('prcp', 'prcp')}, {R('tavg', 'tavg')}, day_label, wind_class
@@ -503,6 +519,26 @@ SELECT {R(f"avg(CASE WHEN wpgt >= (SELECT round(avg(wpgt), 6) FROM weather_ev) *
        {R(f"avg(CASE WHEN wpgt < (SELECT round(avg(wpgt), 6) FROM weather_ev) * 0.9::DOUBLE THEN CAST(n_late AS DOUBLE) / CAST(n AS DOUBLE) END) * 100.0::DOUBLE", 'calm_day_late_pct')}
 FROM dt""")
 
+_FINDINGS = """b AS (SELECT f.*, hl.hour_load, w.wpgt, COALESCE(w.tmin < 0.0::DOUBLE, false) AS frost
+      FROM flights_ev f LEFT JOIN hl USING (day, hour) LEFT JOIN weather_ev w USING (day) WHERE f.year = 2024),
+dd AS (SELECT day, count(*) AS day_load, avg(CAST(is_late AS DOUBLE)) AS share, max(wpgt) AS wpgt FROM b GROUP BY day),
+x AS (SELECT b.*, dd.day_load > (SELECT median(day_load) FROM dd) AS busy FROM b JOIN dd USING (day))"""
+
+
+def _pct(cond: str, name: str) -> str:
+    return R(f"count_if(({cond}) AND is_late) * 100.0::DOUBLE / nullif(count_if({cond}), 0)", name)
+
+
+ORACLE["fixed_findings"] = sql([FEV, WEV, _HL, _FINDINGS], f"""
+SELECT {_pct("direction = 'departure' AND hour_load > 14", 'late_pct_busy_hours')},
+       {_pct("direction = 'departure' AND hour_load <= 120", 'late_pct_quiet_hours')},
+       {R("(SELECT avg(CASE WHEN wpgt >= 200.0::DOUBLE THEN share END) * 100.0::DOUBLE FROM dd)", 'storm_day_late_pct')},
+       {R("(SELECT avg(CASE WHEN wpgt < 300.0::DOUBLE THEN share END) * 100.0::DOUBLE FROM dd)", 'calm_day_late_pct')},
+       {_pct("busy AND wpgt >= 200.0::DOUBLE", 'late_pct_busy_storm')},
+       {_pct("NOT busy AND wpgt < 300.0::DOUBLE", 'late_pct_quiet_calm')},
+       {_pct("frost", 'late_pct_frost')}, {_pct("NOT frost", 'late_pct_no_frost')}
+FROM x""")
+
 ORACLE["delay_histogram"] = sql([FEV], """c AS (
   SELECT CAST(floor((least(greatest(delay_min, -60.0::DOUBLE), 119.9::DOUBLE) - (-60.0::DOUBLE)) / 5.0::DOUBLE) AS INTEGER) AS bin_no,
          count(*) AS n FROM flights_ev WHERE delay_min IS NOT NULL GROUP BY 1),
@@ -527,9 +563,9 @@ def _profile_row(c: str) -> str:
 ORACLE["column_profile"] = sql([RAW], "\n UNION ALL ".join(_profile_row(c) for c in RAW_COLS))
 
 _ENR_COLS = ("order_key", "line_no", "day", "year", "month", "weekday", "delay_min", "is_late", "direction",
-             "airline", "aircraft", "place_code", *Q.PLACE_ATTRS, "matched_by")
+             "airline", "aircraft", "place_code", *PLACE_ATTRS, "matched_by")
 def _reason(c: str) -> str:
-    return Q.NULL_REASONS.get(c, Q.NULL_REASON_OTHER)
+    return NULL_REASONS.get(c, NULL_REASON_OTHER)
 
 
 ORACLE["null_profile"] = sql([FOR, PLACES, ENR], "\n UNION ALL ".join(
@@ -578,13 +614,13 @@ top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY column_nam
 ORACLE["top_categories"] = sql([FEV, _TOPCAT], "SELECT column_name, value, n, rank FROM top")
 ORACLE["encode_other"] = sql([FEV, _TOPCAT], "SELECT f.flight_id, " + ", ".join(
     f"COALESCE((SELECT t.value FROM top t WHERE t.column_name = '{c}' AND t.value = f.{c}), 'other') AS {c}"
-    for c in C.CATEGORICAL) + " FROM flights_ev f")
+    for c in CATEGORICAL) + " FROM flights_ev f")
 
 ORACLE["split_days"] = sql([FEV, SEV], "SELECT day, is_test FROM split_days")
 
 ORACLE["split_year"] = sql([FOR], f"""
-SELECT CASE WHEN year = {Q.YEAR_B} THEN 'test' ELSE 'train' END AS side, count(*) AS n_rows, count(DISTINCT day) AS n_days
-FROM flights_or WHERE year IN ({Q.YEAR_A}, {Q.YEAR_B}) GROUP BY 1""")
+SELECT CASE WHEN year = {YEAR_B} THEN 'test' ELSE 'train' END AS side, count(*) AS n_rows, count(DISTINCT day) AS n_days
+FROM flights_or WHERE year IN ({YEAR_A}, {YEAR_B}) GROUP BY 1""")
 
 _TRAIN = """tr AS (SELECT avg(CAST(is_late AS DOUBLE)) AS share, median(delay_min) AS med FROM scored_split WHERE NOT is_test)"""
 ORACLE["baseline"] = sql([FEV, SEV, _TRAIN], f"""
@@ -649,10 +685,10 @@ ORACLE["pred_by_hour"] = sql([FEV, SEV], f"""h AS (
 SELECT hour, {R('actual_pct', 'actual_pct')}, {R('pred_pct', 'pred_pct')}, n, {R('abs(actual_pct - pred_pct)', 'abs_gap')}
 FROM h""")
 
-_DCLASS = _case_bin("delay_min", C.DELAY_CLASS_EDGES, "left")
+_DCLASS = _case_bin("delay_min", DELAY_EDGES, "left")
 ORACLE["pred_by_delay_class"] = sql([FEV, SEV], f"""c AS (SELECT {_DCLASS} AS class_no, p_late FROM test_scored)
 SELECT class_no, {R('avg(p_late) * 100.0::DOUBLE', 'pred_pct')}, count(*) AS n,
-       {_case_label('class_no', C.DELAY_CLASS_LABELS)} AS delay_class
+       {_case_label('class_no', DELAY_NAMES)} AS delay_class
 FROM c WHERE class_no IS NOT NULL GROUP BY class_no""")
 
 ORACLE["pred_overall"] = sql([FEV, SEV], f"""
@@ -675,6 +711,15 @@ SELECT airline, translate(format('{:,}', n), ',.', '.,') AS n_text,
 FROM s""")
 
 
+ORACLE["rounded_report"] = sql([FOR], """
+SELECT airline, count(*) AS n, round_even(sum(delay_min) / count(delay_min), 2) AS avg_delay,
+       round_even(count_if(is_late) * 100.0::DOUBLE / count(*), 1) AS late_pct
+FROM flights_or WHERE airline IS NOT NULL GROUP BY airline""")
+
+ORACLE["selection_text"] = sql([FOR], """
+SELECT '1999 · departure · airline Brand#11, Brand#22 · type (all) · ' || translate(format('{:,}', count(*)), ',.', '.,') || ' flights' AS selection
+FROM flights_or WHERE direction = 'departure' AND airline IN ('Brand#11', 'Brand#22') AND year = 1999""")
+
 ORACLE["raw_preview"] = sql([RAW], """
 SELECT * FROM raw_ev ORDER BY CAST("Identifier" AS BIGINT) LIMIT 8""")
 

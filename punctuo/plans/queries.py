@@ -528,6 +528,12 @@ def mean_of_day_shares(spark, sf_dir):
                          (F.avg(F.when(F.col("wpgt") < gust * CALM_SHARE, F.col("share"))) * 100).alias("calm_day_late_pct")))
 
 
+@query
+def fixed_findings(spark, sf_dir):
+    """A13 + A14: the findings of one base year from one table of counts."""
+    return rounded(RP.fixed_findings(weathered_ev(spark, sf_dir), 2024, busy_load=14, quiet_load=120, storm=200.0, calm_day=300.0, calm=300.0))
+
+
 # ------------------------------------------------------------------ delay distribution
 @query
 def delay_histogram(spark, sf_dir):
@@ -703,6 +709,19 @@ def format_report(spark, sf_dir):
                     X.label_concat("airline", X.nl_number("n", 0)).alias("label"))
 
 
+@query
+def rounded_report(spark, sf_dir):
+    """The airline table with the digits that reports show."""
+    s = RP.summary(B.flights_or(spark, sf_dir), "airline")
+    return RP.report_round(s.select("airline", "n", "avg_delay", "late_pct"), {"avg_delay": 2, "late_pct": 1})
+
+
+@query
+def selection_text(spark, sf_dir):
+    """What was chosen and how many flights are left, as one line."""
+    return RP.selection_text(B.flights_or(spark, sf_dir), YEAR_A, "departure", ("Brand#11", "Brand#22"))
+
+
 # ------------------------------------------------------------------ models (rows-only checks)
 # Up to 120 boosting rounds; a tenth of the training days decides when to stop.
 MODEL_PARAMS = DEFAULTS
