@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +19,38 @@ from punctuo.session import ensure_checkpoint_dir
 MAX_BROADCAST_BYTES = 512 << 20
 
 
+#: What the innermost ``released`` block has to give back: tables (paths) and cached DataFrames.
+_HELD: ContextVar[list | None] = ContextVar("punctuo_held", default=None)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Whatever operators cache or write to the shared folder inside the block is given back at its end.
+
+    DataFrames made inside must be written (or collected) before the end: their tables are
+    deleted then, also after an error. Blocks nest; each gives back what was made in it.
+    Only folders that ``shared_path`` named are deleted, never an output of the caller."""
+    held: list = []
+    token = _HELD.set(held)
+    try:
+        yield
+    finally:
+        _HELD.reset(token)
+        for item in reversed(held):
+            if isinstance(item, str):
+                path = spark._jvm.org.apache.hadoop.fs.Path(item)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            else:
+                item.unpersist()
+
+
+def _hold(item):
+    held = _HELD.get()
+    if held is not None:
+        held.append(item)
+    return item
+
+
 def _row_bytes(df: DataFrame):
     texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     size = F.lit(16 * (len(df.columns) + 1)).cast("long")
@@ -49,18 +84,18 @@ def materialize(df: DataFrame) -> DataFrame:
     Its partitions are left to AQE, which merges small ones in cached plans too,
     so the stage that reduces the large side keeps all its tasks. Lost blocks are recomputed from lineage, and once broadcast the table no
     longer depends on executors, so executor loss is harmless."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return _hold(df.persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def persist_table(df: DataFrame) -> DataFrame:
     """Keep a LARGE table that an iterative algorithm scans repeatedly (the
     model's train/test sides), partitioning unchanged."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return _hold(df.persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new folder name inside the session's shared ``spark.checkpoint.dir``."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/punctuo-tables/{uuid.uuid4().hex}"
+    """A new folder name inside the session's shared ``spark.checkpoint.dir`` (deleted by a surrounding ``released``)."""
+    return _hold(f"{ensure_checkpoint_dir(spark).rstrip('/')}/punctuo-tables/{uuid.uuid4().hex}")
 
 
 def checkpoint_table(df: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from punctuo.config import DEFAULTS
 from punctuo.operators import reports as RP
+from punctuo.operators.util import released
 
 
 def build(spark: SparkSession, args) -> None:
@@ -104,7 +105,8 @@ def main(argv=None) -> None:
     m.add_argument("--rounds", type=int, default=None)
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"punctuo-{args.cmd}").getOrCreate()
-    {"build": build, "report": report, "score": score}[args.cmd](spark, args)
+    with released(spark):  # outputs are written inside; working tables and caches go
+        {"build": build, "report": report, "score": score}[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

@@ -685,7 +685,7 @@ def pred_heavy(spark, sf_dir):
 @query
 def pred_worst_hour(spark, sf_dir):
     """M14 + T6: the hour with the largest gap between actual and predicted."""
-    h = EV.by_hour(test_scored(spark, sf_dir), min_n=50)
+    h = EV.by_hour(test_scored(spark, sf_dir), min_n=100)
     return rounded(RP.ranked(h, [F.desc("abs_gap"), F.asc("hour")], 1))
 
 
