@@ -10,12 +10,17 @@ compared exactly, in pairs of bounded blocks (see ``near_sets.verify``).
 A passage can also stand inside longer lines. So the words are cut a second time,
 at line starts and where a hash of two neighbours is the smallest of its
 surroundings, so at places that only nearby words decide; equal pieces are copies
-of one another, wherever the lines begin. Adjacent removed pieces count if they
-have ``least_words`` words together.
+of one another, wherever the lines begin. Adjacent pieces that repeat adjacent
+pieces of one other text are one match; a second hash confirms it and it is extended
+word by word to both sides (``extension``). Matches that overlap or touch count if
+they have ``least_words`` words together.
 
 In every class of paragraphs or pieces the first occurrence stays (smallest id,
 null ids last, then place in the text); the others are removed. Documents,
 paragraphs and pieces are named by 64-bit hashes, the last two with their number of words.
+A passage is found by a piece that lies wholly in it: in random words 0.2 % of the
+passages of 51 words have none, 5 % of those of 40 words.
+Lines of ``least_line`` words that repeat exactly go too, if that is below ``least_words``.
 
 Defined results: null and empty texts have no paragraph; rows repeated with the
 same id and text are one document and get the same result; the same paragraph
@@ -29,12 +34,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctuo.llm import near_sets as N
+from punctuo.llm.extension import extended
 from punctuo.llm.graph import components
 from punctuo.llm.prefilter import likely
+from punctuo.llm.spread import join_hot
 from punctuo.operators.util import checkpoint_table
 
 LINE, PIECE = 0, 1
@@ -63,8 +70,9 @@ def pieces(hashes: np.ndarray, owner: np.ndarray, firsts: np.ndarray, radius: in
     return np.union1d(firsts, np.flatnonzero((v < low[at - radius]) & (v <= low[at + 1])))
 
 
-def units(docs: DataFrame, bands: int, rows: int, least_words: int, radius: int, seed: int = 23, chunk: int = 1 << 20) -> DataFrame:
-    """Every paragraph and piece: doc, kind, place and words (in words), begin, end (bytes), key, bands (paragraphs only)."""
+def units(docs: DataFrame, bands: int, rows: int, least_words: int, radius: int, least_line: int, seed: int = 23, chunk: int = 1 << 20) -> DataFrame:
+    """Every paragraph and piece: doc, kind, place and words (in words), begin, end (bytes), key, bands (paragraphs only).
+    Lines below ``least_words`` words, from ``least_line`` on, are paragraphs without bands."""
     names = ["doc", "kind", "place", "words", "begin", "end", "key", "bands"]
 
     def of(ids: list[int], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -110,6 +118,9 @@ def units(docs: DataFrame, bands: int, rows: int, least_words: int, radius: int,
                 key = N.mix(key * np.uint64(5) + v[:, :, j])
             bins = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel()))
             yield batch(LINE, firsts, full, bins)
+        short = (lasts - firsts >= least_line) & ~full
+        if short.any():
+            yield batch(LINE, firsts, short, pa.nulls(int(short.sum()), pa.list_(pa.int64())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -145,15 +156,16 @@ def line_sets(texts: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text", least_words: int = 20,
-             radius: int = 5) -> DataFrame:
+             radius: int = 5, least_line: int | None = None) -> DataFrame:
     """One row per distinct (id, text): id, key (md5 of the text), n_paragraphs, and removed: array of
-    (begin, end (bytes), kind, class_id, first_id), sorted; first_id is the document whose occurrence stays."""
+    (begin, end (bytes), kind, class_id, first_id), sorted; first_id is the document whose occurrence stays,
+    class_id of a passage that of its first piece. ``least_line``: of shorter lines that repeat exactly (null: ``least_words``)."""
     bands, rows = tune_bands(threshold, recall)
     keyed = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
                         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     texts = keyed.withColumn("doc", F.xxhash64("text_key", "id"))
     ids = texts.groupBy("doc").agg(F.first("id").alias("id"), F.first("text_key").alias("text_key"))
-    made = checkpoint_table(units(texts, bands, rows, least_words, radius))
+    made = checkpoint_table(units(texts, bands, rows, least_words, radius, least_line or least_words))
     ends = [f("doc").alias(f"{n}_doc") for n, f in (("low", F.min), ("high", F.max))] + [f("place").alias(f"{n}_place") for n, f in (("low", F.min), ("high", F.max))]
     twice = (F.col("low_doc") != F.col("high_doc")) | (F.col("low_place") != F.col("high_place"))
     lines = made.filter(F.col("kind") == LINE).groupBy("key", "words").agg(
@@ -179,24 +191,46 @@ def removals(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, id_
     occurs = checkpoint_table(occurs.join(ids.select("doc", "id"), "doc"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "doc", "place")
     first = occurs.groupBy("kind", "class").agg(F.min(order).alias("first"))
-    gone = occurs.join(first, ["kind", "class"]).filter(~((F.col("doc") == F.col("first.doc")) & (F.col("place") == F.col("first.place"))))
-    gone = gone.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("kind", "place", "words", "begin", "end", "class", F.col("first.id").alias("first_id")))).alias("gone"))
-    span = F.struct("begin", "end", F.when(F.col("kind") == LINE, "paragraph").otherwise("piece").alias("kind"), F.col("class").alias("class_id"), "first_id")
-    gone = gone.select("doc", F.inline(in_runs(F.col("gone"), least_words))).groupBy("doc").agg(F.array_sort(F.collect_list(span)).alias("removed"))
-    n = made.filter(F.col("kind") == LINE).groupBy("doc").agg(F.countDistinct("place").alias("n_paragraphs"))
+    gone = join_hot(occurs, first, ["kind", "class"], ["doc", "place"]).filter(
+        ~((F.col("doc") == F.col("first.doc")) & (F.col("place") == F.col("first.place"))))
+    gone = gone.select("doc", "kind", "place", "words", "begin", "end", "class", F.col("first.id").alias("first_id"),
+                       F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
+    gone = checkpoint_table(matches_of(gone.filter(F.col("kind") == PIECE)).unionByName(gone.filter(F.col("kind") == LINE), allowMissingColumns=True))
+    found = extended(gone.filter(F.col("kind") == PIECE), texts)
+    found = long_enough(found, least_words).withColumn("kind", F.lit("piece"))
+    gone = gone.filter(F.col("kind") == LINE).withColumn("kind", F.lit("paragraph"))
+    span = F.struct("begin", "end", "kind", F.col("class").alias("class_id"), "first_id")
+    gone = gone.select("doc", span.alias("span")).unionAll(found.select("doc", span.alias("span")))
+    gone = gone.groupBy("doc").agg(F.array_sort(F.collect_list("span")).alias("removed"))
+    n = made.filter((F.col("kind") == LINE) & (F.col("words") >= least_words)).groupBy("doc").agg(F.countDistinct("place").alias("n_paragraphs"))
     out = ids.join(n, "doc", "left").join(gone, "doc", "left")
     none = F.array().cast("array<struct<begin:bigint,end:bigint,kind:string,class_id:bigint,first_id:" + ids.schema["id"].dataType.simpleString() + ">>")
     return out.select("id", F.col("text_key").alias("key"), F.coalesce("n_paragraphs", F.lit(0)).alias("n_paragraphs"), F.coalesce("removed", none).alias("removed"))
 
 
-def in_runs(gone, least_words: int):
-    """The sorted units of ``gone`` without pieces whose run of adjacent pieces has fewer than ``least_words`` words."""
-    bounds = F.transform(gone, lambda g, i: F.when((i == 0) | (F.get(gone, i - 1)["kind"] != g["kind"])
-                                                   | (F.get(gone, i - 1)["place"] + F.get(gone, i - 1)["words"] != g["place"]), i))
-    starts = F.filter(bounds, lambda i: i.isNotNull())
-    stops = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(gone)))
-    runs = F.transform(F.arrays_zip(starts.alias("from"), stops.alias("to")), lambda r: F.slice(gone, r["from"] + 1, r["to"] - r["from"]))
-    return F.flatten(F.filter(runs, lambda r: (r[0]["kind"] == LINE) | (F.aggregate(r, F.lit(0), lambda a, g: a + g["words"]) >= least_words)))
+def matches_of(pieces: DataFrame) -> DataFrame:
+    """Removed pieces as matches: pieces next to one another that repeat pieces next to one another are one.
+    room_before and room_after: words up to the neighbouring matches (null: none on that side)."""
+    w = Window.partitionBy("doc").orderBy("place")
+    behind = F.lag("words").over(w)
+    goes_on = ((F.lag("place").over(w) + behind == F.col("place")) & (F.lag("first_doc").over(w) == F.col("first_doc"))
+               & (F.lag("first_place").over(w) + behind == F.col("first_place")))
+    p = pieces.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("number", F.sum("new").over(w))
+    m = p.groupBy("doc", "number").agg(F.first("kind").alias("kind"), F.min_by("class", "place").alias("class"), F.first("first_id").alias("first_id"),
+                                       F.first("first_doc").alias("first_doc"), F.min("first_place").alias("first_place"), F.min("place").alias("place"),
+                                       F.sum("words").cast("int").alias("words"), F.min("begin").alias("begin"), F.max("end").alias("end"))
+    own_end = F.col("place") + F.col("words")
+    return m.withColumns({"room_before": F.col("place") - F.lag(own_end).over(w), "room_after": F.lead("place").over(w) - own_end}).drop("number")
+
+
+def long_enough(found: DataFrame, least_words: int) -> DataFrame:
+    """Matches without the groups of overlapping and touching ones that have fewer than ``least_words`` words."""
+    w = Window.partitionBy("doc").orderBy("low", "high", "place")
+    reach = F.max("high").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    f = found.withColumn("new", F.when(F.col("low") <= reach, 0).otherwise(1)).withColumn("number", F.sum("new").over(w))
+    group = Window.partitionBy("doc", "number")
+    f = f.withColumn("total", F.max("high").over(group) - F.min("low").over(group))
+    return f.filter(F.col("total") >= least_words).drop("new", "number", "total")
 
 
 def merged(spans):

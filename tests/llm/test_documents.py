@@ -1,16 +1,17 @@
 """Operators on documents against brute force, on a fixture with nulls, ties, repeated rows and clashing names."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from llm_fixtures import docs, empty, texts  # noqa: F401
+from llm_fixtures import docs, empty, prose, texts  # noqa: F401
 from pyspark.sql import functions as F
 
-from punctuo.llm import chosen_path, context_tree, mixing, packing, paragraph_dedup, quality_gam, secret_scan, suffix_dedup
+from punctuo.llm import chosen_path, context_tree, mixing, near_sets, packing, paragraph_dedup, quality_gam, secret_scan, suffix_dedup
 from punctuo.llm import queries as Q
 from punctuo.llm.workers import importable
 
@@ -267,6 +268,105 @@ def test_paragraph_dedup(spark, docs, empty, texts):
     assert paragraph_dedup.removals(empty).collect() == []
 
 
+def brute_removals(rows, least_words=20, radius=5, least_line=20):
+    """Removed (begin, end, kind) of every (id, text), by dictionaries and all pairs of lines."""
+    words, cuts, lines = {}, {}, {}
+    for row in rows:
+        raw = row[1].encode()
+        starts, ends, h = near_sets.words_of(raw.lower())
+        words[row] = [(raw[s:e].lower(), int(s), int(e)) for s, e in zip(starts, ends, strict=True)]
+        if not words[row]:
+            continue
+        breaks = [m.start() for m in re.finditer(rb"\n", raw)]
+        line = [sum(b < s for b in breaks) for s in starts] if breaks else [0] * len(h)
+        firsts = [i for i in range(len(h)) if i == 0 or line[i] != line[i - 1]]
+        at = [*paragraph_dedup.pieces(h, np.zeros(len(h), dtype=int), np.array(firsts), radius).tolist(), len(h)]
+        cuts[row] = list(zip(at, at[1:], strict=False))
+        lines[row] = [(a, b) for a, b in zip(firsts, [*firsts[1:], len(h)], strict=True) if b - a >= least_line]
+    text = lambda row, a, b: tuple(w for w, _, _ in words[row][a:b])
+    order = lambda row, a: (row[0] is None, row[0] or 0, paragraph_names[row], a)
+    paragraph_names = {row: i for i, row in enumerate(rows)}
+    out = {row: [] for row in rows}
+
+    distinct = sorted({text(r, a, b) for r, x in lines.items() for a, b in x})
+    sets = [{t[i:i + 5] for i in range(len(t) - 4)} for t in distinct]
+    root = list(range(len(distinct)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(distinct)):
+        for j in range(i):
+            if min(len(distinct[i]), len(distinct[j])) >= least_words and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9:
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    name = {t: top(i) for i, t in enumerate(distinct)}
+    places = sorted((order(r, a), name[text(r, a, b)], r, a, b) for r, x in lines.items() for a, b in x)
+    seen = set()
+    for _, c, r, a, b in places:
+        if c in seen:
+            out[r].append((words[r][a][1], words[r][b - 1][2], "paragraph"))
+        seen.add(c)
+
+    first, gone = {}, {r: [] for r in rows}
+    for _, r, a, b in sorted((order(r, a), r, a, b) for r, x in cuts.items() for a, b in x):
+        at = first.setdefault(text(r, a, b), (r, a))
+        if at != (r, a):
+            gone[r].append((a, b, *at))
+    for r, found in gone.items():
+        matches = []
+        for a, b, fr, fa in found:
+            if matches and matches[-1][1] == a and matches[-1][2] == fr and matches[-1][3] + a - matches[-1][0] == fa:
+                matches[-1][1] = b
+            else:
+                matches.append([a, b, fr, fa])
+        spans = []
+        for i, (a, b, fr, fa) in enumerate(matches):
+            least, most = matches[i - 1][1] if i else 0, matches[i + 1][0] if i + 1 < len(matches) else len(words[r])
+            lo, hi = a, b
+            while lo > least and fa + lo - a > 0 and words[r][lo - 1][0] == words[fr][fa + lo - a - 1][0]:
+                lo -= 1
+            while hi < most and fa + hi - a < len(words[fr]) and words[r][hi][0] == words[fr][fa + hi - a][0]:
+                hi += 1
+            spans.append((lo, hi))
+        together = []
+        for lo, hi in sorted(spans):
+            if together and lo <= max(h for _, h in together[-1]):
+                together[-1].append((lo, hi))
+            else:
+                together.append([(lo, hi)])
+        for group in together:
+            if max(h for _, h in group) - group[0][0] >= least_words:
+                out[r] += [(words[r][lo][1], words[r][hi - 1][2], "piece") for lo, hi in group]
+    return {r: sorted(x) for r, x in out.items()}
+
+
+@pytest.mark.parametrize("least_line", [20, 10])
+def test_paragraph_spans_match_brute_force(spark, least_line):
+    """Passages of 51 words at random places in longer lines, runs of one word beside them (extended over several rounds),
+    a line of 15 words in many documents, copies within a text, near copies of a line; equal ids don't occur."""
+    rng = random.Random(17)
+    passages = [prose(rng, 51) for _ in range(12)]
+    texts = [prose(rng, rng.randint(0, 50)) + " " + passages[k % 12] + " " + prose(rng, rng.randint(0, 50)) for k in range(30)]
+    line, near = prose(rng, 15), prose(rng, 40).split()
+    texts += [prose(rng, 30) + "\n" + line + "\n" + prose(rng, 30) for _ in range(12)]
+    texts += [prose(rng, 20) + "\n" + " ".join([*near[:k], "other", *near[k + 1:]]) for k in range(3, 37, 6)]
+    other = prose(rng, 51)
+    texts += [other + " und" * n + " " + prose(rng, 30) for n in (600, 900, 900)] + [passages[1] + ".\n" + passages[1] + " " + passages[1], "", "wort"]
+    rows = list(enumerate(texts)) + [(None, texts[3]), (None, texts[3])]
+    want = brute_removals(list(dict.fromkeys((i, t) for i, t in rows)), least_line=least_line)
+    r = paragraph_dedup.removals(spark.createDataFrame(rows, "doc_id long, text string"), least_line=least_line).collect()
+    by_key = {(i, hashlib.md5(t.encode()).hexdigest()): x for (i, t), x in want.items()}
+    got = {(x.id, x.key): sorted((s.begin, s.end, s.kind) for s in x.removed) for x in r}
+    assert got == by_key
+    for k in range(12, 30):  # whole passages go
+        at = texts[k].index(passages[k % 12])
+        cover = {i for s in want[(k, texts[k])] for i in range(s[0], s[1])}
+        assert len(cover & set(range(at, at + len(passages[k % 12])))) >= 0.98 * len(passages[k % 12])
+    assert sum(any(texts[k][s:e] == line for s, e, _ in want[(k, texts[k])]) for k in range(30, 42)) == (11 if least_line == 10 else 0)
+
+
 def test_bands():
     b, r = paragraph_dedup.tune_bands(0.8, 0.999)
     assert 1 - (1 - 0.8**r) ** b >= 0.999 and 1 - (1 - 0.8**r) ** (b - 1) < 0.999
