@@ -24,12 +24,12 @@ from punctuo.operators.util import checkpoint_table
 
 SPOT = ["doc", "place", "words"]
 FIRST = ["first_doc", "first_place", "words"]
-CONTEXT = "doc long, place int, words int, proof long, left array<long>, right array<long>, begins array<long>, ends array<long>"
+CONTEXT = "doc long, place int, words int, proof long, left array<long>, right array<long>, begins array<int>, ends array<int>"
 
 
 def contexts(texts: DataFrame, spots: DataFrame, skip: int, width: int, batch: int = 2048) -> DataFrame:
     """Of every spot (doc, place, words), from ``skip`` words away on: hashes of up to ``width`` words before it (nearest
-    first) with their begins, and after it with their ends (bytes); proof: a second hash of its own words."""
+    first) with their begins, and after it with their ends (bytes from the spot's begin and end); proof: a second hash of its own words."""
     at = spots.groupBy("doc").agg(F.collect_list(F.struct("place", "words")).alias("spots"))  # bounded by the text's length
     one = likely(texts, at, "doc").groupBy("doc").agg(F.first("text").alias("text"))
 
@@ -39,7 +39,7 @@ def contexts(texts: DataFrame, spots: DataFrame, skip: int, width: int, batch: i
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         doc, place, words, proof, *parts = zip(*rows, strict=True)
         cols = [pa.array(doc, pa.int64()), pa.array(place, pa.int32()), pa.array(words, pa.int32()), pa.array(proof, pa.int64())]
-        return pa.RecordBatch.from_arrays([*cols, *(lists(p, pa.int64()) for p in parts)], names=[*SPOT, "proof", "left", "right", "begins", "ends"])
+        return pa.RecordBatch.from_arrays([*cols, *(lists(p, k) for p, k in zip(parts, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True))], names=[*SPOT, "proof", "left", "right", "begins", "ends"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, cells = [], 0
@@ -53,7 +53,7 @@ def contexts(texts: DataFrame, spots: DataFrame, skip: int, width: int, batch: i
                     a, z = max(0, lo - skip), min(len(h), hi + skip)
                     before, after = slice(max(0, a - width), a), slice(z, z + width)
                     proof = int(N.mix(again[lo:hi] * odd[:hi - lo]).sum(dtype=np.uint64).view(np.int64))
-                    rows.append((doc, lo, s["words"], proof, h[before][::-1], h[after], starts[before][::-1], ends[after]))
+                    rows.append((doc, lo, s["words"], proof, h[before][::-1], h[after], starts[lo] - starts[before][::-1], ends[after] - ends[hi - 1]))
                     cells += 4 * width
                     if cells >= batch * 64:
                         yield batch_of(rows)
@@ -102,7 +102,7 @@ def extended(matches: DataFrame, texts: DataFrame, width: int = 16) -> DataFrame
     for r in rounds[1:]:
         grown = grown.unionAll(r)
     grown = grown.groupBy("doc", "place").agg(F.sum("n_left").cast("int").alias("n_left"), F.sum("n_right").cast("int").alias("n_right"),
-                                              F.min("begin_").alias("begin_"), F.max("end_").alias("end_"))
+                                              F.max("begin_").alias("begin_"), F.max("end_").alias("end_"))
     out = matches.join(grown, ["doc", "place"])
     return out.withColumns({"low": F.col("place") - F.col("n_left"), "high": F.col("place") + F.col("words") + F.col("n_right"),
-                            "begin": F.coalesce("begin_", "begin"), "end": F.coalesce("end_", "end")}).drop("n_left", "n_right", "begin_", "end_")
+                            "begin": F.col("begin") - F.coalesce("begin_", F.lit(0)), "end": F.col("end") + F.coalesce("end_", F.lit(0))}).drop("n_left", "n_right", "begin_", "end_")

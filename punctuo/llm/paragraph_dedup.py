@@ -11,8 +11,9 @@ A passage can also stand inside longer lines. So the words are cut a second time
 at line starts and where a hash of two neighbours is the smallest of its
 surroundings, so at places that only nearby words decide; equal pieces are copies
 of one another, wherever the lines begin. Adjacent pieces that repeat adjacent
-pieces of one other text are one match; a second hash confirms it and it is extended
-word by word to both sides (``extension``). Matches that overlap or touch count if
+pieces of one other text are one match; it is extended word by
+word to both sides if the words beside it may be equal, and a second hash confirms it
+(``extension``; a match of several pieces that cannot grow is proved by their keys). Matches that overlap or touch count if
 they have ``least_words`` words together.
 
 In every class of paragraphs or pieces the first occurrence stays (smallest id,
@@ -71,9 +72,10 @@ def pieces(hashes: np.ndarray, owner: np.ndarray, firsts: np.ndarray, radius: in
 
 
 def units(docs: DataFrame, bands: int, rows: int, least_words: int, radius: int, least_line: int, seed: int = 23, chunk: int = 1 << 20) -> DataFrame:
-    """Every paragraph and piece: doc, kind, place and words (in words), begin, end (bytes), key, bands (paragraphs only).
+    """Every paragraph and piece: doc, kind, place and words (in words), begin, end (bytes), key, bands (paragraphs only), beside:
+    16 bits of the word before the unit in its upper half, of the word behind it in its lower one (0: none).
     Lines below ``least_words`` words, from ``least_line`` on, are paragraphs without bands."""
-    names = ["doc", "kind", "place", "words", "begin", "end", "key", "bands"]
+    names = ["doc", "kind", "place", "words", "begin", "end", "key", "beside", "bands"]
 
     def of(ids: list[int], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         """Texts of bounded size together, in one pass over their words."""
@@ -87,6 +89,8 @@ def units(docs: DataFrame, bands: int, rows: int, least_words: int, radius: int,
         firsts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
         lasts = np.concatenate([firsts[1:], [len(h)]])
         first_word = np.searchsorted(owner, owner)  # of the word's text
+        few = np.concatenate([[0], (h >> np.uint64(48)).astype(np.int64) | 1, [0]])  # few[i + 1]: of word i
+        inner = np.concatenate([[False], owner[1:] == owner[:-1], [False]])  # inner[i]: words i - 1 and i are of one text
         full = lasts - firsts >= least_words
 
         def batch(kind: int, base: np.ndarray, use: np.ndarray, bins: pa.Array) -> pa.RecordBatch:
@@ -97,7 +101,8 @@ def units(docs: DataFrame, bands: int, rows: int, least_words: int, radius: int,
             key = N.mix(sums + (hi - lo).astype(np.uint64)).view(np.int64)
             at = offset[owner[lo]]
             cols = (np.asarray(ids)[owner[lo]], np.full(len(lo), kind, dtype=np.int32), (lo - first_word[lo]).astype(np.int32), (hi - lo).astype(np.int32),
-                    starts[lo] - at, ends[hi - 1] - at, key)
+                    starts[lo] - at, ends[hi - 1] - at, key,
+                    (((few[lo] * inner[lo]) << 16) | (few[hi + 1] * inner[hi])).astype(np.uint32).view(np.int32))
             return pa.RecordBatch.from_arrays([*map(pa.array, cols), bins], names=names)
 
         cuts = pieces(h, owner, firsts, radius)
@@ -135,7 +140,7 @@ def units(docs: DataFrame, bands: int, rows: int, least_words: int, radius: int,
             if ids:
                 yield from of(ids, texts)
 
-    return docs.select("doc", "text").mapInArrow(run, "doc long, kind int, place int, words int, begin long, end long, key long, bands array<long>")
+    return docs.select("doc", "text").mapInArrow(run, "doc long, kind int, place int, words int, begin long, end long, key long, beside int, bands array<long>")
 
 
 def line_sets(texts: DataFrame) -> DataFrame:
@@ -189,14 +194,17 @@ def removals(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, id_
 
     occurs = made.drop("bands").join(named, ["kind", "key", "words"]).distinct()
     occurs = checkpoint_table(occurs.join(ids.select("doc", "id"), "doc"))
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "doc", "place")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "doc", "place", "beside")
     first = occurs.groupBy("kind", "class").agg(F.min(order).alias("first"))
     gone = join_hot(occurs, first, ["kind", "class"], ["doc", "place"]).filter(
         ~((F.col("doc") == F.col("first.doc")) & (F.col("place") == F.col("first.place"))))
     gone = gone.select("doc", "kind", "place", "words", "begin", "end", "class", F.col("first.id").alias("first_id"),
-                       F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
+                       F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"), same_beside(F.shiftrightunsigned("beside", 16), F.shiftrightunsigned("first.beside", 16)).alias("before"),
+                       same_beside(F.col("beside").bitwiseAND(0xFFFF), F.col("first.beside").bitwiseAND(0xFFFF)).alias("after"))
     gone = checkpoint_table(matches_of(gone.filter(F.col("kind") == PIECE)).unionByName(gone.filter(F.col("kind") == LINE), allowMissingColumns=True))
-    found = extended(gone.filter(F.col("kind") == PIECE), texts)
+    open_ = read_again(least_words)
+    found = gone.filter((F.col("kind") == PIECE) & ~open_).withColumns({"low": F.col("place"), "high": F.col("place") + F.col("words")})
+    found = found.unionByName(extended(gone.filter((F.col("kind") == PIECE) & open_), texts))
     found = long_enough(found, least_words).withColumn("kind", F.lit("piece"))
     gone = gone.filter(F.col("kind") == LINE).withColumn("kind", F.lit("paragraph"))
     span = F.struct("begin", "end", "kind", F.col("class").alias("class_id"), "first_id")
@@ -208,6 +216,19 @@ def removals(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, id_
     return out.select("id", F.col("text_key").alias("key"), F.coalesce("n_paragraphs", F.lit(0)).alias("n_paragraphs"), F.coalesce("removed", none).alias("removed"))
 
 
+def same_beside(own, other):
+    """Whether two neighbouring words may be equal (0: there is none)."""
+    return (own == other) & (own != 0)
+
+
+def read_again(least_words: int):
+    """Matches whose texts are read: those that may grow, by the words beside them; and those of one piece only that may count as
+    they are, for its 64 bits alone don't prove them. The others end where they end, and two or more keys agree."""
+    grows = (F.col("before") & (F.coalesce("room_before", F.lit(1)) > 0)) | (F.col("after") & (F.coalesce("room_after", F.lit(1)) > 0))
+    touches = (F.coalesce("room_before", F.lit(1)) == 0) | (F.coalesce("room_after", F.lit(1)) == 0)
+    return grows | ((F.col("n_pieces") == 1) & (touches | (F.col("words") >= least_words)))
+
+
 def matches_of(pieces: DataFrame) -> DataFrame:
     """Removed pieces as matches: pieces next to one another that repeat pieces next to one another are one.
     room_before and room_after: words up to the neighbouring matches (null: none on that side)."""
@@ -218,7 +239,8 @@ def matches_of(pieces: DataFrame) -> DataFrame:
     p = pieces.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("number", F.sum("new").over(w))
     m = p.groupBy("doc", "number").agg(F.first("kind").alias("kind"), F.min_by("class", "place").alias("class"), F.first("first_id").alias("first_id"),
                                        F.first("first_doc").alias("first_doc"), F.min("first_place").alias("first_place"), F.min("place").alias("place"),
-                                       F.sum("words").cast("int").alias("words"), F.min("begin").alias("begin"), F.max("end").alias("end"))
+                                       F.sum("words").cast("int").alias("words"), F.min("begin").alias("begin"), F.max("end").alias("end"),
+                                       F.min_by("before", "place").alias("before"), F.max_by("after", "place").alias("after"), F.count(F.lit(1)).alias("n_pieces"))
     own_end = F.col("place") + F.col("words")
     return m.withColumns({"room_before": F.col("place") - F.lag(own_end).over(w), "room_after": F.lead("place").over(w) - own_end}).drop("number")
 
