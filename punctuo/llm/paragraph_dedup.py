@@ -173,11 +173,10 @@ def removals(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, id_
     made = checkpoint_table(units(texts, bands, rows, least_words, radius, least_line or least_words))
     ends = [f("doc").alias(f"{n}_doc") for n, f in (("low", F.min), ("high", F.max))] + [f("place").alias(f"{n}_place") for n, f in (("low", F.min), ("high", F.max))]
     twice = (F.col("low_doc") != F.col("high_doc")) | (F.col("low_place") != F.col("high_place"))
-    lines = made.filter(F.col("kind") == LINE).groupBy("key", "words").agg(
-        F.first("bands").alias("bands"), F.min(F.struct("doc", "begin", "end")).alias("at"), *ends)
+    lines = made.filter(F.col("kind") == LINE).groupBy("key", "words").agg(F.min(F.struct("doc", "begin", "end")).alias("at"), *ends)
     lines = checkpoint_table(lines)
-    bins = lines.select("key", F.explode("bands").alias("band"))
-    shared = bins.groupBy("band").agg(F.min("key").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    bins = made.filter(F.col("kind") == LINE).select("key", F.explode("bands").alias("band"))
+    shared = bins.groupBy("band").agg(F.min("key").alias("b"), F.max("key").alias("last")).filter("b <> last").drop("last")
     candidates = components(bins.join(shared, "band").select(F.col("key").alias("a"), "b"))
     spans = candidates.join(lines, candidates["node"] == lines["key"]).groupBy("at.doc").agg(F.collect_list(F.struct("key", "at.begin", "at.end")).alias("spans"))
     spans = checkpoint_table(spans)
