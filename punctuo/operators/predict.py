@@ -145,22 +145,31 @@ def drop_work(df: DataFrame) -> DataFrame:
                                                                  "probability", "prediction")])
 
 
-def ladder(train: DataFrame, test: DataFrame, params: Params = DEFAULTS):
-    """M6: one classifier per cumulative feature set; (models, metrics rows).
+def fit_ladder(train: DataFrame, params: Params = DEFAULTS) -> tuple[list, PipelineModel]:
+    """M6: one classifier per cumulative feature set; (models, preprocessing).
 
     The preprocessing is fitted once on the widest set and shared."""
     steps = ladder_columns(params)
     prep = fit_preprocess(train, steps[-1][1], params)
-    models, rows = [], None
-    for i, (step, cols) in enumerate(steps):
-        m = fit_classifier(train, cols, params, prep)
+    return [(step, cols, fit_classifier(train, cols, params, prep)) for step, cols in steps], prep
+
+
+def ladder(train: DataFrame, test: DataFrame, params: Params = DEFAULTS):
+    """M6: the fitted ladder on ``test``; (models, metrics rows, preprocessing)."""
+    models, prep = fit_ladder(train, params)
+    return models, ladder_rows(models, test, params), prep
+
+
+def ladder_rows(models, test: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """AUC and Brier score of every step of a fitted ladder."""
+    rows = None
+    for i, (step, cols, m) in enumerate(models):
         scored = score(m, test, cols, params)
         brier = scored.select(F.avg(F.pow(F.col("p_late") - F.col("is_late").cast("double"), 2))).scalar()
         row = EV.auc(scored).select(F.lit(i + 1).alias("step_no"), F.lit(step).alias("step"), "auc",
                                     brier.alias("brier"), F.lit(len(cols)).alias("n_features"))
         rows = row if rows is None else rows.unionByName(row)
-        models.append((step, cols, m))
-    return models, rows, prep
+    return rows
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, cols: Sequence[str], params: Params = DEFAULTS,

@@ -24,7 +24,7 @@ from punctuo.operators import features as FE
 from punctuo.operators import lookup as LK
 from punctuo.operators import profile as PR
 from punctuo.operators import reports as RP
-from punctuo.operators.util import checkpoint_table, materialize, persist_table, sized_broadcast
+from punctuo.operators.util import checkpoint_table, deal_rows, materialize, persist_table, sized_broadcast
 from punctuo.sources import bindings as B
 
 # --- parameters of the test-table bindings (FIXTURES.md §B) -----------------
@@ -733,9 +733,16 @@ def _model_key(spark, sf_dir, params) -> tuple:
     return spark.sparkContext.applicationId, sf_dir, params
 
 
-def model_table(spark, sf_dir) -> DataFrame:
-    """M1: flights_ev + load/day/previous-hour features + place + daily weather."""
+#: Columns by which the model's rows are dealt to partitions.
+DEAL_BY = ("flight_id", "planned_ts", "delay_min")
+
+
+def model_table(spark, sf_dir, deal: bool = False) -> DataFrame:
+    """M1: flights_ev + load/day/previous-hour features + place + daily weather.
+
+    ``deal``: in partitions of bounded size from the first join on, for a caller that needs all columns."""
     f = FE.add_load_features(B.flights_ev(spark, sf_dir))
+    f = deal_rows(f, DEAL_BY) if deal else f
     f = LK.lookup_two_keys(f, places_geo(spark, sf_dir), "place_code", "key_a", "key_b",
                            ("lat", "lon", "distance_km"), ["place_id"], "lat")
     f = f.drop("_code_in_a", "_code_in_b", "matched_by")
@@ -746,15 +753,16 @@ def _split_model_table(spark, sf_dir, params=MODEL_PARAMS, categories_from: str
     """M3 split, then the category lists (T5) — fitted on train only by default
     (no leakage); ``categories_from='all'`` reproduces lists computed on all rows."""
     from punctuo.operators import predict as PD
-    t = model_table(spark, sf_dir)
-    t = EV.with_split(t, EV.day_split(t, params.test_share, params.seed))
-    source = t if categories_from == "all" else t.filter(~F.col("is_test"))
-    top = FE.top_categories(source, list(params.categorical), params.max_categories)
     # the iterative fits scan the prepared table many times: write it once
     # (Parquet in the shared checkpoint folder, short lineage, columnar reads)
-    # and cache both sides, as usual before fitting iterative Spark ML models
-    t = checkpoint_table(PD.cap_categories(t, top, params))
-    return persist_table(t.filter(~F.col("is_test"))), persist_table(t.filter(F.col("is_test")))
+    # and cache both sides, as usual before fitting iterative Spark ML models;
+    # files are read back packed by bytes, so both sides are dealt by rows
+    t = model_table(spark, sf_dir, deal=True)
+    t = checkpoint_table(EV.with_split(t, EV.day_split(t, params.test_share, params.seed)))
+    source = t if categories_from == "all" else t.filter(~F.col("is_test"))
+    top = FE.top_categories(source, list(params.categorical), params.max_categories)
+    t = PD.cap_categories(t, top, params)
+    return persist_table(deal_rows(t.filter(~F.col("is_test")), DEAL_BY)), persist_table(deal_rows(t.filter(F.col("is_test")), DEAL_BY))
 
 
 _SPLITS: dict = {}
@@ -772,8 +780,8 @@ def _fitted(spark, sf_dir, params=MODEL_PARAMS):
     from punctuo.operators import predict as PD
     key = _model_key(spark, sf_dir, params)
     if key not in _FITTED:
-        train, test = _split_cached(spark, sf_dir, params)
-        models, rows, prep = PD.ladder(train, test, params)
+        train, _ = _split_cached(spark, sf_dir, params)
+        models, prep = PD.fit_ladder(train, params)  # its metrics are the query ``ladder``'s
         _, cols, clf = models[-1]
         reg = PD.fit_regressor(train, cols, params, prep)
         _FITTED[key] = {"models": models, "cols": cols, "clf": clf, "reg": reg}
@@ -785,14 +793,7 @@ def ladder(spark, sf_dir):
     from punctuo.operators import predict as PD
     train, test = _split_cached(spark, sf_dir)
     fitted = _fitted(spark, sf_dir)
-    rows = None
-    for i, (step, cols, m) in enumerate(fitted["models"]):
-        scored = PD.score(m, test, cols, MODEL_PARAMS)
-        brier = scored.select(F.avg(F.pow(F.col("p_late") - F.col("is_late").cast("double"), 2))).scalar()
-        row = EV.auc(scored).select(F.lit(i + 1).alias("step_no"), F.lit(step).alias("step"), "auc",
-                                    brier.alias("brier"), F.lit(len(cols)).alias("n_features"))
-        rows = row if rows is None else rows.unionByName(row)
-    return rounded(rows)
+    return rounded(PD.ladder_rows(fitted["models"], test, MODEL_PARAMS))
 
 
 @query
