@@ -8,7 +8,9 @@ from its path, and on a second one with chance 1/threshold - 1, so that similar
 sets keep meeting while the others part. Only the paths' counts decide: a
 bucket of at most ``small`` nodes is compared by brute force on the MinHash
 values, a larger one is split again; after ``deepest`` splits it is cut into
-blocks that share one pivot. ``runs`` is chosen from the wanted recall.
+blocks that share one pivot, and then every pair of the bucket that is not yet in
+one class is compared, in pairs of bounded blocks. ``runs`` is chosen from the
+wanted recall.
 
 The buckets give candidate classes (components of the pairs that look similar,
 with a margin of four standard errors). Inside a class every pair is compared
@@ -84,12 +86,50 @@ def _children(rows: DataFrame, width: int, threshold: float) -> DataFrame:
     return r.select(F.xxhash64("path", "at", F.col("places").substr(F.col("at") * 4 + 1, F.lit(4))).alias("path"), "node")
 
 
+def _alike(leaves: DataFrame, least: float) -> DataFrame:
+    """(a, b): links that join the nodes of a bucket that look similar; leaves: (path, node, places)."""
+
+    def run(t: pa.Table) -> pa.RecordBatch | None:
+        if t.num_rows < 2:
+            return None
+        node = t.column("node").to_numpy()
+        p = np.stack([np.frombuffer(x.as_py(), dtype="<u4") for x in t.column("places")])
+        alike = np.zeros((len(p), len(p)), dtype=bool)
+        for i in range(len(p)):
+            alike[i] = (p == p[i]).mean(1) >= least
+        np.fill_diagonal(alike, False)
+        root = N.roots(alike)
+        keep = np.flatnonzero(root != np.arange(len(p)))
+        return pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(node[root[keep]])], names=["a", "b"])
+
+    return N.by_group(leaves, ["path"], run, "a long, b long")
+
+
+def _rest(crowds: DataFrame, found: DataFrame, small: int) -> DataFrame:
+    """(path, node): groups of about 2 * ``small`` nodes that hold every pair of a crowded bucket that ``found`` does not join.
+
+    Of each bucket, the nodes of its largest component so far need no pairs among
+    themselves; all other nodes meet each other and them, in pairs of bounded blocks."""
+    at = crowds.join(found, "node", "left").select("path", "node", F.coalesce("root", "node").alias("root"))
+    parts = at.groupBy("path", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("path").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("held"), F.sum("n").alias("n")).filter("held < n")
+    blocks = lambda n: F.ceil(n / F.lit(small)).cast("int")
+    main = main.select("path", "main", blocks(F.col("n") - F.col("held")).alias("others"), blocks(F.col("held")).alias("mains"))
+    inside = F.col("root") == F.col("main")
+    deal = lambda n: F.pmod(F.xxhash64("node", "path"), n).cast("int")
+    cut = at.join(main, "path").select("path", "node", "others", "mains", inside.alias("inside"),
+                                       F.when(inside, F.col("others") + deal(F.col("mains"))).otherwise(deal(F.col("others"))).alias("own"))
+    last = F.when(F.col("inside"), F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    met = cut.select("path", "node", "own", F.explode(F.sequence(F.lit(0), last)).alias("other")).filter("own <> other")
+    return met.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"), "node")
+
+
 def candidate_classes(nodes: DataFrame, threshold: float, runs: int, width: int, small: int, deepest: int) -> DataFrame:
     """(node, root): components of the pairs that met in a bucket and look similar."""
     least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / width)
     start = nodes.select("node", "places", F.explode(F.sequence(F.lit(1), F.lit(runs))).alias("run"))
     rows = start.select(F.xxhash64("run").alias("path"), "node", "places")
-    buckets = []
+    buckets, crowds = [], None
     for depth in range(1, deepest + 1):
         met = checkpoint_table(_children(rows, width, threshold))
         counts = met.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -101,6 +141,7 @@ def candidate_classes(nodes: DataFrame, threshold: float, runs: int, width: int,
         if depth < deepest:
             rows = large.join(nodes, "node").select("path", "node", "places")
         else:
+            crowds = large.select("path", "node")
             pivot = large.groupBy("path").agg(F.min("node").alias("node"), F.ceil(F.max("n") / small).cast("int").alias("blocks"))
             block = large.join(pivot.select("path", "blocks"), "path")
             every = pivot.select(F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "path", "node")
@@ -109,22 +150,11 @@ def candidate_classes(nodes: DataFrame, threshold: float, runs: int, width: int,
     leaves = buckets[0]
     for b in buckets[1:]:
         leaves = leaves.unionByName(b)
-    leaves = leaves.join(nodes, "node").select("path", "node", "places")
-
-    def run(t: pa.Table) -> pa.RecordBatch | None:
-        if t.num_rows < 2:
-            return None
-        node = t.column("node").to_numpy()
-        p = np.stack([np.frombuffer(x.as_py(), dtype="<u4") for x in t.column("places")])
-        alike = np.zeros((len(p), len(p)), dtype=bool)
-        for i in range(len(p)):
-            alike[i] = (p == p[i]).mean(1) >= least
-        np.fill_diagonal(alike, False)
-        root = N.roots(alike)
-        keep = np.flatnonzero(root != np.arange(len(p)))
-        return pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(node[root[keep]])], names=["a", "b"])
-
-    return components(N.by_group(leaves, ["path"], run, "a long, b long"))
+    alike = lambda b: _alike(b.join(nodes, "node").select("path", "node", "places"), least)
+    if crowds is None:
+        return components(alike(leaves))
+    links = checkpoint_table(alike(leaves))
+    return components(links.unionByName(alike(_rest(crowds, components(links), small))))
 
 
 def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text", width: int = 128,
