@@ -116,6 +116,17 @@ def firsts(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def places(keys: np.ndarray, wanted: np.ndarray, block: int = 1 << 18) -> Iterator[tuple[slice, np.ndarray]]:
+    """The place of every wanted gram among the sorted ``keys`` that hold it, a block at a time; a block is searched in sorted order, which
+    reads the keys from front to back and not all over."""
+    for i in range(0, len(wanted), block):
+        part = wanted[i:i + block]
+        order = np.argsort(part)
+        at = np.empty(len(part), dtype=np.int64)
+        at[order] = np.searchsorted(keys, part[order])
+        yield slice(i, i + len(part)), at
+
+
 def bucket_order(keys: np.ndarray, depth: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of sorted grams by bucket, and each one's bucket in that order."""
     own = (mix((keys >> (8 * (depth - min(TOP, depth - 1)))).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
@@ -523,8 +534,8 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
         logs = np.empty(len(keys), dtype=np.float32)
         logs[order] = np.frombuffer(b"".join(x.as_py() for x in right.sort_by("bucket").column("logs")), dtype=np.float32)
         each = np.empty(len(key), dtype=np.float32)
-        for i in range(0, len(key), 1 << 20):
-            each[i:i + (1 << 20)] = logs[np.searchsorted(keys, key[i:i + (1 << 20)])]
+        for part, at in places(keys, key):
+            each[part] = logs[at]
         scores = np.add.reduceat(each, np.cumsum(size) - size, dtype=np.float64)
         del key, keys, logs, order, each
         row = left.column("chunk")[0].as_py() << 32

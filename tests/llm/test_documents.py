@@ -432,6 +432,27 @@ def test_language_scores(docs, empty):
     assert context_tree.score(empty, F.lit(True)).collect() == []
 
 
+def test_context_tree_finds_grams_in_sorted_order(monkeypatch):
+    """Grams in the order of a text are found where a plain search finds them, but never searched in that order, which reads the table all over."""
+    rng = np.random.default_rng(5)
+    wanted = rng.integers(0, 1 << 12, 5000)
+    keys = np.unique(np.concatenate([wanted, rng.integers(0, 1 << 12, 500)]))
+    plain, asked = np.searchsorted(keys, wanted), []
+
+    def searched(a, v, **how):
+        asked.append(bool((np.diff(v) >= 0).all()))
+        return search(a, v, **how)
+
+    search = np.searchsorted
+    monkeypatch.setattr(context_tree.np, "searchsorted", searched)
+    for block in (1, 7, 4999, 5000, 1 << 18):
+        got = np.empty(len(wanted), dtype=np.int64)
+        for part, at in context_tree.places(keys, wanted, block):
+            got[part] = at
+        assert got.tolist() == plain.tolist()
+    assert all(asked) and not list(context_tree.places(keys, wanted[:0]))
+
+
 def test_context_tree_keeps_every_context(docs):
     """Buckets and chunks give what one tree of all contexts in memory gives, six bytes deep."""
     rows = rows_of(docs)
