@@ -37,21 +37,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctuo.llm.bpe_codec import byte_alphabet
+
 PIECES = ("doc_id {id}, start long, ids binary, doc_tokens long, sequence_id long, offset long")
 #: Texts of these characters are lower-cased and split alike by Python and by the tokenizer's normaliser.
 PLAIN = re.compile(r"[\x00-\x7fÀ-įı-ž]*")
-#: A lower-case word and marks behind it: the commonest chunk, split without the tokenizer's own pattern.
-WORD_AND_MARKS = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
-CHUNKS, WORDS = 350_000, 400_000
+#: Lower-case letters, in UTF-8, and marks: a word, or one with marks behind it, are the commonest chunks, split without the tokenizer's own pattern.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Chunks that one generation remembers, chunks looked up at once, and bytes of text that are tokenised at once.
+CHUNKS, PART, GROUP = 600_000, 1 << 17, 1 << 18
 
 
 class WordTokenizer:
-    """Ids of one text by a tokenizer whose words do not depend on each other.
+    """Ids of texts by a tokenizer whose words do not depend on each other.
 
     White space always ends a word, so the ids of a text are those of its
     white-space chunks in a row; a chunk's ids are those of its words (letters,
-    digits, others). Both levels are remembered in two generations of bounded
-    size: a full one becomes the old one, and what is used again moves back. Chunks outside the plain Latin repertoire go through the whole
+    digits, others), and a word alone is a chunk. Chunks are remembered in two
+    generations of bounded size: a full one becomes the old one, and what is used
+    again moves back. Chunks outside the plain Latin repertoire go through the whole
     tokenizer."""
 
     def __init__(self, path: str):
@@ -62,17 +67,15 @@ class WordTokenizer:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        spec["normalizer"] = None
-        spec["pre_tokenizer"] = spec["pre_tokenizer"]["pretokenizers"][1]
-        self.word = Tokenizer.from_str(json.dumps(spec))
+        #: Tokens of one word, given as one character a byte.
+        self.word = self.full.model.tokenize
+        self.spell = dict(enumerate(byte_alphabet())) | {32: " "}
         vocab = self.full.get_vocab()
         #: By id: a token of closing marks only ends a sentence.
         self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.closes[[i for t, i in vocab.items() if re.fullmatch(r"[.!?]+(</w>)?", t)]] = True
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
         self.old_chunks: dict[bytes, bytes] = {}
-        self.old_words: dict[bytes, bytes] = {}
 
     @staticmethod
     def _pack(ids) -> bytes:
@@ -80,52 +83,69 @@ class WordTokenizer:
 
     def _words(self, chunk: bytes) -> list[bytes] | None:
         """The words of a chunk, None if only the whole tokenizer can tell."""
-        if m := WORD_AND_MARKS.fullmatch(chunk):
-            return [w for w in m.groups() if w]
+        letters = chunk.rstrip(MARKS)
+        if LETTERS.fullmatch(letters):
+            return [letters, chunk[len(letters):]] if len(letters) < len(chunk) else [chunk]
         s = chunk.decode("utf-8", "replace")
         if PLAIN.fullmatch(s) and "<|" not in s and (s.isascii() or unicodedata.is_normalized("NFC", s)):
             return [w.encode() for w in self.split.findall(s.lower())]
         return None
 
-    def learn(self, chunks: list[bytes]) -> None:
-        """Remembers the ids of new chunks; unknown words are encoded in one call."""
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word; none holds white space."""
+        ids: list[int] = []
+        ends = []
+        for w in b" ".join(words).decode("latin-1").translate(self.spell).split(" ") if words else ():
+            ids += [t.id for t in self.word(w)]
+            ends.append(4 * len(ids))
+        raw = self._pack(ids)
+        return [raw[i:k] for i, k in zip([0, *ends], ends)]
+
+    def learn(self, chunks: set[bytes]) -> None:
+        """Remembers the ids of chunks that this generation does not know."""
         if len(self.chunks) + len(chunks) > CHUNKS:
             self.chunks, self.old_chunks = {}, self.chunks
-        if len(self.words) > WORDS:
-            self.words, self.old_words = {}, self.words
-        known, before, old = self.words, self.old_words, self.old_chunks
-        parts: list[tuple[bytes, list[bytes]]] = []
+        known, old = self.chunks, self.old_chunks
         new: dict[bytes, None] = {}
+        parts: list[tuple[bytes, list[bytes]]] = []
         for c in chunks:
-            if c in old:
-                self.chunks[c] = old[c]
+            if (ids := old.get(c)) is not None:
+                known[c] = ids
+            elif c.isalpha() and c.islower():
+                new[c] = None
             elif (words := self._words(c)) is None:
-                self.chunks[c] = self._pack(self.full.encode(c.decode("utf-8", "replace"), add_special_tokens=False).ids)
+                known[c] = self._pack(self.full.encode(c.decode("utf-8", "replace"), add_special_tokens=False).ids)
             else:
-                parts.append((c, words))
+                if words != [c]:
+                    parts.append((c, words))
                 for w in words:
                     if w not in known:
-                        if w in before:
-                            known[w] = before[w]
+                        if (ids := old.get(w)) is not None:
+                            known[w] = ids
                         else:
                             new[w] = None
-        for w, e in zip(new, self.word.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            known[w] = self._pack(e.ids)
+        known.update(zip(new, self._encode(list(new)), strict=True))
         for c, words in parts:
-            self.chunks[c] = b"".join([known[w] for w in words])
-
-    def append(self, text: bytes, buf: bytearray) -> None:
-        """Appends the ids of ``text`` to ``buf``."""
-        chunks = (text if b"<|" in text else text.lower()).split()  # the tokenizer lowers all but its special tokens
-        for at in range(0, len(chunks), CHUNKS // 2):
-            part = chunks[at:at + CHUNKS // 2]
-            while True:  # learning may begin a generation; a part has fewer chunks than one holds, so the next turn finds all
-                try:
-                    buf += b"".join(map(self.chunks.__getitem__, part))
-                    break
-                except KeyError:
-                    known = self.chunks
-                    self.learn([c for c in set(part) if c not in known])
+            known[c] = b"".join([known[w] for w in words])
+
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text."""
+        chunks: list[bytes] = []
+        ends = []
+        for text in texts:
+            chunks += (text if b"<|" in text else text.lower()).split()  # the tokenizer lowers all but its special tokens
+            ends.append(len(chunks))
+        ids: list[bytes] = []
+        for at in range(0, len(chunks), PART):
+            part = chunks[at:at + PART]
+            found = list(map(self.chunks.get, part))
+            if holes := [i for i, x in enumerate(found) if x is None]:
+                self.learn({part[i] for i in holes})
+                for i in holes:
+                    found[i] = self.chunks[part[i]]
+            ids += found
+        for i, k in zip([0, *ends], ends):
+            yield b"".join(ids[i:k])
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -205,6 +225,20 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         held: list[list] = []  # [id, first position (negative: partly emitted), ids]
         id_arrow = None
 
+        def documents():
+            nonlocal id_arrow
+            for b in batches:
+                id_arrow = b.schema.field("doc_id").type
+                docs, texts, size = [], [], 0
+                for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
+                    docs.append(doc)
+                    texts.append(text.as_py())
+                    size += len(texts[-1])
+                    if size >= GROUP:
+                        yield from zip(docs, tok.encode(texts), strict=True)
+                        docs, texts, size = [], [], 0
+                yield from zip(docs, tok.encode(texts), strict=True)
+
         def flush(last: bool):
             nonlocal buf, ends, held, sequence
             raw = bytes(buf)
@@ -231,17 +265,15 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, kinds, strict=True)],
                                               names=["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"])
 
-        for b in batches:
-            id_arrow = b.schema.field("doc_id").type
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                first = len(buf) >> 2
-                tok.append(text.as_py(), buf)
-                buf += stop
-                here = len(buf) >> 2
-                held.append([doc, first, here - first])
-                ends.append(here)
-                if here >= block_tokens:
-                    yield flush(False)
+        for doc, ids in documents():
+            first = len(buf) >> 2
+            buf += ids
+            buf += stop
+            here = len(buf) >> 2
+            held.append([doc, first, here - first])
+            ends.append(here)
+            if here >= block_tokens:
+                yield flush(False)
         if buf:
             yield flush(True)
 

@@ -26,6 +26,26 @@ def rows_of(docs):
 
 
 # ---------------------------------------------------------------- packing
+def test_packing_learns_once_a_group(monkeypatch):
+    """The ids of odd texts are the tokenizer's own, also while generations turn over; new chunks of many texts are learnt in one go."""
+    from tokenizers import Tokenizer
+
+    path, rng, calls = Q.word_tokenizer_path(), random.Random(3), []
+    learn = packing.WordTokenizer.learn
+    monkeypatch.setattr(packing.WordTokenizer, "learn", lambda self, chunks: calls.append(len(chunks)) or learn(self, chunks))
+    whole, tok = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    ids = lambda t: np.asarray(whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    words = ["".join(rng.choices("abcdefghij", k=9)) for _ in range(300)]
+    texts = [f"{w} {w}. said {w.upper()}" for w in words]
+    assert list(tok.encode([t.encode() for t in texts])) == [ids(t) for t in texts]
+    assert len(calls) == 1
+    ends = ["", ".", "'s", "'", "!?\"", ",é", "\\", "'ll.", "<|", "|>", "<|endoftext|>", "7a9", "Éß÷x", "e\u0301", "ǅ", "漢", "İ", "\x00", "\xa0", "\u200b", "_", "ÿø,", "Ñ"]
+    texts = ["", " \t\n", *(" ".join(rng.choice(words[:60]).title()[:rng.randrange(1, 10)] + rng.choice(ends) for _ in range(40)) for _ in range(200))]
+    monkeypatch.setattr(packing, "CHUNKS", 90)
+    monkeypatch.setattr(packing, "PART", 37)
+    assert list(tok.encode([t.encode() for t in texts])) == [ids(t) for t in texts]
+
+
 def test_packing_round_trip(docs, empty):
     from tokenizers import Tokenizer
 
