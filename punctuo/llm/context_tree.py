@@ -398,22 +398,50 @@ def node_keys(keys: np.ndarray, j: int) -> np.ndarray:
 def opened(parts: list[dict]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
     """Of a bucket: first gram of each chunk's part, distinct grams, counts, and the place of every part's grams among them."""
     starts = np.cumsum([0, *[x["n"] for x in parts]]).tolist()
-    keys, at = np.unique(np.concatenate([unpacked(x["keys"], x["n"]) for x in parts]), return_inverse=True)
-    n = np.bincount(at, np.concatenate([unpacked(x["counts"], x["n"]) for x in parts]), len(keys)).astype(np.int64)
+
+    def column(name: str) -> np.ndarray:
+        out = np.empty(starts[-1], dtype=np.int64)
+        for x, i, k in zip(parts, starts, starts[1:]):
+            out[i:k] = unpacked(x[name], x["n"])
+        return out
+
+    keys = column("keys")
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = firsts(keys)
+    keys = keys[first]
+    n = np.add.reduceat(column("counts")[order], first)
+    at = np.empty(len(order), dtype=np.int32)
+    at[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(first, append=len(order)))
     return starts, keys, n, at
 
 
+def subtrees(keys: np.ndarray, depth: int, most: int = 1 << 18) -> Iterator[slice]:
+    """Sorted grams in runs of whole subtrees, of about ``most`` grams or one subtree; subtrees do not depend on each other."""
+    first = firsts(keys >> (8 * (depth - min(TOP, depth - 1))))
+    cuts = np.append(first, len(keys))
+    i = 0
+    while i < len(first):
+        k = max(i + 1, int(np.searchsorted(cuts, cuts[i] + most, side="right")) - 1)
+        yield slice(int(cuts[i]), int(cuts[k]))
+        i = k
+
+
 def bottom(keys: np.ndarray, n: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(node, n, w) that a bucket adds to the short contexts: counts of symbols, log P_w below binary nodes."""
     top = min(TOP, depth - 1)
-    t = Subtree.of(keys, n, top + 1, depth)
-    own = shorter(t.keys[top + 1])
-    node, count, weight = [node_keys(own, 8)], [t.n[top + 1]], [np.zeros(len(own))]
-    for j in range(8):
-        nodes, w = t.weigh(j)
-        node.append(node_keys(own[nodes[top + 1].first], j))
-        count.append(np.zeros(len(w), dtype=np.int64))
-        weight.append(w)
+    node, count, weight = [], [], []
+    for part in subtrees(keys, depth):
+        t = Subtree.of(keys[part], n[part], top + 1, depth)
+        own = shorter(t.keys[top + 1])
+        node.append(node_keys(own, 8))
+        count.append(t.n[top + 1])
+        weight.append(np.zeros(len(own)))
+        for j in range(8):
+            nodes, w = t.weigh(j)
+            node.append(node_keys(own[nodes[top + 1].first], j))
+            count.append(np.zeros(len(w), dtype=np.int64))
+            weight.append(w)
     node, at = np.unique(np.concatenate(node), return_inverse=True)
     return node, np.bincount(at, np.concatenate(count)).astype(np.int64), np.bincount(at, np.concatenate(weight))
 
@@ -438,13 +466,14 @@ def weigh_top(node: np.ndarray, n: np.ndarray, w: np.ndarray, depth: int) -> lis
 def answer(keys: np.ndarray, n: np.ndarray, depth: int, tops: list[tuple[np.ndarray, tuple[np.ndarray, ...]]]) -> np.ndarray:
     """log10 probability of each gram's symbol after its context."""
     low = min(TOP, depth - 1) + 1
-    t = Subtree.of(keys, n, low, depth)
     logs = np.zeros(len(keys))
-    for j, (own, state) in enumerate(tops):
-        nodes, _ = t.weigh(j)
-        up = np.searchsorted(own, node_keys(shorter(t.keys[low][nodes[low].first]), j))
-        p = np.clip(t.down(nodes, tuple(x[up] for x in state))[2], 1e-12, 1 - 1e-9)[nodes[depth].at]
-        logs += np.log10(np.where((keys >> (7 - j)) & 1, p, 1 - p))
+    for part in subtrees(keys, depth):
+        t = Subtree.of(keys[part], n[part], low, depth)
+        for j, (own, state) in enumerate(tops):
+            nodes, _ = t.weigh(j)
+            up = np.searchsorted(own, node_keys(shorter(t.keys[low][nodes[low].first]), j))
+            p = np.clip(t.down(nodes, tuple(x[up] for x in state))[2], 1e-12, 1 - 1e-9)[nodes[depth].at]
+            logs[part] += np.log10(np.where((keys[part] >> (7 - j)) & 1, p, 1 - p))
     return logs
 
 

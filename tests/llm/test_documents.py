@@ -473,6 +473,31 @@ def test_context_tree_finds_grams_in_sorted_order(monkeypatch):
     assert all(asked) and not list(context_tree.places(keys, wanted[:0]))
 
 
+def test_context_tree_weighs_a_bucket_by_subtrees(monkeypatch):
+    """Runs of whole subtrees, as small as they can be, give what the whole bucket gives in one piece."""
+    rng = np.random.default_rng(6)
+    for depth in (1, 2, 3, 6):
+        keys = np.unique(rng.integers(97, 100, (4000, depth + 1)) @ (256 ** np.arange(depth, -1, -1)))
+        n = rng.integers(0, 5, len(keys))
+        own = keys >> (8 * (depth - min(context_tree.TOP, depth - 1)))
+        runs = [range(*x.indices(len(keys))) for x in context_tree.subtrees(keys, depth, 60)]
+        assert [i for r in runs for i in r] == list(range(len(keys)))
+        assert sum(len(set(own[r].tolist())) for r in runs) == len(set(own.tolist()))
+        assert all(len(r) <= 60 or len(set(own[r].tolist())) == 1 for r in runs)
+        got = []
+        for most in (1, 60, 1 << 18):
+            monkeypatch.setattr(context_tree, "subtrees", lambda k, d, most=most, f=context_tree.subtrees: f(k, d, most))
+            sums = context_tree.bottom(keys, n, depth)
+            got.append([*sums, context_tree.answer(keys, n, depth, context_tree.weigh_top(*sums, depth))])
+            monkeypatch.undo()
+        for x in got[:2]:
+            assert all(np.allclose(a, b, rtol=1e-12) for a, b in zip(x, got[2], strict=True))
+    parts = [{"n": len(k), "keys": context_tree.packed(k), "counts": context_tree.packed(c)} for k, c in (
+        (np.array([3, 5, 9]), np.array([1, 0, 2])), (np.array([5, 7]), np.array([4, 1])))]
+    starts, keys, n, at = context_tree.opened(parts)
+    assert (starts, keys.tolist(), n.tolist(), at.tolist()) == ([0, 3, 5], [3, 5, 7, 9], [1, 4, 1, 2], [0, 1, 3, 1, 2])
+
+
 def test_context_tree_keeps_every_context(docs):
     """Buckets and chunks give what one tree of all contexts in memory gives, six bytes deep."""
     rows = rows_of(docs)
