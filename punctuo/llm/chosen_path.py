@@ -7,8 +7,8 @@ runs is a recursion: a bucket (at first all nodes) is split on a place drawn
 from its path, and on a second one with chance 1/threshold - 1, so that similar
 sets keep meeting while the others part. Only the paths' counts decide: a
 bucket of at most ``small`` nodes is compared by brute force on the MinHash
-values, a larger one is split again; after ``deepest`` splits it is cut into
-blocks that share one pivot, and then every pair of the bucket that is not yet in
+values, a larger one is split again, several times in a pass over the nodes that
+are left; after ``deepest`` splits it is cut into blocks that share one pivot, and then every pair of the bucket that is not yet in
 one class is compared, in pairs of bounded blocks. ``runs`` is chosen from the
 wanted recall.
 
@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctuo.llm import near_sets as N
-from punctuo.llm.graph import components
+from punctuo.llm.graph import components, joined
+from punctuo.llm.prefilter import likely
 from punctuo.operators.util import checkpoint_table
 
 
@@ -77,17 +78,23 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.select("node", "weight", "text").mapInArrow(run, "node long, weight long, shingles binary")
 
 
-def _children(rows: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(path, node, places) -> the (path, node) of the splits; places drawn from the path, one or two of them."""
+def _splits(rows: DataFrame, width: int, threshold: float, levels: int) -> DataFrame:
+    """(path, node, places) -> (level, path, node) of the next ``levels`` splits; places drawn from the path, one or two of them."""
     draw = lambda i: F.pmod(F.xxhash64("path", F.lit(i)), F.lit(width)).cast("int")
     two = F.pmod(F.xxhash64("path", F.lit(-1)), F.lit(1_000_000)) < (1 / threshold - 1) * 1_000_000
     chosen = F.when(two, F.array_distinct(F.array(draw(0), draw(1)))).otherwise(F.array(draw(0)))
-    r = rows.select("path", "node", "places", F.explode(chosen).alias("at"))
-    return r.select(F.xxhash64("path", "at", F.col("places").substr(F.col("at") * 4 + 1, F.lit(4))).alias("path"), "node")
+    split = F.xxhash64("path", "at", F.col("places").substr(F.col("at") * 4 + 1, F.lit(4)))
+    stay, stays = F.array(F.lit(-1)), F.col("at") < 0  # a path of this pass stays beside its children
+    r = rows.select(F.lit(0).alias("level"), "path", "node", "places")
+    for level in range(1, levels + 1):
+        ways = chosen if level == 1 else F.when(F.col("level") == level - 1, F.concat(stay, chosen)).otherwise(stay)
+        r = r.select("level", "path", "node", "places", F.explode(ways).alias("at"))
+        r = r.select(F.when(stays, F.col("level")).otherwise(level).alias("level"), F.when(stays, F.col("path")).otherwise(split).alias("path"), "node", "places")
+    return r.drop("places")
 
 
 def _alike(leaves: DataFrame, least: float) -> DataFrame:
-    """(a, b): links that join the nodes of a bucket that look similar; leaves: (path, node, places)."""
+    """(a, b): links that join the nodes of a bucket that look similar, each to the smallest; leaves: (path, node, places)."""
 
     def run(t: pa.Table) -> pa.RecordBatch | None:
         if t.num_rows < 2:
@@ -102,7 +109,7 @@ def _alike(leaves: DataFrame, least: float) -> DataFrame:
         keep = np.flatnonzero(root != np.arange(len(p)))
         return pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(node[root[keep]])], names=["a", "b"])
 
-    return N.by_group(leaves, ["path"], run, "a long, b long")
+    return N.by_group(leaves, ["path"], run, "a long, b long", ["node"])
 
 
 def _rest(crowds: DataFrame, found: DataFrame, small: int) -> DataFrame:
@@ -124,37 +131,53 @@ def _rest(crowds: DataFrame, found: DataFrame, small: int) -> DataFrame:
     return met.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"), "node")
 
 
-def candidate_classes(nodes: DataFrame, threshold: float, runs: int, width: int, small: int, deepest: int) -> DataFrame:
-    """(node, root): components of the pairs that met in a bucket and look similar."""
-    least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / width)
+def _buckets(nodes: DataFrame, threshold: float, runs: int, width: int, small: int, rounds: list[int]) -> tuple[DataFrame, DataFrame | None]:
+    """(path, node) of the small buckets, and of those that are still large after the last split.
+
+    ``rounds``: the splits made in each pass over the nodes of large buckets. Within a pass small
+    buckets are split too; their parts hold only pairs that the bucket itself holds. A small
+    bucket is named by the hash of its nodes, so those of equal nodes are one."""
     start = nodes.select("node", "places", F.explode(F.sequence(F.lit(1), F.lit(runs))).alias("run"))
     rows = start.select(F.xxhash64("run").alias("path"), "node", "places")
-    buckets, crowds = [], None
-    for depth in range(1, deepest + 1):
-        met = checkpoint_table(_children(rows, width, threshold))
-        counts = met.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        met = checkpoint_table(met.join(counts, "path"))
-        buckets.append(met.filter(F.col("n") <= small).select("path", "node"))
-        large = met.filter(F.col("n") > small)
+    leaves = large = left = None
+    for levels in rounds:
+        if large is not None:
+            left = checkpoint_table(likely(nodes, large, "node")) if left is None else left
+            rows = large.join(left, "node").select("path", "node", "places")
+        met = checkpoint_table(_splits(rows, width, threshold, levels))
+        counts = met.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max("level").alias("level"), F.bit_xor(F.xxhash64("node")).alias("name"))
+        counts = counts.filter((F.col("n") > 1) & ((F.col("n") <= small) | (F.col("level") == levels))).select("path", "n", "name")
+        is_small = F.col("n") <= small
+        met = checkpoint_table(met.select("path", "node").join(counts, "path").select(F.when(is_small, F.col("name")).otherwise(F.col("path")).alias("path"), "node", "n"))
+        done = met.filter(is_small).select("path", "node")
+        leaves = done if leaves is None else leaves.unionByName(done)
+        large = met.filter(~is_small)
         if large.isEmpty():
+            large = None
             break
-        if depth < deepest:
-            rows = large.join(nodes, "node").select("path", "node", "places")
-        else:
-            crowds = large.select("path", "node")
-            pivot = large.groupBy("path").agg(F.min("node").alias("node"), F.ceil(F.max("n") / small).cast("int").alias("blocks"))
-            block = large.join(pivot.select("path", "blocks"), "path")
-            every = pivot.select(F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "path", "node")
-            cut = block.select(F.pmod(F.xxhash64("node", "path"), F.col("blocks")).cast("int").alias("block"), "path", "node")
-            buckets.append(cut.unionByName(every).select(F.xxhash64("path", "block").alias("path"), "node").distinct())
-    leaves = buckets[0]
-    for b in buckets[1:]:
-        leaves = leaves.unionByName(b)
-    alike = lambda b: _alike(b.join(nodes, "node").select("path", "node", "places"), least)
-    if crowds is None:
+    return leaves.distinct(), large
+
+
+def rounds_of(deepest: int) -> list[int]:
+    """1, 2, 3 ... splits a pass: the first leaves few nodes in large buckets, the next passes make more splits of them at once."""
+    out: list[int] = []
+    while sum(out) < deepest:
+        out.append(min(len(out) + 1, deepest - sum(out)))
+    return out
+
+
+def candidate_classes(nodes: DataFrame, threshold: float, runs: int, width: int, small: int, deepest: int) -> DataFrame:
+    """(node, root): components of the pairs that met in a bucket and look similar."""
+    least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / width)
+    leaves, large = _buckets(nodes, threshold, runs, width, small, rounds_of(deepest))
+    alike = lambda b, of=nodes: _alike(b.join(of, "node").select("path", "node", "places"), least)
+    if large is None:
         return components(alike(leaves))
-    links = checkpoint_table(alike(leaves))
-    return components(links.unionByName(alike(_rest(crowds, components(links), small))))
+    pivot = large.groupBy("path").agg(F.min("node").alias("pivot"), F.ceil(F.max("n") / small).cast("int").alias("blocks"))
+    block = large.join(pivot, "path").filter("node <> pivot").select(F.pmod(F.xxhash64("node", "path"), F.col("blocks")).cast("int").alias("block"), "path", "node")
+    every = pivot.select(F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "path", F.col("pivot").alias("node"))
+    found = components(alike(leaves.unionByName(block.unionByName(every).select(F.xxhash64("path", "block").alias("path"), "node"))))
+    return joined(found, alike(_rest(large.select("path", "node"), found, small), likely(nodes, large, "node")))
 
 
 def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text", width: int = 128,
@@ -164,14 +187,13 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, id_col:
     class_id is the smallest id of the class; n_links counts the other distinct
     texts with a similarity of at least ``threshold``; n_copies the rows."""
     keyed = docs.select(text_key(text_col).alias("key"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    rows = checkpoint_table(signatures(keyed, width))
-    signed = rows.groupBy("key").agg(F.first("node").alias("node"), F.first("places").alias("places"), F.min("id").alias("id"),
-                                     F.count(F.lit(1)).alias("n_copies"))
+    signed = signatures(keyed, width).groupBy("key").agg(F.first("node").alias("node"), F.first("places").alias("places"), F.min("id").alias("id"),
+                                                    F.count(F.lit(1)).alias("n_copies"))
     signed = checkpoint_table(signed)
     nodes = checkpoint_table(signed.groupBy("node").agg(F.first("places").alias("places"), F.min("key").alias("key"), F.count(F.lit(1)).alias("weight")))
     candidates = candidate_classes(nodes.select("node", "places"), threshold, runs_for(recall, threshold), width, small, deepest)
-    asked = candidates.select("node").join(nodes.select("node", "key", "weight"), "node")
-    texts = keyed.groupBy("key").agg(F.first("text").alias("text"))  # copies are dropped before the shuffle
+    asked = checkpoint_table(candidates.select("node").join(nodes.select("node", "key", "weight"), "node"))
+    texts = likely(keyed, asked, "key").groupBy("key").agg(F.first("text").alias("text"))  # copies are dropped before the shuffle
     sets = checkpoint_table(shingle_sets(texts.join(asked, "key")))
     links, classes = N.verify(candidates, sets, threshold)
     out = signed.select("key", "node", "id", "n_copies").join(nodes.select("node", "weight"), "node").join(links, "node", "left")

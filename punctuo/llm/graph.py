@@ -30,3 +30,17 @@ def components(edges: DataFrame) -> DataFrame:
     for step in steps[1:]:
         out = out.join(step.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
     return checkpoint_table(out)
+
+
+def joined(found: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root) after more ``edges`` (a, b: long): components of the graph whose components are ``found``.
+
+    Only edges between different roots are left to contract."""
+    for end in ("a", "b"):
+        at = found.select(F.col("node").alias(end), F.col("root").alias("at"))
+        edges = edges.join(at, end, "left").withColumn(end, F.coalesce("at", end)).drop("at")
+    more = components(edges)
+    if more.isEmpty():
+        return found
+    moved = found.join(more.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return checkpoint_table(moved.unionByName(more.join(found, "node", "left_anti")))
